@@ -1,0 +1,35 @@
+"""Lookup joins with a checked broadcast.
+
+The lookups (mapping, namespaces, mount registry) are keyed and deduplicated before the
+join, so the right side has one row per key. It is broadcast only after its row count is
+checked against a bound; beyond it the join shuffles on the key, and AQE's skew-join
+rule splits the partitions of hot keys (a table name or mount can carry a third of all
+references). `salt_buckets` adds an explicit salt for clusters that run without AQE.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# ~100 bytes a lookup row -> ~100 MB at the bound; well under the usual broadcast limits.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(df, True) wrapped in a broadcast hint when it has at most `max_rows` rows."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return (F.broadcast(df), True) if small else (df, False)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS, salt_buckets: int = 1,
+                salt_from: list[str] | None = None) -> DataFrame:
+    """Join `left` to a keyed lookup `right` (one row per key in `on`)."""
+    right, is_broadcast = checked_broadcast(right, max_broadcast_rows)
+    if is_broadcast or salt_buckets <= 1:
+        return left.join(right, on, how)
+    # Explicit salt: each left row picks one of `salt_buckets` copies of its lookup row.
+    salt_cols = salt_from or left.columns
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt")
