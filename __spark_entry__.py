@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle as O  # noqa: E402
 from assetscan import schemas as S  # noqa: E402
+from assetscan.functions import patterns as P  # noqa: E402
 from assetscan.operators import cells as C  # noqa: E402
 from assetscan.operators import extract as E  # noqa: E402
 from assetscan.operators import resolve as R  # noqa: E402
@@ -238,3 +239,330 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLES.items() if k in QUERIES}
+
+
+# ==== review (V1-V13) ======================================================== #
+from assetscan.operators import review as RV  # noqa: E402
+from assetscan.operators import rewrite as RW  # noqa: E402
+
+REVIEW_COLS = ["manifest_id", "reference_kind", "asset_path", "status", "final_replacement", "reviewer",
+               "reviewed_at", "decision"]
+
+
+def _review_view(df: DataFrame) -> DataFrame:
+    return df.select(*[_ts(c) if c == "reviewed_at" else F.col(c) for c in REVIEW_COLS])
+
+
+def _approved(spark, sf):
+    return RV.batch_approve(_manifest(spark, sf), ES.BATCH_REVIEWER, ES.REVIEWED_AT)
+
+
+def _reviewed(spark, sf):
+    man = _manifest(spark, sf)
+    approved = RV.batch_approve(man, ES.BATCH_REVIEWER, ES.REVIEWED_AT)
+    return RV.apply_decisions(approved, ES.estate_decisions(spark, sf, man))
+
+
+def q_queue_high(spark, sf):
+    return RV.queue_high(_manifest(spark, sf))
+
+
+def q_queue_medium(spark, sf):
+    return RV.queue_medium(_manifest(spark, sf))
+
+
+def q_queue_low(spark, sf):
+    return RV.queue_low(_manifest(spark, sf))
+
+
+def q_batch_approve(spark, sf):
+    return _review_view(_approved(spark, sf))
+
+
+def q_batch_approve_idempotent(spark, sf):
+    """V4 twice equals V4 once; V8 counts of the twice-approved manifest."""
+    twice = RV.batch_approve(_approved(spark, sf), "second@estate", "2030-01-01 00:00:00")
+    return RV.status_counts(twice)
+
+
+def q_decisions_apply(spark, sf):
+    return _review_view(_reviewed(spark, sf)[0])
+
+
+def q_decisions_rejected(spark, sf):
+    return _reviewed(spark, sf)[1]
+
+
+def q_status_counts(spark, sf):
+    return RV.status_counts(_reviewed(spark, sf)[0])
+
+
+def q_candidates_mount(spark, sf):
+    return RV.candidates_mount(_manifest(spark, sf), ES.estate_mounts(spark, sf))
+
+
+def q_candidates_table(spark, sf):
+    cells = C.split_cells(ES.estate_assets(spark, sf))
+    return RV.candidates_table(_manifest(spark, sf), cells, ES.estate_mapping(spark, sf))
+
+
+def q_cell_context(spark, sf):
+    cells = C.split_cells(ES.estate_assets(spark, sf))
+    return RV.cell_context(_manifest(spark, sf), cells)
+
+
+# ==== apply (S10, A1-A7) ===================================================== #
+STAMP = "20240603T000000Z"
+APPLIED_AT = "2024-06-03 00:00:00"
+BACKUP_ROOT = "/backups"
+
+
+def _apply_inputs(spark, sf, method="tokens"):
+    reviewed = _reviewed(spark, sf)[0]
+    ws = RW.work_set(reviewed)
+    maps, conflicts = RW.edit_maps(ws)
+    rewritten = RW.rewrite_assets(ES.estate_assets(spark, sf), maps, method=method)
+    return reviewed, ws, conflicts, rewritten
+
+
+def q_rewrite_literal(spark, sf):
+    _, _, _, rw = _apply_inputs(spark, sf, "literal")
+    return rw.select("asset_path", F.col("new_source").alias("source"))
+
+
+def q_rewrite_tokens(spark, sf):
+    _, _, _, rw = _apply_inputs(spark, sf)
+    return rw.select("asset_path", F.col("new_source").alias("source"))
+
+
+def q_apply_outcomes(spark, sf):
+    _, ws, conflicts, rw = _apply_inputs(spark, sf)
+    return RW.outcomes(ws, rw, conflicts)
+
+
+def q_applied_stamp(spark, sf):
+    reviewed, ws, conflicts, rw = _apply_inputs(spark, sf)
+    stamped = RW.stamp_applied(reviewed, RW.outcomes(ws, rw, conflicts), APPLIED_AT, BACKUP_ROOT, STAMP)
+    return stamped.select("manifest_id", "reference_kind", "status", _ts("applied_at"), "backup_path", "decision")
+
+
+def q_apply_totals(spark, sf):
+    _, ws, conflicts, rw = _apply_inputs(spark, sf)
+    return RW.apply_totals(RW.outcomes(ws, rw, conflicts), rw)
+
+
+def q_restore(spark, sf):
+    """Restoring from the backups gives back every original text."""
+    _, _, _, rw = _apply_inputs(spark, sf)
+    return RW.restore_sources(RW.backups_of(rw, BACKUP_ROOT, STAMP)).select("asset_path", "source")
+
+
+QUERIES.update({
+    "queue_high": q_queue_high,
+    "queue_medium": q_queue_medium,
+    "queue_low": q_queue_low,
+    "batch_approve": q_batch_approve,
+    "batch_approve_idempotent": q_batch_approve_idempotent,
+    "decisions_apply": q_decisions_apply,
+    "decisions_rejected": q_decisions_rejected,
+    "status_counts": q_status_counts,
+    "candidates_mount": q_candidates_mount,
+    "candidates_table": q_candidates_table,
+    "cell_context": q_cell_context,
+    "rewrite_literal": q_rewrite_literal,
+    "rewrite_tokens": q_rewrite_tokens,
+    "apply_outcomes": q_apply_outcomes,
+    "applied_stamp": q_applied_stamp,
+    "apply_totals": q_apply_totals,
+    "restore": q_restore,
+})
+
+# ---- oracles: review ---------------------------------------------------------- #
+_L = O.lit
+_legal = ", ".join(_L(f"{a}>{b}") for a, b in S.LEGAL_MOVES)
+_kinds = ", ".join(_L(k) for k in S.TABLE_KINDS)
+O.cte("approved", ["manifest"], f"""
+  SELECT manifest_id, asset_type, asset_path, cell_index, original_reference, reference_kind, proposed_replacement,
+         confidence,
+         CASE WHEN hit THEN 'approved' ELSE status END AS status,
+         CASE WHEN hit THEN proposed_replacement ELSE final_replacement END AS final_replacement,
+         CASE WHEN hit THEN {_L(ES.BATCH_REVIEWER)} ELSE reviewer END AS reviewer,
+         CASE WHEN hit THEN TIMESTAMP '{ES.REVIEWED_AT}' ELSE reviewed_at END AS reviewed_at,
+         applied_at, backup_path, scanned_at, occurrences, reason,
+         CASE WHEN hit THEN 'approved' ELSE decision END AS decision
+  FROM (SELECT *, confidence >= {S.TIER_SIMPLE_MIN} AND status = 'proposed'
+                  AND trim(coalesce(proposed_replacement, '')) <> '' AS hit FROM manifest)""")
+O.cte("decisions", ["manifest"], f"""
+  SELECT manifest_id, reference_kind,
+         CASE k % 6 WHEN 0 THEN 'approved' WHEN 1 THEN 'overridden' WHEN 3 THEN 'overridden'
+                    WHEN 2 THEN 'skipped' ELSE 'applied' END AS decision,
+         CASE WHEN k % 6 = 1 THEN
+                CASE WHEN reference_kind IN ({_kinds}) THEN 'main.reviewed.t_' || (k % 40)
+                     WHEN reference_kind = 'mount_path_literal' THEN '/Volumes/main/reviewed/raw/t_' || (k % 40)
+                     ELSE '"main.reviewed.t_' || (k % 40) || '"' END
+              WHEN k % 6 = 3 THEN '  ' END AS final_replacement,
+         c_name AS reviewer, TIMESTAMP '{ES.REVIEWED_AT}' AS reviewed_at
+  FROM (SELECT manifest_id, reference_kind, CAST(regexp_extract(asset_path, 'nb_(\\d+)$', 1) AS BIGINT) AS k
+        FROM manifest) m
+  JOIN orders ON o_orderkey = k JOIN customer ON c_custkey = o_custkey
+  WHERE k % 6 <> 5""")
+O.cte("dj", ["approved", "decisions"], f"""
+  SELECT *, CASE WHEN d_decision IS NULL THEN NULL
+                 WHEN d_decision NOT IN ('approved', 'overridden', 'skipped') THEN 'unknown decision'
+                 WHEN (status || '>' || d_decision) NOT IN ({_legal}) THEN 'illegal move ' || status || ' -> ' || d_decision
+                 WHEN d_decision IN ('approved', 'overridden') AND (_final IS NULL OR trim(_final) = '')
+                   THEN 'blank final replacement' END AS _reject
+  FROM (SELECT a.*, d.decision AS d_decision, d.final_replacement AS d_final, d.reviewer AS d_reviewer,
+               d.reviewed_at AS d_reviewed_at,
+               CASE WHEN d.decision = 'approved' THEN coalesce(nullif(trim(d.final_replacement), ''), a.proposed_replacement)
+                    WHEN d.decision = 'overridden' THEN d.final_replacement END AS _final
+        FROM approved a LEFT JOIN decisions d ON a.manifest_id = d.manifest_id AND a.reference_kind = d.reference_kind)""")
+O.cte("reviewed", ["dj"], """
+  SELECT manifest_id, asset_type, asset_path, cell_index, original_reference, reference_kind, proposed_replacement,
+         confidence,
+         CASE WHEN ok THEN d_decision ELSE status END AS status,
+         CASE WHEN ok THEN _final ELSE final_replacement END AS final_replacement,
+         CASE WHEN ok THEN d_reviewer ELSE reviewer END AS reviewer,
+         CASE WHEN ok THEN d_reviewed_at ELSE reviewed_at END AS reviewed_at,
+         applied_at, backup_path, scanned_at, occurrences, reason,
+         CASE WHEN ok THEN d_decision ELSE decision END AS decision
+  FROM (SELECT *, d_decision IS NOT NULL AND _reject IS NULL AS ok FROM dj)""")
+
+_REVIEW_SEL = ("SELECT manifest_id, reference_kind, asset_path, status, final_replacement, reviewer, "
+               f"{O.ts_str('reviewed_at')} AS reviewed_at, decision FROM ")
+
+O.cte("dyn_pat", ["manifest"], f"""
+  SELECT manifest_id, reference_kind, asset_path, cell_index, original_reference,
+         regexp_extract({O.rr(O.rr('original_reference', P.QUOTES_RE, "''"), P.FSTRING_FIELD_RE, "'%'")},
+                        '^(?:dbfs:)?(/mnt/[^/]*)', 1) AS mount_pattern
+  FROM manifest WHERE reference_kind = 'dynamic_mount'""")
+O.cte("cand_tok", ["manifest", "cells"], f"""
+  SELECT manifest_id, reference_kind, asset_path, cell_index, original_reference, suffix, token, lower(token) AS _tok
+  FROM (SELECT m.manifest_id, m.reference_kind, m.asset_path, m.cell_index, m.original_reference,
+               regexp_extract(m.original_reference, {_L(P.DYNAMIC_SUFFIX_RE)}, 1) AS suffix,
+               unnest(list_distinct(regexp_extract_all(c.code, {_L(P.IDENT_RE)}, 0))) AS token
+        FROM manifest m JOIN cells c ON m.asset_path = c.asset_path AND m.cell_index = c.cell_index
+        WHERE m.reference_kind = 'dynamic_table')""")
+
+# ---- oracles: apply ------------------------------------------------------------- #
+O.cte("ws", ["reviewed"], """
+  SELECT * FROM reviewed WHERE status IN ('approved', 'overridden') AND asset_type = 'notebook'
+    AND final_replacement IS NOT NULL AND trim(final_replacement) <> ''""")
+O.cte("ws_keys", ["ws"], """
+  SELECT asset_path, cell_index, original_reference, count(DISTINCT final_replacement) AS n,
+         min(final_replacement) AS f
+  FROM ws GROUP BY ALL""")
+O.cte("maps", ["ws_keys"], """
+  SELECT asset_path, map_from_entries(list((CAST(cell_index AS VARCHAR) || chr(1) || original_reference, f))) AS m,
+         list_sort(list({'neg_len': -length(original_reference), 'o': original_reference, 'f': f})) AS edit_list
+  FROM ws_keys WHERE n = 1 GROUP BY asset_path""")
+O.cte("rw_src", ["estate", "maps"], f"""
+  SELECT e.asset_path, e.source, m.m, m.edit_list,
+         regexp_extract(e.source, {_L(P.HEADER_RE)}, 0) AS hdr,
+         {O.rr('e.source', P.HEADER_RE, "''")} AS body
+  FROM estate e JOIN maps m ON e.asset_path = m.asset_path""")
+O.cte("rw_chunks", ["rw_src"], f"""
+  SELECT asset_path, hdr, m, pos, chunk, sep,
+         CASE WHEN flag THEN sum(CAST(flag AS INTEGER)) OVER (PARTITION BY asset_path ORDER BY pos) - 1 END AS cell
+  FROM (SELECT asset_path, hdr, m, pos, chunks[pos] AS chunk, seps[pos] AS sep,
+               NOT regexp_matches({O.rr('chunks[pos]', P.EDGE_NEWLINES_RE, "''")}, {_L(P.BLANK_RE)}) AS flag
+        FROM (SELECT asset_path, hdr, m, chunks, seps, unnest(generate_series(1, len(chunks))) AS pos
+              FROM (SELECT asset_path, hdr, m, string_split_regex(body, {_L(P.SEPARATOR_RE)}) AS chunks,
+                           list_append(regexp_extract_all(body, {_L(P.SEPARATOR_RE)}, 0), '') AS seps
+                    FROM rw_src)))""")
+_QP = _L(P.QUOTED_PARTS_RE)
+O.cte("rw_new", ["rw_chunks"], f"""
+  SELECT asset_path, hdr, pos, sep,
+         CASE WHEN cell IS NULL THEN chunk ELSE array_to_string(list_transform(
+           regexp_extract_all(chunk, {_L(P.REWRITE_TOKEN_RE)}, 0), lambda t:
+             CASE WHEN regexp_matches(t, {_L(P.QUOTED_TOKEN_RE)}) THEN
+               coalesce(m[CAST(cell AS VARCHAR) || chr(1) || t],
+                        CASE WHEN m[CAST(cell AS VARCHAR) || chr(1) || regexp_extract(t, {_QP}, 2)] IS NOT NULL
+                             THEN regexp_extract(t, {_QP}, 1) || m[CAST(cell AS VARCHAR) || chr(1) || regexp_extract(t, {_QP}, 2)]
+                                  || regexp_extract(t, {_QP}, 3) END,
+                        array_to_string(list_transform(regexp_extract_all(t, {_L(P.REWRITE_WORD_RE)}, 0),
+                          lambda w: coalesce(m[CAST(cell AS VARCHAR) || chr(1) || w], w)), ''))
+             ELSE coalesce(m[CAST(cell AS VARCHAR) || chr(1) || t], t) END), '') END AS new_chunk
+  FROM rw_chunks""")
+O.cte("rw_tokens", ["rw_new"], """
+  SELECT asset_path, min(hdr) || string_agg(new_chunk || sep, '' ORDER BY pos) AS source
+  FROM rw_new GROUP BY asset_path""")
+O.cte("rw_cand", ["rw_chunks"], f"""
+  SELECT DISTINCT asset_path, cell, cand FROM (
+    SELECT asset_path, cell, unnest(CASE WHEN regexp_matches(t, {_L(P.QUOTED_TOKEN_RE)})
+             THEN list_concat([t, regexp_extract(t, {_QP}, 2)], regexp_extract_all(t, {_L(P.REWRITE_WORD_RE)}, 0))
+             ELSE [t] END) AS cand
+    FROM (SELECT asset_path, cell, unnest(regexp_extract_all(chunk, {_L(P.REWRITE_TOKEN_RE)}, 0)) AS t
+          FROM rw_chunks WHERE cell IS NOT NULL))""")
+O.cte("outcomes", ["ws", "ws_keys", "rw_cand"], """
+  SELECT w.manifest_id, w.reference_kind, w.asset_path,
+         CASE WHEN k.n > 1 THEN 'conflict'
+              WHEN EXISTS (SELECT 1 FROM rw_cand c WHERE c.asset_path = w.asset_path AND c.cell = w.cell_index
+                                                     AND c.cand = w.original_reference) THEN 'applied'
+              ELSE 'not_found' END AS outcome
+  FROM ws w JOIN ws_keys k ON w.asset_path = k.asset_path AND w.cell_index = k.cell_index
+                          AND w.original_reference = k.original_reference""")
+_bk = (f"'{BACKUP_ROOT}/' || md5(asset_path) || '/' || replace(regexp_replace(asset_path, '^/+|/+$', '', 'g'), '/', '__')"
+       f" || '__{STAMP}.py'")
+
+ORACLES.update({
+    "queue_high": O.with_ctes(["manifest"], f"""
+        SELECT manifest_id, asset_path, cell_index, original_reference, proposed_replacement, confidence
+        FROM manifest WHERE confidence >= {S.TIER_SIMPLE_MIN} AND status = 'proposed'"""),
+    "queue_medium": O.with_ctes(["manifest"], f"""
+        SELECT manifest_id, asset_path, cell_index, original_reference, proposed_replacement, confidence, reference_kind
+        FROM manifest WHERE confidence >= {S.TIER_COMPLEX_MIN} AND confidence < {S.TIER_SIMPLE_MIN}
+          AND status = 'proposed'"""),
+    "queue_low": O.with_ctes(["manifest"], f"""
+        SELECT manifest_id, asset_path, cell_index, original_reference, reference_kind, confidence, reason
+        FROM manifest WHERE confidence < {S.TIER_COMPLEX_MIN} AND status = 'proposed'"""),
+    "batch_approve": O.with_ctes(["approved"], _REVIEW_SEL + "approved"),
+    "batch_approve_idempotent": O.with_ctes(["approved"], "SELECT status, count(*) AS n FROM approved GROUP BY status"),
+    "decisions_apply": O.with_ctes(["reviewed"], _REVIEW_SEL + "reviewed"),
+    "decisions_rejected": O.with_ctes(["dj"], """
+        SELECT manifest_id, reference_kind, status AS current_status, d_decision AS decision,
+               d_final AS final_replacement, d_reviewer AS reviewer, _reject AS reject_reason
+        FROM dj WHERE _reject IS NOT NULL"""),
+    "status_counts": O.with_ctes(["reviewed"], "SELECT status, count(*) AS n FROM reviewed GROUP BY status"),
+    "candidates_mount": O.with_ctes(["dyn_pat", "mounts"], """
+        SELECT p.manifest_id, p.reference_kind, p.asset_path, p.cell_index, p.original_reference, p.mount_pattern,
+               r.mount_path AS candidate_mount, r.hms_namespace AS candidate_namespace
+        FROM dyn_pat p JOIN mounts r ON r.mount_path LIKE p.mount_pattern AND p.mount_pattern <> ''"""),
+    "candidates_table": O.with_ctes(["cand_tok", "nl", "tl"], """
+        SELECT DISTINCT * FROM (
+          SELECT t.manifest_id, t.reference_kind, t.asset_path, t.cell_index, t.original_reference,
+                 t.token AS candidate_namespace,
+                 coalesce(tl.t_target, CASE WHEN t.suffix <> '' THEN concat_ws('.', n.ns_catalog, n.ns_schema, t.suffix) END)
+                   AS candidate_target
+          FROM cand_tok t JOIN nl n ON t._tok = n._lk_ns AND n.ns_schema IS NOT NULL
+          LEFT JOIN (SELECT * FROM tl WHERE t_target IS NOT NULL) tl ON tl._ns = n._lk_ns AND tl._tbl = lower(t.suffix)
+          UNION ALL
+          SELECT t.manifest_id, t.reference_kind, t.asset_path, t.cell_index, t.original_reference,
+                 string_split(t.token, '.')[1], tl.t_target
+          FROM cand_tok t JOIN tl ON t._tok = tl._ns || '.' || tl._tbl AND tl.t_target IS NOT NULL)"""),
+    "cell_context": O.with_ctes(["manifest", "cells"], """
+        SELECT m.asset_path, m.cell_index, m.manifest_id, m.reference_kind, m.original_reference, m.confidence,
+               m.reason, c.language, c.code
+        FROM manifest m LEFT JOIN cells c ON m.asset_path = c.asset_path AND m.cell_index = c.cell_index"""),
+    "rewrite_literal": O.with_ctes(["estate", "maps"], """
+        SELECT e.asset_path, list_reduce(m.edit_list, lambda acc, x: replace(acc, x.o, x.f), e.source) AS source
+        FROM estate e JOIN maps m ON e.asset_path = m.asset_path"""),
+    "rewrite_tokens": O.with_ctes(["rw_tokens"], "SELECT asset_path, source FROM rw_tokens"),
+    "apply_outcomes": O.with_ctes(["outcomes"], "SELECT manifest_id, reference_kind, asset_path, outcome FROM outcomes"),
+    "applied_stamp": O.with_ctes(["reviewed", "outcomes"], f"""
+        SELECT r.manifest_id, r.reference_kind,
+               CASE WHEN o.outcome = 'applied' THEN 'applied' ELSE r.status END AS status,
+               CASE WHEN o.outcome = 'applied' THEN '{APPLIED_AT}' ELSE {O.ts_str('r.applied_at')} END AS applied_at,
+               CASE WHEN o.outcome = 'applied' THEN {_bk.replace('asset_path', 'r.asset_path')} ELSE r.backup_path END
+                 AS backup_path,
+               r.decision
+        FROM reviewed r LEFT JOIN outcomes o ON r.manifest_id = o.manifest_id AND r.reference_kind = o.reference_kind"""),
+    "apply_totals": O.with_ctes(["outcomes"], """
+        SELECT count(*) FILTER (WHERE outcome = 'applied') AS references_applied,
+               count(DISTINCT asset_path) FILTER (WHERE outcome = 'applied') AS assets_applied,
+               count(*) FILTER (WHERE outcome = 'not_found') AS references_not_found,
+               count(*) FILTER (WHERE outcome = 'conflict') AS references_conflicting
+        FROM outcomes"""),
+    "restore": O.with_ctes(["estate", "maps"], """
+        SELECT e.asset_path, e.source FROM estate e WHERE e.asset_path IN (SELECT asset_path FROM maps)"""),
+})

@@ -76,7 +76,7 @@ REWRITE_TOKEN_RE = (
 )
 REWRITE_WORD_RE = r"[`\w.]+|[^`\w.]+"
 QUOTED_TOKEN_RE = r"^[A-Za-z]{0,2}[\"']"
-QUOTED_PARTS_RE = r"^([A-Za-z]{0,2}(?:\"\"\"|'''|\"|'))([\s\S]*)((?:\"\"\"|'''|\"|'))\z"
+QUOTED_PARTS_RE = r"^([A-Za-z]{0,2}(?:\"\"\"|'''|\"|'))([\s\S]*?)((?:\"\"\"|'''|\"|'))\z"
 
 # ---- review: candidate names in a cell (V10) ------------------------------ #
 IDENT_RE = r"\w+(?:\.\w+)?"

@@ -42,7 +42,7 @@ def notebook_cell(k: F.Column, n: F.Column) -> F.Column:
             .when(v == 4, F.concat(F.lit('p = "dbfs:/mnt/raw-'), nn, F.lit('/gl"\nspark.read.parquet(p)')))
             .when(v == 5, F.concat(F.lit('m = "raw-'), nn,
                                    F.lit('"\nspark.read.parquet(f"/mnt/{m}/daily")')))
-            .when(v == 6, F.concat(F.lit('spark.table(f"{db}.'), t, F.lit('")')))
+            .when(v == 6, F.concat(F.lit('db = "'), ns, F.lit('"\nspark.table(f"{db}.'), t, F.lit('")')))
             .otherwise(F.lit("x = 1 + 1")))
 
 
@@ -151,3 +151,38 @@ def estate_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         tier.alias("tier"),
         expected_count(k).alias("hms_ref_count"),
         F.to_timestamp(F.lit(AS_OF)).alias("seeded_at"))
+
+
+REVIEWED_AT = "2024-06-02 09:00:00"
+BATCH_REVIEWER = "batch@estate"
+
+
+def notebook_key(asset_path: F.Column) -> F.Column:
+    return F.regexp_extract(asset_path, r"nb_(\d+)$", 1).cast("long")
+
+
+def estate_decisions(spark: SparkSession, sf_dir: str, manifest: DataFrame) -> DataFrame:
+    """Reviewer decisions for the estate manifest, reviewer = the order's customer.
+
+    By notebook k % 6: 0 approve (no value: take the proposal), 1 override with a new
+    target, 2 skip, 3 override with a blank value (rejected), 4 an unknown decision
+    (rejected), 5 no decision. Rows already batch-approved that get a skip or a second
+    approval are illegal moves (rejected)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    k = notebook_key(F.col("asset_path"))
+    kind = F.col("reference_kind")
+    t = F.concat(F.lit("t_"), _s(F.col("_k") % 40))
+    new_target = (F.when(kind.isin(*S.TABLE_KINDS), F.concat(F.lit("main.reviewed."), t))
+                  .when(kind == "mount_path_literal", F.concat(F.lit("/Volumes/main/reviewed/raw/"), t))
+                  .otherwise(F.concat(F.lit('"main.reviewed.'), t, F.lit('"'))))
+    v = F.col("_k") % 6
+    m = manifest.select("manifest_id", "reference_kind", k.alias("_k"))
+    j = m.join(o, F.col("_k") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return (j.filter(v != 5).select(
+        "manifest_id", "reference_kind",
+        F.when(v == 0, "approved").when(v.isin(1, 3), "overridden").when(v == 2, "skipped")
+        .otherwise("applied").alias("decision"),
+        F.when(v == 1, new_target).when(v == 3, F.lit("  ")).alias("final_replacement"),
+        F.col("c_name").alias("reviewer"),
+        F.to_timestamp(F.lit(REVIEWED_AT)).alias("reviewed_at")))

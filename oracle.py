@@ -58,7 +58,7 @@ def _cell_sql(k: str, n: str) -> str:
       WHEN 3 THEN 'df = spark.read.parquet("/mnt/raw-' || {n} || '/2024/' || {t} || '")'
       WHEN 4 THEN 'p = "dbfs:/mnt/raw-' || {n} || {lit('/gl"' + chr(10) + 'spark.read.parquet(p)')}
       WHEN 5 THEN 'm = "raw-' || {n} || {lit('"' + chr(10) + 'spark.read.parquet(f"/mnt/{m}/daily")')}
-      WHEN 6 THEN 'spark.table(f"{{db}}.' || {t} || '")'
+      WHEN 6 THEN 'db = "' || {ns} || {lit('"' + chr(10) + 'spark.table(f"{db}.')} || {t} || '")'
       ELSE 'x = 1 + 1' END"""
 
 
