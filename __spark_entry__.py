@@ -25,6 +25,7 @@ from assetscan.operators import cells as C  # noqa: E402
 from assetscan.operators import extract as E  # noqa: E402
 from assetscan.operators import resolve as R  # noqa: E402
 from assetscan.plans import scan  # noqa: E402
+from assetscan.plans.partitioning import materialize  # noqa: E402
 from assetscan.sources import estate as ES  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -258,7 +259,7 @@ def _approved(spark, sf):
 
 
 def _reviewed(spark, sf):
-    man = _manifest(spark, sf)
+    man = materialize(_manifest(spark, sf))
     approved = RV.batch_approve(man, ES.BATCH_REVIEWER, ES.REVIEWED_AT)
     return RV.apply_decisions(approved, ES.estate_decisions(spark, sf, man))
 
@@ -318,7 +319,7 @@ BACKUP_ROOT = "/backups"
 
 
 def _apply_inputs(spark, sf, method="tokens"):
-    reviewed = _reviewed(spark, sf)[0]
+    reviewed = materialize(_reviewed(spark, sf)[0])
     ws = RW.work_set(reviewed)
     maps, conflicts = RW.edit_maps(ws)
     rewritten = RW.rewrite_assets(ES.estate_assets(spark, sf), maps, method=method)

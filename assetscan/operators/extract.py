@@ -77,58 +77,72 @@ def python_nodes(cells: DataFrame) -> DataFrame:
     return candidates.mapInPandas(_read_batches, schema=_SYNTAX_SCHEMA)
 
 
+def _refs_from_pairs(df: DataFrame, pairs: F.Column) -> DataFrame:
+    """Explode an array<struct<kind, text>> column into reference rows in one pass."""
+    return (df.select("asset_type", "asset_path", "cell_index", F.explode(pairs).alias("p"))
+            .select("asset_type", "asset_path", "cell_index",
+                    F.col("p.kind").alias("reference_kind"), F.col("p.text").alias("original_reference")))
+
+
+def _pair(kind, text: F.Column) -> F.Column:
+    k = kind if not isinstance(kind, str) else F.lit(kind)
+    return F.struct(k.alias("kind"), text.alias("text"))
+
+
+def _kept_names(sql: F.Column) -> F.Column:
+    return F.filter(X.sql_table_names(sql), lambda n: X.name_parts(n)[2])
+
+
 def python_refs_syntax(cells: DataFrame) -> DataFrame:
-    """E3-E8 via the syntax job; `.sql("...")` strings go through native E1."""
+    """E3-E8 via the syntax job; `.sql("...")` strings are read by native E1 (E4) in the
+    same projection, so the job runs once and its output is exploded once."""
     nodes = python_nodes(cells)
-    direct = (nodes.filter(F.col("node_kind") != "py_sql")
-              .select("asset_type", "asset_path", "cell_index",
-                      F.col("node_kind").alias("reference_kind"),
-                      F.col("text").alias("original_reference")))
-    table_parts = X.name_parts(F.col("original_reference"))
-    direct = direct.filter((F.col("reference_kind") != "py_table_ref") | table_parts[2])
-    sql_strings = nodes.filter(F.col("node_kind") == "py_sql")
-    from_sql = _names_to_refs(sql_strings, "text", "py_table_ref")
-    return direct.unionByName(from_sql)
+    kind, text = F.col("node_kind"), F.col("text")
+    pairs = (F.when(kind == "py_sql", F.transform(_kept_names(text), lambda n: _pair("py_table_ref", n)))
+             .when((kind == "py_table_ref") & ~X.name_parts(text)[2], F.array().cast(_PAIRS_TYPE))
+             .otherwise(F.array(_pair(kind, text))))
+    return _refs_from_pairs(nodes, pairs)
+
+
+_PAIRS_TYPE = "array<struct<kind:string,text:string>>"
 
 
 def python_refs_lexical(cells: DataFrame) -> DataFrame:
-    """E3, E4, E5-E7 without a parser: regexes over Python cells. Matches inside comments
-    and strings too; `python_refs_syntax` is the exact form."""
+    """E3, E4, E5-E7 without a parser: regexes over Python cells, one projection and one
+    explode. Matches inside comments and strings too; `python_refs_syntax` is exact."""
     py = cells.filter(F.col("language") == "python")
     code = F.col("code")
-    keys = ["asset_type", "asset_path", "cell_index"]
-
-    tables = py.select(*keys, F.explode(F.regexp_extract_all(code, X.rx(P.PY_TABLE_CALL_RE),
-                                                             F.lit(1))).alias("o"))
-    t_parts = X.name_parts(F.col("o"))
-    tables = (tables.filter(F.col("o").contains(".") & (X.mount_prefix(F.col("o")) == "")
-                            & t_parts[2])
-              .select(*keys, F.lit("py_table_ref").alias("reference_kind"),
-                      F.col("o").alias("original_reference")))
 
+    tables = F.filter(F.regexp_extract_all(code, X.rx(P.PY_TABLE_CALL_RE), F.lit(1)),
+                      lambda o: o.contains(".") & (X.mount_prefix(o) == "") & X.name_parts(o)[2])
     sql_texts = F.concat(F.regexp_extract_all(code, X.rx(P.PY_SQL_CALL_DQ_RE), F.lit(1)),
                          F.regexp_extract_all(code, X.rx(P.PY_SQL_CALL_SQ_RE), F.lit(1)),
                          F.regexp_extract_all(code, X.rx(P.PY_SQL_CALL_TDQ_RE), F.lit(1)))
-    sqls = py.select(*keys, F.explode(sql_texts).alias("sql_text"))
-    from_sql = _names_to_refs(sqls, "sql_text", "py_table_ref")
-
-    dyn = (py.select(*keys, F.explode(F.regexp_extract_all(code, X.rx(P.PY_DYNAMIC_CALL_RE),
-                                                           F.lit(1))).alias("o"))
-           .select(*keys, F.lit("dynamic_table").alias("reference_kind"),
-                   F.regexp_replace(F.col("o"), X.rx(r"\s+\z"), F.lit("")).alias("original_reference")))
-
-    lits = py.select(*keys, F.explode(X.python_literals(code)).alias("lit"))
-    is_f = F.col("lit").rlike(P.FSTRING_HEAD_RE)
-    is_plain = F.col("lit").rlike(P.PLAIN_STRING_HEAD_RE)
-    body = X.literal_body(F.col("lit"))
-    const_parts = F.regexp_replace(body, X.rx(P.FSTRING_FIELD_RE), F.lit(""))
-    mounts = (lits.filter(is_plain & (X.mount_prefix(body) != ""))
-              .select(*keys, F.lit("mount_path_literal").alias("reference_kind"),
-                      body.alias("original_reference")))
-    fmounts = (lits.filter(is_f & const_parts.contains("/mnt/"))
-               .select(*keys, F.lit("dynamic_mount").alias("reference_kind"),
-                       F.col("lit").alias("original_reference")))
-    return tables.unionByName(from_sql).unionByName(dyn).unionByName(mounts).unionByName(fmounts)
+    from_sql = F.flatten(F.transform(sql_texts, _kept_names))
+    dyn = F.transform(F.regexp_extract_all(code, X.rx(P.PY_DYNAMIC_CALL_RE), F.lit(1)),
+                      lambda o: F.regexp_replace(o, X.rx(r"\s+\z"), F.lit("")))
+    lits = X.python_literals(code)
+    mounts = F.transform(F.filter(lits, lambda l: l.rlike(P.PLAIN_STRING_HEAD_RE)
+                                  & (X.mount_prefix(X.literal_body(l)) != "")), X.literal_body)
+    fmounts = F.filter(lits, lambda l: l.rlike(P.FSTRING_HEAD_RE) & F.regexp_replace(
+        X.literal_body(l), X.rx(P.FSTRING_FIELD_RE), F.lit("")).contains("/mnt/"))
+    pairs = F.concat(F.transform(tables, lambda o: _pair("py_table_ref", o)),
+                     F.transform(from_sql, lambda o: _pair("py_table_ref", o)),
+                     F.transform(dyn, lambda o: _pair("dynamic_table", o)),
+                     F.transform(mounts, lambda o: _pair("mount_path_literal", o)),
+                     F.transform(fmounts, lambda o: _pair("dynamic_mount", o)))
+    return _refs_from_pairs(py, pairs)
+
+
+def non_python_refs(cells: DataFrame) -> DataFrame:
+    """E1, E2, E10 and fix 5 in one projection over the non-Python cells."""
+    lang = F.col("language")
+    kind = F.when(F.col("asset_type") == "dashboard", F.lit("dashboard_query")).otherwise(F.lit("sql_table_ref"))
+    pairs = (F.when(lang == "sql", F.transform(_kept_names(F.col("code")), lambda n: _pair(kind, n)))
+             .when(~lang.isin(*NON_CODE_LANGUAGES) & F.col("code").rlike(P.PY_PREFILTER_RE),
+                   F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
+             .otherwise(F.array().cast(_PAIRS_TYPE)))
+    return _refs_from_pairs(cells.filter(lang != "python"), pairs)
 
 
 def other_language_refs(cells: DataFrame) -> DataFrame:
@@ -142,9 +156,10 @@ def other_language_refs(cells: DataFrame) -> DataFrame:
 
 
 def extract_references(cells: DataFrame, python: str = "syntax") -> DataFrame:
-    """All kinds across cells, duplicates kept."""
+    """All kinds across cells, duplicates kept. Two branches over the cells: Python
+    cells (syntax job or lexical form) and all others."""
     py = python_refs_syntax(cells) if python == "syntax" else python_refs_lexical(cells)
-    return sql_refs(cells).unionByName(py).unionByName(other_language_refs(cells))
+    return non_python_refs(cells).unionByName(py)
 
 
 def dedupe_references(refs: DataFrame) -> DataFrame:

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import patterns as P
 from ..functions import text as X
-from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join
+from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, within_rows
+
+
+SPREAD_KEYS = 4096
 
 
 def _nonempty(c: str) -> F.Column:
@@ -71,11 +74,7 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """refs(asset_type, asset_path, cell_index, reference_kind, original_reference[,
     occurrences]) -> + namespace, table_name, proposed_replacement, confidence, tier,
-    reason, manifest_id.
-
-    Table references and mount literals take separate branches, each joined only to its
-    own lookups: a row never enters a shuffle with a NULL key (which would put every
-    other kind into one partition once a lookup is too big to broadcast)."""
+    reason, manifest_id."""
     if has_mounts is None:
         has_mounts = registry_has_rows(mounts)
     kind = F.col("reference_kind")
@@ -83,35 +82,27 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
     is_table = kind.isin(*S.TABLE_KINDS)
     is_mount = kind == "mount_path_literal"
     ns, tbl, _ = X.name_parts(orig)
-    ns_lk = namespace_lookup(mapping)
-    extra = ["namespace", "table_name", "t_target", "t_ambiguous", "ns_catalog", "ns_schema",
-             "ns_ambiguous", "_mnt", "m_namespace", "m_ambiguous"]
-    nulls = {"namespace": "string", "table_name": "string", "t_target": "string",
-             "t_ambiguous": "boolean", "ns_catalog": "string", "ns_schema": "string",
-             "ns_ambiguous": "boolean", "_mnt": "string", "m_namespace": "string",
-             "m_ambiguous": "boolean"}
-
-    def fill(df: DataFrame) -> DataFrame:
-        for c, t in nulls.items():
-            if c not in df.columns:
-                df = df.withColumn(c, F.lit(None).cast(t))
-        return df.select(*refs.columns, *extra)
-
-    tables = (refs.filter(is_table)
-              .withColumn("namespace", ns).withColumn("table_name", tbl)
-              .withColumn("_lk_ns", F.lower("namespace"))
-              .withColumn("_ns", F.lower("namespace")).withColumn("_tbl", F.lower("table_name")))
-    tables = lookup_join(tables, ns_lk, ["_lk_ns"], max_broadcast_rows=max_broadcast_rows)
-    tables = lookup_join(tables, table_lookup(mapping), ["_ns", "_tbl"],
-                         max_broadcast_rows=max_broadcast_rows)
-
-    mounts_b = refs.filter(is_mount).withColumn("_mnt", X.mount_prefix(orig))
-    mounts_b = lookup_join(mounts_b, mount_lookup(mounts), ["_mnt"], max_broadcast_rows=max_broadcast_rows)
-    mounts_b = mounts_b.withColumn("_lk_ns", F.lower(F.nullif(F.col("m_namespace"), F.lit(""))))
-    mounts_b = lookup_join(mounts_b, ns_lk, ["_lk_ns"], max_broadcast_rows=max_broadcast_rows)
-
-    others = refs.filter(~is_table & ~is_mount)
-    r = fill(tables).unionByName(fill(mounts_b)).unionByName(fill(others))
+    # One size check per input table bounds the lookups grouped from it.
+    map_small = within_rows(mapping, max_broadcast_rows)
+    reg_small = within_rows(mounts, max_broadcast_rows)
+
+    # Single pass, no branches: a row a lookup does not apply to carries a key that can
+    # never match (it starts with \u0000) and is spread over many values, so neither a
+    # NULL key nor a constant one piles rows into one partition when the join shuffles.
+    spread_key = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("asset_path", "cell_index", orig),
+                                                  F.lit(SPREAD_KEYS)).cast("string"))
+    r = (refs.withColumn("namespace", F.when(is_table, ns))
+         .withColumn("table_name", F.when(is_table, tbl))
+         .withColumn("_mnt", F.when(is_mount, X.mount_prefix(orig)).otherwise(spread_key))
+         .withColumn("_ns", F.when(is_table, F.lower(ns)).otherwise(spread_key))
+         .withColumn("_tbl", F.when(is_table, F.lower(tbl)).otherwise(F.lit(""))))
+    r = lookup_join(r, mount_lookup(mounts), ["_mnt"], small=reg_small)
+    r = r.withColumn("_lk_ns", F.when(is_table, F.col("_ns"))
+                     .when(is_mount & (F.coalesce(F.col("m_namespace"), F.lit("")) != ""),
+                           F.lower(F.col("m_namespace")))
+                     .otherwise(spread_key))
+    r = lookup_join(r, namespace_lookup(mapping), ["_lk_ns"], small=map_small)
+    r = lookup_join(r, table_lookup(mapping), ["_ns", "_tbl"], small=map_small)
 
     ns_ok = F.col("ns_schema").isNotNull()
     t_amb = F.coalesce(F.col("t_ambiguous"), F.lit(False))

@@ -124,7 +124,8 @@ def rewrite_tokens_cols(source: F.Column, m: F.Column) -> tuple[F.Column, F.Colu
 
 def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "tokens") -> DataFrame:
     """(asset_path, language, source, new_source, hit_keys) for assets with edits."""
-    j = assets.select("asset_path", "language", "source").join(maps, "asset_path")
+    from ..plans.partitioning import spread
+    j = spread(assets.select("asset_path", "language", "source"), "asset_path").join(maps, "asset_path")
     if method == "literal":
         return j.select("asset_path", "language", "source",
                         rewrite_literal_col(F.col("source"), F.col("edit_list")).alias("new_source"),

@@ -15,17 +15,28 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def within_rows(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when `df` has at most `max_rows` rows. Only a count reaches the driver, and
+    the scan stops after `max_rows + 1` rows. A lookup built by grouping a table has no
+    more rows than the table, so one check on the input bounds every lookup built from it."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      small: bool | None = None) -> tuple[DataFrame, bool]:
     """(df, True) wrapped in a broadcast hint when it has at most `max_rows` rows."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+    if small is None:
+        small = within_rows(df, max_rows)
     return (F.broadcast(df), True) if small else (df, False)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS, salt_buckets: int = 1,
-                salt_from: list[str] | None = None) -> DataFrame:
-    """Join `left` to a keyed lookup `right` (one row per key in `on`)."""
-    right, is_broadcast = checked_broadcast(right, max_broadcast_rows)
+                salt_from: list[str] | None = None, small: bool | None = None) -> DataFrame:
+    """Join `left` to a keyed lookup `right` (one row per key in `on`). `small` is the
+    result of a size check already made (e.g. on the table the lookup was built from);
+    when None the lookup itself is checked."""
+    right, is_broadcast = checked_broadcast(right, max_broadcast_rows, small)
     if is_broadcast or salt_buckets <= 1:
         return left.join(right, on, how)
     # Explicit salt: each left row picks one of `salt_buckets` copies of its lookup row.

@@ -13,10 +13,12 @@ from ..operators import cells as C
 from ..operators import extract as E
 from ..operators import manifest as M
 from ..operators import resolve as R
+from .partitioning import spread
 
 
 def scan_references(assets: DataFrame, python: str = "syntax") -> DataFrame:
     """E9 + fix 8: deduplicated references with occurrences."""
+    assets = spread(assets, "asset_path")
     return E.dedupe_references(E.extract_references(C.split_cells(assets), python=python))
 
 
