@@ -567,3 +567,119 @@ ORACLES.update({
     "restore": O.with_ctes(["estate", "maps"], """
         SELECT e.asset_path, e.source FROM estate e WHERE e.asset_path IN (SELECT asset_path FROM maps)"""),
 })
+
+
+# ==== validate and audit (S13, Q1-Q7, L1-L3, S14) ============================= #
+from assetscan.operators import audit as AU  # noqa: E402
+from assetscan.operators import reconcile as RC  # noqa: E402
+
+
+def _stamped(spark, sf):
+    reviewed, ws, conflicts, rw = _apply_inputs(spark, sf)
+    return RW.stamp_applied(reviewed, RW.outcomes(ws, rw, conflicts), APPLIED_AT, BACKUP_ROOT, STAMP)
+
+
+def _reconciled(spark, sf):
+    stamped = materialize(_stamped(spark, sf))
+    pairs = RC.pair_by_convention(RC.reconcile_targets(stamped, target_schema=None), ES.SOURCE_BASE)
+    names = [r[0] for r in pairs.select(F.explode(F.array("target", "source"))).distinct().collect()]
+    stats = RC.table_stats(spark, names, ES.estate_catalog(spark, sf))
+    return stamped, RC.reconcile(pairs, stats)
+
+
+def q_reconcile(spark, sf):
+    return _reconciled(spark, sf)[1]
+
+
+def q_reconcile_fail(spark, sf):
+    stamped, results = _reconciled(spark, sf)
+    return RC.mark_failed(stamped, results).select("manifest_id", "reference_kind", "status", "final_replacement")
+
+
+def q_reconcile_totals(spark, sf):
+    return RC.reconcile_totals(_reconciled(spark, sf)[1])
+
+
+def q_audit_decisions(spark, sf):
+    stamped, results = _reconciled(spark, sf)
+    return AU.decision_rows(RC.mark_failed(stamped, results)).withColumn("reviewed_at", _ts("reviewed_at"))
+
+
+def q_audit_summary(spark, sf):
+    stamped, results = _reconciled(spark, sf)
+    return AU.summary(AU.decision_rows(RC.mark_failed(stamped, results)), results)
+
+
+QUERIES.update({
+    "reconcile": q_reconcile,
+    "reconcile_fail": q_reconcile_fail,
+    "reconcile_totals": q_reconcile_totals,
+    "audit_decisions": q_audit_decisions,
+    "audit_summary": q_audit_summary,
+})
+
+O.cte("stamped", ["reviewed", "outcomes"], f"""
+  SELECT r.manifest_id, r.asset_type, r.asset_path, r.cell_index, r.original_reference, r.reference_kind,
+         r.proposed_replacement, r.confidence,
+         CASE WHEN o.outcome = 'applied' THEN 'applied' ELSE r.status END AS status,
+         r.final_replacement, r.reviewer, r.reviewed_at,
+         CASE WHEN o.outcome = 'applied' THEN TIMESTAMP '{APPLIED_AT}' ELSE r.applied_at END AS applied_at,
+         CASE WHEN o.outcome = 'applied' THEN {_bk.replace('asset_path', 'r.asset_path')} ELSE r.backup_path END
+           AS backup_path,
+         r.scanned_at, r.occurrences, r.reason, r.decision
+  FROM reviewed r LEFT JOIN outcomes o ON r.manifest_id = o.manifest_id AND r.reference_kind = o.reference_kind""")
+_cols_of = ("(SELECT string_agg(cn, ',' ORDER BY cn) FROM (SELECT CASE WHEN column_name = 'l_tax' AND {ren} "
+            "THEN 'l_tax_rate' ELSE column_name END AS cn FROM information_schema.columns "
+            "WHERE table_name = '{t}'))")
+O.cte("rc_pairs", ["stamped"], f"""
+  SELECT target, '{ES.SOURCE_BASE}.src_' || string_split(target, '.')[-1] AS source,
+         TRY_CAST(regexp_extract(string_split(target, '.')[-1], '^t_(\\d+)$', 1) AS BIGINT) % 5 AS v
+  FROM (SELECT DISTINCT final_replacement AS target FROM stamped
+        WHERE status = 'applied' AND len(string_split(final_replacement, '.')) = 3)""")
+O.cte("rc", ["rc_pairs"], f"""
+  SELECT target, source, source_rows, target_rows, source_columns, target_columns,
+         CASE WHEN readable THEN source_rows = target_rows END AS counts_match,
+         CASE WHEN readable THEN source_columns = target_columns END AS columns_match,
+         CASE WHEN readable THEN v <> 2 END AS types_match,
+         CASE WHEN NOT readable THEN 'unverifiable'
+              WHEN source_rows = target_rows AND source_columns = target_columns THEN 'match'
+              ELSE 'mismatch' END AS result
+  FROM (SELECT *, source_rows IS NOT NULL AND target_rows IS NOT NULL AS readable FROM (SELECT target, source, v,
+          CASE WHEN v IS NULL THEN NULL WHEN v = 3 THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM lineitem) END AS source_rows,
+          CASE v WHEN 0 THEN (SELECT count(*) FROM lineitem)
+                 WHEN 1 THEN (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R')
+                 WHEN 2 THEN (SELECT count(*) FROM lineitem)
+                 WHEN 3 THEN (SELECT count(*) FROM orders) END AS target_rows,
+          CASE WHEN v IS NULL THEN NULL WHEN v = 3 THEN {_cols_of.format(ren='false', t='orders')}
+               ELSE {_cols_of.format(ren='false', t='lineitem')} END AS source_columns,
+          CASE v WHEN 0 THEN {_cols_of.format(ren='false', t='lineitem')}
+                 WHEN 1 THEN {_cols_of.format(ren='false', t='lineitem')}
+                 WHEN 2 THEN {_cols_of.format(ren='true', t='lineitem')}
+                 WHEN 3 THEN {_cols_of.format(ren='false', t='orders')} END AS target_columns
+        FROM rc_pairs))""")
+O.cte("failed", ["stamped", "rc"], """
+  SELECT s.* REPLACE (CASE WHEN s.status = 'applied' AND s.final_replacement IN
+                             (SELECT target FROM rc WHERE result = 'mismatch') THEN 'failed' ELSE s.status END AS status)
+  FROM stamped s""")
+O.cte("audit", ["failed"], f"""
+  SELECT 'decision-' || substring(manifest_id, 1, 8) AS run_name, manifest_id, asset_path, reference_kind, status,
+         coalesce(decision, status) AS decision, coalesce(reviewer, 'unknown') AS reviewer,
+         CAST(confidence AS DOUBLE) AS confidence, {O.ts_str('reviewed_at')} AS reviewed_at
+  FROM failed WHERE status <> 'proposed'""")
+
+ORACLES.update({
+    "reconcile": O.with_ctes(["rc"], "SELECT * FROM rc"),
+    "reconcile_fail": O.with_ctes(["failed"], "SELECT manifest_id, reference_kind, status, final_replacement FROM failed"),
+    "reconcile_totals": O.with_ctes(["rc"], """
+        SELECT count(*) FILTER (WHERE result = 'match') AS tables_matched,
+               count(*) FILTER (WHERE result <> 'unverifiable') AS tables_reconciled,
+               count(*) FILTER (WHERE result = 'mismatch') AS tables_failed,
+               count(*) FILTER (WHERE result = 'unverifiable') AS tables_unverifiable FROM rc"""),
+    "audit_decisions": O.with_ctes(["audit"], "SELECT * FROM audit"),
+    "audit_summary": O.with_ctes(["audit", "rc"], """
+        SELECT (SELECT count(*) FROM audit) AS decisions_logged,
+               (SELECT count(*) FILTER (WHERE result <> 'unverifiable') FROM rc) AS tables_reconciled,
+               (SELECT count(*) FILTER (WHERE result = 'match') FROM rc) AS tables_matched,
+               (SELECT count(*) FILTER (WHERE result = 'mismatch') FROM rc) AS tables_failed,
+               (SELECT count(*) FILTER (WHERE result = 'unverifiable') FROM rc) AS tables_unverifiable"""),
+})
