@@ -62,64 +62,62 @@ def rewrite_literal_col(source: F.Column, edit_list: F.Column) -> F.Column:
 
 
 # ---- token rewrite (section 7.4) --------------------------------------------- #
-def _lookup(m: F.Column, prefix: F.Column, text: F.Column) -> F.Column:
-    return F.try_element_at(m, F.concat(prefix, text))
-
-
-def _rewrite_chunk(chunk: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
-    toks = F.regexp_extract_all(chunk, X.rx(P.REWRITE_TOKEN_RE), F.lit(0))
-
-    def one(t):
-        opener = F.regexp_extract(t, P.QUOTED_PARTS_RE, 1)
-        body = F.regexp_extract(t, P.QUOTED_PARTS_RE, 2)
-        closer = F.regexp_extract(t, P.QUOTED_PARTS_RE, 3)
-        words = F.regexp_extract_all(t, X.rx(P.REWRITE_WORD_RE), F.lit(0))
-        inner = F.array_join(F.transform(words, lambda w: F.coalesce(_lookup(m, prefix, w), w)), "")
-        body_hit = _lookup(m, prefix, body)
-        quoted = F.coalesce(_lookup(m, prefix, t),
-                            F.when(body_hit.isNotNull(), F.concat(opener, body_hit, closer)),
-                            inner)
-        return F.when(t.rlike(P.QUOTED_TOKEN_RE), quoted).otherwise(F.coalesce(_lookup(m, prefix, t), t))
-
-    return F.array_join(F.transform(toks, one), "")
-
-
-def _chunk_hits(chunk: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
-    toks = F.regexp_extract_all(chunk, X.rx(P.REWRITE_TOKEN_RE), F.lit(0))
-
-    def keys(t):
-        body = F.regexp_extract(t, P.QUOTED_PARTS_RE, 2)
-        words = F.regexp_extract_all(t, X.rx(P.REWRITE_WORD_RE), F.lit(0))
-        quoted = F.concat(F.array(t, body), words)
-        return F.when(t.rlike(P.QUOTED_TOKEN_RE), quoted).otherwise(F.array(t))
-
-    cand = F.flatten(F.transform(toks, keys))
-    return F.filter(F.transform(cand, lambda c: F.concat(prefix, c)), lambda k: F.map_contains_key(m, k))
+def _token_result(t: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
+    """struct(out, hits) for one token: its replacement text and the map keys found for
+    it (candidates: the token; for a quoted token also its body and its words)."""
+    k_t = F.concat(prefix, t)
+    v_t = F.try_element_at(m, k_t)
+    quoted = t.rlike(P.QUOTED_TOKEN_RE)
+    body = F.regexp_extract(t, P.QUOTED_PARTS_RE, 2)
+    k_b = F.concat(prefix, body)
+    v_b = F.try_element_at(m, k_b)
+    words = F.regexp_extract_all(t, X.rx(P.REWRITE_WORD_RE), F.lit(0))
+    inner = F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(m, F.concat(prefix, w)), w)), "")
+    q_out = F.coalesce(v_t, F.when(v_b.isNotNull(), F.concat(F.regexp_extract(t, P.QUOTED_PARTS_RE, 1), v_b,
+                                                             F.regexp_extract(t, P.QUOTED_PARTS_RE, 3))),
+                       inner)
+    q_hits = F.filter(F.concat(F.array(k_t, k_b), F.transform(words, lambda w: F.concat(prefix, w))),
+                      lambda k: F.map_contains_key(m, k))
+    out = F.when(quoted, q_out).otherwise(F.coalesce(v_t, t))
+    hits = F.when(quoted, q_hits).otherwise(
+        F.when(v_t.isNotNull(), F.array(k_t)).otherwise(F.array().cast("array<string>")))
+    return F.struct(out.alias("out"), hits.alias("hits"))
 
 
 def _cell_numbers(chunks: F.Column) -> F.Column:
-    """Cell index of each chunk (dense over non-blank chunks, as C3 numbers them)."""
+    """Cell index of each chunk (dense over non-blank chunks, as C3 numbers them), NULL
+    for blank chunks. One running `aggregate`; the flags array is evaluated once."""
     flags = F.transform(chunks, lambda c: (~X.is_blank(X.chunk_text(c))).cast("int"))
-    return F.transform(flags, lambda f, i: F.when(
-        f == 1, F.aggregate(F.slice(flags, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x) - 1))
+    start = F.struct(F.array().cast("array<int>").alias("idx"), F.lit(0).alias("n"))
+    return F.aggregate(flags, start, lambda acc, f: F.struct(
+        F.concat(acc["idx"], F.array(F.when(f == 1, acc["n"]))).alias("idx"),
+        (acc["n"] + f).alias("n")), lambda acc: acc["idx"])
+
 
+def rewrite_tokens_df(j: DataFrame) -> DataFrame:
+    """(source, edit_map) rows -> + new_source, hit_keys. Header kept, each non-blank
+    chunk rewritten with its own cell's edits, separators put back, so untouched text is
+    byte-identical.
 
-def rewrite_tokens_cols(source: F.Column, m: F.Column) -> tuple[F.Column, F.Column]:
-    """(new source, keys hit) for one asset: header kept, each non-blank chunk rewritten
-    with its own cell's edits, separators put back, so untouched text is byte-identical."""
-    body = X.strip_header(source)
+    Spark shares no sub-expression inside a lambda, so per-row arrays (chunks, their
+    cell prefixes) enter the per-chunk lambda as lambda variables through `zip_with`:
+    a token's work never re-splits its notebook."""
+    body = X.strip_header(F.col("source"))
     chunks = X.split_chunks(body)
-    seps = F.concat(X.separators(body), F.array(F.lit("")))
-    cells = _cell_numbers(chunks)
-    prefix = lambda i: F.concat(F.element_at(cells, i + 1).cast("string"), F.lit(SEP))
-    new_chunks = F.transform(chunks, lambda c, i: F.when(
-        F.element_at(cells, i + 1).isNotNull(), _rewrite_chunk(c, prefix(i), m)).otherwise(c))
-    text = F.concat(X.header_of(source),
-                    F.array_join(F.zip_with(new_chunks, seps, lambda c, s: F.concat(c, s)), ""))
-    hits = F.array_distinct(F.flatten(F.transform(chunks, lambda c, i: F.when(
-        F.element_at(cells, i + 1).isNotNull(), _chunk_hits(c, prefix(i), m))
-        .otherwise(F.array().cast("array<string>")))))
-    return text, hits
+    prefixes = F.transform(_cell_numbers(chunks), lambda n: F.concat(n.cast("string"), F.lit(SEP)))
+    m = F.col("edit_map")
+    res = F.zip_with(chunks, prefixes, lambda c, p: F.when(p.isNotNull(), F.transform(
+        F.regexp_extract_all(c, X.rx(P.REWRITE_TOKEN_RE), F.lit(0)), lambda t: _token_result(t, p, m))))
+    staged = j.select("*", X.header_of(F.col("source")).alias("_hdr"), chunks.alias("_chunks"),
+                      F.concat(X.separators(body), F.array(F.lit(""))).alias("_seps"), res.alias("_res"))
+    new_chunks = F.zip_with("_chunks", "_res", lambda c, r: F.when(r.isNull(), c).otherwise(
+        F.array_join(F.transform(r, lambda x: x["out"]), "")))
+    text = F.concat(F.col("_hdr"), F.array_join(F.zip_with(new_chunks, F.col("_seps"),
+                                                           lambda c, sp: F.concat(c, sp)), ""))
+    hits = F.array_distinct(F.flatten(F.transform(
+        F.filter("_res", lambda r: r.isNotNull()),
+        lambda r: F.flatten(F.transform(r, lambda x: x["hits"])))))
+    return staged.select(*j.columns, text.alias("new_source"), hits.alias("hit_keys"))
 
 
 def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "tokens") -> DataFrame:
@@ -131,8 +129,7 @@ def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "tokens") -
                         rewrite_literal_col(F.col("source"), F.col("edit_list")).alias("new_source"),
                         F.filter(F.transform("edit_list", lambda e: e["o"]),
                                  lambda o: F.col("source").contains(o)).alias("hit_originals"))
-    text, hits = rewrite_tokens_cols(F.col("source"), F.col("edit_map"))
-    return j.select("asset_path", "language", "source", text.alias("new_source"), hits.alias("hit_keys"))
+    return rewrite_tokens_df(j.select("asset_path", "language", "source", "edit_map")).drop("edit_map")
 
 
 # ---- backups, stamps, totals, restore (A4-A7) -------------------------------- #

@@ -9,6 +9,8 @@ clustered on that key and adds no exchange of the text.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
@@ -27,10 +29,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Stage boundary: write `df` to the session's reliable checkpoint dir (read from
-    `spark.checkpoint.dir`; a scratch dir is set only when none is configured) and
-    continue from the written copy, so a DataFrame used twice is computed once and a
-    lost executor does not recompute the stages before it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Stage boundary: write `df` as a Parquet table under the session's checkpoint dir
+    (read from `spark.checkpoint.dir`; a scratch dir is set only when none is configured)
+    and continue from the written copy. A DataFrame used twice is computed once, a lost
+    executor does not recompute the stages before it, and readers get column pruning.
+    (`Dataset.checkpoint` would compute the plan twice unless it were cached first.)"""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/assetscan-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
