@@ -683,3 +683,54 @@ ORACLES.update({
                (SELECT count(*) FILTER (WHERE result = 'mismatch') FROM rc) AS tables_failed,
                (SELECT count(*) FILTER (WHERE result = 'unverifiable') FROM rc) AS tables_unverifiable"""),
 })
+
+
+# ==== discovery and inventory (S3-S5, G3) ====================================== #
+from assetscan.sources import demo as DM  # noqa: E402
+from assetscan.sources import io as IO  # noqa: E402
+
+
+def q_inventory_backfill(spark, sf):
+    out = IO.inventory_backfill(ES.estate_notebooks(spark, sf), ES.estate_inventory_partial(spark, sf), ES.AS_OF)
+    return out.withColumn("seeded_at", _ts("seeded_at"))
+
+
+def q_registry_refresh(spark, sf):
+    mounts = IO.discover_mounts(spark, ES.estate_mount_listing(spark, sf))
+    return (IO.registry_rows(mounts, ES.AS_OF).withColumn("discovered_at", _ts("discovered_at"))
+            .join(mounts.select("mount_path", "provenance"), "mount_path"))
+
+
+def q_expected_vs_found(spark, sf):
+    return DM.expected_vs_found(ES.estate_inventory(spark, sf), _manifest(spark, sf))
+
+
+QUERIES.update({
+    "inventory_backfill": q_inventory_backfill,
+    "registry_refresh": q_registry_refresh,
+    "expected_vs_found": q_expected_vs_found,
+})
+
+_nb_path = "'/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey"
+ORACLES.update({
+    "inventory_backfill": O.with_ctes(["estate"], f"""
+        SELECT 'notebook' AS asset_type, path, string_split(path, '/')[-1] AS name, 'unknown' AS tier,
+               CAST(NULL AS INTEGER) AS hms_ref_count, '{ES.AS_OF}' AS seeded_at
+        FROM (SELECT DISTINCT asset_path AS path FROM estate)
+        WHERE path NOT IN (SELECT {_nb_path} FROM orders WHERE o_orderstatus = 'F')"""),
+    "registry_refresh": f"""
+        SELECT '/mnt/raw-' || n_nationkey AS mount_path,
+               'abfss://raw-' || n_nationkey || '@acct.dfs.core.windows.net/' AS adls_target,
+               '' AS hms_namespace, '{ES.AS_OF}' AS discovered_at, 'listing' AS provenance
+        FROM nation WHERE n_nationkey < 22""",
+    "expected_vs_found": O.with_ctes(["manifest"], f"""
+        SELECT i.asset_path, i.tier, i.declared, coalesce(f.found, 0) AS found,
+               coalesce(f.found, 0) - i.declared AS difference
+        FROM (SELECT {_nb_path} AS asset_path,
+                     CASE WHEN o_orderkey % 8 IN (0, 1, 2, 3) THEN 'simple' WHEN o_orderkey % 8 IN (4, 5) THEN 'complex'
+                          ELSE 'very_complex' END AS tier,
+                     CAST(CASE WHEN o_orderkey % 8 = 1 THEN 2 WHEN o_orderkey % 8 = 7 THEN 0 ELSE 1 END AS BIGINT) AS declared
+              FROM orders) i
+        LEFT JOIN (SELECT asset_path, CAST(sum(occurrences) AS BIGINT) AS found FROM manifest GROUP BY asset_path) f
+          ON i.asset_path = f.asset_path"""),
+})

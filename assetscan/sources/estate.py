@@ -218,3 +218,23 @@ def estate_catalog(spark: SparkSession, sf_dir: str):
         return targets[k]
 
     return read
+
+
+def estate_inventory_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An inventory that lists only the notebooks of orders with status 'F' (the rest
+    arrived after it was written): the input of the backfill."""
+    f_orders = read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F") \
+        .select(F.concat(F.lit("/estate/p"), _s(F.col("o_orderkey") % 10), F.lit("/nb_"),
+                         _s("o_orderkey")).alias("path"))
+    return estate_inventory(spark, sf_dir).join(f_orders, "path", "left_semi")
+
+
+def estate_mount_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mount listing (mount_point, source) as a workspace would return it: the estate's
+    /mnt/ mounts plus one non-mount volume per region (filtered out by S3)."""
+    mnt = estate_mounts(spark, sf_dir).select(F.col("mount_path").alias("mount_point"),
+                                              F.col("adls_target").alias("source"))
+    vol = read_table(spark, sf_dir, "region").select(
+        F.concat(F.lit("/Volumes/r_"), _s("r_regionkey")).alias("mount_point"),
+        F.concat(F.lit("abfss://vol-"), _s("r_regionkey"), F.lit("@acct.dfs.core.windows.net/")).alias("source"))
+    return mnt.unionByName(vol)
