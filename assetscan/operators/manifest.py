@@ -72,9 +72,16 @@ def commit(df: DataFrame, root: str) -> int:
     return v
 
 
-def upsert_rescan(current: DataFrame, rescanned: DataFrame) -> DataFrame:
+def upsert_rescan(current: DataFrame, rescanned: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """Fix 21: a rescan keeps reviewed rows, refreshes proposed ones, drops proposed rows
-    that vanished and adds new ones. Full outer join on (manifest_id, reference_kind)."""
+    that vanished and adds new ones. Full outer join on (manifest_id, reference_kind).
+    With `scope` (a DataFrame of asset_path), only those assets were rescanned: rows of
+    every other asset are kept as they are."""
+    if scope is not None:
+        paths = scope.select("asset_path").distinct()
+        untouched = conform(current).join(paths, "asset_path", "left_anti")
+        inside = conform(current).join(paths, "asset_path", "left_semi")
+        return conform(upsert_rescan(inside, rescanned)).unionByName(untouched)
     old = conform(current).alias("o")
     new = conform(rescanned).alias("n")
     j = old.join(new, [F.col("o.manifest_id") == F.col("n.manifest_id"),
