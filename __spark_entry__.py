@@ -434,7 +434,7 @@ _REVIEW_SEL = ("SELECT manifest_id, reference_kind, asset_path, status, final_re
 
 O.cte("dyn_pat", ["manifest"], f"""
   SELECT manifest_id, reference_kind, asset_path, cell_index, original_reference,
-         regexp_extract({O.rr(O.rr('original_reference', P.QUOTES_RE, "''"), P.FSTRING_FIELD_RE, "'%'")},
+         regexp_extract({O.rr(O.rr(O.rr('original_reference', P.QUOTES_RE, "''"), r"([\\_%])", "'\\\\\\1'"), P.FSTRING_FIELD_RE, "'%'")},
                         '^(?:dbfs:)?(/mnt/[^/]*)', 1) AS mount_pattern
   FROM manifest WHERE reference_kind = 'dynamic_mount'""")
 O.cte("cand_tok", ["manifest", "cells"], f"""
@@ -528,7 +528,7 @@ ORACLES.update({
     "candidates_mount": O.with_ctes(["dyn_pat", "mounts"], """
         SELECT p.manifest_id, p.reference_kind, p.asset_path, p.cell_index, p.original_reference, p.mount_pattern,
                r.mount_path AS candidate_mount, r.hms_namespace AS candidate_namespace
-        FROM dyn_pat p JOIN mounts r ON r.mount_path LIKE p.mount_pattern AND p.mount_pattern <> ''"""),
+        FROM dyn_pat p JOIN mounts r ON r.mount_path LIKE p.mount_pattern ESCAPE '\\' AND p.mount_pattern <> ''"""),
     "candidates_table": O.with_ctes(["cand_tok", "nl", "tl"], """
         SELECT DISTINCT * FROM (
           SELECT t.manifest_id, t.reference_kind, t.asset_path, t.cell_index, t.original_reference,

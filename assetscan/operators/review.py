@@ -129,8 +129,9 @@ def status_counts(manifest: DataFrame) -> DataFrame:
 
 # ---- candidates (V9, V10) ---------------------------------------------------- #
 def dynamic_mount_pattern(original: F.Column) -> F.Column:
-    """LIKE pattern of a dynamic mount: the literal body with each {field} as '%'."""
-    body = X.literal_body(original)
+    """LIKE pattern of a dynamic mount: the literal body, its own backslash, `_` and `%`
+    escaped, with each {field} as '%'."""
+    body = F.regexp_replace(X.literal_body(original), X.rx(r"([\\_%])"), F.lit(r"\\$1"))
     return F.regexp_replace(body, X.rx(P.FSTRING_FIELD_RE), F.lit("%"))
 
 
@@ -145,8 +146,10 @@ def candidates_mount(manifest: DataFrame, mounts: DataFrame) -> DataFrame:
     pat = dyn.select("manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference",
                      F.regexp_extract(dynamic_mount_pattern(F.col("original_reference")),
                                       r"^(?:dbfs:)?(/mnt/[^/]*)", 1).alias("mount_pattern"))
+    # literal text before the first unescaped wildcard, unescaped again
+    head = F.regexp_extract(F.col("mount_pattern"), r"^((?:[^\\%_]|\\.)*)", 1)
     pats = pat.select("mount_pattern").distinct() \
-        .withColumn("literal_head", F.element_at(F.split(F.col("mount_pattern"), "%"), 1))
+        .withColumn("literal_head", F.regexp_replace(head, r"\\(.)", "$1"))
     reg = (mounts.filter(F.col("mount_path").isNotNull())
            .select("mount_path", "hms_namespace",
                    F.explode(F.sequence(F.lit(1), F.length("mount_path"))).alias("_n"))

@@ -88,8 +88,7 @@ def apply(spark: SparkSession, wd: Workdir, assets: DataFrame, stamp: str, appli
     maps, conflicts = RW.edit_maps(ws)
     rewritten = materialize(RW.rewrite_assets(assets, maps), "rewritten")
     backups = RW.backups_of(rewritten, backup_root, stamp)
-    backups.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("stamp").parquet(backup_root)
+    IO.write_backups(backups, backup_root)
     IO.write_patched(rewritten.select("asset_path", "language", F.col("new_source").alias("source")),
                      wd.path(f"assets_patched/stamp={stamp}"))
     outcome = materialize(RW.outcomes(ws, rewritten, conflicts), "outcomes")

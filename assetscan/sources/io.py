@@ -131,9 +131,11 @@ def read_control_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def write_backups(backups: DataFrame, root: str) -> None:
-    """Backups (asset_path, source, backup_path, stamp) appended, partitioned by
-    stamp; written before any patched text, and repeatable for the same stamp."""
-    backups.write.mode("append").partitionBy("stamp").parquet(root)
+    """Backups (asset_path, source, backup_path, stamp), partitioned by stamp and
+    written before any patched text. Only the partition of this stamp is replaced, so a
+    re-run with the same stamp rewrites the same backup and keeps all earlier ones."""
+    (backups.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("stamp").parquet(root))
 
 
 def read_backups(spark: SparkSession, root: str) -> DataFrame:
@@ -156,3 +158,21 @@ def append_audit(entries: DataFrame, path: str, existing: DataFrame | None) -> i
         fresh.write.mode("append").parquet(path)
     fresh.unpersist()
     return n
+
+
+def write_asset_files(assets: DataFrame, root: str, extension: str = "py") -> None:
+    """Each asset's text to `<root><asset_path>.<extension>`, written by the executors
+    in parallel (one task per partition, no text through the driver). `root` must be a
+    filesystem every executor mounts (a shared volume); `read_asset_files` reads it back."""
+    import os
+
+    base = root.split(":", 1)[-1] if root.startswith("file:") else root
+
+    def write_partition(rows):
+        for r in rows:
+            path = os.path.join(base, r["asset_path"].lstrip("/") + "." + extension)
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "w", encoding="utf-8", newline="") as f:
+                f.write(r["source"])
+
+    assets.filter(F.col("source").isNotNull()).select("asset_path", "source").foreachPartition(write_partition)

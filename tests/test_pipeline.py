@@ -64,3 +64,11 @@ def test_files_to_manifest_to_patched_and_back(spark):
     originals = {r.asset_path: r.source for r in assets.collect()}
     assert all(originals[r.asset_path] == r.source for r in restored.collect())
     assert M.read_latest(spark, wd.manifest).filter("status = 'applied'").count() == 0
+
+
+def test_write_then_read_asset_files_round_trip(spark):
+    base = tempfile.mkdtemp(prefix="assetscan-files-")
+    nbs = DM.demo_notebooks(spark).select("asset_path", "source")
+    IO.write_asset_files(nbs, base)
+    back = {r.asset_path: r.source for r in IO.read_asset_files(spark, base).collect()}
+    assert back == {r.asset_path: r.source for r in nbs.collect()}
