@@ -17,8 +17,12 @@ from ..session import ensure_checkpoint_dir
 
 
 def target_partitions(df: DataFrame) -> int:
+    """Enough tasks for every core (a few per core for load balance), never more than the
+    session's shuffle partitions: on a cluster that is the owner's sizing, locally it
+    avoids hundreds of tiny tasks."""
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * cores))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
