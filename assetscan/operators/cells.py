@@ -23,7 +23,10 @@ def split_cells(assets: DataFrame) -> DataFrame:
         nb = assets.filter(F.col("source").isNotNull())
     texts = F.transform(X.split_chunks(X.strip_header(F.col("source"))), X.chunk_text)
     kept = F.filter(texts, lambda t: ~X.is_blank(t))
-    notebook_cells = (nb.select("asset_type", "asset_path", F.posexplode(kept).alias("cell_index", "text"))
+    # posexplode_outer + a filter on its output: with a plain posexplode Catalyst infers a
+    # size(kept) > 0 filter below it and splits every source twice.
+    notebook_cells = (nb.select("asset_type", "asset_path", F.posexplode_outer(kept).alias("cell_index", "text"))
+                      .filter(F.col("text").isNotNull())
                       .withColumn("language", X.cell_language(F.col("text")))
                       .withColumn("code", X.cell_code(F.col("text"), F.col("language")))
                       .select("asset_type", "asset_path", F.col("cell_index").cast("int"),

@@ -29,7 +29,8 @@ def _names_to_refs(df: DataFrame, sql_col: str, kind) -> DataFrame:
     """Explode E1's names from a SQL text column into reference rows."""
     kind_col = kind if not isinstance(kind, str) else F.lit(kind)
     rows = df.select("asset_type", "asset_path", "cell_index", kind_col.alias("reference_kind"),
-                     F.explode(X.sql_table_names(F.col(sql_col))).alias("original_reference"))
+                     F.explode_outer(X.sql_table_names(F.col(sql_col))).alias("original_reference")) \
+        .filter(F.col("original_reference").isNotNull())
     _, _, keep = X.name_parts(F.col("original_reference"))
     return rows.filter(keep).select(*REF_COLS)
 
@@ -78,8 +79,11 @@ def python_nodes(cells: DataFrame) -> DataFrame:
 
 
 def _refs_from_pairs(df: DataFrame, pairs: F.Column) -> DataFrame:
-    """Explode an array<struct<kind, text>> column into reference rows in one pass."""
-    return (df.select("asset_type", "asset_path", "cell_index", F.explode(pairs).alias("p"))
+    """Explode an array<struct<kind, text>> column into reference rows in one pass.
+    explode_outer + a filter on its output: a plain explode makes Catalyst infer a
+    size(pairs) > 0 filter below it, which would evaluate the extraction twice."""
+    return (df.select("asset_type", "asset_path", "cell_index", F.explode_outer(pairs).alias("p"))
+            .filter(F.col("p").isNotNull())
             .select("asset_type", "asset_path", "cell_index",
                     F.col("p.kind").alias("reference_kind"), F.col("p.text").alias("original_reference")))
 

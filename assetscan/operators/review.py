@@ -172,8 +172,9 @@ def candidates_table(manifest: DataFrame, cells: DataFrame, mapping: DataFrame)
     code = cells.select("asset_path", "cell_index", "code")
     toks = (dyn.join(code, ["asset_path", "cell_index"])
             .select("manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference", "suffix",
-                    F.explode(F.array_distinct(F.regexp_extract_all("code", X.rx(P.IDENT_RE), F.lit(0))))
+                    F.explode_outer(F.array_distinct(F.regexp_extract_all("code", X.rx(P.IDENT_RE), F.lit(0))))
                     .alias("token"))
+            .filter(F.col("token").isNotNull())
             .withColumn("_tok", F.lower("token")))
     nsl = namespace_lookup(mapping).filter(F.col("ns_schema").isNotNull())
     tl = table_lookup(mapping).filter(F.col("t_target").isNotNull())

@@ -144,12 +144,14 @@ def outcomes(edits: DataFrame, rewritten: DataFrame, conflicts: DataFrame, metho
     """Per manifest row of the work set: applied | not_found | conflict (fix 16: a row
     whose original is not in its cell is not stamped applied)."""
     if method == "literal":
-        hit = rewritten.select("asset_path", F.explode("hit_originals").alias("original_reference")) \
-            .distinct().withColumn("_hit", F.lit(True))
+        hit = (rewritten.select("asset_path", F.explode_outer("hit_originals").alias("original_reference"))
+               .filter(F.col("original_reference").isNotNull()).distinct().withColumn("_hit", F.lit(True)))
         e = edits.join(hit, ["asset_path", "original_reference"], "left")
     else:
-        hit = rewritten.select("asset_path", F.explode("hit_keys").alias("_key")).distinct() \
-            .withColumn("_hit", F.lit(True))
+        # explode_outer + a filter on its output: a plain explode makes Catalyst infer a
+        # size(hit_keys) > 0 filter below the projection, evaluating the rewrite twice.
+        hit = (rewritten.select("asset_path", F.explode_outer("hit_keys").alias("_key"))
+               .filter(F.col("_key").isNotNull()).distinct().withColumn("_hit", F.lit(True)))
         e = (edits.withColumn("_key", edit_key(F.col("cell_index"), F.col("original_reference")))
              .join(hit, ["asset_path", "_key"], "left"))
     c = conflicts.withColumn("_conflict", F.lit(True))
