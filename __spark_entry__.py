@@ -105,7 +105,7 @@ def q_resolve_mounts(spark, sf):
 
 def q_resolve_dynamic_mount(spark, sf):
     assets, mapping, mounts = _inputs(spark, sf)
-    refs = scan.scan_references(assets).filter(F.col("reference_kind") == "dynamic_mount")
+    refs = materialize(scan.scan_references(assets).filter(F.col("reference_kind") == "dynamic_mount"), "refs")
     with_reg = R.resolve(refs, mapping, mounts).select(
         "manifest_id", "asset_path", "cell_index", "original_reference", "confidence", "reason")
     no_reg = R.resolve(refs, mapping, mounts.filter(F.lit(False))).select(
@@ -299,12 +299,12 @@ def q_status_counts(spark, sf):
 
 
 def q_candidates_mount(spark, sf):
-    return RV.candidates_mount(_manifest(spark, sf), ES.estate_mounts(spark, sf))
+    return RV.candidates_mount(materialize(_manifest(spark, sf), "manifest"), ES.estate_mounts(spark, sf))
 
 
 def q_candidates_table(spark, sf):
     cells = C.split_cells(ES.estate_assets(spark, sf))
-    return RV.candidates_table(_manifest(spark, sf), cells, ES.estate_mapping(spark, sf))
+    return RV.candidates_table(materialize(_manifest(spark, sf), "manifest"), cells, ES.estate_mapping(spark, sf))
 
 
 def q_cell_context(spark, sf):

@@ -61,7 +61,10 @@ def table_stats(spark: SparkSession, names: list[str], catalog: Catalog | None =
             F.explode(F.array(*[F.lit(n) for n in group_names])).alias("table_name"), "row_count",
             F.array(*[F.lit(n) for n, _ in fields]).alias("columns"),
             F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).alias("column_types")))
-    return out
+    # One row per table, but each row costs a full count: written once, so the two sides
+    # of a pair (and later steps) read the result instead of counting again.
+    from ..plans.partitioning import materialize
+    return materialize(out, "table-stats")
 
 
 def reconcile(pairs: DataFrame, stats: DataFrame) -> DataFrame:
