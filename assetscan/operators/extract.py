@@ -52,29 +52,34 @@ _SYNTAX_SCHEMA = T.StructType([
 ])
 
 
+PARSE_MARKER = "__parse_python__"
+
+
 def _read_batches(batches):
+    """Rows marked PARSE_MARKER carry a Python cell's code: parse it and emit its nodes.
+    Every other row is a reference found natively and passes through unchanged."""
     for pdf in batches:
         out = {"asset_type": [], "asset_path": [], "cell_index": [], "node_kind": [], "text": []}
-        for at, ap, ci, code in zip(pdf["asset_type"], pdf["asset_path"], pdf["cell_index"],
-                                    pdf["code"]):
-            for kind, txt in read_cell(code or ""):
+        for at, ap, ci, kind, txt in zip(pdf["asset_type"], pdf["asset_path"], pdf["cell_index"],
+                                         pdf["node_kind"], pdf["text"]):
+            found = read_cell(txt or "") if kind == PARSE_MARKER else [(kind, txt)]
+            for k, t in found:
                 out["asset_type"].append(at)
                 out["asset_path"].append(ap)
                 out["cell_index"].append(int(ci))
-                out["node_kind"].append(kind)
-                out["text"].append(txt)
+                out["node_kind"].append(k)
+                out["text"].append(t)
         yield pd.DataFrame(out, columns=list(out))
 
 
 def python_nodes(cells: DataFrame) -> DataFrame:
-    """E-JOB: (asset_type, asset_path, cell_index, node_kind, text) from Python cells.
+    """E-JOB alone: (asset_type, asset_path, cell_index, node_kind, text) of Python cells.
 
     Catalyst cannot push a filter through mapInPandas, so the native prefilter is written
-    above it here: only cells that mention mnt / table / sql reach a Python worker, and
-    only the four columns the helper needs cross the Arrow boundary."""
-    candidates = (cells.filter((F.col("language") == "python")
-                               & F.col("code").rlike(P.PY_PREFILTER_RE))
-                  .select("asset_type", "asset_path", "cell_index", "code"))
+    above it here: only cells that mention mnt / table / sql reach a Python worker."""
+    candidates = (cells.filter((F.col("language") == "python") & F.col("code").rlike(P.PY_PREFILTER_RE))
+                  .select("asset_type", "asset_path", "cell_index", F.lit(PARSE_MARKER).alias("node_kind"),
+                          F.col("code").alias("text")))
     return candidates.mapInPandas(_read_batches, schema=_SYNTAX_SCHEMA)
 
 
@@ -97,10 +102,9 @@ def _kept_names(sql: F.Column) -> F.Column:
     return F.filter(X.sql_table_names(sql), lambda n: X.name_parts(n)[2])
 
 
-def python_refs_syntax(cells: DataFrame) -> DataFrame:
-    """E3-E8 via the syntax job; `.sql("...")` strings are read by native E1 (E4) in the
-    same projection, so the job runs once and its output is exploded once."""
-    nodes = python_nodes(cells)
+def _refs_from_nodes(nodes: DataFrame) -> DataFrame:
+    """Syntax-job output -> reference rows: `.sql("...")` strings are read by native E1
+    (E4) in the same projection, a `.table("x")` without a 2-part name is dropped."""
     kind, text = F.col("node_kind"), F.col("text")
     pairs = (F.when(kind == "py_sql", F.transform(_kept_names(text), lambda n: _pair("py_table_ref", n)))
              .when((kind == "py_table_ref") & ~X.name_parts(text)[2], F.array().cast(_PAIRS_TYPE))
@@ -108,14 +112,21 @@ def python_refs_syntax(cells: DataFrame) -> DataFrame:
     return _refs_from_pairs(nodes, pairs)
 
 
+def python_refs_syntax(cells: DataFrame) -> DataFrame:
+    """E3-E8 via the syntax job over the Python cells only."""
+    return _refs_from_nodes(python_nodes(cells))
+
+
 _PAIRS_TYPE = "array<struct<kind:string,text:string>>"
 
 
 def python_refs_lexical(cells: DataFrame) -> DataFrame:
     """E3, E4, E5-E7 without a parser: regexes over Python cells, one projection and one
     explode. Matches inside comments and strings too; `python_refs_syntax` is exact."""
-    py = cells.filter(F.col("language") == "python")
-    code = F.col("code")
+    return _refs_from_pairs(cells.filter(F.col("language") == "python"), _lexical_pairs(F.col("code")))
+
+
+def _lexical_pairs(code: F.Column) -> F.Column:
 
     tables = F.filter(F.regexp_extract_all(code, X.rx(P.PY_TABLE_CALL_RE), F.lit(1)),
                       lambda o: o.contains(".") & (X.mount_prefix(o) == "") & X.name_parts(o)[2])
@@ -130,23 +141,25 @@ def python_refs_lexical(cells: DataFrame) -> DataFrame:
                                   & (X.mount_prefix(X.literal_body(l)) != "")), X.literal_body)
     fmounts = F.filter(lits, lambda l: l.rlike(P.FSTRING_HEAD_RE) & F.regexp_replace(
         X.literal_body(l), X.rx(P.FSTRING_FIELD_RE), F.lit("")).contains("/mnt/"))
-    pairs = F.concat(F.transform(tables, lambda o: _pair("py_table_ref", o)),
-                     F.transform(from_sql, lambda o: _pair("py_table_ref", o)),
-                     F.transform(dyn, lambda o: _pair("dynamic_table", o)),
-                     F.transform(mounts, lambda o: _pair("mount_path_literal", o)),
-                     F.transform(fmounts, lambda o: _pair("dynamic_mount", o)))
-    return _refs_from_pairs(py, pairs)
+    return F.concat(F.transform(tables, lambda o: _pair("py_table_ref", o)),
+                    F.transform(from_sql, lambda o: _pair("py_table_ref", o)),
+                    F.transform(dyn, lambda o: _pair("dynamic_table", o)),
+                    F.transform(mounts, lambda o: _pair("mount_path_literal", o)),
+                    F.transform(fmounts, lambda o: _pair("dynamic_mount", o)))
+
+
+def _native_pairs(cells_lang: F.Column, code: F.Column, asset_type: F.Column) -> F.Column:
+    kind = F.when(asset_type == "dashboard", F.lit("dashboard_query")).otherwise(F.lit("sql_table_ref"))
+    return (F.when(cells_lang == "sql", F.transform(_kept_names(code), lambda n: _pair(kind, n)))
+            .when(~cells_lang.isin("python", *NON_CODE_LANGUAGES) & code.rlike(P.PY_PREFILTER_RE),
+                  F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
+            .otherwise(F.array().cast(_PAIRS_TYPE)))
 
 
 def non_python_refs(cells: DataFrame) -> DataFrame:
     """E1, E2, E10 and fix 5 in one projection over the non-Python cells."""
-    lang = F.col("language")
-    kind = F.when(F.col("asset_type") == "dashboard", F.lit("dashboard_query")).otherwise(F.lit("sql_table_ref"))
-    pairs = (F.when(lang == "sql", F.transform(_kept_names(F.col("code")), lambda n: _pair(kind, n)))
-             .when(~lang.isin(*NON_CODE_LANGUAGES) & F.col("code").rlike(P.PY_PREFILTER_RE),
-                   F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
-             .otherwise(F.array().cast(_PAIRS_TYPE)))
-    return _refs_from_pairs(cells.filter(lang != "python"), pairs)
+    return _refs_from_pairs(cells.filter(F.col("language") != "python"),
+                            _native_pairs(F.col("language"), F.col("code"), F.col("asset_type")))
 
 
 def other_language_refs(cells: DataFrame) -> DataFrame:
@@ -160,10 +173,26 @@ def other_language_refs(cells: DataFrame) -> DataFrame:
 
 
 def extract_references(cells: DataFrame, python: str = "syntax") -> DataFrame:
-    """All kinds across cells, duplicates kept. Two branches over the cells: Python
-    cells (syntax job or lexical form) and all others."""
-    py = python_refs_syntax(cells) if python == "syntax" else python_refs_lexical(cells)
-    return non_python_refs(cells).unionByName(py)
+    """All kinds across cells, duplicates kept, in one pass over the cells.
+
+    One projection gives each cell its native references (SQL names, unparsed marker,
+    or the lexical Python reading) or, for a Python cell that passes the prefilter, one
+    row asking the syntax job to parse it; one explode; then the syntax job parses those
+    rows and passes the others through. Cells without references produce no rows, so
+    they never cross into Python; and with no union over the cells, nothing upstream
+    (reading, spreading, splitting) runs twice."""
+    lang, code = F.col("language"), F.col("code")
+    if python != "syntax":
+        pairs = F.when(lang == "python", _lexical_pairs(code)).otherwise(
+            _native_pairs(lang, code, F.col("asset_type")))
+        return _refs_from_pairs(cells, pairs)
+    parse = (lang == "python") & code.rlike(P.PY_PREFILTER_RE)
+    pairs = F.when(parse, F.array(_pair(PARSE_MARKER, code))).otherwise(
+        _native_pairs(lang, code, F.col("asset_type")))
+    rows = _refs_from_pairs(cells, pairs).select(
+        "asset_type", "asset_path", "cell_index", F.col("reference_kind").alias("node_kind"),
+        F.col("original_reference").alias("text"))
+    return _refs_from_nodes(rows.mapInPandas(_read_batches, schema=_SYNTAX_SCHEMA))
 
 
 def dedupe_references(refs: DataFrame) -> DataFrame:
