@@ -75,8 +75,6 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
     """refs(asset_type, asset_path, cell_index, reference_kind, original_reference[,
     occurrences]) -> + namespace, table_name, proposed_replacement, confidence, tier,
     reason, manifest_id."""
-    if has_mounts is None:
-        has_mounts = registry_has_rows(mounts)
     kind = F.col("reference_kind")
     orig = F.col("original_reference")
     is_table = kind.isin(*S.TABLE_KINDS)
@@ -84,7 +82,10 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
     ns, tbl, _ = X.name_parts(orig)
     # One size check per input table bounds the lookups grouped from it.
     map_small = within_rows(mapping, max_broadcast_rows)
-    reg_small = within_rows(mounts, max_broadcast_rows)
+    n_mounts = mounts.limit(max_broadcast_rows + 1).count()   # one job: R6's test and the size check
+    reg_small = n_mounts <= max_broadcast_rows
+    if has_mounts is None:
+        has_mounts = n_mounts > 0
 
     # Single pass, no branches: a row a lookup does not apply to carries a key that can
     # never match (it starts with \u0000) and is spread over many values, so neither a
