@@ -156,12 +156,6 @@ def _native_pairs(cells_lang: F.Column, code: F.Column, asset_type: F.Column) ->
             .otherwise(F.array().cast(_PAIRS_TYPE)))
 
 
-def non_python_refs(cells: DataFrame) -> DataFrame:
-    """E1, E2, E10 and fix 5 in one projection over the non-Python cells."""
-    return _refs_from_pairs(cells.filter(F.col("language") != "python"),
-                            _native_pairs(F.col("language"), F.col("code"), F.col("asset_type")))
-
-
 def other_language_refs(cells: DataFrame) -> DataFrame:
     """Fix 5: a code cell in a language we do not read (scala, r, sh ...) that mentions
     mnt / table / sql gives one unparsed_cell row instead of nothing."""

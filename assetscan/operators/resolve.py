@@ -53,11 +53,6 @@ def mount_lookup(mounts: DataFrame) -> DataFrame:
                     (F.col("_n") > 1).alias("m_ambiguous")))
 
 
-def registry_has_rows(mounts: DataFrame) -> bool:
-    """R6's test: one row fetched, no data beyond it reaches the driver."""
-    return len(mounts.take(1)) > 0
-
-
 def tier(conf: F.Column) -> F.Column:
     """R8."""
     return (F.when(conf >= S.TIER_SIMPLE_MIN, F.lit(S.TIER_SIMPLE))
