@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 Catalog = Callable[[str], DataFrame]
+STATS_BATCH = 200
 
 
 def reconcile_targets(manifest: DataFrame, target_schema: str | None = S.TARGET_SCHEMA_DEFAULT) -> DataFrame:
@@ -41,7 +42,7 @@ def table_stats(spark: SparkSession, names: list[str], catalog: Catalog | None =
     """Q2 + Q3: (table_name, row_count, columns, column_types) for each name; NULL when
     the table cannot be read. Names that resolve to the same plan and schema (equal
     `semanticHash`, which ignores column names, and equal schema) share one aggregate;
-    all aggregates run as one union."""
+    aggregates run as unions of up to STATS_BATCH tables."""
     read = catalog or spark.table
     groups: dict[tuple, tuple[DataFrame, list[str]]] = {}
     missing: list[str] = []
@@ -54,17 +55,26 @@ def table_stats(spark: SparkSession, names: list[str], catalog: Catalog | None =
             continue
         groups.setdefault(h, (df, []))[1].append(name)
     schema = "table_name string, row_count bigint, columns array<string>, column_types array<string>"
-    out = spark.createDataFrame([(m, None, None, None) for m in missing], schema)
-    for df, group_names in groups.values():
-        fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.explode(F.array(*[F.lit(n) for n in group_names])).alias("table_name"), "row_count",
-            F.array(*[F.lit(n) for n, _ in fields]).alias("columns"),
-            F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).alias("column_types")))
-    # One row per table, but each row costs a full count: written once, so the two sides
-    # of a pair (and later steps) read the result instead of counting again.
+    # One row per table, but each row costs a full count: every batch of aggregates is
+    # written once, so plans stay small for many tables and the two sides of a pair (and
+    # later steps) read the result instead of counting again.
     from ..plans.partitioning import materialize
-    return materialize(out, "table-stats")
+    parts = [spark.createDataFrame([(m, None, None, None) for m in missing], schema)]
+    items = list(groups.values())
+    for start in range(0, len(items), STATS_BATCH):
+        batch = None
+        for df, group_names in items[start:start + STATS_BATCH]:
+            fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+            one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.explode(F.array(*[F.lit(n) for n in group_names])).alias("table_name"), "row_count",
+                F.array(*[F.lit(n) for n, _ in fields]).alias("columns"),
+                F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).alias("column_types"))
+            batch = one if batch is None else batch.unionByName(one)
+        parts.append(materialize(batch, "table-stats"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def reconcile(pairs: DataFrame, stats: DataFrame) -> DataFrame:
