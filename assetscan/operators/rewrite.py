@@ -38,9 +38,11 @@ def edit_key(cell: F.Column, text: F.Column) -> F.Column:
 def edit_maps(edits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A1: per asset, map `cell<SEP>original -> final`. Returns (maps, conflicts): a key
     with several distinct finals is a conflict and is left out of the map."""
+    # collect_set runs hash-based (a string min would force a sort-based aggregate)
     per_key = (edits.groupBy("asset_path", "cell_index", "original_reference")
-               .agg(F.countDistinct("final_replacement").alias("_n"),
-                    F.min("final_replacement").alias("_f")))
+               .agg(F.collect_set("final_replacement").alias("_s"))
+               .select("asset_path", "cell_index", "original_reference", F.size("_s").alias("_n"),
+                       F.array_min("_s").alias("_f")))
     conflicts = per_key.filter(F.col("_n") > 1).select("asset_path", "cell_index", "original_reference")
     maps = (per_key.filter(F.col("_n") == 1)
             .groupBy("asset_path")
