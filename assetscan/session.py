@@ -23,12 +23,12 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "assetscan") -> SparkSession:
+                  app: str = "assetscan", driver_memory: str = "8g") -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", driver_memory))
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
