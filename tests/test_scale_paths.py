@@ -56,3 +56,13 @@ def test_spread_only_when_partitions_are_few(spark):
     assert spread(one, "id").rdd.getNumPartitions() > 1
     many = spark.range(100).repartition(64)
     assert spread(many, "id").rdd.getNumPartitions() == 64
+
+
+def test_table_stats_in_small_batches(spark, monkeypatch):
+    from assetscan.operators import reconcile as RC
+    cat = {f"t{i}": spark.range(i + 1).toDF("a") for i in range(5)}
+    cat["t5"] = spark.range(3).toDF("b")
+    monkeypatch.setattr(RC, "STATS_BATCH", 2)
+    rows = {r.table_name: (r.row_count, list(r.columns))
+            for r in RC.table_stats(spark, list(cat) + ["missing"], lambda n: cat[n]).collect()}
+    assert rows == {**{f"t{i}": (i + 1, ["a"]) for i in range(5)}, "t5": (3, ["b"]), "missing": (None, None)}
