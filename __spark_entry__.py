@@ -26,6 +26,7 @@ from assetscan.operators import extract as E  # noqa: E402
 from assetscan.operators import resolve as R  # noqa: E402
 from assetscan.plans import scan  # noqa: E402
 from assetscan.plans.partitioning import materialize  # noqa: E402
+from assetscan.session import ship_package  # noqa: E402
 from assetscan.sources import estate as ES  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -235,7 +236,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: _shipped(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -734,3 +735,25 @@ ORACLES.update({
         LEFT JOIN (SELECT asset_path, CAST(sum(occurrences) AS BIGINT) AS found FROM manifest GROUP BY asset_path) f
           ON i.asset_path = f.asset_path"""),
 })
+
+# ==== training-data operators ================================================= #
+# Added only where their subpackage is present; anything else that fails to import is an error.
+try:
+    import corpus_pipeline as PIPELINE  # noqa: E402
+    from assetscan.llm import queries as LLM  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "assetscan.llm")):
+        raise
+else:
+    QUERIES.update(LLM.QUERIES)
+    ORACLES.update(LLM.ORACLE_SQL)
+    QUERIES["pipeline"] = PIPELINE.run
+    if PIPELINE.ORACLE_SQL is not None:
+        ORACLES["pipeline"] = PIPELINE.ORACLE_SQL
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf)
+    return run
