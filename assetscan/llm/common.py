@@ -181,3 +181,43 @@ def merge_intervals(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, n
     s, e = starts[order], np.maximum.accumulate(ends[order])
     new = np.flatnonzero(np.concatenate(([True], s[1:] > e[:-1])))
     return s[new], e[np.concatenate((new[1:] - 1, [len(e) - 1]))]
+
+
+def filter_by_bitmap(df: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:
+    """Rows of `df` whose 64-bit key may be among the wanted ones; an exact join must follow. It keeps
+    most unwanted texts out of that join's shuffle while the wanted keys are few against the bitmap's bits."""
+    bitmap = slot_bitmap(wanted, wanted_column)
+
+    def run(batches):
+        table = bitmap.value
+        for b in batches:
+            keys = b.column(b.schema.get_field_index(column)).to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array(in_bitmap(table, keys.view(U64))))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def connected_components(links: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+    """(node, label) for every node of the undirected links (a, b): label is the smallest node reachable.
+
+    Alternating large-star and small-star steps over the links as tables; each step keeps the links'
+    number and moves them to smaller ends. Hot nodes are only reduced by min() and joined, never gathered."""
+    edges = stage_table(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    seen = None
+    for _ in range(max_rounds):
+        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u")
+        moved = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .union(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = stage_table(moved, name)
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if seen is not None and tuple(state) == seen:
+            break
+        seen = tuple(state)
+    else:
+        raise RuntimeError("components did not settle")
+    return edges.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label").union(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, fingerprints, packing, sharding
+from . import decontamination, fingerprints, jaccard_join, packing, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def q_op6(spark, sf):
     return packing.pack_documents(_table(spark, sf, "documents"))
 
 
+def q_op9(spark, sf):
+    return jaccard_join.jaccard_report(_table(spark, sf, "documents"))
+
+
 def q_op10(spark, sf):
     return sharding.sharding_report(_table(spark, sf, "documents"))
 
@@ -30,6 +34,7 @@ QUERIES = {
     "op1_decontamination": q_op1,
     "op2_document_fingerprints": q_op2,
     "op6_hierarchical_packing": q_op6,
+    "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
 }
 ORACLE_SQL: dict[str, str] = {}
