@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, fingerprints, jaccard_join, packing, sharding
+from . import decontamination, fingerprints, jaccard_join, packing, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def q_op2(spark, sf):
     return fingerprints.fingerprint_table(_table(spark, sf, "documents"))
 
 
+def q_op5(spark, sf):
+    return suffix_dedup.remove_repeats(_table(spark, sf, "documents"))
+
+
 def q_op6(spark, sf):
     return packing.pack_documents(_table(spark, sf, "documents"))
 
@@ -33,6 +37,7 @@ def q_op10(spark, sf):
 QUERIES = {
     "op1_decontamination": q_op1,
     "op2_document_fingerprints": q_op2,
+    "op5_suffix_dedup": q_op5,
     "op6_hierarchical_packing": q_op6,
     "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
