@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, fingerprints, jaccard_join, packing, sharding, suffix_dedup
+from . import decontamination, fingerprints, jaccard_join, licenses, packing, pii, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def q_op2(spark, sf):
     return fingerprints.fingerprint_table(_table(spark, sf, "documents"))
 
 
+def q_op4(spark, sf):
+    return toxicity.toxicity_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def q_op5(spark, sf):
     return suffix_dedup.remove_repeats(_table(spark, sf, "documents"))
 
@@ -26,6 +30,14 @@ def q_op6(spark, sf):
     return packing.pack_documents(_table(spark, sf, "documents"))
 
 
+def q_op7(spark, sf):
+    return licenses.scan_licenses(_table(spark, sf, "documents"))
+
+
+def q_op8(spark, sf):
+    return pii.find_personal_data(_table(spark, sf, "documents"))
+
+
 def q_op9(spark, sf):
     return jaccard_join.jaccard_report(_table(spark, sf, "documents"))
 
@@ -37,8 +49,11 @@ def q_op10(spark, sf):
 QUERIES = {
     "op1_decontamination": q_op1,
     "op2_document_fingerprints": q_op2,
+    "op4_toxicity_chain": q_op4,
     "op5_suffix_dedup": q_op5,
     "op6_hierarchical_packing": q_op6,
+    "op7_license_scan": q_op7,
+    "op8_personal_data": q_op8,
     "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
 }
