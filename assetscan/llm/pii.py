@@ -126,7 +126,7 @@ def vote(text: str, a: int, b: int, base: list[tuple[str, int, int]]) -> tuple[l
     at_sign, credential = token.find("@") > 0, bool(CREDENTIAL.match(token))
     loose = 0 if failed else 1 if at_sign or credential or 9 <= digits <= 19 and digits >= len(token) - 6 or token.count(".") == 3 and digits >= 4 else -1 if digits <= 4 and not at_sign else 0
     gazetteer = 0 if failed else 1 if credential or at_sign and MAIL_WORDS.search(token) or token[:2] == "+1" or digits in (15, 16) and token[0] in "3456" else 0
-    plain = -1 if NOT_PERSONAL.fullmatch(token) or DIGEST.search(token) and not credential else 0
+    plain = -1 if failed or NOT_PERSONAL.fullmatch(token) or DIGEST.search(token) and not credential else 0
     count = 0 if failed else 1 if digits >= 9 and digits >= 0.6 * len(token) else -1 if digits < 3 and not at_sign else 0
     if kind is None:
         kind = ("secret" if credential else "email" if at_sign else "ip" if token.count(".") == 3 and token.replace(".", "").isdigit()

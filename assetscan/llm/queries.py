@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, fingerprints, jaccard_join, licenses, packing, pii, sharding, suffix_dedup, toxicity
+from . import brown_lm, decontamination, fingerprints, jaccard_join, licenses, packing, pii, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def q_op2(spark, sf):
     return fingerprints.fingerprint_table(_table(spark, sf, "documents"))
 
 
+def q_op3(spark, sf):
+    return brown_lm.class_lm_scores(_table(spark, sf, "documents"))
+
+
 def q_op4(spark, sf):
     return toxicity.toxicity_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -49,6 +53,7 @@ def q_op10(spark, sf):
 QUERIES = {
     "op1_decontamination": q_op1,
     "op2_document_fingerprints": q_op2,
+    "op3_brown_lm": q_op3,
     "op4_toxicity_chain": q_op4,
     "op5_suffix_dedup": q_op5,
     "op6_hierarchical_packing": q_op6,
