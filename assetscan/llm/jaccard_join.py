@@ -178,15 +178,37 @@ def _verified(keyed: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataF
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, rk, n_shingles, component_id (smallest doc_id reachable by links)."""
+    """Per document: doc_id, rk, n_shingles, component_id (smallest doc_id reachable by links) and
+    group_key (the component's node; null without words)."""
     sets, classes, found = links(docs, n, percent)
     label = C.connected_components(found, "components")
     nodes = classes.join(label, "node", "left").select("s1", "s2", "n", "first_id", F.coalesce("label", "node").alias("label"))
     ids = nodes.groupBy("label").agg(F.min("first_id").alias("component"))
-    nodes = nodes.join(ids, "label").select("s1", "s2", "n", "component")
+    nodes = nodes.join(ids, "label").select("s1", "s2", "n", "component", F.col("label").alias("group_key"))
     return (sets.join(nodes, ["s1", "s2", "n"], "left")
             .select("doc_id", "rk", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id")))
+                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), "group_key"))
+
+
+def keep_one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id (null last), with all columns.
+    Of rows equal in doc_id and text one stays; documents without words all stay."""
+    found = C.stage_table(near_duplicate_classes(docs, n, percent), "groups")
+    found = found.where("group_key is not null").select(F.col("doc_id").alias("_row_id"), F.col("rk").alias("_row_key"), "group_key")
+    row = F.struct(F.col("_row_id").isNull().alias("last"), "_row_id", "_row_key")
+    best = found.groupBy("group_key").agg(F.min(row).alias("best"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    drop = (found.join(best, "group_key").where(~(F.col("_row_id").eqNullSafe(F.col("best._row_id")) & (F.col("_row_key") == F.col("best._row_key"))))
+            .select("_row_id", "_row_key").distinct())
+    key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_row_id")) & (key == F.col("_row_key"))
+    kept = docs.join(drop, same, "left_anti")
+    repeated = C.stage_table(found.groupBy("_row_id", "_row_key").count().where("count > 1").select("_row_id", "_row_key"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    key = F.xxhash64(kept["doc_id"].cast("long"), kept["text"].cast("string"))
+    same = kept["doc_id"].cast("long").eqNullSafe(F.col("_row_id")) & (key == F.col("_row_key"))
+    return kept.join(repeated, same, "left_anti").unionByName(
+        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing
+from . import decontamination, jaccard_join, packing, pii, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove documents that the classifier chain rejects."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of similar ones."""
+    return jaccard_join.keep_one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,12 +26,24 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit_id")) & (key == F.col("_hit_rk")), "left_anti")
 
 
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind; n_chars, where present, follows the new text."""
+    masked = pii.mask_personal_data(docs)
+    if "n_chars" not in masked.columns:
+        return masked
+    kind = dict(masked.dtypes)["n_chars"]
+    return masked.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
     return packing.pack_documents(docs)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
     ("benchmark_decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
     ("packing", pack),
 ]
