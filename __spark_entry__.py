@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle as O  # noqa: E402
+from oracle import P  # noqa: E402
 from assetscan import schemas as S  # noqa: E402
-from assetscan.functions import patterns as P  # noqa: E402
 from assetscan.operators import cells as C  # noqa: E402
 from assetscan.operators import extract as E  # noqa: E402
 from assetscan.operators import resolve as R  # noqa: E402
 from assetscan.plans import scan  # noqa: E402
-from assetscan.plans.partitioning import materialize  # noqa: E402
+from assetscan.plans.partitioning import materialize, spread  # noqa: E402
 from assetscan.session import ship_package  # noqa: E402
 from assetscan.sources import estate as ES  # noqa: E402
 
@@ -63,24 +63,28 @@ def manifest_view(df: DataFrame) -> DataFrame:
 
 
 # ---- queries --------------------------------------------------------------- #
+def _cells(spark, sf):
+    return C.split_cells(spread(ES.estate_assets(spark, sf), "asset_path"))
+
+
 def q_cells_split(spark, sf):
-    return C.split_cells(ES.estate_assets(spark, sf)).select(
+    return _cells(spark, sf).select(
         "asset_path", "cell_index", "language", "code")
 
 
 def q_refs_sql(spark, sf):
-    cells = C.split_cells(ES.estate_assets(spark, sf))
+    cells = _cells(spark, sf)
     return E.sql_refs(cells).select("asset_path", "cell_index", "reference_kind", "original_reference")
 
 
 def q_refs_py_lexical(spark, sf):
-    cells = C.split_cells(ES.estate_assets(spark, sf))
+    cells = _cells(spark, sf)
     return E.python_refs_lexical(cells).select("asset_path", "cell_index", "reference_kind",
                                                "original_reference")
 
 
 def q_refs_ast(spark, sf):
-    cells = C.split_cells(ES.estate_assets(spark, sf))
+    cells = _cells(spark, sf)
     return E.python_refs_syntax(cells).select("asset_path", "cell_index", "reference_kind",
                                               "original_reference")
 
@@ -300,7 +304,11 @@ def q_status_counts(spark, sf):
 
 
 def q_candidates_mount(spark, sf):
-    return RV.candidates_mount(materialize(_manifest(spark, sf), "manifest"), ES.estate_mounts(spark, sf))
+    return RV.candidates_mount(materialize(_manifest(spark, sf), "manifest"), _cells(spark, sf), ES.estate_mounts(spark, sf))
+
+
+def q_mount_pattern_matches(spark, sf):
+    return RV.mount_pattern_matches(_manifest(spark, sf), ES.estate_mounts(spark, sf))
 
 
 def q_candidates_table(spark, sf):
@@ -369,6 +377,7 @@ QUERIES.update({
     "decisions_rejected": q_decisions_rejected,
     "status_counts": q_status_counts,
     "candidates_mount": q_candidates_mount,
+    "mount_pattern_matches": q_mount_pattern_matches,
     "candidates_table": q_candidates_table,
     "cell_context": q_cell_context,
     "rewrite_literal": q_rewrite_literal,
@@ -526,10 +535,17 @@ ORACLES.update({
                d_final AS final_replacement, d_reviewer AS reviewer, _reject AS reject_reason
         FROM dj WHERE _reject IS NOT NULL"""),
     "status_counts": O.with_ctes(["reviewed"], "SELECT status, count(*) AS n FROM reviewed GROUP BY status"),
-    "candidates_mount": O.with_ctes(["dyn_pat", "mounts"], """
-        SELECT p.manifest_id, p.reference_kind, p.asset_path, p.cell_index, p.original_reference, p.mount_pattern,
+    # the estate's one dynamic mount is f"/mnt/{m}/daily" behind m = "raw-<n>"
+    "candidates_mount": O.with_ctes(["mounts"], """
+        SELECT md5(concat_ws(':', asset_path, '1', 'f"/mnt/{m}/daily"')) AS manifest_id, 'dynamic_mount' AS reference_kind,
+               asset_path, 1 AS cell_index, 'f"/mnt/{m}/daily"' AS original_reference, '/mnt/%' AS mount_pattern, named_mount,
                r.mount_path AS candidate_mount, r.hms_namespace AS candidate_namespace
-        FROM dyn_pat p JOIN mounts r ON r.mount_path LIKE p.mount_pattern ESCAPE '\\' AND p.mount_pattern <> ''"""),
+        FROM (SELECT '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path, '/mnt/raw-' || (o_custkey % 30) AS named_mount
+              FROM orders WHERE o_orderkey % 8 = 5) o
+        LEFT JOIN mounts r ON r.mount_path = o.named_mount"""),
+    "mount_pattern_matches": O.with_ctes(["mounts"], """
+        SELECT '/mnt/%' AS mount_pattern, mount_path AS candidate_mount, hms_namespace AS candidate_namespace
+        FROM mounts WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 8 = 5)"""),
     "candidates_table": O.with_ctes(["cand_tok", "nl", "tl"], """
         SELECT DISTINCT * FROM (
           SELECT t.manifest_id, t.reference_kind, t.asset_path, t.cell_index, t.original_reference,
@@ -583,7 +599,7 @@ def _stamped(spark, sf):
 def _reconciled(spark, sf):
     stamped = materialize(_stamped(spark, sf))
     pairs = RC.pair_by_convention(RC.reconcile_targets(stamped, target_schema=None), ES.SOURCE_BASE)
-    names = [r[0] for r in pairs.select(F.explode(F.array("target", "source"))).distinct().collect()]
+    names = pairs.select(F.explode(F.array("target", "source")).alias("name"))
     stats = RC.table_stats(spark, names, ES.estate_catalog(spark, sf))
     return stamped, RC.reconcile(pairs, stats)
 
@@ -635,8 +651,9 @@ _cols_of = ("(SELECT string_agg(cn, ',' ORDER BY cn) FROM (SELECT CASE WHEN colu
 O.cte("rc_pairs", ["stamped"], f"""
   SELECT target, '{ES.SOURCE_BASE}.src_' || string_split(target, '.')[-1] AS source,
          TRY_CAST(regexp_extract(string_split(target, '.')[-1], '^t_(\\d+)$', 1) AS BIGINT) % 5 AS v
-  FROM (SELECT DISTINCT final_replacement AS target FROM stamped
-        WHERE status = 'applied' AND len(string_split(final_replacement, '.')) = 3)""")
+  FROM (SELECT DISTINCT trim(final_replacement, '"') AS target FROM stamped
+        WHERE status = 'applied' AND reference_kind IN ({_kinds}, 'dynamic_table')
+          AND len(string_split(final_replacement, '.')) = 3)""")
 O.cte("rc", ["rc_pairs"], f"""
   SELECT target, source, source_rows, target_rows, source_columns, target_columns,
          CASE WHEN readable THEN source_rows = target_rows END AS counts_match,
@@ -659,7 +676,8 @@ O.cte("rc", ["rc_pairs"], f"""
                  WHEN 3 THEN {_cols_of.format(ren='false', t='orders')} END AS target_columns
         FROM rc_pairs))""")
 O.cte("failed", ["stamped", "rc"], """
-  SELECT s.* REPLACE (CASE WHEN s.status = 'applied' AND s.final_replacement IN
+  SELECT s.* REPLACE (CASE WHEN s.status = 'applied' AND s.reference_kind NOT IN ('mount_path_literal', 'dynamic_mount')
+                             AND trim(s.final_replacement, '"') IN
                              (SELECT target FROM rc WHERE result = 'mismatch') THEN 'failed' ELSE s.status END AS status)
   FROM stamped s""")
 O.cte("audit", ["failed"], f"""
@@ -723,7 +741,7 @@ ORACLES.update({
         SELECT '/mnt/raw-' || n_nationkey AS mount_path,
                'abfss://raw-' || n_nationkey || '@acct.dfs.core.windows.net/' AS adls_target,
                '' AS hms_namespace, '{ES.AS_OF}' AS discovered_at, 'listing' AS provenance
-        FROM nation WHERE n_nationkey < 22""",
+        FROM nation""",
     "expected_vs_found": O.with_ctes(["manifest"], f"""
         SELECT i.asset_path, i.tier, i.declared, coalesce(f.found, 0) AS found,
                coalesce(f.found, 0) - i.declared AS difference

@@ -1,26 +1,36 @@
-"""Regular expressions shared by the Spark operators and the SQL oracles.
+"""Regular expressions of the Spark operators.
 
-Every pattern stays inside the common subset of Java regex (Spark) and RE2 (DuckDB):
-no look-around, no back-references, `\\z` for end of text, `(?m)`/`(?i)` inline flags only.
+Repeated groups are possessive (`*+`): Java matches a greedy repeated group by recursion, one
+frame per repetition, so a literal of a few thousand characters would overflow the stack. Apart
+from that the patterns stay inside what RE2 knows too (no look-around, no back-references);
+`re2` gives that form for engines without possessive quantifiers, with the same matches, since
+nothing after such a group could use what it gives back.
 """
 from __future__ import annotations
 
+
+
+def re2(pattern: str) -> str:
+    return pattern.replace(")*+", ")*").replace("]*+", "]*").replace(")?+", ")?")
+
+
+# FIXED VALUES of the notebook format and the mount layout: header, separator, magic prefix, mounts.
 # ---- cells ---------------------------------------------------------------- #
 # Header line, with any blank lines before it (fix: the reference drops the first line
 # even when it is blank).
-HEADER_RE = r"^\s*# Databricks notebook source[^\n]*(?:\r?\n)?"
+HEADER_RE = r"^\s*(?:#|--|//) Databricks notebook source[^\n]*(?:\r?\n)?"
 # Cell separator; `\r?` lets CRLF sources split too.
-SEPARATOR_RE = r"\r?\n#\s*COMMAND\s*-+\r?\n"
+SEPARATOR_RE = r"\r?\n(?:#|--|//)\s*COMMAND\s*-+\r?\n"
 # Leading / trailing newlines of a chunk (the reference strips "\n"; we strip "\r" too).
 EDGE_NEWLINES_RE = r"^[\r\n]+|[\r\n]+\z"
 BLANK_RE = r"^\s*\z"
 FIRST_TWO_LINES_RE = r"^[^\n]*(?:\n[^\n]*)?"
 FIRST_LINE_RE = r"^[^\n]*"
 # A `%sql` magic that opens one of the first two lines (fix: `%sql` elsewhere is not one).
-SQL_MAGIC_RE = r"(?m)^[ \t]*(?:#[ \t]*MAGIC[ \t]*)?%sql\b"
+SQL_MAGIC_RE = r"(?m)^[ \t]*(?:(?:#|--|//)[ \t]*MAGIC[ \t]*)?%sql\b"
 # The magic of the first line, e.g. md, scala, r, sh, run, pip, python.
-FIRST_MAGIC_RE = r"^[ \t]*#[ \t]*MAGIC[ \t]*%([\w-]+)"
-MAGIC_PREFIX_RE = r"(?im)^#[ \t]*MAGIC[ \t]?"
+FIRST_MAGIC_RE = r"^[ \t]*(?:#|--|//)[ \t]*MAGIC[ \t]*%([\w-]+)"
+MAGIC_PREFIX_RE = r"(?im)^(?:#|--|//)[ \t]*MAGIC[ \t]?"
 # Only the marker goes (fix: `%sql SELECT ...` on one line keeps its query).
 SQL_MARKER_RE = r"(?im)^[ \t]*%sql\b[ \t]*"
 LANG_MARKER_RE = r"(?m)^[ \t]*%[\w-]+[ \t]*"
@@ -28,25 +38,38 @@ EDGE_SPACE_RE = r"^\s+|\s+\z"
 
 # ---- SQL table names (E1) ------------------------------------------------- #
 # Strings and comments, as one alternation so `--` inside a string is safe.
-SQL_MASK_RE = (r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*[\s\S]*?\*/")
+SQL_MASK_RE = (r"'(?:[^'\\]|\\.)*+'|\"(?:[^\"\\]|\\.)*+\"|--[^\n]*|/\*[\s\S]*?\*/")
 # Functions whose argument list uses FROM: extract(year from x), trim(x from y), ...
-SQL_FROM_FUNCS_RE = r"(?i)\b(?:extract|trim|substring|overlay|position)\s*\([^()]*\)"
-_NAME = r"[`\w]+(?:\.[`\w]+)*"
+SQL_FROM_FUNCS_RE = (r"(?i)\b(?:extract|trim|substring|overlay|position)\s*\((?:[^()]|\((?:[^()]|\([^()]*\))*+\))*+\)"
+                     r"|\bis\s+(?:not\s+)?distinct\s+from\b")
+_PART = r"(?:`[^`\n]+`|\w+)"
+_NAME = rf"{_PART}(?:\.{_PART})*+"
+_LIST = rf"({_NAME}(?:(?:\s+(?:as\s+)?\w+)?\s*,\s*{_NAME})*+)"
 # A FROM-like keyword, then a name list; an alias is consumed only before a comma so a
 # following JOIN keyword is left for the next match.
 SQL_TABLE_LIST_RE = (
-    r"(?i)\b(?:from|join|into|update|table|using|overwrite)\s+(?:table\s+)?"
-    r"(?:if\s+(?:not\s+)?exists\s+)?"
-    rf"({_NAME}(?:(?:\s+(?:as\s+)?\w+)?\s*,\s*{_NAME})*)"
+    r"(?i)\b(?:(?:from|join)\s*\([\s(]*|(?:from|join|into|update|table|view|using|overwrite|describe|desc)\s+)"
+    r"(?:table\s+)?(?:extended\s+|formatted\s+)?(?:if\s+(?:not\s+)?exists\s+)?"
+    + _LIST
 )
+# Names after a comma that follows a subquery, a sample clause or a join condition; LIKE of CREATE TABLE.
+SQL_AFTER_SUBQUERY_RE = rf"(?i)\b(?:from|join|tablesample)\s*\((?:[^()]|\([^()]*\))*+\)\s*(?:as\s+)?(?:\w+\s*)?,\s*{_LIST}"
+_COMPARISON = rf"{_NAME}\s*[=<>!]+\s*{_NAME}"
+SQL_AFTER_ON_RE = rf"(?i)\bon\s+{_COMPARISON}(?:\s+(?:and|or)\s+{_COMPARISON})*+\s*,\s*{_LIST}"
+SQL_CREATE_LIKE_RE = rf"(?i)\bcreate\s+(?:external\s+)?table\s+(?:if\s+not\s+exists\s+)?{_NAME}\s+like\s+({_NAME})"
+SQL_LIST_RES = (SQL_TABLE_LIST_RE, SQL_AFTER_SUBQUERY_RE, SQL_AFTER_ON_RE, SQL_CREATE_LIKE_RE)
+# A table keyword, and words that are no table's name: a text with the first and no name beside the
+# second could not be read.
+SQL_TABLE_KEYWORD_RE = r"(?i)\b(?:from|join|into|update|table|view)\b"
+SQL_RESERVED_RE = r"(?i)^(?:select|from|join|into|update|table|view|where|set|values|on|using)?\z"
 SQL_LIST_SPLIT_RE = r"\s*,\s*"
-SQL_NAME_HEAD_RE = r"^[`\w.]+"
+SQL_NAME_HEAD_RE = rf"^{_NAME}"
 
 # ---- Python, lexical form (E3, E4, E6, E7 without a parser) ---------------- #
 # Comments and string literals (with up to two prefix letters), leftmost first.
 PY_LITERAL_RE = (
     r"[A-Za-z]{0,2}\"\"\"[\s\S]*?\"\"\"|[A-Za-z]{0,2}'''[\s\S]*?'''"
-    r"|[A-Za-z]{0,2}\"(?:[^\"\\\n]|\\.)*\"|[A-Za-z]{0,2}'(?:[^'\\\n]|\\.)*'|#[^\n]*"
+    r"|[A-Za-z]{0,2}\"(?:[^\"\\\n]|\\.)*+\"|[A-Za-z]{0,2}'(?:[^'\\\n]|\\.)*+'|#[^\n]*"
 )
 PY_TABLE_CALL_RE = r"\.table\(\s*[\"']([^\"'\\\n]*)[\"']\s*\)"
 PY_SQL_CALL_DQ_RE = r"\.sql\(\s*\"([^\"\\\n]*)\"\s*\)"
@@ -63,6 +86,11 @@ QUOTES_RE = r"^[A-Za-z]{0,2}(?:\"\"\"|'''|\"|')|(?:\"\"\"|'''|\"|')\z"
 MOUNT_PREFIX_RE = r"^(?:dbfs:)?(/mnt/[^/\"']+)"
 DBFS_SCHEME_RE = r"^dbfs:"
 
+# First path component of a dynamic mount's pattern; the one field in it; strings assigned in a cell.
+MOUNT_PATTERN_RE = r"^(?:dbfs:)?(/mnt/[^/]*)"
+MOUNT_FIELD_RE = r"^((?:dbfs:)?/mnt/[^/{}]*)\{(\w+)\}([^/{}]*)"
+ASSIGNED_STRING_RE = r"(?m)^[ \t]*(\w+)[ \t]*=[ \t]*[\"']([^\"'\n]*)[\"']"
+
 # ---- cheap native prefilter ahead of the Python syntax job ------------------ #
 PY_PREFILTER_RE = r"mnt|\btable\b|\bsql\b"
 
@@ -71,7 +99,7 @@ PY_PREFILTER_RE = r"mnt|\btable\b|\bsql\b"
 # other characters. Joining the tokens gives back the exact text.
 REWRITE_TOKEN_RE = (
     r"[A-Za-z]{0,2}\"\"\"[\s\S]*?\"\"\"|[A-Za-z]{0,2}'''[\s\S]*?'''"
-    r"|[A-Za-z]{0,2}\"(?:[^\"\\\n]|\\.)*\"|[A-Za-z]{0,2}'(?:[^'\\\n]|\\.)*'"
+    r"|[A-Za-z]{0,2}\"(?:[^\"\\\n]|\\.)*+\"|[A-Za-z]{0,2}'(?:[^'\\\n]|\\.)*+'"
     r"|[`\w.]+|[^`\w.\"']+|[\"']"
 )
 REWRITE_WORD_RE = r"[`\w.]+|[^`\w.]+"

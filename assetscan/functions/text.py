@@ -43,14 +43,14 @@ def is_blank(text: Column) -> Column:
     return text.rlike(P.BLANK_RE)
 
 
-def cell_language(text: Column) -> Column:
+def cell_language(text: Column, default: Column | None = None) -> Column:
     """C4: 'sql' when one of the first two lines opens with the %sql magic; otherwise the
-    first line's magic (md, scala, r, sh, run, pip ...), else 'python'."""
+    first line's magic (md, scala, r, sh, run, pip ...), else the notebook's own language."""
     first_two = F.regexp_extract(text, P.FIRST_TWO_LINES_RE, 0)
     first_line = F.regexp_extract(text, P.FIRST_LINE_RE, 0)
     magic = F.lower(F.regexp_extract(first_line, P.FIRST_MAGIC_RE, 1))
     return (F.when(first_two.rlike(P.SQL_MAGIC_RE), F.lit("sql"))
-            .when((magic == "") | (magic == "python"), F.lit("python"))
+            .when(magic == "", F.lit("python") if default is None else default)
             .otherwise(magic))
 
 
@@ -70,17 +70,29 @@ def cell_code(text: Column, language: Column) -> Column:
 
 
 def sql_table_names(sql: Column) -> Column:
-    """Dotted table names in SQL text, in order, duplicates kept.
+    """Dotted table names in SQL text, duplicates kept.
 
     Strings and comments are masked with one alternation, FROM-using functions are masked,
-    then every FROM/JOIN/INTO/UPDATE/TABLE/USING/OVERWRITE name list is cut at commas
-    and the first word of each item kept. Names with one or two dots survive."""
+    then every name list after a table keyword (and those after a subquery, a sample clause or a
+    join condition) is cut at commas and the first word of each item kept. Names with one or
+    two dots survive."""
+    return F.filter(sql_name_heads(sql), lambda n: n.contains(".") & (F.size(F.split(n, r"\.")) <= 3))
+
+
+def sql_name_heads(sql: Column) -> Column:
+    """What stands where SQL text names tables, dotted or not."""
     masked = F.regexp_replace(sql, rx(P.SQL_MASK_RE), F.lit(" "))
     masked = F.regexp_replace(masked, rx(P.SQL_FROM_FUNCS_RE), F.lit(" "))
-    lists = F.regexp_extract_all(masked, rx(P.SQL_TABLE_LIST_RE), F.lit(1))
+    lists = F.concat(*[F.regexp_extract_all(masked, rx(p), F.lit(1)) for p in P.SQL_LIST_RES])
     items = F.flatten(F.transform(lists, lambda l: F.split(l, P.SQL_LIST_SPLIT_RE)))
-    heads = F.transform(items, lambda i: F.regexp_extract(i, P.SQL_NAME_HEAD_RE, 0))
-    return F.filter(heads, lambda n: n.contains(".") & (F.size(F.split(n, r"\.")) <= 3))
+    return F.transform(items, lambda i: F.regexp_extract(i, P.SQL_NAME_HEAD_RE, 0))
+
+
+def sql_unreadable(sql: Column) -> Column:
+    """SQL text with a table keyword but nothing that could be a table's name after one."""
+    masked = F.regexp_replace(sql, rx(P.SQL_MASK_RE), F.lit(" "))
+    masked = F.regexp_replace(masked, rx(P.SQL_FROM_FUNCS_RE), F.lit(" "))
+    return masked.rlike(P.SQL_TABLE_KEYWORD_RE) & ~F.exists(sql_name_heads(sql), lambda n: ~n.rlike(P.SQL_RESERVED_RE))
 
 
 def name_parts(name: Column):

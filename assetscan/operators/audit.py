@@ -1,15 +1,16 @@
 """Decision log and summary as tables.
 
 The reference logs one tracking run per reviewed row; here the log is an append-only
-table. Appending is idempotent on (manifest_id, decision, reviewed_at): re-running the
-stage adds nothing already logged (fix 27).
+table. Appending is idempotent on the row's key, status, decision and review time:
+re-running the stage adds nothing already logged (fix 27), and a row whose status has
+changed since (applied, then failed) is logged again.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-AUDIT_KEY = ["manifest_id", "decision", "reviewed_at"]
+AUDIT_KEY = ["manifest_id", "reference_kind", "status", "decision", "reviewed_at"]
 
 
 def decision_rows(manifest: DataFrame) -> DataFrame:
@@ -25,11 +26,10 @@ def decision_rows(manifest: DataFrame) -> DataFrame:
 
 
 def new_entries(existing: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Entries not yet in the log (anti join on the audit key; NULL-safe on time)."""
-    cond = [candidates["manifest_id"] == existing["manifest_id"],
-            candidates["decision"] == existing["decision"],
-            candidates["reviewed_at"].eqNullSafe(existing["reviewed_at"])]
-    return candidates.join(existing, cond, "left_anti")
+    """Entries not yet in the log (NULL-safe anti join on the audit key)."""
+    logged = existing.select(*[F.col(c).alias(f"_{c}") for c in AUDIT_KEY]).distinct()
+    cond = [candidates[c].eqNullSafe(logged[f"_{c}"]) for c in AUDIT_KEY]
+    return candidates.join(logged, cond, "left_anti")
 
 
 def summary(decisions: DataFrame, reconcile_results: DataFrame) -> DataFrame:

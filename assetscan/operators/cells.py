@@ -25,9 +25,10 @@ def split_cells(assets: DataFrame) -> DataFrame:
     kept = F.filter(texts, lambda t: ~X.is_blank(t))
     # posexplode_outer + a filter on its output: with a plain posexplode Catalyst infers a
     # size(kept) > 0 filter below it and splits every source twice.
-    notebook_cells = (nb.select("asset_type", "asset_path", F.posexplode_outer(kept).alias("cell_index", "text"))
+    own = F.lower(F.coalesce(F.col("language"), F.lit("python"))) if "language" in cols else F.lit("python")
+    notebook_cells = (nb.select("asset_type", "asset_path", own.alias("_own"), F.posexplode_outer(kept).alias("cell_index", "text"))
                       .filter(F.col("text").isNotNull())
-                      .withColumn("language", X.cell_language(F.col("text")))
+                      .withColumn("language", X.cell_language(F.col("text"), F.col("_own")))
                       .withColumn("code", X.cell_code(F.col("text"), F.col("language")))
                       .select("asset_type", "asset_path", F.col("cell_index").cast("int"),
                               "language", "code"))

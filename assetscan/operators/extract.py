@@ -106,7 +106,8 @@ def _refs_from_nodes(nodes: DataFrame) -> DataFrame:
     """Syntax-job output -> reference rows: `.sql("...")` strings are read by native E1
     (E4) in the same projection, a `.table("x")` without a 2-part name is dropped."""
     kind, text = F.col("node_kind"), F.col("text")
-    pairs = (F.when(kind == "py_sql", F.transform(_kept_names(text), lambda n: _pair("py_table_ref", n)))
+    pairs = (F.when((kind == "py_sql") & X.sql_unreadable(text), F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
+             .when(kind == "py_sql", F.transform(_kept_names(text), lambda n: _pair("py_table_ref", n)))
              .when((kind == "py_table_ref") & ~X.name_parts(text)[2], F.array().cast(_PAIRS_TYPE))
              .otherwise(F.array(_pair(kind, text))))
     return _refs_from_pairs(nodes, pairs)
@@ -150,7 +151,8 @@ def _lexical_pairs(code: F.Column) -> F.Column:
 
 def _native_pairs(cells_lang: F.Column, code: F.Column, asset_type: F.Column) -> F.Column:
     kind = F.when(asset_type == "dashboard", F.lit("dashboard_query")).otherwise(F.lit("sql_table_ref"))
-    return (F.when(cells_lang == "sql", F.transform(_kept_names(code), lambda n: _pair(kind, n)))
+    return (F.when((cells_lang == "sql") & X.sql_unreadable(code), F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
+            .when(cells_lang == "sql", F.transform(_kept_names(code), lambda n: _pair(kind, n)))
             .when(~cells_lang.isin("python", *NON_CODE_LANGUAGES) & code.rlike(P.PY_PREFILTER_RE),
                   F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
             .otherwise(F.array().cast(_PAIRS_TYPE)))

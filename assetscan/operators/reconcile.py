@@ -8,9 +8,11 @@ A name that cannot be read gives NULL statistics and the pair is `unverifiable`
 """
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -19,15 +21,26 @@ Catalog = Callable[[str], DataFrame]
 STATS_BATCH = 200
 
 
+# Kinds whose final replacement names a table; a dynamic one may be a quoted literal.
+NAMING_KINDS = S.TABLE_KINDS + ("dynamic_table",)
+
+
+def target_name(final: Column) -> Column:
+    """A final replacement without the quotes of a string literal."""
+    return F.regexp_replace(F.trim(final), r"^[\"']|[\"']$", "")
+
+
 def reconcile_targets(manifest: DataFrame, target_schema: str | None = S.TARGET_SCHEMA_DEFAULT) -> DataFrame:
     """Distinct final targets of applied rows; with `target_schema`, only 3-part
     names whose schema part equals it (equality on the split name, so `_` is not a
     LIKE wildcard). None keeps every 3-part name."""
-    parts = F.split(F.col("final_replacement"), r"\.")
-    keep = (F.col("status") == "applied") & (F.size(parts) == 3)
+    target = target_name(F.col("final_replacement"))
+    parts = F.split(target, r"\.")
+    keep = ((F.col("status") == "applied") & F.col("reference_kind").isin(*NAMING_KINDS)
+            & target.rlike(r"^[\w`-]+\.[\w`-]+\.[\w`-]+$"))
     if target_schema is not None:
         keep = keep & (F.element_at(parts, 2) == target_schema)
-    return manifest.filter(keep).select(F.col("final_replacement").alias("target")).distinct()
+    return manifest.filter(keep).select(target.alias("target")).distinct()
 
 
 def pair_by_convention(targets: DataFrame, source_base: str) -> DataFrame:
@@ -38,43 +51,52 @@ def pair_by_convention(targets: DataFrame, source_base: str) -> DataFrame:
                           .alias("source"))
 
 
-def table_stats(spark: SparkSession, names: list[str], catalog: Catalog | None = None) -> DataFrame:
-    """Q2 + Q3: (table_name, row_count, columns, column_types) for each name; NULL when
-    the table cannot be read. Names that resolve to the same plan and schema (equal
-    `semanticHash`, which ignores column names, and equal schema) share one aggregate;
-    aggregates run as unions of up to STATS_BATCH tables."""
-    read = catalog or spark.table
-    groups: dict[tuple, tuple[DataFrame, list[str]]] = {}
+def table_stats(spark: SparkSession, names: Iterable[str] | DataFrame, catalog: Catalog | None = None) -> DataFrame:
+    """Q2 + Q3: (table_name, row_count, columns, column_types) for each distinct name; NULL when
+    the table does not exist.
+
+    Names are read in batches of STATS_BATCH (from a one-column DataFrame partition by
+    partition), and each batch's statistics are one written union, so neither the names nor the
+    plans grow on the driver. Names for which the catalog returns the very same DataFrame
+    share one aggregate."""
+    if isinstance(names, DataFrame):
+        rows = names.distinct().toLocalIterator()
+        names = (r[0] for r in rows)
+    else:
+        names = iter(sorted(set(names)))
+    out = None
+    while batch := list(islice(names, STATS_BATCH)):
+        part = _batch_stats(spark, batch, catalog or spark.table)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], STATS_SCHEMA)
+
+
+STATS_SCHEMA = "table_name string, row_count bigint, columns array<string>, column_types array<string>"
+
+
+def _batch_stats(spark: SparkSession, names: list[str], read: Catalog) -> DataFrame:
+    groups: dict[int, tuple[DataFrame, list[str]]] = {}
     missing: list[str] = []
-    for name in sorted(set(names)):
+    for name in names:
         try:
             df = read(name)
-            h = (df.semanticHash(), df.schema.json())
-        except Exception:  # noqa: BLE001 - unreadable -> unverifiable
+            df.schema
+        except (AnalysisException, KeyError):              # no such table -> unverifiable
             missing.append(name)
             continue
-        groups.setdefault(h, (df, []))[1].append(name)
-    schema = "table_name string, row_count bigint, columns array<string>, column_types array<string>"
-    # One row per table, but each row costs a full count: every batch of aggregates is
-    # written once, so plans stay small for many tables and the two sides of a pair (and
+        groups.setdefault(id(df), (df, []))[1].append(name)
+    # Each row costs a full count, so a batch is written once: the two sides of a pair (and
     # later steps) read the result instead of counting again.
     from ..plans.partitioning import materialize
-    parts = [spark.createDataFrame([(m, None, None, None) for m in missing], schema)]
-    items = list(groups.values())
-    for start in range(0, len(items), STATS_BATCH):
-        batch = None
-        for df, group_names in items[start:start + STATS_BATCH]:
-            fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-            one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.explode(F.array(*[F.lit(n) for n in group_names])).alias("table_name"), "row_count",
-                F.array(*[F.lit(n) for n, _ in fields]).alias("columns"),
-                F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).alias("column_types"))
-            batch = one if batch is None else batch.unionByName(one)
-        parts.append(materialize(batch, "table-stats"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    batch = spark.createDataFrame([(m, None, None, None) for m in missing], STATS_SCHEMA)
+    for df, group_names in groups.values():
+        fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.explode(F.array(*[F.lit(n) for n in group_names])).alias("table_name"), "row_count",
+            F.array(*[F.lit(n) for n, _ in fields]).alias("columns"),
+            F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).alias("column_types"))
+        batch = batch.unionByName(one)
+    return materialize(batch, "table-stats")
 
 
 def reconcile(pairs: DataFrame, stats: DataFrame) -> DataFrame:
@@ -104,8 +126,8 @@ def mark_failed(manifest: DataFrame, results: DataFrame) -> DataFrame:
     """Q6: applied rows whose final target mismatched become 'failed'."""
     bad = results.filter(F.col("result") == "mismatch").select(F.col("target").alias("_t")).distinct() \
         .withColumn("_bad", F.lit(True))
-    j = manifest.join(bad, manifest["final_replacement"] == bad["_t"], "left")
-    hit = (F.col("status") == "applied") & F.coalesce(F.col("_bad"), F.lit(False))
+    j = manifest.join(bad, target_name(manifest["final_replacement"]) == bad["_t"], "left")
+    hit = (F.col("status") == "applied") & F.col("reference_kind").isin(*NAMING_KINDS) & F.coalesce(F.col("_bad"), F.lit(False))
     return j.select(*[F.when(hit, F.lit("failed")).otherwise(F.col(c)).alias(c) if c == "status"
                       else F.col(c) for c in manifest.columns])
 

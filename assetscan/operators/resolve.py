@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import patterns as P
 from ..functions import text as X
-from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, within_rows
 
 
 SPREAD_KEYS = 4096
@@ -65,22 +64,20 @@ def manifest_id(path: F.Column, cell: F.Column, original: F.Column) -> F.Column:
     return F.md5(F.concat_ws(":", path, cell.cast("string"), original))
 
 
-def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts: bool | None = None,
-            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame) -> DataFrame:
     """refs(asset_type, asset_path, cell_index, reference_kind, original_reference[,
     occurrences]) -> + namespace, table_name, proposed_replacement, confidence, tier,
-    reason, manifest_id."""
+    reason, manifest_id.
+
+    Lookups are grouped to one row per key and joined with plain equi-joins: the session's
+    broadcast threshold and AQE choose between broadcast and shuffle, and split hot keys."""
     kind = F.col("reference_kind")
     orig = F.col("original_reference")
     is_table = kind.isin(*S.TABLE_KINDS)
     is_mount = kind == "mount_path_literal"
     ns, tbl, _ = X.name_parts(orig)
-    # One size check per input table bounds the lookups grouped from it.
-    map_small = within_rows(mapping, max_broadcast_rows)
-    n_mounts = mounts.limit(max_broadcast_rows + 1).count()   # one job: R6's test and the size check
-    reg_small = n_mounts <= max_broadcast_rows
-    if has_mounts is None:
-        has_mounts = n_mounts > 0
+    # R6's test is a one-row subquery of the plan
+    has_mounts = mounts.limit(1).agg(F.count(F.lit(1)) > 0).scalar()
 
     # Single pass, no branches: a row a lookup does not apply to carries a key that can
     # never match (it starts with \u0000) and is spread over many values, so neither a
@@ -92,13 +89,13 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
          .withColumn("_mnt", F.when(is_mount, X.mount_prefix(orig)).otherwise(spread_key))
          .withColumn("_ns", F.when(is_table, F.lower(ns)).otherwise(spread_key))
          .withColumn("_tbl", F.when(is_table, F.lower(tbl)).otherwise(F.lit(""))))
-    r = lookup_join(r, mount_lookup(mounts), ["_mnt"], small=reg_small)
+    r = r.join(mount_lookup(mounts), ["_mnt"], "left")
     r = r.withColumn("_lk_ns", F.when(is_table, F.col("_ns"))
                      .when(is_mount & (F.coalesce(F.col("m_namespace"), F.lit("")) != ""),
                            F.lower(F.col("m_namespace")))
                      .otherwise(spread_key))
-    r = lookup_join(r, namespace_lookup(mapping), ["_lk_ns"], small=map_small)
-    r = lookup_join(r, table_lookup(mapping), ["_ns", "_tbl"], small=map_small)
+    r = r.join(namespace_lookup(mapping), ["_lk_ns"], "left")
+    r = r.join(table_lookup(mapping), ["_ns", "_tbl"], "left")
 
     ns_ok = F.col("ns_schema").isNotNull()
     t_amb = F.coalesce(F.col("t_ambiguous"), F.lit(False))
@@ -116,7 +113,7 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
             .when(is_table & ~t_amb & ns_ok, F.lit(S.SCORE_NAMESPACE_ONLY))
             .when(is_mount & ns_ok, F.lit(S.SCORE_MOUNT_LITERAL))
             .when(kind == "dynamic_mount",
-                  F.lit(S.SCORE_DYNAMIC_MOUNT if has_mounts else S.SCORE_UNRESOLVED))
+                  F.when(has_mounts, F.lit(S.SCORE_DYNAMIC_MOUNT)).otherwise(F.lit(S.SCORE_UNRESOLVED)))
             .when(kind == "dynamic_table", F.lit(S.SCORE_DYNAMIC_TABLE))
             .otherwise(F.lit(S.SCORE_UNRESOLVED)))
     reason = (F.when(is_table & F.col("t_target").isNotNull(), F.lit("exact mapping hit"))
@@ -134,8 +131,8 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame, has_mounts:
                     F.lit("ambiguous: namespace maps to several schemas"))
               .when(is_mount, F.lit("mount namespace not mapped"))
               .when(kind == "dynamic_mount",
-                    F.lit("mount path built at run time; registry has candidates" if has_mounts
-                          else "mount path built at run time; registry empty"))
+                    F.when(has_mounts, F.lit("mount path built at run time; registry has candidates"))
+                    .otherwise(F.lit("mount path built at run time; registry empty")))
               .when(kind == "dynamic_table", F.lit("table name built at run time"))
               .when(kind == S.KIND_UNPARSED, F.lit("cell could not be parsed"))
               .otherwise(F.lit("no rule matched")))

@@ -76,35 +76,51 @@ def batch_approve(manifest: DataFrame, reviewer: str, as_of: str,
 # ---- decisions (V5-V7, V13) -------------------------------------------------- #
 def latest_decisions(decisions: DataFrame) -> DataFrame:
     """One decision per manifest key: the latest by reviewed_at (ties: greatest values)."""
-    payload = F.struct("reviewed_at", "decision", "final_replacement", "reviewer")
-    return (decisions.groupBy(*KEY).agg(F.max(payload).alias("d"))
-            .select(*KEY, F.col("d.decision").alias("d_decision"),
+    return (decisions.groupBy(*KEY).agg(F.max(F.struct(*PAYLOAD)).alias("d"))
+            .select(*KEY, F.lit(True).alias("d_given"), F.col("d.decision").alias("d_decision"),
                     F.col("d.final_replacement").alias("d_final"),
                     F.col("d.reviewer").alias("d_reviewer"),
                     F.col("d.reviewed_at").alias("d_reviewed_at")))
 
 
+PAYLOAD = ["reviewed_at", "decision", "final_replacement", "reviewer"]
+
+
+def superseded_decisions(decisions: DataFrame, latest: DataFrame) -> DataFrame:
+    """Decisions that a later one for the same key replaces (equal rows count once)."""
+    last = latest.select(*[F.col(c).alias(f"_{c}") for c in KEY], F.struct(
+        "d_reviewed_at", "d_decision", "d_final", "d_reviewer").alias("_last"))
+    mine = F.struct(*PAYLOAD)
+    cond = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
+    return (decisions.select(*KEY, *PAYLOAD).distinct().join(last, cond)
+            .filter(~mine.eqNullSafe(F.col("_last").cast("struct<reviewed_at:timestamp,decision:string,final_replacement:string,reviewer:string>")))
+            .select(*KEY, *PAYLOAD))
+
+
 def apply_decisions(manifest: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """V5-V7 with V13's guard. Returns (next manifest, rejected decisions).
 
     approved: final = the given value, or the proposal when none is given.
     overridden: final = the given value. skipped: final stays NULL.
-    A decision is rejected when the move is not legal (fix 20), when an approve or
-    override would store a blank final (fix 19), or when no manifest row has its key."""
+    A decision is rejected when none is given or it is unknown, when the move is not legal
+    (fix 20), when an approve or override would store a blank final (fix 19), when no
+    manifest row has its key, or when a later decision for the key replaces it."""
     d = latest_decisions(decisions)
     m = manifest.alias("m")
     j = m.join(d.alias("d"), KEY, "full_outer")
     dec = F.col("d_decision")
+    given = F.coalesce(F.col("d_given"), F.lit(False))
     final = (F.when(dec == "approved", F.coalesce(F.nullif(F.trim(F.col("d_final")), F.lit("")),
                                                   F.col("proposed_replacement")))
              .when(dec == "overridden", F.col("d_final")))
     reject_reason = (F.when(F.col("status").isNull(), F.lit("no manifest row with this key"))
+                     .when(dec.isNull(), F.lit("no decision given"))
                      .when(~dec.isin(*S.REVIEW_DECISIONS), F.lit("unknown decision"))
                      .when(~is_legal(F.col("status"), dec), F.concat(F.lit("illegal move "), F.col("status"),
                                                                      F.lit(" -> "), dec))
                      .when(dec.isin("approved", "overridden") & _blank(final), F.lit("blank final replacement")))
-    j = j.withColumn("_final", final).withColumn("_reject", F.when(dec.isNotNull(), reject_reason))
-    ok = dec.isNotNull() & F.col("_reject").isNull()
+    j = j.withColumn("_final", final).withColumn("_reject", F.when(given, reject_reason))
+    ok = given & F.col("_reject").isNull()
     upd = {
         "status": dec,
         "final_replacement": F.col("_final"),
@@ -119,6 +135,12 @@ def apply_decisions(manifest: DataFrame, decisions: DataFrame) -> tuple[DataFram
         *KEY, F.col("status").alias("current_status"), F.col("d_decision").alias("decision"),
         F.col("d_final").alias("final_replacement"), F.col("d_reviewer").alias("reviewer"),
         F.col("_reject").alias("reject_reason"))
+    old = superseded_decisions(decisions, d)
+    status = manifest.select(*[F.col(c).alias(f"_{c}") for c in KEY], F.col("status").alias("current_status"))
+    cond = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
+    rejects = rejects.unionByName(old.join(status, cond, "left").select(
+        *KEY, "current_status", "decision", "final_replacement", "reviewer",
+        F.lit("superseded by a later decision").alias("reject_reason")))
     return nxt, rejects
 
 
@@ -135,32 +157,48 @@ def dynamic_mount_pattern(original: F.Column) -> F.Column:
     return F.regexp_replace(body, X.rx(P.FSTRING_FIELD_RE), F.lit("%"))
 
 
-def candidates_mount(manifest: DataFrame, mounts: DataFrame) -> DataFrame:
-    """V9: registry rows whose mount point fits a dynamic mount's pattern.
-
-    Distinct patterns are matched first (pre-aggregated), as an equi-join on the literal
-    text before the first wildcard against every prefix of each mount path, then checked
-    with LIKE; no nested-loop join. The registry side is small, and prefixes are bounded
-    by the path length."""
-    dyn = manifest.filter(F.col("reference_kind") == "dynamic_mount")
-    pat = dyn.select("manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference",
-                     F.regexp_extract(dynamic_mount_pattern(F.col("original_reference")),
-                                      r"^(?:dbfs:)?(/mnt/[^/]*)", 1).alias("mount_pattern"))
-    # literal text before the first unescaped wildcard, unescaped again
-    head = F.regexp_extract(F.col("mount_pattern"), r"^((?:[^\\%_]|\\.)*)", 1)
-    pats = pat.select("mount_pattern").distinct() \
+def dynamic_mounts(manifest: DataFrame) -> DataFrame:
+    """Dynamic mount references with the LIKE pattern of their mount."""
+    return manifest.filter(F.col("reference_kind") == "dynamic_mount").select(
+        "manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference",
+        F.regexp_extract(dynamic_mount_pattern(F.col("original_reference")), P.MOUNT_PATTERN_RE, 1).alias("mount_pattern"))
+
+
+def mount_pattern_matches(manifest: DataFrame, mounts: DataFrame) -> DataFrame:
+    """V9, first half: (mount_pattern, candidate_mount, candidate_namespace) for each distinct
+    pattern. Patterns meet mounts by an equi-join of their literal text before the first
+    wildcard with the prefixes of each mount path, then LIKE. References point to their
+    pattern, so nothing is repeated per reference."""
+    head = F.regexp_extract(F.col("mount_pattern"), r"^((?:[^\\%_]|\\.)*+)", 1)
+    pats = dynamic_mounts(manifest).select("mount_pattern").distinct() \
         .withColumn("literal_head", F.regexp_replace(head, r"\\(.)", "$1"))
     reg = (mounts.filter(F.col("mount_path").isNotNull())
            .select("mount_path", "hms_namespace",
                    F.explode(F.sequence(F.lit(1), F.length("mount_path"))).alias("_n"))
            .withColumn("literal_head", F.expr("substring(mount_path, 1, _n)")))
-    matches = (pats.join(reg, "literal_head")
-               .filter(F.expr("mount_path LIKE mount_pattern"))
-               .select("mount_pattern", "mount_path", "hms_namespace").distinct())
-    return pat.join(matches, "mount_pattern").select(
-        "manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference",
-        "mount_pattern", F.col("mount_path").alias("candidate_mount"),
-        F.col("hms_namespace").alias("candidate_namespace"))
+    return (pats.join(reg, "literal_head").filter(F.expr("mount_path LIKE mount_pattern"))
+            .select("mount_pattern", F.col("mount_path").alias("candidate_mount"),
+                    F.col("hms_namespace").alias("candidate_namespace")).distinct())
+
+
+def candidates_mount(manifest: DataFrame, cells: DataFrame, mounts: DataFrame) -> DataFrame:
+    """V9, second half: one row per reference. Where the field in the mount's name is assigned a
+    string in the same cell, that names the mount (an equi-join with the registry); the
+    others keep their pattern, whose candidates are `mount_pattern_matches`."""
+    refs = dynamic_mounts(manifest).join(cells.select("asset_path", "cell_index", "code"), ["asset_path", "cell_index"], "left")
+    body = X.literal_body(F.col("original_reference"))
+    names = F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(1))
+    values = F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(2))
+    field = F.regexp_extract(body, P.MOUNT_FIELD_RE, 2)
+    value = F.get(values, F.array_position(names, field).cast("int") - 1)
+    named = F.concat(F.regexp_extract(body, P.MOUNT_FIELD_RE, 1), value, F.regexp_extract(body, P.MOUNT_FIELD_RE, 3))
+    refs = refs.withColumn("named_mount", F.when(field != "", F.regexp_extract(named, P.MOUNT_PREFIX_RE, 1)))
+    reg = mounts.filter(F.col("mount_path").isNotNull()).select(
+        F.col("mount_path").alias("named_mount"), F.col("mount_path").alias("candidate_mount"),
+        F.col("hms_namespace").alias("candidate_namespace")).distinct()
+    return refs.join(reg, "named_mount", "left").select(
+        "manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference", "mount_pattern",
+        "named_mount", "candidate_mount", "candidate_namespace")
 
 
 def candidates_table(manifest: DataFrame, cells: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Regex work per cell is CPU-bound, so it must run in many tasks. Asset tables read from a
 directory of many files already arrive in many partitions; a table from few large files
-(or one generated from a small table) does not. `spread` hash-partitions such input on
+(or one generated from a small table) does not. `spread` hash-partitions them on
 `asset_path` to the session's shuffle-partition count: every later grouping or join on
 `asset_path` (edit maps, the rewrite join, backups) then finds its input already
 clustered on that key and adds no exchange of the text.
@@ -16,21 +16,10 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
-def target_partitions(df: DataFrame) -> int:
-    """Enough tasks for every core (a few per core for load balance), never more than the
-    session's shuffle partitions: on a cluster that is the owner's sizing, locally it
-    avoids hundreds of tiny tasks."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return max(cores, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * cores))
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition on `keys` when the input has fewer partitions than the target."""
-    n = target_partitions(df)
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+    """Hash-partition on `keys` to the session's shuffle partitions: on a cluster that is the
+    owner's sizing. Always done, so planning needs no look at the input's partitions."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

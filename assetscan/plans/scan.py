@@ -1,7 +1,7 @@
 """Stage 2, scan and propose: assets -> cells -> references -> resolved manifest rows.
 
 One lazy plan. Exchanges: the dedupe `groupBy` (partial aggregation runs map-side) and
-the lookup joins (broadcast after a size check, else shuffled with AQE skew splitting).
+the lookup joins (broadcast or shuffled as the session's threshold and AQE decide).
 The only Python-worker step is the syntax job over prefiltered Python cells.
 """
 from __future__ import annotations
@@ -23,14 +23,13 @@ def scan_references(assets: DataFrame, python: str = "syntax") -> DataFrame:
 
 
 def scan_resolved(assets: DataFrame, mapping: DataFrame, mounts: DataFrame,
-                  python: str = "syntax", has_mounts: bool | None = None) -> DataFrame:
+                  python: str = "syntax") -> DataFrame:
     """Scan rows (reference + proposal)."""
-    return R.resolve(scan_references(assets, python=python), mapping, mounts, has_mounts=has_mounts)
+    return R.resolve(scan_references(assets, python=python), mapping, mounts)
 
 
 def scan_to_manifest(assets: DataFrame, mapping: DataFrame, mounts: DataFrame, as_of: str,
-                     python: str = "syntax", has_mounts: bool | None = None) -> DataFrame:
+                     python: str = "syntax") -> DataFrame:
     """S8 + S9: manifest rows with status 'proposed' for the notebook and dashboard assets."""
     scoped = assets.filter(F.col("asset_type").isin("notebook", "dashboard"))
-    return M.proposed_rows(scan_resolved(scoped, mapping, mounts, python=python,
-                                         has_mounts=has_mounts), as_of)
+    return M.proposed_rows(scan_resolved(scoped, mapping, mounts, python=python), as_of)

@@ -7,6 +7,7 @@ checkpoint dir of their own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -47,7 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    # Unset: only happens in tests and local runs, never on a configured cluster.
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    # Unset in a single-process session: tests and local runs.
     scratch = tempfile.mkdtemp(prefix="assetscan-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch

@@ -2,12 +2,12 @@
 
 One notebook per `orders` row, so the estate grows with the data (150,000 notebooks at
 sf0.1). Everything is built with `concat` over columns, so a SQL engine can repeat it:
-  n = o_custkey % 25, ns = db_<n>, t = t_<o_orderkey % 40>, v = o_orderkey % 8,
+  n = o_custkey % 30, ns = db_<n>, t = t_<o_custkey>, v = o_orderkey % 8,
   path = /estate/p<o_orderkey % 10>/nb_<o_orderkey>.
-Mapping: 600 (db_<p % 20>, t_<p / 20>) pairs from `part` rows p < 600, joined to `nation`
-for the region; mounts: one per nation < 22. So namespaces db_20..db_24 are unknown,
-tables t_30..t_39 are unmapped, mounts 20-21 resolve to a namespace without target and
-mounts 22-24 are not registered.
+Mapping: one row per `part` whose p % 30 is a nation, (db_<p % 30>, t_<p>), so it grows with
+`part` and the names with `customer`; rows with p % 7 = 3 have no target table yet. Mounts: one
+per nation, n % 8 = 7 without a namespace, n % 8 = 6 with one that no mapping row knows. So
+namespaces and mounts 25-29 are unknown, and tables beyond `part`, or not yet targeted, are unmapped.
 """
 from __future__ import annotations
 
@@ -27,10 +27,10 @@ def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
-def notebook_cell(k: F.Column, n: F.Column) -> F.Column:
+def notebook_cell(k: F.Column, n: F.Column, c: F.Column) -> F.Column:
     """The one code cell of notebook k, by variant k % 8."""
     ns = F.concat(F.lit("db_"), _s(n))
-    t = F.concat(F.lit("t_"), _s(k % 40))
+    t = F.concat(F.lit("t_"), _s(c))
     nn = _s(n)
     v = k % 8
     return (F.when(v == 0, F.concat(F.lit('df = spark.read.table("'), ns, F.lit("."), t, F.lit('")')))
@@ -49,9 +49,10 @@ def notebook_cell(k: F.Column, n: F.Column) -> F.Column:
 def estate_notebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """assets rows (asset_type, asset_path, name, language, source, queries)."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    k, n = F.col("o_orderkey"), F.col("o_custkey") % 25
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    n = c % 30
     source = F.concat(F.lit(S.NOTEBOOK_HEADER + "\n\n# MAGIC %md\n# MAGIC ## notebook "), _s(k),
-                      F.lit(S.CELL_SEPARATOR), notebook_cell(k, n), F.lit("\n"))
+                      F.lit(S.CELL_SEPARATOR), notebook_cell(k, n, c), F.lit("\n"))
     return o.select(
         F.lit("notebook").alias("asset_type"),
         F.concat(F.lit("/estate/p"), _s(k % 10), F.lit("/nb_"), _s(k)).alias("asset_path"),
@@ -65,7 +66,7 @@ def estate_dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dashboard per supplier, two queries each (E10 input)."""
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     ns = F.concat(F.lit("db_"), _s(F.col("s_nationkey")))
-    t = F.concat(F.lit("t_"), _s(F.col("s_suppkey") % 40))
+    t = F.concat(F.lit("t_"), _s("s_suppkey"))
     q1 = F.concat(F.lit("SELECT channel, sum(amount) AS total FROM "), ns, F.lit("."), t,
                   F.lit(" GROUP BY channel"))
     q2 = F.concat(F.lit("SELECT d.day, count(*) FROM "), ns, F.lit(".t_"), _s(F.col("s_suppkey") % 7),
@@ -85,35 +86,34 @@ def estate_assets(spark: SparkSession, sf_dir: str, dashboards: bool = False) ->
 
 
 def estate_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """hms_to_uc_mapping rows: 600 (namespace, table) pairs with targets."""
-    p = read_table(spark, sf_dir, "part").select("p_partkey").filter(F.col("p_partkey") < 600)
+    """hms_to_uc_mapping rows: a (namespace, table) pair per part, most with a target."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    j = p.join(nat, (F.col("p_partkey") % 20) == F.col("n_nationkey"))
-    tbl = F.concat(F.lit("t_"), _s(F.floor(F.col("p_partkey") / 20)))
+    j = p.join(nat, (F.col("p_partkey") % 30) == F.col("n_nationkey"))
+    tbl = F.concat(F.lit("t_"), _s("p_partkey"))
     return j.select(
         F.concat(F.lit("db_"), _s("n_nationkey")).alias("hms_namespace"),
         tbl.alias("hms_table"),
         F.concat(F.lit("cat_"), _s("n_regionkey")).alias("uc_catalog"),
         F.concat(F.lit("sch_"), _s("n_nationkey")).alias("uc_schema"),
-        tbl.alias("uc_table"),
+        F.when(F.col("p_partkey") % 7 != 3, tbl).alias("uc_table"),
         F.concat(F.lit("/mnt/raw-"), _s("n_nationkey")).alias("mount_path"),
         F.lit(None).cast("string").alias("notes"))
 
 
 def estate_mapping_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapping plus repeated keys from parts 600..639: even parts point a key somewhere
-    else (ambiguous), odd parts repeat the same target (harmless)."""
-    p = read_table(spark, sf_dir, "part").select("p_partkey") \
-        .filter((F.col("p_partkey") >= 600) & (F.col("p_partkey") < 640))
+    """Mapping plus a second row for every key: every fourth part points its key somewhere
+    else (ambiguous), the others repeat the same target (harmless)."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    j = p.join(nat, (F.col("p_partkey") % 20) == F.col("n_nationkey"))
-    tbl = F.concat(F.lit("t_"), _s(F.col("p_partkey") % 30))
+    j = p.join(nat, (F.col("p_partkey") % 30) == F.col("n_nationkey"))
+    tbl = F.concat(F.lit("t_"), _s("p_partkey"))
     dup = j.select(
         F.concat(F.lit("db_"), _s("n_nationkey")).alias("hms_namespace"),
         tbl.alias("hms_table"),
         F.concat(F.lit("cat_"), _s("n_regionkey")).alias("uc_catalog"),
         F.concat(F.lit("sch_"), _s("n_nationkey")).alias("uc_schema"),
-        F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("alt_"), _s("p_partkey")))
+        F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("alt_"), _s("p_partkey")))
         .otherwise(tbl).alias("uc_table"),
         F.lit(None).cast("string").alias("mount_path"),
         F.lit("duplicate").alias("notes"))
@@ -121,13 +121,15 @@ def estate_mapping_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def estate_mounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """mount_point_registry rows: /mnt/raw-<n> -> db_<n> for nations below 22."""
-    nat = read_table(spark, sf_dir, "nation").select("n_nationkey").filter(F.col("n_nationkey") < 22)
+    """mount_point_registry rows: /mnt/raw-<n> -> db_<n>, some without a known namespace."""
+    nat = read_table(spark, sf_dir, "nation").select("n_nationkey")
+    n = F.col("n_nationkey")
     return nat.select(
         F.concat(F.lit("/mnt/raw-"), _s("n_nationkey")).alias("mount_path"),
         F.concat(F.lit("abfss://raw-"), _s("n_nationkey"), F.lit("@acct.dfs.core.windows.net/"))
         .alias("adls_target"),
-        F.concat(F.lit("db_"), _s("n_nationkey")).alias("hms_namespace"),
+        F.when(n % 8 == 7, F.lit("")).when(n % 8 == 6, F.concat(F.lit("db_"), _s(n + 100)))
+        .otherwise(F.concat(F.lit("db_"), _s(n))).alias("hms_namespace"),
         F.to_timestamp(F.lit(AS_OF)).alias("discovered_at"))
 
 

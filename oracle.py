@@ -8,9 +8,13 @@ replace every match; Spark's always does.
 from __future__ import annotations
 
 from assetscan import schemas as S
-from assetscan.functions import patterns as P
+from types import SimpleNamespace
+
+from assetscan.functions import patterns as _java
 from assetscan.sources.estate import AS_OF
 
+P = SimpleNamespace(**{k: _java.re2(v) for k, v in vars(_java).items() if isinstance(v, str)},
+                    SQL_LIST_RES=tuple(map(_java.re2, _java.SQL_LIST_RES)))
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -23,7 +27,7 @@ def rr(expr: str, pattern: str, repl: str = "' '") -> str:
 def sql_names(expr: str) -> str:
     """E1 over a SQL text expression -> list of names."""
     masked = rr(rr(expr, P.SQL_MASK_RE), P.SQL_FROM_FUNCS_RE)
-    lists = f"regexp_extract_all({masked}, {lit(P.SQL_TABLE_LIST_RE)}, 1)"
+    lists = "list_concat(" + ", ".join(f"regexp_extract_all({masked}, {lit(p)}, 1)" for p in P.SQL_LIST_RES) + ")"
     items = f"flatten(list_transform({lists}, lambda l: string_split_regex(l, {lit(P.SQL_LIST_SPLIT_RE)})))"
     heads = f"list_transform({items}, lambda i: regexp_extract(i, {lit(P.SQL_NAME_HEAD_RE)}, 0))"
     return f"list_filter({heads}, lambda x: contains(x, '.') AND len(string_split(x, '.')) <= 3)"
@@ -48,9 +52,9 @@ def mount_prefix(expr: str) -> str:
     return f"regexp_extract({expr}, {lit(P.MOUNT_PREFIX_RE)}, 1)"
 
 
-def _cell_sql(k: str, n: str) -> str:
+def _cell_sql(k: str, n: str, c: str) -> str:
     ns = f"('db_' || {n})"
-    t = f"('t_' || ({k} % 40))"
+    t = f"('t_' || {c})"
     return f"""CASE {k} % 8
       WHEN 0 THEN 'df = spark.read.table("' || {ns} || '.' || {t} || '")'
       WHEN 1 THEN {lit(chr(10).join(['# MAGIC %sql', '# MAGIC SELECT * FROM ']))} || {ns} || '.' || {t} || ' a JOIN ' || {ns} || '.t_1 b ON a.id = b.id'
@@ -76,39 +80,38 @@ cte("estate", [], f"""
          '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path,
          'nb_' || o_orderkey AS name,
          {lit(HEADER_MD)} || o_orderkey || {lit(S.CELL_SEPARATOR)}
-           || {_cell_sql('o_orderkey', '(o_custkey % 25)')} || {lit(chr(10))} AS source
+           || {_cell_sql('o_orderkey', '(o_custkey % 30)', 'o_custkey')} || {lit(chr(10))} AS source
   FROM orders""")
 
 cte("dashboards", [], f"""
   SELECT 'dashboard' AS asset_type, '/estate/dashboards/d_' || s_suppkey AS asset_path,
-         ['SELECT channel, sum(amount) AS total FROM db_' || s_nationkey || '.t_' || (s_suppkey % 40)
+         ['SELECT channel, sum(amount) AS total FROM db_' || s_nationkey || '.t_' || s_suppkey
             || ' GROUP BY channel',
           'SELECT d.day, count(*) FROM db_' || s_nationkey || '.t_' || (s_suppkey % 7) || ' d, db_'
             || s_nationkey || '.calendar c WHERE d.day = c.day GROUP BY d.day'] AS queries
   FROM supplier""")
 
 cte("mapping", [], f"""
-  SELECT 'db_' || n_nationkey AS hms_namespace, 't_' || floor(p_partkey / 20)::BIGINT AS hms_table,
+  SELECT 'db_' || n_nationkey AS hms_namespace, 't_' || p_partkey AS hms_table,
          'cat_' || n_regionkey AS uc_catalog, 'sch_' || n_nationkey AS uc_schema,
-         't_' || floor(p_partkey / 20)::BIGINT AS uc_table, '/mnt/raw-' || n_nationkey AS mount_path,
+         CASE WHEN p_partkey % 7 <> 3 THEN 't_' || p_partkey END AS uc_table, '/mnt/raw-' || n_nationkey AS mount_path,
          CAST(NULL AS VARCHAR) AS notes
-  FROM part JOIN nation ON p_partkey % 20 = n_nationkey
-  WHERE p_partkey < 600""")
+  FROM part JOIN nation ON p_partkey % 30 = n_nationkey""")
 
 cte("mapping_dups", ["mapping"], f"""
   SELECT * FROM mapping
   UNION ALL
-  SELECT 'db_' || n_nationkey, 't_' || (p_partkey % 30), 'cat_' || n_regionkey, 'sch_' || n_nationkey,
-         CASE WHEN p_partkey % 2 = 0 THEN 'alt_' || p_partkey ELSE 't_' || (p_partkey % 30) END,
+  SELECT 'db_' || n_nationkey, 't_' || p_partkey, 'cat_' || n_regionkey, 'sch_' || n_nationkey,
+         CASE WHEN p_partkey % 4 = 0 THEN 'alt_' || p_partkey ELSE 't_' || p_partkey END,
          CAST(NULL AS VARCHAR), 'duplicate'
-  FROM part JOIN nation ON p_partkey % 20 = n_nationkey
-  WHERE p_partkey >= 600 AND p_partkey < 640""")
+  FROM part JOIN nation ON p_partkey % 30 = n_nationkey""")
 
 cte("mounts", [], f"""
   SELECT '/mnt/raw-' || n_nationkey AS mount_path,
          'abfss://raw-' || n_nationkey || '@acct.dfs.core.windows.net/' AS adls_target,
-         'db_' || n_nationkey AS hms_namespace, TIMESTAMP '{AS_OF}' AS discovered_at
-  FROM nation WHERE n_nationkey < 22""")
+         CASE n_nationkey % 8 WHEN 7 THEN '' WHEN 6 THEN 'db_' || (n_nationkey + 100)
+              ELSE 'db_' || n_nationkey END AS hms_namespace, TIMESTAMP '{AS_OF}' AS discovered_at
+  FROM nation""")
 
 # ---- cells (C1-C5) --------------------------------------------------------- #
 _texts = (f"list_filter(list_transform(string_split_regex({rr('source', P.HEADER_RE, "''")}, "
