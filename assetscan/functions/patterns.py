@@ -102,6 +102,7 @@ REWRITE_TOKEN_RE = (
     r"|[A-Za-z]{0,2}\"(?:[^\"\\\n]|\\.)*+\"|[A-Za-z]{0,2}'(?:[^'\\\n]|\\.)*+'"
     r"|[`\w.]+|[^`\w.\"']+|[\"']"
 )
+CALL_HEAD_RE = r"(\.(?:table|sql)\(\s*)"
 REWRITE_WORD_RE = r"[`\w.]+|[^`\w.]+"
 QUOTED_TOKEN_RE = r"^[A-Za-z]{0,2}[\"']"
 QUOTED_PARTS_RE = r"^([A-Za-z]{0,2}(?:\"\"\"|'''|\"|'))([\s\S]*?)((?:\"\"\"|'''|\"|'))\z"

@@ -2,12 +2,15 @@
 
 Parquet tables take no UPDATE or MERGE in Spark, so every status change is a pure
 function from one manifest DataFrame to the next, and `commit` writes the next
-`version=N` directory under the manifest root. Readers take the highest version;
-partition pruning keeps them on that one directory. A commit never overwrites a
+`version=N-<id>` directory under the manifest root. Readers list the folders, take the
+highest complete one and read only that. A commit never overwrites a
 directory that is being read, and the written table cuts the lineage of the next stage.
 """
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,27 +51,41 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.MANIFEST.fields])
 
 
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, folder) of every complete commit under `root`: those with a _SUCCESS mark. A
+    folder without one is a crashed commit and is passed over. Read errors are raised."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = []
+    for status in fs.listStatus(path):
+        m = re.fullmatch(r"version=(\d+)(?:-\w+)?", status.getPath().getName())
+        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.append((int(m[1]), status.getPath().toString()))
+    return sorted(found)
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """Highest committed version under `root`, or None when nothing is committed."""
-    try:
-        row = spark.read.parquet(root).agg(F.max("version").alias("v")).first()
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-    return None if row is None or row["v"] is None else int(row["v"])
+    found = _versions(spark, root)
+    return found[-1][0] if found else None
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    v = latest_version(spark, root)
-    if v is None:
+    found = _versions(spark, root)
+    if not found:
         return empty_manifest(spark)
-    return conform(spark.read.parquet(root).where(F.col("version") == v))
+    return spark.read.schema(S.MANIFEST).parquet(found[-1][1])
 
 
 def commit(df: DataFrame, root: str) -> int:
-    """Write `df` as the next version; returns the version number."""
+    """Write `df` as the next version in a folder of its own; returns the version number. A
+    crashed commit leaves an unmarked folder that no reader takes and no later commit meets."""
     spark = df.sparkSession
     v = (latest_version(spark, root) or 0) + 1
-    conform(df).write.mode("errorifexists").parquet(f"{root}/version={v}")
+    conform(df).write.mode("errorifexists").parquet(f"{root}/version={v}-{uuid.uuid4().hex[:12]}")
     return v
 
 

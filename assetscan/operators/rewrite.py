@@ -10,7 +10,11 @@ Two rewrites:
                    each replace reading the previous one's output.
   rewrite_tokens   the default (section 7.4): per cell, one pass over tokens, so `db.t`
                    never hits `db.t_old`, an edit stays in its cell, and a final that
-                   contains its original is not rewritten twice (fixes 17, 18).
+                   contains its original is not rewritten twice (fixes 17, 18). An edit is
+                   only made where its reference stands: names and paths inside string
+                   literals of Python cells and as words of SQL, with column qualifiers
+                   (`db.t.id`) following their table; an expression built at run time only
+                   as the argument of the `.table(` or `.sql(` call it was found in.
 """
 from __future__ import annotations
 
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as X
+from .review import is_legal
 
 SEP = "\u0001"
 
@@ -40,15 +45,19 @@ def edit_maps(edits: DataFrame) -> tuple[DataFrame, DataFrame]:
     with several distinct finals is a conflict and is left out of the map."""
     # collect_set runs hash-based (a string min would force a sort-based aggregate)
     per_key = (edits.groupBy("asset_path", "cell_index", "original_reference")
-               .agg(F.collect_set("final_replacement").alias("_s"))
+               .agg(F.collect_set("final_replacement").alias("_s"),
+                    F.max(F.col("reference_kind") == "dynamic_table").alias("_call"))
                .select("asset_path", "cell_index", "original_reference", F.size("_s").alias("_n"),
-                       F.array_min("_s").alias("_f")))
+                       F.array_min("_s").alias("_f"), "_call"))
     conflicts = per_key.filter(F.col("_n") > 1).select("asset_path", "cell_index", "original_reference")
     maps = (per_key.filter(F.col("_n") == 1)
             .groupBy("asset_path")
-            .agg(F.map_from_entries(F.collect_list(F.struct(
+            .agg(F.map_from_entries(F.collect_list(F.when(~F.col("_call"), F.struct(
                 edit_key(F.col("cell_index"), F.col("original_reference")).alias("k"),
-                F.col("_f").alias("v")))).alias("edit_map"),
+                F.col("_f").alias("v"))))).alias("edit_map"),
+                 F.array_sort(F.collect_list(F.when(F.col("_call"), F.struct(
+                     F.concat(F.col("cell_index").cast("string"), F.lit(SEP)).alias("p"),
+                     F.col("original_reference").alias("o"), F.col("_f").alias("f"))))).alias("call_edits"),
                  F.collect_list(F.struct(F.length("original_reference").alias("len"),
                                          F.col("original_reference").alias("o"),
                                          F.col("_f").alias("f"))).alias("edit_list")))
@@ -64,9 +73,21 @@ def rewrite_literal_col(source: F.Column, edit_list: F.Column) -> F.Column:
 
 
 # ---- token rewrite (section 7.4) --------------------------------------------- #
-def _token_result(t: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
+def _word_key(w: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
+    """The edit a word stands for: its own, or that of the table it qualifies a column with."""
+    own, table = F.concat(prefix, w), F.concat(prefix, F.substring_index(w, ".", 2))
+    return F.when(F.map_contains_key(m, own), own).when(F.map_contains_key(m, table), table)
+
+
+def _word_out(w: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
+    key = _word_key(w, prefix, m)
+    return F.when(key.isNull(), w).otherwise(F.concat(
+        F.try_element_at(m, key), F.substring(w, F.length(key) - F.length(prefix) + 1, F.length(w))))
+
+
+def _token_result(t: F.Column, prefix: F.Column, m: F.Column, python: F.Column) -> F.Column:
     """struct(out, hits) for one token: its replacement text and the map keys found for
-    it (candidates: the token; for a quoted token also its body and its words)."""
+    it (candidates: a quoted token, its body and its words; a word of SQL)."""
     k_t = F.concat(prefix, t)
     v_t = F.try_element_at(m, k_t)
     quoted = t.rlike(P.QUOTED_TOKEN_RE)
@@ -74,15 +95,16 @@ def _token_result(t: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
     k_b = F.concat(prefix, body)
     v_b = F.try_element_at(m, k_b)
     words = F.regexp_extract_all(t, X.rx(P.REWRITE_WORD_RE), F.lit(0))
-    inner = F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(m, F.concat(prefix, w)), w)), "")
+    inner = F.array_join(F.transform(words, lambda w: _word_out(w, prefix, m)), "")
     q_out = F.coalesce(v_t, F.when(v_b.isNotNull(), F.concat(F.regexp_extract(t, P.QUOTED_PARTS_RE, 1), v_b,
                                                              F.regexp_extract(t, P.QUOTED_PARTS_RE, 3))),
                        inner)
-    q_hits = F.filter(F.concat(F.array(k_t, k_b), F.transform(words, lambda w: F.concat(prefix, w))),
-                      lambda k: F.map_contains_key(m, k))
-    out = F.when(quoted, q_out).otherwise(F.coalesce(v_t, t))
-    hits = F.when(quoted, q_hits).otherwise(
-        F.when(v_t.isNotNull(), F.array(k_t)).otherwise(F.array().cast("array<string>")))
+    q_hits = F.filter(F.concat(F.array(k_t, k_b), F.transform(words, lambda w: _word_key(w, prefix, m))),
+                      lambda k: k.isNotNull() & F.map_contains_key(m, k))
+    none = F.array().cast("array<string>")
+    key = _word_key(t, prefix, m)
+    out = F.when(quoted, q_out).when(python, t).otherwise(_word_out(t, prefix, m))
+    hits = F.when(quoted, q_hits).when(python | key.isNull(), none).otherwise(F.array(key))
     return F.struct(out.alias("out"), hits.alias("hits"))
 
 
@@ -96,6 +118,22 @@ def _cell_numbers(chunks: F.Column) -> F.Column:
         (acc["n"] + f).alias("n")), lambda acc: acc["idx"])
 
 
+def _mark(number: F.Column) -> F.Column:
+    return F.concat(F.lit("\u0002"), number.cast("string"), F.lit("\u0003"))
+
+
+def _mark_calls(chunk: F.Column, prefix: F.Column, edits: F.Column) -> F.Column:
+    """The chunk with the arguments of `.table(` and `.sql(` that edits of its cell name put aside."""
+    mine = F.filter(edits, lambda e: e["p"] == prefix)
+    return F.aggregate(mine, chunk, lambda text, e: F.regexp_replace(
+        text, F.concat(F.lit(P.CALL_HEAD_RE + r"\Q"), F.replace(e["o"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(\s*[,)])")),
+        F.concat(F.lit("$1"), _mark(F.array_position(edits, e)), F.lit("$2"))))
+
+
+def _fill_marks(text: F.Column, edits: F.Column) -> F.Column:
+    return F.aggregate(edits, text, lambda t, e: F.replace(t, _mark(F.array_position(edits, e)), e["f"]))
+
+
 def rewrite_tokens_df(j: DataFrame) -> DataFrame:
     """(source, edit_map) rows -> + new_source, hit_keys. Header kept, each non-blank
     chunk rewritten with its own cell's edits, separators put back, so untouched text is
@@ -104,22 +142,33 @@ def rewrite_tokens_df(j: DataFrame) -> DataFrame:
     Spark shares no sub-expression inside a lambda, so per-row arrays (chunks, their
     cell prefixes) enter the per-chunk lambda as lambda variables through `zip_with`:
     a token's work never re-splits its notebook."""
+    if "call_edits" not in j.columns:
+        j = j.withColumn("call_edits", F.array().cast("array<struct<p:string,o:string,f:string>>"))
     body = X.strip_header(F.col("source"))
     chunks = X.split_chunks(body)
     prefixes = F.transform(_cell_numbers(chunks), lambda n: F.concat(n.cast("string"), F.lit(SEP)))
     m = F.col("edit_map")
-    res = F.zip_with(chunks, prefixes, lambda c, p: F.when(p.isNotNull(), F.transform(
-        F.regexp_extract_all(c, X.rx(P.REWRITE_TOKEN_RE), F.lit(0)), lambda t: _token_result(t, p, m))))
+    own = F.lower(F.coalesce(F.col("language"), F.lit("python")))
+    # calls first, as marks that no token holds; the marks become their finals after the tokens
+    marked = F.zip_with(chunks, prefixes, lambda c, p: F.struct(
+        _mark_calls(c, p, F.col("call_edits")).alias("text"), p.alias("p"),
+        (X.cell_language(X.chunk_text(c), own) == "python").alias("python")))
+    j = j.withColumn("_marked", marked)
+    res = F.transform("_marked", lambda c: F.when(c["p"].isNotNull(), F.transform(
+        F.regexp_extract_all(c["text"], X.rx(P.REWRITE_TOKEN_RE), F.lit(0)), lambda t: _token_result(t, c["p"], m, c["python"]))))
     staged = j.select("*", X.header_of(F.col("source")).alias("_hdr"), chunks.alias("_chunks"),
                       F.concat(X.separators(body), F.array(F.lit(""))).alias("_seps"), res.alias("_res"))
     new_chunks = F.zip_with("_chunks", "_res", lambda c, r: F.when(r.isNull(), c).otherwise(
-        F.array_join(F.transform(r, lambda x: x["out"]), "")))
+        _fill_marks(F.array_join(F.transform(r, lambda x: x["out"]), ""), F.col("call_edits"))))
     text = F.concat(F.col("_hdr"), F.array_join(F.zip_with(new_chunks, F.col("_seps"),
                                                            lambda c, sp: F.concat(c, sp)), ""))
     hits = F.array_distinct(F.flatten(F.transform(
         F.filter("_res", lambda r: r.isNotNull()),
         lambda r: F.flatten(F.transform(r, lambda x: x["hits"])))))
-    return staged.select(*j.columns, text.alias("new_source"), hits.alias("hit_keys"))
+    calls = F.transform(F.filter(F.transform("call_edits", lambda e: F.struct(e.alias("e"), F.exists(
+        "_marked", lambda c: (c["p"] == e["p"]) & c["text"].contains(_mark(F.array_position("call_edits", e)))).alias("hit"))),
+        lambda x: x["hit"]), lambda x: F.concat(x["e"]["p"], x["e"]["o"]))
+    return staged.select(*[c for c in j.columns if c != "_marked"], text.alias("new_source"), F.concat(hits, calls).alias("hit_keys"))
 
 
 def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "tokens") -> DataFrame:
@@ -131,7 +180,7 @@ def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "tokens") -
                         rewrite_literal_col(F.col("source"), F.col("edit_list")).alias("new_source"),
                         F.filter(F.transform("edit_list", lambda e: e["o"]),
                                  lambda o: F.col("source").contains(o)).alias("hit_originals"))
-    return rewrite_tokens_df(j.select("asset_path", "language", "source", "edit_map")).drop("edit_map")
+    return rewrite_tokens_df(j.select("asset_path", "language", "source", "edit_map", "call_edits")).drop("edit_map", "call_edits")
 
 
 # ---- backups, stamps, totals, restore (A4-A7) -------------------------------- #
@@ -170,7 +219,7 @@ def stamp_applied(manifest: DataFrame, outcome: DataFrame, applied_at: str, back
     applied = outcome.filter(F.col("outcome") == "applied").select("manifest_id", "reference_kind") \
         .withColumn("_applied", F.lit(True))
     j = manifest.join(applied, ["manifest_id", "reference_kind"], "left")
-    hit = F.coalesce(F.col("_applied"), F.lit(False))
+    hit = F.coalesce(F.col("_applied"), F.lit(False)) & is_legal(F.col("status"), F.lit("applied"))
     cols = []
     for c in manifest.columns:
         if c == "status":
@@ -202,17 +251,18 @@ def backups_of(rewritten: DataFrame, backup_root: str, stamp: str) -> DataFrame:
 
 
 def restore_sources(backups: DataFrame) -> DataFrame:
-    """Latest backup per asset (`max_by` on the stamp)."""
-    return backups.groupBy("asset_path").agg(F.max_by("source", "stamp").alias("source"),
-                                             F.max("stamp").alias("stamp"))
+    """Latest backup per asset: the last stamp of each path, then its text (only stamps are
+    aggregated, not texts)."""
+    last = backups.groupBy("asset_path").agg(F.max("stamp").alias("stamp"))
+    return backups.join(last, ["asset_path", "stamp"]).select("asset_path", "source", "stamp")
 
 
 def restore_manifest(manifest: DataFrame, restored_assets: DataFrame) -> DataFrame:
-    """Applied rows of restored assets go back to their stored decision."""
+    """Applied and failed rows of restored assets go back to their stored decision."""
     r = restored_assets.select("asset_path").distinct().withColumn("_restored", F.lit(True))
     j = manifest.join(r, "asset_path", "left")
-    back = F.coalesce(F.col("_restored"), F.lit(False)) & (F.col("status") == "applied") \
-        & F.col("decision").isin("approved", "overridden")
+    back = F.coalesce(F.col("_restored"), F.lit(False)) & F.col("decision").isin("approved", "overridden") \
+        & F.col("status").isin("applied", "failed") & is_legal(F.col("status"), F.col("decision"))
     return j.select(*[
         F.when(back, F.col("decision")).otherwise(F.col(c)).alias(c) if c == "status"
         else F.when(back, F.lit(None).cast("timestamp")).otherwise(F.col(c)).alias(c) if c == "applied_at"

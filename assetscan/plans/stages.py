@@ -4,13 +4,14 @@
   <root>/demo_asset_inventory   S5 / S15
   <root>/migration_manifest     versioned: version=N (S9, section 7.3)
   <root>/backups                S11, partitioned by stamp
-  <root>/assets_patched         S12
+  <root>/assets_patched         S12, one folder per Apply or restore; the last text of a path counts
   <root>/audit_decisions        S14, append-only
   <root>/audit_summary          S14, append-only
 
 Stage 4 commits in a fixed order: backups, then patched text, then the manifest. A
-crash between them leaves the manifest unchanged, and re-running the stage with the
-same stamp rewrites the same backup partition and the same snapshot.
+crash between them leaves the manifest unchanged; a re-run works on the current text
+(base plus what is patched), adds a snapshot of its own and replaces nothing that is
+committed. With nothing left to apply it writes nothing.
 """
 from __future__ import annotations
 
@@ -81,16 +82,21 @@ def review(spark: SparkSession, wd: Workdir, reviewer: str, as_of: str,
 
 def apply(spark: SparkSession, wd: Workdir, assets: DataFrame, stamp: str, applied_at: str,
           backup_root: str | None = None) -> dict:
-    """Stage 4: backups, patched snapshot, then the stamped manifest."""
+    """Stage 4: backups, patched snapshot, then the stamped manifest. `assets` are the base
+    assets; earlier patches are read over them."""
     backup_root = backup_root or wd.path("backups")
     current = M.read_latest(spark, wd.manifest)
     ws = RW.work_set(current)
     maps, conflicts = RW.edit_maps(ws)
-    rewritten = materialize(RW.rewrite_assets(assets, maps), "rewritten")
+    now = IO.current_assets(assets, IO.read_patched(spark, wd.path("assets_patched")))
+    rewritten = materialize(RW.rewrite_assets(now, maps), "rewritten")
+    if rewritten.isEmpty():
+        return {"version": M.latest_version(spark, wd.manifest), "references_applied": 0, "assets_applied": 0,
+                "references_not_found": 0, "references_conflicting": 0}
     backups = RW.backups_of(rewritten, backup_root, stamp)
     IO.write_backups(backups, backup_root)
     IO.write_patched(rewritten.select("asset_path", "language", F.col("new_source").alias("source")),
-                     wd.path(f"assets_patched/stamp={stamp}"))
+                     wd.path("assets_patched"), stamp)
     outcome = materialize(RW.outcomes(ws, rewritten, conflicts), "outcomes")
     version = M.commit(RW.stamp_applied(current, outcome, applied_at, backup_root, stamp), wd.manifest)
     totals = RW.apply_totals(outcome, rewritten).first().asDict()
@@ -98,10 +104,14 @@ def apply(spark: SparkSession, wd: Workdir, assets: DataFrame, stamp: str, appli
 
 
 def restore(spark: SparkSession, wd: Workdir, backup_root: str | None = None) -> tuple[DataFrame, int]:
-    """Latest backup text per asset; applied rows of those assets go back to their
-    stored decision. Returns (restored assets, manifest version)."""
+    """Latest backup text per asset, written as the current text; applied and failed rows
+    of those assets go back to their stored decision. Returns (restored assets, version)."""
     backup_root = backup_root or wd.path("backups")
-    restored = RW.restore_sources(IO.read_backups(spark, backup_root))
+    restored = materialize(RW.restore_sources(IO.read_backups(spark, backup_root)), "restored")
+    patched = IO.read_patched(spark, wd.path("assets_patched"))
+    languages = patched.groupBy("asset_path").agg(F.max("language").alias("language"))
+    stamp = patched.agg(F.max("stamp")).first()[0]
+    IO.write_patched(restored.join(languages, "asset_path", "left"), wd.path("assets_patched"), stamp)
     version = M.commit(RW.restore_manifest(M.read_latest(spark, wd.manifest), restored), wd.manifest)
     return restored, version
 
@@ -111,19 +121,13 @@ def validate(spark: SparkSession, wd: Workdir, catalog, source_base: str,
     """Stage 5: reconcile applied targets, mark failures, commit, append the audit log."""
     current = materialize(M.read_latest(spark, wd.manifest), "validate-input")
     pairs = RC.pair_by_convention(RC.reconcile_targets(current, target_schema), source_base)
-    # Table names are metadata (one per migrated table); statistics are Spark jobs.
-    names = [r[0] for r in pairs.select(F.explode(F.array("target", "source"))).distinct().collect()]
+    names = pairs.select(F.explode(F.array("target", "source")).alias("name"))
     results = materialize(RC.reconcile(pairs, RC.table_stats(spark, names, catalog)), "reconcile")
     failed = RC.mark_failed(current, results)
     version = M.commit(failed, wd.manifest)
     latest = M.read_latest(spark, wd.manifest)
     entries = AU.decision_rows(latest)
-    audit_path = wd.path("audit_decisions")
-    try:
-        existing = spark.read.parquet(audit_path)
-    except Exception:  # noqa: BLE001 - first run
-        existing = None
-    logged = IO.append_audit(entries, audit_path, existing)
+    logged = IO.append_audit(entries, wd.path("audit_decisions"))
     summary = AU.summary(entries, results)
     summary.write.mode("append").parquet(wd.path("audit_summary"))
     return {"version": version, "newly_logged": logged, **summary.first().asDict(),

@@ -22,15 +22,12 @@ TIER_VERY_COMPLEX = "very_complex"
 
 NOTEBOOK_HEADER = "# Databricks notebook source"
 CELL_SEPARATOR = "\n\n# COMMAND ----------\n\n"     # what the seed writes between cells
-MOUNT_PREFIX_PATTERN = r"^(?:dbfs:)?(/mnt/[^/\"']+)"  # first path component is the mount
 LEGACY_CATALOG = "hive_metastore"
 VOLUME_ROOT = "/Volumes"
 TARGET_SCHEMA_DEFAULT = "uc_migration_target"
 SOURCE_TABLE_PREFIX = "src_"
 
 STATUSES = ("proposed", "approved", "overridden", "skipped", "applied", "failed")
-REFERENCE_KINDS = ("sql_table_ref", "py_table_ref", "mount_path_literal", "dynamic_mount",
-                   "dynamic_table", "dashboard_query")
 # Ours adds one kind: a code cell that could not be read (never skipped silently).
 KIND_UNPARSED = "unparsed_cell"
 
@@ -44,6 +41,8 @@ LEGAL_MOVES = (
     ("applied", "failed"),
     ("applied", "approved"),     # restore of an approved row
     ("applied", "overridden"),   # restore of an overridden row
+    ("failed", "approved"),
+    ("failed", "overridden"),
 )
 REVIEW_DECISIONS = ("approved", "overridden", "skipped")
 # --------------------------------------------------------------------------- #
@@ -116,17 +115,12 @@ DECISIONS = T.StructType([
     T.StructField("reviewed_at", T.TimestampType()),
 ])
 
-BACKUPS = T.StructType([
+PATCHED = T.StructType([
     T.StructField("asset_path", T.StringType()),
+    T.StructField("language", T.StringType()),
     T.StructField("source", T.StringType()),
-    T.StructField("backup_path", T.StringType()),
     T.StructField("stamp", T.StringType()),
-])
-
-TABLE_STATS = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("row_count", T.LongType()),
-    T.StructField("columns", T.ArrayType(T.StringType())),
+    T.StructField("written_at", T.TimestampType()),
 ])
 
 CONTROL_TABLES = {

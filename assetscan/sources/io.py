@@ -6,6 +6,9 @@ manifest is versioned (`assetscan.operators.manifest.commit`).
 """
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,11 +124,17 @@ def create_control_tables(spark: SparkSession, root: str) -> dict[str, str]:
     out = {}
     for name, schema in S.CONTROL_TABLES.items():
         path = f"{root.rstrip('/')}/{name}"
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        table = f"{path}/version=0" if name == "migration_manifest" else path    # the manifest is versioned
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(table)
         out[name] = path
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_control_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(S.CONTROL_TABLES[name]).parquet(path)
 
@@ -142,30 +151,59 @@ def read_backups(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 
 
-def write_patched(patched: DataFrame, path: str) -> None:
-    """The patched asset snapshot (asset_path, language, source) with each asset's
-    own language kept (fix 22)."""
-    patched.write.mode("overwrite").parquet(path)
+def write_patched(patched: DataFrame, root: str, stamp: str) -> None:
+    """The patched texts of one Apply (asset_path, language, source), with each asset's own
+    language kept (fix 22), as the snapshot of `stamp`. Every snapshot is a folder of its own,
+    so a later run with the same stamp adds to what is committed and never replaces it."""
+    snapshot = f"{root.rstrip('/')}/snapshot={stamp}-{uuid.uuid4().hex[:12]}"
+    patched.select("asset_path", "language", "source", F.lit(stamp).alias("stamp"),
+                   F.current_timestamp().alias("written_at")).write.mode("errorifexists").parquet(snapshot)
+
+
+def read_patched(spark: SparkSession, root: str) -> DataFrame | None:
+    """All patched texts, or None before the first Apply."""
+    if not path_exists(spark, root):
+        return None
+    return spark.read.option("recursiveFileLookup", "true").schema(S.PATCHED).parquet(root)
+
+
+def current_assets(assets: DataFrame, patched: DataFrame | None) -> DataFrame:
+    """The assets as they are now: the base text, or the last patched one. Only stamps are
+    aggregated; texts are joined once."""
+    if patched is None:
+        return assets
+    at = F.struct("stamp", "written_at")
+    last = patched.groupBy("asset_path").agg(F.max(at).alias("_at"))
+    newest = (patched.withColumn("_at", at).join(last, ["asset_path", "_at"])
+              .select("asset_path", F.col("source").alias("_source")).dropDuplicates(["asset_path"]))
+    return assets.join(newest, "asset_path", "left").select(
+        *[F.coalesce("_source", "source").alias("source") if c == "source" else F.col(c) for c in assets.columns])
 
 
-def append_audit(entries: DataFrame, path: str, existing: DataFrame | None) -> int:
-    """Append only entries not logged before (idempotent re-runs)."""
+def append_audit(entries: DataFrame, path: str) -> int:
+    """Append only entries not logged before (idempotent re-runs). A log that exists but
+    cannot be read is an error, not a first run."""
     from ..operators.audit import new_entries
-    fresh = entries if existing is None else new_entries(existing, entries)
-    fresh = fresh.cache()
+    from ..plans.partitioning import materialize
+    spark = entries.sparkSession
+    if path_exists(spark, path):
+        entries = new_entries(spark.read.schema(entries.schema).parquet(path), entries)
+    fresh = materialize(entries, "audit")
     n = fresh.count()
     if n:
         fresh.write.mode("append").parquet(path)
-    fresh.unpersist()
     return n
 
 
 def write_asset_files(assets: DataFrame, root: str, extension: str = "py") -> None:
     """Each asset's text to `<root><asset_path>.<extension>`, written by the executors
     in parallel (one task per partition, no text through the driver). `root` must be a
-    filesystem every executor mounts (a shared volume); `read_asset_files` reads it back."""
+    filesystem every executor mounts (a shared volume); other schemes are refused, since
+    Python's `open` would make a local folder of them. `read_asset_files` reads it back."""
     import os
 
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root) and not root.startswith("file:"):
+        raise ValueError(f"not a mounted folder: {root}")
     base = root.split(":", 1)[-1] if root.startswith("file:") else root
 
     def write_partition(rows):

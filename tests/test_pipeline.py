@@ -44,7 +44,9 @@ def test_files_to_manifest_to_patched_and_back(spark):
 
     out = ST.apply(spark, wd, assets, stamp="20240601T000000Z", applied_at=AS_OF)
     assert out["references_applied"] == 8 and out["version"] == 3
-    patched = spark.read.parquet(wd.path("assets_patched"))
+    again = ST.apply(spark, wd, assets, stamp="20240601T000000Z", applied_at=AS_OF)
+    assert again["references_applied"] == 0 and again["version"] == 3       # nothing left, nothing lost
+    patched = IO.read_patched(spark, wd.path("assets_patched"))
     texts = {r.asset_path: r.source for r in patched.collect()}
     assert 'spark.read.table("main.uc_migration_target.transactions")' in texts["/simple/simple_01_read_table"]
     assert "/Volumes/main/uc_migration_target/finance_raw/gl" in texts["/complex/complex_07_dbfs_prefix"]
@@ -57,13 +59,21 @@ def test_files_to_manifest_to_patched_and_back(spark):
     res = ST.validate(spark, wd, lambda n: src if n.split(".")[-1] in ("transactions", "src_transactions") else
                       (_ for _ in ()).throw(KeyError(n)), source_base="demo", target_schema="uc_migration_target")
     assert res["tables_matched"] == 1 and res["tables_unverifiable"] >= 1
+    assert res["newly_logged"] == 8
     again = ST.validate(spark, wd, lambda n: src, source_base="demo")
-    assert again["newly_logged"] == 0 or again["newly_logged"] < res["newly_logged"] + 1
+    assert again["newly_logged"] == 0
+    # a table that now differs fails its rows, and only those are logged again
+    other = spark.range(3).toDF("a")
+    third = ST.validate(spark, wd, lambda n: other if n.endswith(".transactions") else src, source_base="demo")
+    failed = M.read_latest(spark, wd.manifest).filter("status = 'failed'").count()
+    assert failed > 0 and third["newly_logged"] == failed
 
     restored, _ = ST.restore(spark, wd)
     originals = {r.asset_path: r.source for r in assets.collect()}
     assert all(originals[r.asset_path] == r.source for r in restored.collect())
-    assert M.read_latest(spark, wd.manifest).filter("status = 'applied'").count() == 0
+    assert M.read_latest(spark, wd.manifest).filter("status in ('applied', 'failed')").count() == 0
+    now = {r.asset_path: r.source for r in IO.current_assets(assets, IO.read_patched(spark, wd.path("assets_patched"))).collect()}
+    assert now == originals
 
 
 def test_write_then_read_asset_files_round_trip(spark):
@@ -72,3 +82,35 @@ def test_write_then_read_asset_files_round_trip(spark):
     IO.write_asset_files(nbs, base)
     back = {r.asset_path: r.source for r in IO.read_asset_files(spark, base).collect()}
     assert back == {r.asset_path: r.source for r in nbs.collect()}
+
+
+def test_two_rounds_of_apply_keep_both_edits(spark):
+    base = tempfile.mkdtemp(prefix="assetscan-two-")
+    wd = ST.Workdir(os.path.join(base, "work"))
+    from helpers import NB, SEP, assets_of
+    from assetscan import schemas as S
+    assets = assets_of(spark, {"/nb": NB + SEP + 'spark.table("risk_db.exposures")\nspark.table("x_db.y")'})
+    ST.discover(spark, wd, assets, listing=None, as_of=AS_OF)
+    ST.scan(spark, wd, assets, DM.demo_mapping(spark), AS_OF)
+    ST.review(spark, wd, "me", AS_OF)
+    assert ST.apply(spark, wd, assets, "s1", AS_OF)["references_applied"] == 1
+    row = M.read_latest(spark, wd.manifest).filter("original_reference = 'x_db.y'").first()
+    decisions = spark.createDataFrame([(row.manifest_id, row.reference_kind, "overridden", "main.s.y", "me", None)], S.DECISIONS)
+    ST.review(spark, wd, "me", AS_OF, decisions)
+    assert ST.apply(spark, wd, assets, "s2", AS_OF)["references_applied"] == 1
+    now = IO.current_assets(assets, IO.read_patched(spark, wd.path("assets_patched"))).first().source
+    assert "main.uc_migration_target.exposures" in now and "main.s.y" in now
+
+
+def test_a_crashed_commit_is_passed_over_and_read_errors_are_raised(spark):
+    import pytest
+    root = os.path.join(tempfile.mkdtemp(prefix="assetscan-man-"), "m")
+    assert M.latest_version(spark, root) is None
+    assert M.commit(M.empty_manifest(spark), root) == 1
+    os.makedirs(os.path.join(root, "version=2-crashed"))
+    assert M.latest_version(spark, root) == 1
+    assert M.commit(M.empty_manifest(spark), root) == 2
+    with open(os.path.join(next(p for _, p in [M._versions(spark, root)[-1]]).replace("file:", ""), "part-bad.parquet"), "w") as f:
+        f.write("broken")
+    with pytest.raises(Exception):
+        M.read_latest(spark, root).count()

@@ -1,12 +1,9 @@
-"""The paths a large cluster takes: lookups too big to broadcast (shuffle join, AQE),
-explicit salting, and spread partitioning give the same results as the small path."""
+"""The paths a large cluster takes: lookups too big to broadcast (shuffle join, AQE), long texts
+and many tables give the same results as the small path."""
 import pytest
-from pyspark.sql import functions as F
 
 from assetscan.operators import resolve as R
-from assetscan.plans import joins as J
 from assetscan.plans import scan as SC
-from assetscan.plans.partitioning import spread
 from assetscan.sources import demo as DM
 
 
@@ -29,33 +26,16 @@ def _rows(df):
                                               "confidence", "reason").collect())
 
 
-def test_resolution_is_the_same_without_broadcast(spark, no_auto_broadcast):
+def test_resolution_is_the_same_without_broadcast(spark, request):
     assets = DM.demo_notebooks(spark).drop("tier", "hms_ref_count")
     refs = SC.scan_references(assets)
-    small = R.resolve(refs, DM.demo_mapping(spark), DM.demo_mounts(spark))
-    big = R.resolve(refs, DM.demo_mapping(spark), DM.demo_mounts(spark), max_broadcast_rows=0)
+    small = _rows(R.resolve(refs, DM.demo_mapping(spark), DM.demo_mounts(spark)))
+    request.getfixturevalue("no_auto_broadcast")
+    big = R.resolve(refs, DM.demo_mapping(spark), DM.demo_mounts(spark))
     big.write.format("noop").mode("overwrite").save()
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    assert _rows(small) == _rows(big)
-
-
-def test_salted_lookup_join_matches_plain_join(spark, no_auto_broadcast):
-    left = spark.range(2000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
-        F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"), F.col("id"))
-    right = spark.range(50).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"),
-                                   (F.col("id") * 10).alias("v")).unionByName(
-        spark.createDataFrame([("hot", -1)], "k string, v long"))
-    plain = sorted(tuple(r) for r in left.join(right, "k", "left").collect())
-    salted = J.lookup_join(left, right, ["k"], max_broadcast_rows=0, salt_buckets=8, salt_from=["id"])
-    assert sorted(tuple(r) for r in salted.select("k", "id", "v").collect()) == plain
-
-
-def test_spread_only_when_partitions_are_few(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() > 1
-    many = spark.range(100).repartition(64)
-    assert spread(many, "id").rdd.getNumPartitions() == 64
+    assert small == _rows(big)
 
 
 def test_table_stats_in_small_batches(spark, monkeypatch):
@@ -66,3 +46,39 @@ def test_table_stats_in_small_batches(spark, monkeypatch):
     rows = {r.table_name: (r.row_count, None if r.columns is None else list(r.columns))
             for r in RC.table_stats(spark, list(cat) + ["missing"], lambda n: cat[n]).collect()}
     assert rows == {**{f"t{i}": (i + 1, ["a"]) for i in range(5)}, "t5": (3, ["b"]), "missing": (None, None)}
+
+
+def test_many_names_are_read_in_bounded_batches(spark, monkeypatch):
+    from assetscan.operators import reconcile as RC
+    seen, table = [], spark.range(4).toDF("a")
+
+    def read(name):
+        seen.append(name)
+        return table
+
+    sizes = []
+    plain = RC._batch_stats
+    monkeypatch.setattr(RC, "STATS_BATCH", 5000)
+    monkeypatch.setattr(RC, "_batch_stats", lambda s, names, r: sizes.append(len(names)) or plain(s, names, r))
+    names = spark.range(10000).selectExpr("concat('c.s.t_', id) as name")
+    stats = RC.table_stats(spark, names, read)
+    assert stats.count() == 10000 and stats.filter("row_count = 4").count() == 10000
+    assert sizes == [5000, 5000] and len(set(seen)) == 10000
+
+
+def test_long_literals_and_lists_pass_through_every_stage(spark):
+    from helpers import NB, SEP, assets_of
+    from assetscan.operators import review as RV, rewrite as RW, manifest as M
+    blob = ("x" * 50 + r"\\\n") * 2000
+    names = ", ".join(f"d{i}.t{i} a{i}" for i in range(3000))
+    src = (NB + SEP + f"a = '{blob}'\nb = \"{blob}\"\nc = \"\"\"{blob}\n\"\"\"\nspark.table('risk_db.exposures')"
+           + SEP + f"# MAGIC %sql\n# MAGIC SELECT '{blob}' FROM risk_db.exposures, {names}" + SEP + f"x = f'{blob}'\nspark.sql('SELECT 1 FROM risk_db.exposures WHERE a = 1')")
+    assets = assets_of(spark, {"/nb": src})
+    for python in ("syntax", "lexical"):
+        rows = SC.scan_resolved(assets, DM.demo_mapping(spark), DM.demo_mounts(spark), python=python).collect()
+        assert sum(r.original_reference == "risk_db.exposures" for r in rows) == 3
+        assert len(rows) == 3003
+    man = RV.batch_approve(M.proposed_rows(SC.scan_resolved(assets, DM.demo_mapping(spark), DM.demo_mounts(spark)), "2024-01-01 00:00:00"), "me", "2024-01-01 00:00:00")
+    maps, _ = RW.edit_maps(RW.work_set(man))
+    text = RW.rewrite_assets(assets, maps).first().new_source
+    assert text.count("main.uc_migration_target.exposures") == 3 and len(text) == len(src) + 3 * (len("main.uc_migration_target.exposures") - len("risk_db.exposures"))
