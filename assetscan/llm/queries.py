@@ -62,4 +62,41 @@ QUERIES = {
     "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+def _words(table: str, key: str, pattern: str) -> str:
+    """Words of each row's lower-cased text (A-Z only), as a list."""
+    return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            f"'abcdefghijklmnopqrstuvwxyz'), '{pattern}') AS w FROM {table}")
+
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH d AS ({_words("documents", "doc_id", _ALNUM)}),
+b AS (SELECT * FROM ({_words("benchmark", "item_id", _ALNUM)}) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS win
+       FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b)),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+             FROM d JOIN (SELECT DISTINCT n FROM bw) ON len(w) >= n)),
+hits AS (SELECT * FROM dw WHERE EXISTS (SELECT 1 FROM bw WHERE bw.n = dw.n AND bw.win = dw.win)),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits JOIN bw USING (n, win)) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op9_jaccard_join": f"""
+WITH RECURSIVE d AS ({_words("documents", "doc_id", _SPACED)}),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 90 * (p.n + q.n - k)),
+reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.c)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+}
