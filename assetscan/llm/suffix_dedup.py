@@ -10,8 +10,9 @@ Not all suffixes are moved. Of the depth-72 buckets only those of sampled offset
 window of 200 - 72 + 1 offsets the one with the smallest identifier, so that equal 200-byte strings sample the same
 bucket at the same place. Offsets alone in their bucket are settled. Of the others, a run of
 windows that has the same sample is compared as a whole first (the identifier of the run's span); only runs with a
-shared bucket and a span of their own (the borders of repeats) are refined to depth 200, suffix by suffix.
-Buckets are counted with map-side sums and joined, never gathered, so hot strings spread over tasks.
+shared bucket and a span of their own (the borders of repeats) are refined: in blocks of 16 suffixes by the bytes that
+the block shares, then suffix by suffix to depth 200. Buckets are counted with map-side sums and joined, never
+gathered, so hot strings spread over tasks.
 
 Defined results. Null text: empty. Texts under 200 bytes keep all bytes. Repeated rows repeat each other. Null
 doc_id is carried. Empty table: no rows.
@@ -90,7 +91,8 @@ def _pieces(batches):
 
 
 def _runs(batches):
-    """Runs of windows with one sampled offset: (its bucket, the span's identifier, row, first window, windows)."""
+    """Runs of windows with one sampled offset: its bucket, the span's identifier, row, first window, windows,
+    the sampled offset's distance from the first window, and that the run itself is to be settled."""
     for rows, buf, offs, base in _pieces(batches):
         n = len(buf) - LENGTH + 1
         if n <= 0:
@@ -112,43 +114,81 @@ def _runs(batches):
         span = C.mix64(_pair(depth_200(id64, id72, first), depth_200(id64, id72, last), 28) + m.astype(U))
         rk = rows.column(rows.schema.get_field_index("rk")).to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(C.signed(id72[index[first]])), pa.array(C.signed(span)), pa.array(rk[doc]),
-             pa.array(first - offs[doc] + base), pa.array(m.astype(np.int32))], names=["key", "span", "rk", "s", "m"])
-
-
-def _windows(batches):
-    """Border runs with their texts -> one row per window with its depth-200 bucket."""
-    for b in batches:
-        keys, spans, wids, rks, at, single = [], [], [], [], [], []
-        for rk, text, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-            data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-            for r in runs:
-                part = data[r["s"]:r["s"] + r["m"] - 1 + LENGTH]
-                wid = depth_200(*bucket_ids(part), np.arange(r["m"]))
-                keys.append(np.full(r["m"], r["key"], np.int64)), wids.append(C.signed(wid)), rks.append(np.full(r["m"], rk, np.int64))
-                at.append(np.arange(r["s"], r["s"] + r["m"])), single.append(np.full(r["m"], r["single"]))
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, wids, rks, at, single)],
-                                             names=["key", "wid", "rk", "s", "single"])
+            [pa.array(C.signed(id72[index[first]])), pa.array(C.signed(span)), pa.array(rk[doc]), pa.array(first - offs[doc] + base),
+             pa.array(m.astype(np.int32)), pa.array((index[first] - first).astype(np.int32)), pa.array(np.ones(len(m), bool))],
+            names=["key", "span", "rk", "s", "m", "d", "single"])
+
+
+def _parts(size: int):
+    """Border runs with their texts -> the same windows in blocks of `size`, aligned to the sampled offset.
+
+    A block's key is the identifier of the bytes that all windows of the (unclipped) block share; its span
+    that of all bytes of the windows it has here. For size 1 both are the window's depth-200 bucket."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for rk, text, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+                for r in runs:
+                    s, m, d = r["s"], r["m"], r["d"]
+                    id64, id72 = bucket_ids(data[s:s + m - 1 + LENGTH])
+                    back = d - np.arange(m)                       # sampled offset minus window
+                    block = back // size
+                    first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+                    last = np.concatenate((first[1:] - 1, [m - 1]))
+                    span = C.mix64(_pair(depth_200(id64, id72, first), depth_200(id64, id72, last), 28) + (last - first + 1).astype(U))
+                    if size == 1:
+                        core = span
+                    else:                                          # bytes from the block's last window to its first one's end
+                        head = d - block[first] * size
+                        core = C.mix64(_pair(id64[head] + C.ODD[40], id64[head + LENGTH - size - 63], 31)
+                                       ^ _pair(id64[head + 64], id72[np.minimum(head + LENGTH - size - 71, len(id72) - 1)], 34))
+                    n = len(first)
+                    out.append((C.signed(C.mix64(core ^ (block[first] + 1).astype(U) * C.ODD[41] ^ U(r["key"] & (2 ** 64 - 1)))), C.signed(span), np.full(n, rk, np.int64),
+                                s + first, (last - first + 1).astype(np.int32), back[first].astype(np.int32), np.full(n, r["single"])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
+                                                 names=["key", "span", "rk", "s", "m", "d", "single"])
+
+    return run
+
+
+def _refine(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """One refinement: (windows settled as repeated, borders to refine further).
+
+    Rows alone in their bucket are settled as unique. Of the rest, rows whose whole span occurs again are repeated in full.
+    Buckets that hold a row with a span of its own go on, with one row for each distinct span."""
+    shared = C.stage_table(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), f"{name}-shared")
+    rows = C.stage_table(C.filter_by_bitmap(rows, "key", shared, "key").join(shared, "key"), f"{name}-rows")
+    spans = C.stage_table(rows.groupBy("key", "span").agg(F.count(F.lit(1)).alias("c"), F.max("single").alias("single"),
+                                                          F.min(F.struct("rk", "s", "m", "d")).alias("at"))
+                          .select("key", "span", "c", "single", "at.*"), f"{name}-spans")
+    whole = rows.where("single").join(spans.where("c > 1").select("key", "span"), ["key", "span"]).select("rk", "s", "m")
+    own = spans.where("c = 1 and single").select("key").distinct()
+    border = spans.join(own, "key", "left_semi").select("key", "rk", "s", "m", "d", (F.col("single") & (F.col("c") == 1)).alias("single"))
+    return whole, border
+
+
+PARTS = "key long, span long, rk long, s long, m int, d int, single boolean"
+BLOCKS = (16, 1)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(rk, s, m): the 200-byte strings at bytes s to s + m - 1 of the row's text also start elsewhere."""
     keyed = C.keyed(docs)
-    runs = C.stage_table(keyed.select("rk", "text").mapInArrow(_runs, "key long, span long, rk long, s long, m int"), "runs")
-    shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    runs = C.stage_table(runs.join(shared, "key"), "shared")
-    spans = C.stage_table(runs.groupBy("key", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rk", "s", "m")).alias("at"))
-                          .select("key", "span", "c", "at.*"), "spans")
-    whole = runs.join(spans.where("c > 1").select("key", "span"), ["key", "span"]).select("rk", "s", "m")
-    border = spans.join(spans.where("c = 1").select("key").distinct(), "key", "left_semi")
-    border = C.stage_table(border.groupBy("rk").agg(F.collect_list(F.struct("key", "s", "m", (F.col("c") == 1).alias("single"))).alias("runs")), "border")
-    texts = C.filter_by_bitmap(keyed.select("rk", "text"), "rk", border, "rk").dropDuplicates(["rk"])
-    windows = C.stage_table(texts.join(border, "rk").select("rk", "text", "runs")
-                            .mapInArrow(_windows, "key long, wid long, rk long, s long, single boolean"), "windows")
-    again = windows.groupBy("key", "wid").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "wid")
-    part = windows.where("single").join(again, ["key", "wid"]).select("rk", "s", F.lit(1).alias("m"))
-    return whole.union(part)
+    runs = C.stage_table(keyed.select("rk", "text").mapInArrow(_runs, PARTS), "runs")
+    found, border = _refine(runs, "runs")
+    texts = None
+    for size in BLOCKS:
+        by_text = C.stage_table(border.groupBy("rk").agg(F.collect_list(F.struct("key", "s", "m", "d", "single")).alias("runs")), "border")
+        if texts is None:                                  # later borders lie in the texts of the first ones
+            texts = C.stage_table(C.filter_by_bitmap(keyed.select("rk", "text"), "rk", by_text, "rk")
+                                  .join(by_text.select("rk"), "rk"), "border-texts")
+        parts = C.stage_table(texts.join(by_text, "rk").select("rk", "text", "runs").mapInArrow(_parts(size), PARTS), f"parts{size}")
+        whole, border = _refine(parts, f"parts{size}")
+        found = found.union(whole)
+    return found
 
 
 def _cut(batches):
