@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-SAMPLE = 4000
+SAMPLE = 2500
 FOLDS = 5
 FEATURE_BITS = 22
 SELECTED = 2000
@@ -113,17 +113,16 @@ def _select(doc: np.ndarray, slot: np.ndarray, y: np.ndarray) -> np.ndarray:
     return seen[np.argsort(-g, kind="stable")[:SELECTED]]
 
 
-def train_chain(texts: pa.Array, labels: np.ndarray, folds: np.ndarray, names: list[str]) -> Chain:
-    """Fit the chain on labelled texts; labels is rows x categories of 0 and 1."""
-    n, parts = len(texts), []
-    base = 0
-    for rows, buf, offs in C.text_chunks([pa.RecordBatch.from_arrays([texts], names=["text"])] if n else []):
-        d, s = features(buf, offs)
-        parts.append(np.unique((d + base).astype(np.int64) << FEATURE_BITS | s))
-        base += rows.num_rows
-    pair = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    doc, slot = pair >> FEATURE_BITS, pair & ((1 << FEATURE_BITS) - 1)
-    k = len(names)
+def distinct_features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of the texts, slots) with each text's slots distinct."""
+    d, s = features(buf, offs)
+    pair = np.unique(d.astype(np.int64) << FEATURE_BITS | s)
+    return np.searchsorted(pair >> FEATURE_BITS, np.arange(len(offs))), (pair & ((1 << FEATURE_BITS) - 1)).astype(np.int32)
+
+
+def train_chain(doc: np.ndarray, slot: np.ndarray, labels: np.ndarray, folds: np.ndarray, names: list[str]) -> Chain:
+    """Fit the chain on the distinct (text number, slot) pairs; labels is texts x categories of 0 and 1."""
+    n, k = len(labels), len(names)
     if not n:
         return Chain(names, np.zeros(0, np.int64), np.zeros((k, 0)), np.zeros((k, k)), np.full(k, -15.0))
     slots = np.unique(np.concatenate([_select(doc, slot, labels[:, c]) for c in range(k)]))
@@ -145,7 +144,8 @@ def train_chain(texts: pa.Array, labels: np.ndarray, folds: np.ndarray, names: l
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES) -> Chain:
-    """Train on a bounded sample of labelled documents; at most SAMPLE * 2 ** categories texts reach the driver."""
+    """Train on a bounded sample of labelled documents: the features of at most SAMPLE * 2 ** categories texts,
+    read on the executors, reach the driver."""
     names = list(categories)
     rank = F.xxhash64(F.col("doc_id"), F.lit(7))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.expr(f"cast({c} as int)").alias(f"y{i}") for i, c in enumerate(categories.values())])
@@ -156,15 +156,29 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGOR
     for combo in known.select(*[f"y{i}" for i in range(len(names))]).distinct().collect():
         part = known.where(" and ".join(f"y{i} = {combo[i]}" for i in range(len(names)))).orderBy(rank, "doc_id").limit(SAMPLE)
         picked = part if picked is None else picked.union(part)
+    none = np.zeros(0, np.int32)
     if picked is None:
-        return train_chain(pa.array([], pa.string()), np.zeros((0, len(names))), np.zeros(0, int), names)
+        return train_chain(none, none, np.zeros((0, len(names))), none, names)
     picked = C.stage_table(picked, "sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    sample = (texts.join(F.broadcast(picked), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(FOLDS)).cast("int"))
-              .dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow())
-    y = np.column_stack([sample[f"y{i}"].to_numpy() for i in range(len(names))]) if sample.num_rows else np.zeros((0, len(names)))
-    text = sample["text"].combine_chunks()
-    return train_chain(text, y, sample["fold"].to_numpy(), names)
+    sample = (texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+              .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(FOLDS)).cast("int"))
+              .withColumn("y", F.array(*[f"y{i}" for i in range(len(names))])).select("doc_id", "text", "fold", "y")
+              .mapInArrow(_sample_features, "doc_id long, fold int, y array<int>, slots array<int>").toArrow().sort_by("doc_id").combine_chunks())
+    if not sample.num_rows:
+        return train_chain(none, none, np.zeros((0, len(names))), none, names)
+    slots = sample["slots"].chunk(0)
+    offs = slots.offsets.to_numpy() - slots.offsets[0].as_py()
+    doc = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
+    y = sample["y"].chunk(0).flatten().to_numpy().reshape(-1, len(names))
+    return train_chain(doc, slots.flatten().to_numpy(), y, sample["fold"].to_numpy(), names)
+
+
+def _sample_features(batches):
+    for rows, buf, offs in C.text_chunks(batches):
+        cuts, slots = distinct_features(buf, offs)
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), rows.column(3), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(slots))],
+                                         names=["doc_id", "fold", "y", "slots"])
 
 
 def _probabilities(chain: Chain, rows: int, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
