@@ -30,12 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory
+
 WINDOW = 1024
 BLOCK_TOKENS = 1 << 20
 STEP_WINDOWS = 64
 END_ID = 0
 MIN_TIER = 64
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "tier int, step_group long")
 # a space that adjoins white space or an end of the text: not a place to split at
@@ -205,6 +207,8 @@ def _packer(paths: tuple[str, str], window: int, block_tokens: int):
                     held = 0
         if docs:
             yield flush()
+        enc.cache.clear()                                  # the next task's pieces are mostly its own
+        release_memory()
 
     return run
 
