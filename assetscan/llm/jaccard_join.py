@@ -8,8 +8,8 @@ class, and one representative per class takes part.
 Links are sought in two steps so that a large group of near copies is not expanded into all its pairs:
 first every member of a prefix bucket is compared with the bucket's head (the member whose prefix
 reaches the shingle first, i.e. the least edited one); verified links form components. Then the members of
-different components that still share a bucket are compared in full, behind length, positional and
-suffix filters. A pair inside one component would add nothing to the components, so no link between
+different components that still share a bucket are compared in full. Candidates of both steps pass length, positional
+and suffix filters before their texts are read, each pair once. A pair inside one component would add nothing to the components, so no link between
 components is lost. The suffix filter splits the hashes at fixed pivots into `SIGNATURE` parts; the parts
 whose parities differ bound the symmetric difference from below.
 
@@ -121,6 +121,7 @@ def _verify(n: int, percent: int):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(step, end - step), b.column(1).slice(step, end - step),
                                                   pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
                 step = end
+        C.release_memory()
 
     return run
 
@@ -132,6 +133,19 @@ def _could_reach(percent: int) -> str:
             f"least(x.pos, y.pos) + 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {need}")
 
 
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that pass the suffix filter and whose prefixes share enough: of the set whose prefix ends first in
+    the order, every shingle that is common lies in both prefixes or after its own, so the intersection is at
+    most the prefixes' plus the longer of what follows them."""
+    side = lambda c: classes.select(F.col("node").alias(c), F.struct("n", "prefix", "sig").alias(f"{c}_")).alias(c)
+    apart = " + ".join(f"bit_count(a_.sig[{i}] ^ b_.sig[{i}])" for i in range(SIGNATURE // 64))
+    both = f"(a_.n + b_.n) * cast({percent} as double) / (100 + {percent}) - 1e-9"
+    most = f"(a_.n + b_.n) * cast({100 - percent} as double) / (100 + {percent}) + 1e-9"
+    return (pairs.join(side("a"), "a").join(side("b"), "b").where(f"{apart} <= {most}")
+            .where(f"size(array_intersect(a_.prefix, b_.prefix)) + greatest(a_.n - size(a_.prefix), b_.n - size(b_.prefix)) >= {both}")
+            .select("a", "b"))
+
+
 def links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with their set's identity, one row per class with its node, verified links)."""
     keyed = C.keyed(docs)
@@ -150,19 +164,15 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFram
     heads = grams.groupBy("gram").agg(F.min(F.struct("pos", "node", "n")).alias("h")).select("gram", "h.*")
     star = (grams.alias("x").join(heads.alias("y"), F.expr("x.gram = y.gram and x.node <> y.node and " + _could_reach(percent)))
             .select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct())
-    first = C.stage_table(_verified(keyed, star, n, percent), "star")
+    first = C.stage_table(_verified(keyed, _plausible(star, classes, percent), n, percent), "star")
     label = C.stage_table(C.connected_components(first.where("linked"), "near"), "labels")
 
     at = grams.join(label, "node", "left").select("gram", "node", "n", "pos", F.coalesce("label", "node").alias("comp"))
     mixed = at.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
-    sig = classes.select("node", *[F.col("sig")[i].alias(f"s{i}") for i in range(SIGNATURE // 64)])
-    at = C.stage_table(at.join(mixed, "gram").join(sig, "node"), "mixed")
-    apart = " + ".join(f"bit_count(x.s{i} ^ y.s{i})" for i in range(SIGNATURE // 64))
-    most = f"(x.n + y.n) * cast({100 - percent} as double) / (100 + {percent}) + 1e-9"
-    rest = (at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.node < y.node and x.comp <> y.comp and {_could_reach(percent)} and {apart} <= {most}"))
-            .select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b")).distinct()
-            .join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    second = C.stage_table(_verified(keyed, rest, n, percent), "rest")
+    at = C.stage_table(at.join(mixed, "gram"), "mixed")
+    rest = (at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.node < y.node and x.comp <> y.comp and {_could_reach(percent)}"))
+            .select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b")).distinct())
+    second = C.stage_table(_verified(keyed, _plausible(rest, classes, percent).join(first.select("a", "b"), ["a", "b"], "left_anti"), n, percent), "rest")
     return sets, classes, first.where("linked").select("a", "b").union(second.where("linked").select("a", "b"))
 
 
