@@ -4,7 +4,7 @@ log10 P(text) = sum over tokens of log10 P(class | class before) + log10 P(word
 0.5. Tokens are the words and one end per text, which is also the context of the first word.
 
 1. Texts are read once into blocks: a bounded number of texts, their tokens as numbers into the block's own
-   sorted vocabulary, and the vocabulary with its training counts. Word counts are sums over the blocks'
+   vocabulary, and the vocabulary with its training counts. Word counts are sums over the blocks'
    vocabularies, so what is shuffled grows with the distinct words per block, not with the tokens.
 2. Exchange clustering, core: the `CORE` most frequent words (the bound is the method's vocabulary of moved
    words) start in classes by frequency; each in turn moves to the class that raises the training likelihood of
@@ -35,10 +35,9 @@ CLASSES = 24            # classes that words are exchanged between
 RARE = CLASSES          # words seen once or never
 END = CLASSES + 1       # the end of a text
 N_CLASSES = CLASSES + 2
-CORE = 1024
+CORE = 512
 SWEEPS = 8
-BLOCK_BYTES = 4 << 20
-SLICES = 32
+BLOCK_BYTES = 6 << 20
 END_HASH = 1            # the end's word; real words hash to other values
 BLOCKS = "block long, docs array<long>, held array<boolean>, lengths array<int>, ids binary, words array<long>, counts array<int>"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, emission double, transitions array<struct<code:int,n:int>>"
@@ -59,7 +58,11 @@ def _blocks(batches):
         tokens[place] = h
         ids = rows.column(0).to_pylist()
         held = np.array([zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i in ids])
-        vocabulary, local = np.unique(tokens, return_inverse=True)
+        vocabulary, local, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")            # frequent words get small numbers, which pack well
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        vocabulary, local = vocabulary[order], rank[local]
         train = np.repeat(~held, words + 1)
         counts = np.bincount(local[train], minlength=len(vocabulary))
         yield pa.RecordBatch.from_arrays(
@@ -72,15 +75,14 @@ def _blocks(batches):
 
 
 def _pack(ids: np.ndarray) -> bytes:
-    """uint32 numbers as their low halves, then their high halves (which compress well)."""
-    x = ids.astype("<u4")
-    return (x & 0xFFFF).astype("<u2").tobytes() + (x >> 16).astype("<u2").tobytes()
+    """Numbers under 2**24 as three planes of bytes, compressed: a block's vocabulary is far smaller."""
+    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    return zlib.compress(np.ascontiguousarray(planes.T).tobytes(), 1)
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    x = np.frombuffer(data, "<u2").astype(np.int64)
-    half = len(x) // 2
-    return x[:half] | x[half:] << 16
+    low, mid, high = np.frombuffer(zlib.decompress(data), np.uint8).reshape(3, -1).astype(np.int64)
+    return low | mid << 8 | high << 16
 
 
 def _row(batch: pa.RecordBatch, i: int):
@@ -201,8 +203,9 @@ def cluster_core(words: np.ndarray, counts: np.ndarray, bigrams: np.ndarray) ->
 
 
 # ---- 3. other words -------------------------------------------------------- #
-def _votes(core, classes, table):
-    """(word, best class, gain over the mean) of each block's non-core words that occur in training texts."""
+def _votes(core, classes, table, repeated):
+    """(word, best class, gain over the mean) of each block's non-core words that occur in training texts.
+    `repeated` is a bitmap that keeps out most words seen once, which need no class of their own."""
 
     def run(batches):
         words, cls, gains = core.value, classes.value, table.value
@@ -221,10 +224,11 @@ def _votes(core, classes, table):
                 for side, near in ((0, before), (1, after)):
                     n = np.bincount(local[use] * N_CLASSES + near[use], minlength=len(vocabulary) * N_CLASSES).reshape(-1, N_CLASSES)
                     score += n @ gains[side][:, :CLASSES]
-                pick = np.flatnonzero(~known & (counts > 0) & (vocabulary != END_HASH))
+                pick = np.flatnonzero(~known & (counts > 0) & (vocabulary != END_HASH) & C.in_bitmap(repeated.value, vocabulary))
                 best = score[pick].argmax(axis=1)
                 gain = score[pick, best] - score[pick].mean(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(vocabulary[pick]), pa.array(best.astype(np.int32)), pa.array(gain)], names=["word", "class", "gain"])
+                yield pa.RecordBatch.from_arrays([pa.array(vocabulary[pick]), pa.array(best.astype(np.int32)),
+                                                  pa.array(np.rint(8 * gain).astype(np.int64))], names=["word", "class", "gain"])
 
     return run
 
@@ -284,8 +288,9 @@ def class_lm_scores(docs: DataFrame) -> DataFrame:
     bigrams = np.zeros(m * m)
     bigrams[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     cls, gains = cluster_core(core, core_counts, bigrams.reshape(m, m))
-    votes = (blocks.mapInArrow(_votes(shared, sc.broadcast(cls), sc.broadcast(gains)), "word long, class int, gain double")
-             .groupBy("word", "class").agg(F.sum("gain").alias("gain"))
+    repeated = C.slot_bitmap(counts.where("c > 1"), "word")
+    votes = (blocks.mapInArrow(_votes(shared, sc.broadcast(cls), sc.broadcast(gains), repeated), "word long, class int, gain long")
+             .repartition("word").groupBy("word", "class").agg(F.sum("gain").alias("gain"))
              .groupBy("word").agg(F.max_by("class", F.struct("gain", -F.col("class"))).alias("class")))
     fixed = C.local_rows(spark, [(int(w), int(c)) for w, c in zip(core, cls)], "word long, core_class int")
     words = (counts.join(votes, "word", "left").join(F.broadcast(fixed), "word", "left")
