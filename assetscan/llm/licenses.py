@@ -3,9 +3,12 @@
 Lines, paragraphs and whole texts are compared as sets of word bigrams (lower case, punctuation dropped,
 spelling variants joined). Sets of sizes a and b can only reach the coefficient t if their sizes differ by at
 most a factor (2 - t) / t, so templates are sorted by size and only those within the bounds are compared; a segment
-with fewer template bigrams than the smallest template would need is not looked at. Templates are a
+is looked at only if it has as many of one template's bigrams (by their hashes) as that template needs. Templates are a
 fixed list, so each task holds them.
 
+A document's licence is its best match; a match that is part of a longer template's match (a header inside the
+complete text, two BSD conditions inside three) is listed but does not name the document.
+
 Defined results. Null or empty text: no match. Fewer than two words: no bigrams, no match. Ties: the higher
 coefficient, then the template's name. Repeated rows: equal results. Null doc_id is carried. Empty table: no rows.
 """
@@ -19,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
+from .license_texts import TEXTS
 
 THRESHOLD = 0.8
 SCHEMA = ("doc_id long, license string, dice double, n_matches long, "
           "matches array<struct<license:string,unit:string,start_word:int,n_words:int,dice:double>>")
-# Public notices and texts of common licences.
+# Public notices and texts of common licences. A header next to its complete text ends in nothing, the text in "-text";
+# "-notice" and "-conditions" are parts that also stand alone.
 TEMPLATES: dict[str, str] = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
@@ -36,10 +41,11 @@ TEMPLATES: dict[str, str] = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
-    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
-    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
-    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely.",
+    "BSD-2-Clause-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib-notice": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely.",
+    **TEXTS,
 }
 # Spellings that count as one.
 VARIANTS = {"licence": "license", "licences": "licenses", "licenced": "licensed", "sublicence": "sublicense", "noncommercial": "non commercial", "programme": "program"}
@@ -56,27 +62,31 @@ def bigrams(words: list[str]) -> frozenset[tuple[str, str]]:
 
 
 class Scanner:
-    """Templates by size, with the lookup that says which bytes are worth a closer look."""
+    """Templates by size, with the lookup that says which segments are worth a closer look."""
 
     def __init__(self, templates: dict[str, str], threshold: float):
         self.threshold = threshold
         self.templates = sorted((len(b), name, b) for name, b in ((n, bigrams(normalise(t))) for n, t in templates.items()) if b)
         self.sizes = np.array([n for n, _, _ in self.templates])
+        self.size_of = {name: n for n, name, _ in self.templates}
         self.factor = (2 - threshold) / threshold
-        smallest = int(self.sizes.min()) if len(self.sizes) else 0
-        self.least_shared = max(1, int(np.ceil(smallest / self.factor - 1e-9)))
-        # every spelling of every template word, so the hashed test never misses a normalised match
-        spelled: dict[str, list[str]] = {}
-        for raw, norm in VARIANTS.items():
-            spelled.setdefault(norm.split()[0], []).append(raw)
-            spelled.setdefault(norm.split()[-1], []).append(raw)
-        words = sorted({w for _, _, b in self.templates for p in b for w in p})
-        words = sorted({s for w in words for s in [w, *spelled.get(w, [])]})
-        raw = "\n".join(words).encode()
-        data = np.frombuffer(raw, np.uint8)
+        self.need = np.maximum(1, np.ceil(self.sizes / self.factor - 1e-9)).astype(np.int64)
+        self.variants = [(self._hashes([raw])[0], self._hashes(norm.split())) for raw, norm in VARIANTS.items()]
+        # template bigrams by hash: rows `first[i]:first[i + 1]` of `owner` are the templates that have `grams[i]`
+        made = [(C.ngrams(h := self._hashes([w for p in sorted(b) for w in p]), np.arange(len(h)) // 2, 2)[0], t) for t, (_, _, b) in enumerate(self.templates)]
+        pairs = np.concatenate([h for h, _ in made]) if made else np.zeros(0, np.uint64)
+        owner = np.concatenate([np.full(len(h), t) for h, t in made]) if made else np.zeros(0, np.int64)
+        order = np.argsort(pairs, kind="stable")
+        self.grams, first = np.unique(pairs[order], return_index=True)
+        self.owner, self.first = owner[order], np.append(first, len(pairs))
+        self.slots = np.zeros(1 << 20, bool)
+        self.slots[(self.grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    @staticmethod
+    def _hashes(words: list[str]) -> np.ndarray:
+        data = np.frombuffer(" ".join(words).encode(), np.uint8)
         starts, ends, _ = C.find_words(data, np.array([0, len(data)]), C.ALPHANUMERIC)
-        self.words = np.zeros(1 << 20, bool)
-        self.words[(C.word_hashes(data, starts, ends) & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        return C.word_hashes(data, starts, ends)
 
     def best(self, words: list[str]) -> tuple[float, str] | None:
         """The template with the highest coefficient of at least the threshold, within the size bounds."""
@@ -92,6 +102,26 @@ class Scanner:
                 top = (dice, name)
         return top
 
+    def _joined(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the word it stands for, hash) of each word with spelling variants joined."""
+        times = np.ones(len(hashes), np.int64)
+        found = [(hashes == raw, norm) for raw, norm in self.variants]
+        for same, norm in found:
+            times[same] = len(norm)
+        origin = np.repeat(np.arange(len(hashes)), times)
+        out = hashes[origin]
+        begin = np.cumsum(times) - times
+        for same, norm in found:
+            for j, h in enumerate(norm):
+                out[begin[same] + j] = h
+        return origin, out
+
+    def name(self, matches: list[dict]) -> dict | None:
+        """The best match that is no part of a longer template's match."""
+        part = lambda m: any(o["start_word"] <= m["start_word"] and m["start_word"] + m["n_words"] <= o["start_word"] + o["n_words"]
+                             and self.size_of[o["license"]] > self.size_of[m["license"]] for o in matches)
+        return min((m for m in matches if not part(m)), key=lambda m: (-m["dice"], m["license"]), default=None)
+
     def scan(self, buf: np.ndarray, offs: np.ndarray) -> list[list[dict]]:
         """Matches of each text. Only segments with enough template words are decoded and compared."""
         n = len(offs) - 1
@@ -100,9 +130,16 @@ class Scanner:
         starts, ends, doc = C.find_words(low, offs, C.ALPHANUMERIC)
         if not len(starts):
             return out
-        known = self.words[(C.word_hashes(low, starts, ends) & np.uint64((1 << 20) - 1)).astype(np.int64)]
-        both = np.concatenate((known[:-1] & known[1:], [False]))          # may begin a template bigram
-        seen = np.concatenate(([0], np.cumsum(both)))
+        origin, hashes = self._joined(C.word_hashes(low, starts, ends))
+        grams, at = C.ngrams(hashes, doc[origin], 2)
+        hit = np.flatnonzero(self.slots[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        where = np.minimum(np.searchsorted(self.grams, grams[hit]), max(len(self.grams) - 1, 0))
+        good = self.grams[where] == grams[hit] if len(hit) else np.zeros(0, bool)
+        hit, where = hit[good], where[good]
+        many = self.first[where + 1] - self.first[where]
+        hit = np.repeat(hit, many)                             # one row per template that has the bigram
+        template = self.owner[np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[where], many)]
+        left, right = origin[at[hit]], origin[at[hit] + 1]     # its words
         lines = np.cumsum(low == 10)[starts]
         blank = low == 10
         blank[1:] &= low[:-1] == 10
@@ -114,8 +151,10 @@ class Scanner:
             new = np.concatenate(([True], (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])))
             a = np.flatnonzero(new)
             z = np.concatenate((a[1:], [len(doc)]))
-            shared = seen[z - 1] - seen[a]
-            for i in np.flatnonzero(shared >= self.least_shared):
+            segment = np.searchsorted(a, left, "right") - 1
+            inside = right < z[segment]
+            key, shared = np.unique(segment[inside] * len(self.templates) + template[inside], return_counts=True)
+            for i in np.unique(key[shared >= self.need[key % len(self.templates)]] // len(self.templates)) if len(key) else ():
                 x, y = int(a[i]), int(z[i])
                 if (x, y) in done:
                     continue
@@ -137,7 +176,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
             found = scanner.scan(buf, offs)
             for m in found:
                 m.sort(key=lambda x: (x["start_word"], x["n_words"]))
-            best = [min(m, key=lambda x: (-x["dice"], x["license"])) if m else None for m in found]
+            best = [scanner.name(m) for m in found]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array([b and b["license"] for b in best], pa.string()), pa.array([b["dice"] if b else 0.0 for b in best], pa.float64()),
                  pa.array([len(m) for m in found], pa.int64()), pa.array(found, pa.list_(struct))],

@@ -48,3 +48,19 @@ def test_size_bounds_never_drop_a_template():
 
 def test_empty_table(spark):
     assert L.scan_licenses(K.frame(spark, [])).count() == 0
+
+
+def test_complete_licence_texts_are_found(spark):
+    owner = "Copyright (c) 2019, The Authors. All rights reserved.\n\n"
+    docs = [(i, owner * (not name.endswith("-text")) + text) for i, (name, text) in enumerate(sorted(L.TEXTS.items()))]
+    got = {r.doc_id: r for r in L.scan_licenses(K.frame(spark, docs)).collect()}
+    for i, name in enumerate(sorted(L.TEXTS)):
+        assert got[i].license == name and got[i].dice > 0.9, name
+
+
+def test_complete_texts_are_complete():
+    ends = {"BSD-2-Clause": "possibility of such damage", "BSD-3-Clause": "possibility of such damage", "Zlib": "from any source distribution",
+            "Unlicense": "refer to http unlicense org", "Apache-2.0-text": "limitations under the license", "GPL-2.0-text": "instead of this license",
+            "GPL-3.0-text": "why not lgpl html", "MPL-2.0-text": "defined by the mozilla public license v 2 0", "CC0-1.0-text": "use of the work"}
+    for name, end in ends.items():
+        assert " ".join(L.normalise(L.TEMPLATES[name])).endswith(end) or end in " ".join(L.normalise(L.TEMPLATES[name])[-20:]), name
