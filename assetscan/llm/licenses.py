@@ -1,11 +1,17 @@
 """Licence scan: normalised text against licence templates by the Dice coefficient of word bigrams.
 
-Lines, paragraphs and whole texts are compared as sets of word bigrams (lower case, punctuation dropped,
+Lines, paragraphs, whole texts and spans of words are compared as sets of word bigrams (lower case, punctuation dropped,
 spelling variants joined). Sets of sizes a and b can only reach the coefficient t if their sizes differ by at
 most a factor (2 - t) / t, so templates are sorted by size and only those within the bounds are compared; a segment
 is looked at only if it has as many of one template's bigrams (by their hashes) as that template needs. Templates are a
 fixed list, so each task holds them.
 
+Spans find what crosses lines and paragraphs or lies inside one. A best span of a template begins and ends with
+its bigrams, and lengthening it over a neighbouring one never lowers the coefficient, so per template with enough
+bigrams in the document spans between the starts and ends of unbroken runs of its bigrams are compared: for each
+start the best end (the first of equal ones), within the size bounds. Spans are taken by coefficient, then the longer
+template, then name; one inside a match of at least its coefficient, or over such a match of its own template, adds nothing.
+
 A document's licence is its best match; a match that is part of a longer template's match (a header inside the
 complete text, two BSD conditions inside three) is listed but does not name the document.
 
@@ -116,6 +122,39 @@ class Scanner:
                 out[begin[same] + j] = h
         return origin, out
 
+    def _spans(self, grams: np.ndarray, hits: np.ndarray, t: int):
+        """(coefficient, first bigram, last bigram) of the best span from each run's start that reaches the threshold.
+        `hits` are the positions of the template's bigrams among the text's bigrams."""
+        size, need = self.templates[t][0], int(self.need[t])
+        distinct = len(np.unique(grams[hits]))
+        if distinct < need:
+            return
+        lo, hi = int(hits[0]), int(hits[-1]) + 1
+        grams, hits = grams[lo:hi], hits - lo
+        order = np.argsort(grams, kind="stable")
+        before = np.full(len(grams), -1)                       # where the same bigram was last
+        same = grams[order[1:]] == grams[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        is_hit = np.zeros(len(grams) + 1, bool)
+        is_hit[hits] = True
+        tail = is_hit[:-1] & ~is_hit[1:]
+        limit = int(size * self.factor + 1e-9)
+        for x in hits[np.diff(hits, prepend=-2) > 1]:
+            width = 2 * limit
+            while True:                                        # the window grows while repeated bigrams keep it small
+                fresh = before[x:x + width] < x
+                have, both = np.cumsum(fresh), np.cumsum(fresh & is_hit[x:x + width][:len(fresh)])
+                if have[-1] > limit or x + width >= len(grams) or both[-1] == distinct:
+                    break
+                width *= 2
+            ends = np.flatnonzero(tail[x:x + width][:np.searchsorted(have, limit, "right")])
+            if not len(ends):
+                continue
+            dice = 2 * both[ends] / (have[ends] + size)
+            best = int(np.argmax(dice))
+            if dice[best] >= self.threshold - 1e-12:
+                yield float(dice[best]), int(x + lo), int(x + ends[best] + lo)
+
     def name(self, matches: list[dict]) -> dict | None:
         """The best match that is no part of a longer template's match."""
         part = lambda m: any(o["start_word"] <= m["start_word"] and m["start_word"] + m["n_words"] <= o["start_word"] + o["n_words"]
@@ -163,11 +202,31 @@ class Scanner:
                 if found:
                     d = int(doc[x])
                     out[d].append({"license": found[1], "unit": unit, "start_word": x - int(first_word[d]), "n_words": y - x, "dice": found[0]})
+        # spans: the documents with enough distinct bigrams of a template
+        key = doc[left] * len(self.templates) + template if len(left) else np.zeros(0, np.int64)
+        order = np.argsort(key, kind="stable")
+        keys, first = np.unique(key[order], return_index=True)
+        cuts = np.append(first, len(key))
+        edge = np.searchsorted(doc[origin[at]], np.arange(n + 1))
+        spans: dict[int, list[tuple]] = {}
+        for i in np.flatnonzero(np.diff(cuts) >= self.need[keys % len(self.templates)]) if len(keys) else ():
+            d, t = divmod(int(keys[i]), len(self.templates))
+            a, z = int(edge[d]), int(edge[d + 1])
+            for dice, x, y in self._spans(grams[a:z], hit[order[cuts[i]:cuts[i + 1]]] - a, t):
+                x, y = int(origin[at[a + x]] - first_word[d]), int(origin[at[a + y] + 1] - first_word[d])
+                spans.setdefault(d, []).append((-dice, -self.templates[t][0], self.templates[t][1], x, y - x + 1))
+        for d, found in spans.items():
+            kept = [(m["dice"], m["license"], m["start_word"], m["start_word"] + m["n_words"]) for m in out[d]]
+            for dice, _, name, x, words in sorted(found):
+                if any(k >= -dice - 1e-12 and (u <= x and x + words <= v or name == other and x < v and u < x + words) for k, other, u, v in kept):
+                    continue
+                kept.append((-dice, name, x, x + words))
+                out[d].append({"license": name, "unit": "span", "start_word": x, "n_words": words, "dice": -dice})
         return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document: its best licence, coefficient, and every matching line, paragraph or whole text."""
+    """Per document: its best licence, coefficient, and every matching line, paragraph, whole text or span."""
     struct = pa.struct([("license", pa.string()), ("unit", pa.string()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("dice", pa.float64())])
 
     def run(batches):

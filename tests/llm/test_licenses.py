@@ -1,3 +1,4 @@
+import random
 import re
 
 from assetscan.llm import licenses as L
@@ -64,3 +65,62 @@ def test_complete_texts_are_complete():
             "GPL-3.0-text": "why not lgpl html", "MPL-2.0-text": "defined by the mozilla public license v 2 0", "CC0-1.0-text": "use of the work"}
     for name, end in ends.items():
         assert " ".join(L.normalise(L.TEMPLATES[name])).endswith(end) or end in " ".join(L.normalise(L.TEMPLATES[name])[-20:]), name
+
+
+def brute_span(words, names):
+    """The highest coefficient of any run of words with each of the templates."""
+    best = {}
+    for name in names:
+        b = L.bigrams(L.normalise(L.TEMPLATES[name]))
+        for i in range(len(words)):
+            have = set()
+            for j in range(i, len(words) - 1):
+                have.add((words[j], words[j + 1]))
+                best[name] = max(best.get(name, 0), 2 * len(have & b) / (len(have) + len(b)))
+    return best
+
+
+def test_spans_over_paragraphs_and_inside_them(spark):
+    rng = random.Random(4)
+    code = K.sentence(rng, 300)
+    mit = L.TEMPLATES["MIT"].replace("conditions: The above", "conditions:\n\nThe above").replace("Software. THE", "Software.\n\nTHE")
+    apache = L.TEMPLATES["Apache-2.0"].replace("License. You may", "License.\n\nYou may").replace("2.0 Unless", "2.0\n\nUnless")
+    gpl = L.TEMPLATES["GPL-3.0"].replace("version. This", "version.\n\nThis").replace("details. You", "details.\n\nYou")
+    docs = [("MIT", mit + "\n\n" + code), ("MIT", K.sentence(rng, 50) + "\n\n" + mit.replace("\n\n", " of us\n\n") + "\n" + code), ("Apache-2.0", code + "\n" + apache + "\n\n" + code),
+            ("GPL-3.0", gpl + "\n\n" + code), ("MIT-notice", "This package is released under the MIT License. See the file. " + code),
+            ("Apache-2.0-text", code + "\n\n" + L.TEXTS["Apache-2.0-text"] + "\n\n" + code), ("Zlib", "a b c\n\n" + L.TEXTS["Zlib"].replace("software", "Library", 1) + "\n" + code),
+            ("BSD-3-Clause", code + "\n" + L.TEXTS["BSD-3-Clause"].replace("the copyright holder nor", "Some Firm nor") + "\n\n" + code), (None, code)]
+    got = {r.doc_id: r for r in L.scan_licenses(K.frame(spark, [(i, t) for i, (_, t) in enumerate(docs)])).collect()}
+    for i, (name, text) in enumerate(docs):
+        assert got[i].license == name, (i, got[i])
+        if name and i != 5:
+            found = [m for m in got[i].matches if m.unit == "span" and m.license == name]
+            assert len(found) == 1, (i, got[i].matches)
+            words = K.words(text, K.ALNUM)[found[0].start_word:found[0].start_word + found[0].n_words]
+            b, have = L.bigrams(L.normalise(L.TEMPLATES[name])), L.bigrams(L.normalise(" ".join(words)))
+            assert abs(2 * len(have & b) / (len(have) + len(b)) - found[0].dice) < 1e-9
+    assert got[5].dice > 0.99 and [m.license for m in got[5].matches if m.unit == "span"][0] == "Apache-2.0-text"
+
+
+def test_best_span_is_the_best_of_all_runs_of_words(spark):
+    rng = random.Random(8)
+    names = ["MIT-notice", "CC0-1.0-notice", "MPL-2.0", "Zlib-notice"]
+    docs = []
+    for i in range(24):
+        words = L.normalise(L.TEMPLATES[names[i % 4]])
+        for _ in range(rng.randint(0, 1 + len(words) // 9)):
+            words[rng.randrange(len(words))] = rng.choice(["other", "the", "noncommercial", "licence"])
+        again = words[:rng.randint(0, len(words))]
+        docs.append((i, " ".join(["of the licence"] * rng.randint(0, 3) + words + ["x the y"] * rng.randint(0, 3) + again + ["end"])))
+    got = {r.doc_id: r for r in L.scan_licenses(K.frame(spark, docs)).collect()}
+    for i, text in docs:
+        for name, dice in brute_span(L.normalise(text), names).items():
+            found = max((m.dice for m in got[i].matches if m.license == name), default=0)
+            higher = any(m.dice >= dice - 1e-9 for m in got[i].matches)
+            assert abs(found - dice) < 1e-9 if found else dice < 0.8 - 1e-9 or higher, (i, name, found, dice)
+
+
+def test_repeated_licence_gives_a_span_for_each(spark):
+    text = "\n\n".join(["abc " * 40 + L.TEXTS["Zlib"].replace("freely", f"freely {w}") for w in ("one", "two", "three")])
+    row = L.scan_licenses(K.frame(spark, [(1, text)])).first()
+    assert len([m for m in row.matches if m.unit == "span" and m.license == "Zlib"]) == 3
