@@ -6,9 +6,10 @@ log10 P(text) = sum over tokens of log10 P(class | class before) + log10 P(word
 1. Texts are read once into blocks: a bounded number of texts, their tokens as numbers into the block's own
    vocabulary, and the vocabulary with its training counts. Word counts are sums over the blocks'
    vocabularies, so what is shuffled grows with the distinct words per block, not with the tokens.
-2. Exchange clustering, core: the `CORE` most frequent words (the bound is the method's vocabulary of moved
-   words) start in classes by frequency; each in turn moves to the class that raises the training likelihood of
-   the class bigrams most, until no word moves. Their bigram counts are a table of fixed size, summed over all blocks.
+2. Exchange clustering, core: the most frequent words, at least `CORE` and else the square root of the vocabulary, start
+   in classes by frequency (at least `CLASSES`, else twice the vocabulary's fourth root); each in turn moves to the class
+   that raises the training likelihood of the class bigrams most, until no word moves. Their bigram counts, a table of
+   the vocabulary's size at most, are summed over all blocks.
 3. Exchange step for all other words seen twice or more: with the core's classes fixed, each block sums the
    log-likelihood of a word's neighbours under each class and passes on its best one with the gain over
    the mean; each word takes the class with the largest sum. Words seen once share one class with words never seen, which
@@ -21,6 +22,7 @@ smoothed values of empty counts. Empty table: no rows.
 """
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -31,11 +33,9 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-CLASSES = 24            # classes that words are exchanged between
-RARE = CLASSES          # words seen once or never
-END = CLASSES + 1       # the end of a text
-N_CLASSES = CLASSES + 2
-CORE = 512
+CLASSES = 24            # at least so many classes that words are exchanged between; one class after them holds words
+                        # seen once or never, and one the end of a text
+CORE = 1024             # at least so many words that exchange one at a time
 SWEEPS = 8
 BLOCK_BYTES = 6 << 20
 END_HASH = 1            # the end's word; real words hash to other values
@@ -43,6 +43,14 @@ BLOCKS = "block long, docs array<long>, held array<boolean>, lengths array<int>,
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, emission double, transitions array<struct<code:int,n:int>>"
 
 
+def n_core(vocabulary: int) -> int:
+    return max(CORE, math.isqrt(vocabulary))
+
+
+def n_classes(vocabulary: int) -> int:
+    return max(CLASSES, math.isqrt(4 * math.isqrt(vocabulary)))
+
+
 # ---- 1. blocks ------------------------------------------------------------- #
 def _blocks(batches):
     part, number = TaskContext.get().partitionId(), 0
@@ -88,8 +96,13 @@ def _unpack(data: bytes) -> np.ndarray:
 def _row(batch: pa.RecordBatch, i: int):
     """Arrays of one block: (lengths, held, token numbers, vocabulary, counts)."""
     get = lambda name: batch.column(batch.schema.get_field_index(name))[i]
-    return (get("lengths").values.to_numpy(), get("held").values.to_numpy(zero_copy_only=False), _unpack(get("ids").as_py()),
-            get("words").values.to_numpy(), get("counts").values.to_numpy())
+    return *_texts(batch, i), get("words").values.to_numpy(), get("counts").values.to_numpy()
+
+
+def _texts(batch: pa.RecordBatch, i: int):
+    """Arrays of one block's texts: (lengths, held, token numbers)."""
+    get = lambda name: batch.column(batch.schema.get_field_index(name))[i]
+    return get("lengths").values.to_numpy(), get("held").values.to_numpy(zero_copy_only=False), _unpack(get("ids").as_py())
 
 
 def _contexts(lengths: np.ndarray) -> np.ndarray:
@@ -128,6 +141,12 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
+def _joint(cls: np.ndarray, bigrams: np.ndarray, k: int) -> np.ndarray:
+    """Class-bigram counts."""
+    member = np.eye(k)[cls]
+    return member.T @ bigrams @ member
+
+
 def exchange(bigrams: np.ndarray, fixed: np.ndarray, classes: int, start: np.ndarray, sweeps: int = SWEEPS) -> tuple[np.ndarray, list[float]]:
     """Exchange clustering of words by their bigram counts.
 
@@ -137,8 +156,7 @@ def exchange(bigrams: np.ndarray, fixed: np.ndarray, classes: int, start: np.nda
     k = int(start.max(initial=0)) + 1
     k = max(k, classes)
     cls = start.copy()
-    joint = np.zeros((k, k))
-    np.add.at(joint, (cls[:, None].repeat(len(cls), 1), cls[None, :].repeat(len(cls), 0)), bigrams)
+    joint = _joint(cls, bigrams, k)
     value = lambda j: _xlogx(j).sum() - _xlogx(j.sum(1)).sum() - _xlogx(j.sum(0)).sum()
     history = [float(value(joint))]
     for _ in range(sweeps):
@@ -181,22 +199,20 @@ def exchange(bigrams: np.ndarray, fixed: np.ndarray, classes: int, start: np.nda
     return cls, history
 
 
-def cluster_core(words: np.ndarray, counts: np.ndarray, bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cluster_core(words: np.ndarray, counts: np.ndarray, bigrams: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
     """(class of each core word, smoothed log P of class c next to core class d as (2, d, c) table)."""
     m = len(words) + 1
     start = np.empty(m, np.int64)
     order = np.argsort(-counts, kind="stable")
-    start[order] = np.arange(len(words)) % CLASSES
-    start[-1] = RARE                                          # all words outside the core stay together
+    start[order] = np.arange(len(words)) % classes
+    start[-1] = classes                                        # all words outside the core stay together
     fixed = np.zeros(m, bool)
     fixed[-1] = True
     end = np.searchsorted(words, END_HASH)
     if end < len(words) and words[end] == END_HASH:
-        start[end], fixed[end] = END, True
-    cls, _ = exchange(bigrams.astype(float), fixed, CLASSES, start)
-    joint = np.zeros((N_CLASSES, N_CLASSES))
-    np.add.at(joint, (cls[:, None].repeat(m, 1), cls[None, :].repeat(m, 0)), bigrams)
-    joint += 0.5
+        start[end], fixed[end] = classes + 1, True
+    cls, _ = exchange(bigrams, fixed, classes, start)
+    joint = _joint(cls, bigrams, classes + 2) + 0.5
     after = np.log(joint / joint.sum(0))                      # P(class before d | class c) at [d, c]
     ahead = np.log(joint / joint.sum(1, keepdims=True)).T     # P(class after d | class c) at [d, c]
     return cls[:-1], np.stack((after, ahead))
@@ -209,21 +225,23 @@ def _votes(core, classes, table, repeated):
 
     def run(batches):
         words, cls, gains = core.value, classes.value, table.value
+        k = gains.shape[1]
+        rare, end = k - 2, k - 1
         for b in batches:
             for i in range(b.num_rows):
                 lengths, held, local, vocabulary, counts = _row(b, i)
                 at = np.minimum(np.searchsorted(words, vocabulary), max(len(words) - 1, 0))
                 known = words[at] == vocabulary if len(words) else np.zeros(len(vocabulary), bool)
-                of = np.where(known, cls[at] if len(words) else RARE, RARE)[local]
+                of = np.where(known, cls[at] if len(words) else rare, rare)[local]
                 first = _contexts(lengths)
-                before = np.concatenate(([END], of[:-1]))
-                before[first] = END
-                after = np.concatenate((of[1:], [END]))
+                before = np.concatenate(([end], of[:-1]))
+                before[first] = end
+                after = np.concatenate((of[1:], [end]))
                 use = np.repeat(~held, lengths) & ~known[local] & (vocabulary[local] != END_HASH)
-                score = np.zeros((len(vocabulary), CLASSES))
+                score = np.zeros((len(vocabulary), rare))
                 for side, near in ((0, before), (1, after)):
-                    n = np.bincount(local[use] * N_CLASSES + near[use], minlength=len(vocabulary) * N_CLASSES).reshape(-1, N_CLASSES)
-                    score += n @ gains[side][:, :CLASSES]
+                    n = np.bincount(local[use] * k + near[use], minlength=len(vocabulary) * k).reshape(-1, k)
+                    score += n @ gains[side][:, :rare]
                 pick = np.flatnonzero(~known & (counts > 0) & (vocabulary != END_HASH) & C.in_bitmap(repeated.value, vocabulary))
                 best = score[pick].argmax(axis=1)
                 gain = score[pick, best] - score[pick].mean(axis=1)
@@ -237,28 +255,31 @@ def _votes(core, classes, table, repeated):
 def _score(totals, sizes, mass):
     """Blocks with their vocabulary's counts and classes -> per text sums and class-bigram counts."""
     n_train, v_train = totals
+    k = len(sizes)
+    rare, end = k - 2, k - 1
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
                             ("emission", pa.float64()), ("transitions", pa.list_(pa.struct([("code", pa.int32()), ("n", pa.int32())])))])
         if not left.num_rows:
             return schema.empty_table()
-        lengths, held, local, vocabulary, _ = _row(left.combine_chunks().to_batches()[0], 0)
-        count = np.zeros(len(vocabulary))
-        cls = np.full(len(vocabulary), RARE)
-        cls[vocabulary == END_HASH] = END
+        row = left.combine_chunks().to_batches()[0]
+        lengths, held, local = _texts(row, 0)
+        count = np.zeros(left["n_words"][0].as_py())
+        cls = np.full(len(count), rare)
+        cls[left["end_at"][0].as_py()] = end
         at = right["at"].to_numpy()
         count[at], cls[at] = right["c"].to_numpy(), right["class"].to_numpy()
         base = np.log10((count + 0.5) / (n_train + 0.5 * (v_train + 1)))
-        emission = np.log10((count + 0.5) / (mass[cls] + 0.5 * (sizes[cls] + (cls == RARE))))
+        emission = np.log10((count + 0.5) / (mass[cls] + 0.5 * (sizes[cls] + (cls == rare))))
         owner = np.repeat(np.arange(len(lengths)), lengths)
         n = len(lengths)
         of = cls[local]
-        before = np.concatenate(([END], of[:-1]))
-        before[_contexts(lengths)] = END
-        pair, times = np.unique(owner * (N_CLASSES * N_CLASSES) + before * N_CLASSES + of, return_counts=True)
-        cuts = np.searchsorted(pair, np.arange(n + 1) * (N_CLASSES * N_CLASSES))
-        inner = pa.StructArray.from_arrays([pa.array((pair % (N_CLASSES * N_CLASSES)).astype(np.int32)), pa.array(times.astype(np.int32))], names=["code", "n"])
+        before = np.concatenate(([end], of[:-1]))
+        before[_contexts(lengths)] = end
+        pair, times = np.unique(owner * (k * k) + before * k + of, return_counts=True)
+        cuts = np.searchsorted(pair, np.arange(n + 1) * (k * k))
+        inner = pa.StructArray.from_arrays([pa.array((pair % (k * k)).astype(np.int32)), pa.array(times.astype(np.int32))], names=["code", "n"])
         sums = lambda x: pa.array(np.bincount(owner, weights=x[local], minlength=n))
         return pa.Table.from_arrays(
             [left["docs"].combine_chunks()[0].values, pa.array(held), pa.array(lengths.astype(np.int64)),
@@ -279,37 +300,40 @@ def class_lm_scores(docs: DataFrame) -> DataFrame:
     counts = C.stage_table(counts, "counts")
     t = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     n_train, v_train = t[0] or 0, t[1]
-    top = counts.where(F.col("word") != END_HASH).orderBy(F.desc("c"), "word").limit(CORE).union(counts.where(F.col("word") == END_HASH)).toArrow()
+    top = counts.where(F.col("word") != END_HASH).orderBy(F.desc("c"), "word").limit(n_core(v_train)).union(counts.where(F.col("word") == END_HASH)).toArrow()
     order = np.argsort(top["word"].to_numpy(), kind="stable")
     core, core_counts = top["word"].to_numpy()[order], top["c"].to_numpy()[order]
     shared = sc.broadcast(core)
     m = len(core) + 1
     cells = blocks.mapInArrow(_core_bigrams(shared), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    k = n_classes(v_train) + 2
     bigrams = np.zeros(m * m)
     bigrams[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    cls, gains = cluster_core(core, core_counts, bigrams.reshape(m, m))
+    cls, gains = cluster_core(core, core_counts, bigrams.reshape(m, m), k - 2)
     repeated = C.slot_bitmap(counts.where("c > 1"), "word")
     votes = (blocks.mapInArrow(_votes(shared, sc.broadcast(cls), sc.broadcast(gains), repeated), "word long, class int, gain long")
              .repartition("word").groupBy("word", "class").agg(F.sum("gain").alias("gain"))
              .groupBy("word").agg(F.max_by("class", F.struct("gain", -F.col("class"))).alias("class")))
     fixed = C.local_rows(spark, [(int(w), int(c)) for w, c in zip(core, cls)], "word long, core_class int")
     words = (counts.join(votes, "word", "left").join(F.broadcast(fixed), "word", "left")
-             .select("word", "c", F.coalesce("core_class", F.when(F.col("c") == 1, F.lit(RARE)).otherwise(F.col("class")), F.lit(RARE)).alias("class")))
+             .select("word", "c", F.coalesce("core_class", F.when(F.col("c") == 1, F.lit(k - 2)).otherwise(F.col("class")), F.lit(k - 2)).alias("class")))
     words = C.stage_table(words, "words")
-    sizes, mass = np.zeros(N_CLASSES), np.zeros(N_CLASSES)
+    sizes, mass = np.zeros(k), np.zeros(k)
     for r in words.groupBy("class").agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).collect():
         sizes[r["class"]], mass[r["class"]] = r["v"], r["n"]
-    sizes[END] = max(sizes[END], 1)
+    sizes[k - 1] = max(sizes[k - 1], 1)
     vocabulary = (blocks.select(F.col("block").alias("part"), F.posexplode("words").alias("at", "word")).join(words, "word").select("part", "at", "c", "class"))
+    texts = blocks.select("block", "docs", "held", "lengths", "ids", F.size("words").alias("n_words"),
+                          (F.array_position("words", F.lit(END_HASH).cast("long")) - 1).alias("end_at"))
     scored = C.stage_table(
-        blocks.groupBy("block").cogroup(vocabulary.groupBy("part")).applyInArrow(_score((n_train, v_train), sizes, mass), SCORED), "scored")
+        texts.groupBy("block").cogroup(vocabulary.groupBy("part")).applyInArrow(_score((n_train, v_train), sizes, mass), SCORED), "scored")
     pairs = scored.where("not held_out").select(F.explode("transitions").alias("t")).groupBy("t.code").agg(F.sum("t.n").alias("n")).collect()
-    joint = np.zeros(N_CLASSES * N_CLASSES)
+    joint = np.zeros(k * k)
     for r in pairs:
         joint[r["code"]] = r["n"]
-    joint = joint.reshape(N_CLASSES, N_CLASSES) + 0.5
+    joint = joint.reshape(k, k) + 0.5
     transition = [float(x) for x in np.log10(joint / joint.sum(1, keepdims=True)).ravel()]
-    logs = F.array(*[F.lit(x) for x in transition])
+    logs = F.expr(f"array({', '.join(f'{x!r}D' for x in transition)})")
     score = F.col("emission") + F.aggregate("transitions", F.lit(0.0), lambda s, x: s + x["n"] * F.get(logs, x["code"]))
     return (scored.withColumn("score", score)
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),

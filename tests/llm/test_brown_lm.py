@@ -55,3 +55,12 @@ def test_empty_table_and_only_held_out_rows(spark):
     only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     r = B.class_lm_scores(K.frame(spark, [(only, "a b")])).collect()[0]
     assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 3) and abs(r.base_score) < 1e-9
+
+
+def test_core_and_classes_follow_the_vocabulary(spark):
+    assert B.n_core(100) >= 1024 and B.n_core(16_000_000) == 4000 and B.n_classes(100) == 24 and B.n_classes(16_000_000) > 120
+    words = np.array([5, 9, B.END_HASH] + list(range(100, 900)))
+    words.sort()
+    counts = np.arange(len(words))[::-1] + 1
+    cls, gains = B.cluster_core(words, counts, np.ones((len(words) + 1,) * 2), 30)
+    assert cls.max() == 31 and gains.shape == (2, 32, 32) and len(set(cls)) > 24
