@@ -10,10 +10,10 @@ log10 P(text) = sum over tokens of log10 P(class | class before) + log10 P(word
    in classes by frequency (at least `CLASSES`, else twice the vocabulary's fourth root); each in turn moves to the class
    that raises the training likelihood of the class bigrams most, until no word moves. Their bigram counts, a table of
    the vocabulary's size at most, are summed over all blocks.
-3. Exchange step for all other words seen twice or more: with the core's classes fixed, each block sums the
-   log-likelihood of a word's neighbours under each class and passes on its best one with the gain over
-   the mean; each word takes the class with the largest sum. Words seen once share one class with words never seen, which
-   so get the probability of rare words.
+3. Exchange step for all other words seen twice or more: with the core's classes fixed, a word's neighbours are counted
+   by side and class and summed over all blocks; it takes the class under which they are most likely, so blocks and
+   partitions change nothing. Words seen once share one class with words never seen, which so get the probability of
+   rare words.
 4. Classes and counts are joined to the blocks' vocabularies; blocks then score their texts.
 
 A word is known by a 64-bit hash. Defined results. Null or empty text: the end alone. A null doc_id counts as the empty
@@ -38,6 +38,7 @@ CLASSES = 24            # at least so many classes that words are exchanged betw
 CORE = 1024             # at least so many words that exchange one at a time
 SWEEPS = 8
 BLOCK_BYTES = 6 << 20
+NEIGHBOURS = 1 << 21    # counts that a task holds before it passes them on
 END_HASH = 1            # the end's word; real words hash to other values
 BLOCKS = "block long, docs array<long>, held array<boolean>, lengths array<int>, ids binary, words array<long>, counts array<int>"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, emission double, transitions array<struct<code:int,n:int>>"
@@ -219,14 +220,15 @@ def cluster_core(words: np.ndarray, counts: np.ndarray, bigrams: np.ndarray, cla
 
 
 # ---- 3. other words -------------------------------------------------------- #
-def _votes(core, classes, table, repeated):
-    """(word, best class, gain over the mean) of each block's non-core words that occur in training texts.
-    `repeated` is a bitmap that keeps out most words seen once, which need no class of their own."""
+def _neighbours(core, classes, k, repeated):
+    """(word, its neighbours) of non-core words in training texts, summed over a task's blocks. Neighbours are pairs of
+    two-byte numbers: side * k + class, and how often. `repeated` is a bitmap that keeps out most words seen once,
+    which need no class of their own."""
 
     def run(batches):
-        words, cls, gains = core.value, classes.value, table.value
-        k = gains.shape[1]
+        words, cls = core.value, classes.value
         rare, end = k - 2, k - 1
+        held_back, size = [], 0
         for b in batches:
             for i in range(b.num_rows):
                 lengths, held, local, vocabulary, counts = _row(b, i)
@@ -237,16 +239,67 @@ def _votes(core, classes, table, repeated):
                 before = np.concatenate(([end], of[:-1]))
                 before[first] = end
                 after = np.concatenate((of[1:], [end]))
-                use = np.repeat(~held, lengths) & ~known[local] & (vocabulary[local] != END_HASH)
-                score = np.zeros((len(vocabulary), rare))
-                for side, near in ((0, before), (1, after)):
-                    n = np.bincount(local[use] * k + near[use], minlength=len(vocabulary) * k).reshape(-1, k)
-                    score += n @ gains[side][:, :rare]
-                pick = np.flatnonzero(~known & (counts > 0) & (vocabulary != END_HASH) & C.in_bitmap(repeated.value, vocabulary))
-                best = score[pick].argmax(axis=1)
-                gain = score[pick, best] - score[pick].mean(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(vocabulary[pick]), pa.array(best.astype(np.int32)),
-                                                  pa.array(np.rint(8 * gain).astype(np.int64))], names=["word", "class", "gain"])
+                wanted = ~known & (counts > 0) & (vocabulary != END_HASH) & C.in_bitmap(repeated.value, vocabulary)
+                use = np.repeat(~held, lengths) & wanted[local]
+                key = local[use].astype(np.int64) * (2 * k)
+                key, n = np.unique(np.concatenate((key + before[use], key + k + after[use])), return_counts=True)
+                held_back.append((vocabulary[key // (2 * k)], key % (2 * k), n))
+                size += len(key)
+                if size >= NEIGHBOURS:
+                    yield _packed_neighbours(held_back)
+                    held_back, size = [], 0
+        if size:
+            yield _packed_neighbours(held_back)
+
+    return run
+
+
+def _packed_neighbours(parts: list[tuple]) -> pa.RecordBatch:
+    word, code, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((code, word))
+    word, code, n = word[order], code[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (code[1:] != code[:-1]))))
+    word, code, n = word[first], code[first], np.add.reduceat(n, first)
+    times = -(-n // 65535)                                    # larger numbers take several pairs
+    last = np.cumsum(times) - 1
+    word, code = np.repeat(word, times), np.repeat(code, times)
+    part = np.full(len(word), 65535)
+    part[last] = n - 65535 * (times - 1)
+    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+    data = np.stack((code, part), axis=1).astype("<u2")
+    offsets = np.append(first, len(word)).astype(np.int32) * 4
+    near = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(word[first]), near], names=["word", "near"])
+
+
+def _best_classes(table):
+    """Rows in order of word -> the class of each word with the highest log-likelihood of all its neighbours, the first of equal ones."""
+
+    def run(batches):
+        gains = table.value
+        k = gains.shape[1]
+        both = gains.reshape(2 * k, k)[:, :k - 2]
+        kept, kept_n = None, None                             # the last word so far: its next rows may be in the next batch
+        pick = lambda w, n: pa.RecordBatch.from_arrays([pa.array(w, pa.int64()), pa.array((n @ both).argmax(axis=1).astype(np.int32))], names=["word", "class"])
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = b.column(0).to_numpy()
+            near = b.column(1)
+            ends = np.frombuffer(near.buffers()[1], np.int32)[near.offset:near.offset + len(near) + 1]
+            data = np.frombuffer(near.buffers()[2], np.uint8)[ends[0]:ends[-1]].view("<u2").reshape(-1, 2).astype(np.int64)
+            new = np.concatenate(([True], rows[1:] != rows[:-1]))
+            word = rows[new]
+            of = np.repeat(np.cumsum(new) - 1, np.diff(ends) // 4)
+            n = np.bincount(of * (2 * k) + data[:, 0], weights=data[:, 1], minlength=len(word) * 2 * k).reshape(-1, 2 * k)
+            if kept is not None and kept == word[0]:
+                n[0] += kept_n
+            elif kept is not None:
+                yield pick([kept], kept_n[None, :])
+            yield pick(word[:-1], n[:-1])
+            kept, kept_n = int(word[-1]), n[-1].copy()
+        if kept is not None:
+            yield pick([kept], kept_n[None, :])
 
     return run
 
@@ -311,9 +364,8 @@ def class_lm_scores(docs: DataFrame) -> DataFrame:
     bigrams[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     cls, gains = cluster_core(core, core_counts, bigrams.reshape(m, m), k - 2)
     repeated = C.slot_bitmap(counts.where("c > 1"), "word")
-    votes = (blocks.mapInArrow(_votes(shared, sc.broadcast(cls), sc.broadcast(gains), repeated), "word long, class int, gain long")
-             .repartition("word").groupBy("word", "class").agg(F.sum("gain").alias("gain"))
-             .groupBy("word").agg(F.max_by("class", F.struct("gain", -F.col("class"))).alias("class")))
+    votes = (blocks.mapInArrow(_neighbours(shared, sc.broadcast(cls), k, repeated), "word long, near binary")
+             .repartition("word").sortWithinPartitions("word").mapInArrow(_best_classes(sc.broadcast(gains)), "word long, class int"))
     fixed = C.local_rows(spark, [(int(w), int(c)) for w, c in zip(core, cls)], "word long, core_class int")
     words = (counts.join(votes, "word", "left").join(F.broadcast(fixed), "word", "left")
              .select("word", "c", F.coalesce("core_class", F.when(F.col("c") == 1, F.lit(k - 2)).otherwise(F.col("class")), F.lit(k - 2)).alias("class")))

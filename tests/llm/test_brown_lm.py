@@ -64,3 +64,56 @@ def test_core_and_classes_follow_the_vocabulary(spark):
     counts = np.arange(len(words))[::-1] + 1
     cls, gains = B.cluster_core(words, counts, np.ones((len(words) + 1,) * 2), 30)
     assert cls.max() == 31 and gains.shape == (2, 32, 32) and len(set(cls)) > 24
+
+
+def test_other_words_take_the_class_of_all_their_neighbours(spark, monkeypatch):
+    """Words outside the core: the class is best over the corpus, whatever the blocks and partitions."""
+    rng = np.random.default_rng(5)
+    core = np.sort(rng.choice(10**9, 12, replace=False) + 10)
+    core = np.insert(core, 0, B.END_HASH)
+    k = 6
+    cls = np.concatenate(([k - 1], rng.integers(0, k - 2, 12)))
+    gains = np.log(rng.dirichlet(np.ones(k), (2, k)).transpose(0, 2, 1))
+    other = [f"w{i}" for i in range(20)]
+    texts = [[int(x) if rng.random() < 0.6 else str(rng.choice(other)) for x in rng.choice(core[1:], 15)] for _ in range(60)]
+    number = {w: 2 * 10**9 + i for i, w in enumerate(other)}
+    rows, want = [], {w: np.zeros(k - 2) for w in number.values()}
+    for at in range(0, 60, 5):
+        tokens, lengths = [], []
+        for t in texts[at:at + 5]:
+            ids = [number.get(w, w) for w in t] + [B.END_HASH]
+            of = [int(cls[list(core).index(x)]) if x in core else k - 2 for x in ids]
+            for i, x in enumerate(ids):
+                if x in want:
+                    want[x] += gains[0, of[i - 1] if i else k - 1, :k - 2] + gains[1, of[i + 1], :k - 2]
+            tokens += ids
+            lengths.append(len(ids))
+        vocabulary, local, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        rows.append((at, [0] * len(lengths), [False] * len(lengths), lengths, bytearray(B._pack(local)), vocabulary.tolist(), counts.tolist()))
+    sc = spark.sparkContext
+    full = sc.broadcast(np.full(4096, 255, np.uint8))
+    for parts, limit in ((1, 1 << 21), (4, 30)):
+        monkeypatch.setattr(B, "NEIGHBOURS", limit)
+        blocks = spark.createDataFrame(rows, B.BLOCKS).repartition(parts)
+        near = blocks.mapInArrow(B._neighbours(sc.broadcast(core), sc.broadcast(cls), k, full), "word long, near binary")
+        got = near.repartition(3, "word").sortWithinPartitions("word").mapInArrow(B._best_classes(sc.broadcast(gains)), "word long, class int").collect()
+        assert {r["word"]: r["class"] for r in got} == {w: int(x.argmax()) for w, x in want.items()} and len(got) == 20
+
+
+def test_many_neighbours_and_batches():
+    import pyarrow as pa
+    gains = np.log(np.random.default_rng(2).dirichlet(np.ones(5), (2, 5)))
+    parts = [(np.array([7, 7, 8]), np.array([0, 9, 3]), np.array([200_000, 5, 65_535])), (np.array([7]), np.array([9]), np.array([70_000]))]
+    batch = B._packed_neighbours(parts)
+    assert batch.column(0).to_pylist() == [7, 8]
+    pairs = np.frombuffer(batch.column(1)[0].as_py(), "<u2").reshape(-1, 2).astype(int)
+    assert pairs[pairs[:, 0] == 0, 1].sum() == 200_000 and pairs[pairs[:, 0] == 9, 1].sum() == 70_005
+
+    class Held:
+        value = gains
+    both = gains.reshape(10, 5)[:, :3]
+    want = [(7, int((200_000 * both[0] + 70_005 * both[9]).argmax())), (8, int(both[3].argmax()))]
+    whole = [tuple(x) for b in B._best_classes(Held)([batch]) for x in zip(*(c.to_pylist() for c in b.columns))]
+    split = [tuple(x) for b in B._best_classes(Held)([B._packed_neighbours([p]) for p in (tuple(x[:1] for x in parts[0]), tuple(x[1:2] for x in parts[0]), parts[1], tuple(x[2:] for x in parts[0]))])
+             for x in zip(*(c.to_pylist() for c in b.columns))]
+    assert whole == split == want
