@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 
 from . import decontamination, jaccard_join, packing, pii, toxicity
 
+# The stage's shingles and similarity; op9's query has its own.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove documents that the classifier chain rejects."""
@@ -13,8 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of similar ones."""
-    return jaccard_join.keep_one_of_each(docs)
+    """Keep one document of each group of similar ones, by word shingles of NEAR_WORDS at NEAR_PERCENT or more."""
+    return jaccard_join.keep_one_of_each(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

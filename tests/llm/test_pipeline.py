@@ -33,3 +33,19 @@ def test_every_stage_takes_effect(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == left[3]
     assert all(r.length <= 1024 for r in packed)
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(11)
+    base = K.sentence(rng, 100).split(" ")
+    two = ["changed" if i in (30, 70) else w for i, w in enumerate(base)]
+    docs = [(1, " ".join(base)), (2, " ".join(two)), (3, K.sentence(rng, 100))] + J.near_group(n=40)
+    sets = [J.shingles(t, 5) for _, t in docs]
+    assert 0.8 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.82
+    label = list(range(len(docs)))
+    for _ in docs:                                            # smallest row reachable over links
+        for i, x in enumerate(sets):
+            label[i] = min(label[j] for j, y in enumerate(sets) if 5 * len(x & y) >= 4 * len(x | y))
+    kept = pipeline.drop_near_duplicates(spark, K.frame(spark, docs), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted({docs[i][0] for i in label})
+    assert {1, 3} <= {r.doc_id for r in kept} and 2 not in {r.doc_id for r in kept}
