@@ -182,17 +182,18 @@ def mount_pattern_matches(manifest: DataFrame, mounts: DataFrame) -> DataFrame:
 
 
 def candidates_mount(manifest: DataFrame, cells: DataFrame, mounts: DataFrame) -> DataFrame:
-    """V9, second half: one row per reference. Where the field in the mount's name is assigned a
-    string in the same cell, that names the mount (an equi-join with the registry); the
+    """V9, second half: one row per reference and mount it names. Each distinct string assigned to the field
+    in the mount's name in the same cell names a mount (an equi-join with the registry); the
     others keep their pattern, whose candidates are `mount_pattern_matches`."""
     refs = dynamic_mounts(manifest).join(cells.select("asset_path", "cell_index", "code"), ["asset_path", "cell_index"], "left")
     body = X.literal_body(F.col("original_reference"))
     names = F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(1))
     values = F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(2))
     field = F.regexp_extract(body, P.MOUNT_FIELD_RE, 2)
-    value = F.get(values, F.array_position(names, field).cast("int") - 1)
-    named = F.concat(F.regexp_extract(body, P.MOUNT_FIELD_RE, 1), value, F.regexp_extract(body, P.MOUNT_FIELD_RE, 3))
-    refs = refs.withColumn("named_mount", F.when(field != "", F.regexp_extract(named, P.MOUNT_PREFIX_RE, 1)))
+    assigned = F.filter(F.arrays_zip(names.alias("name"), values.alias("value")), lambda x: x["name"] == field)
+    named = F.transform(assigned, lambda x: F.regexp_extract(F.concat(
+        F.regexp_extract(body, P.MOUNT_FIELD_RE, 1), x["value"], F.regexp_extract(body, P.MOUNT_FIELD_RE, 3)), P.MOUNT_PREFIX_RE, 1))
+    refs = refs.select("*", F.explode_outer(F.array_distinct(F.when(field != "", named))).alias("named_mount"))
     reg = mounts.filter(F.col("mount_path").isNotNull()).select(
         F.col("mount_path").alias("named_mount"), F.col("mount_path").alias("candidate_mount"),
         F.col("hms_namespace").alias("candidate_namespace")).distinct()

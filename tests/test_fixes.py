@@ -277,3 +277,13 @@ def test_dynamic_mounts_are_narrowed_by_assigned_strings(spark):
     got = {r.asset_path: (r.mount_pattern, r.candidate_mount) for r in RV.candidates_mount(man, cells, DM.demo_mounts(spark)).collect()}
     assert got == {"/a": ("/mnt/%", "/mnt/finance-raw"), "/b": ("/mnt/%", None)}
     assert RV.mount_pattern_matches(man, DM.demo_mounts(spark)).count() == DM.demo_mounts(spark).count()
+
+
+def test_every_string_assigned_to_the_field_names_a_mount(spark):
+    src = {"/a": NB + SEP + 'm = "finance-raw"\nm = "other"\nm = "finance-raw"\nn = "third"\nspark.read.parquet(f"/mnt/{m}/x")',
+           "/b": NB + SEP + 'spark.read.parquet(f"/mnt/{q}/x")'}
+    from assetscan.operators import cells as C
+    mounts = spark.createDataFrame([("/mnt/finance-raw", "a"), ("/mnt/other", "b"), ("/mnt/third", "c")], "mount_path string, hms_namespace string")
+    got = RV.candidates_mount(_manifest(spark, src), C.split_cells(assets_of(spark, src)), mounts).collect()
+    assert sorted((r.asset_path, r.named_mount or "", r.candidate_namespace or "") for r in got) == [
+        ("/a", "/mnt/finance-raw", "a"), ("/a", "/mnt/other", "b"), ("/b", "", "")]
