@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decontamination, fingerprints, jaccard_join, licenses, packing, pii, sharding, suffix_dedup, toxicity
+from . import brown_lm, decontamination, filter_audit, fingerprints, jaccard_join, licenses, packing, pii, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def q_op10(spark, sf):
     return sharding.sharding_report(_table(spark, sf, "documents"))
 
 
+def q_op13(spark, sf):
+    return filter_audit.filter_interactions(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": q_op1,
     "op2_document_fingerprints": q_op2,
@@ -61,8 +65,10 @@ QUERIES = {
     "op8_personal_data": q_op8,
     "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
+    "op13_filter_audit": q_op13,
 }
 
+
 def _words(table: str, key: str, pattern: str) -> str:
     """Words of each row's lower-cased text (A-Z only), as a list."""
     return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -99,4 +105,34 @@ link AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id =
 reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.c)
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
 FROM d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op13_filter_audit": f"""
+WITH l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+           FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) THEN 16 ELSE 0 END AS mask
+      FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS x FROM m GROUP BY part, mask),
+f(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order,
+                  [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+           FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+             AND a.bit <> b.bit AND a.bit <> c.bit AND a.bit <> d.bit AND a.bit <> e.bit AND b.bit <> c.bit
+             AND b.bit <> d.bit AND b.bit <> e.bit AND c.bit <> d.bit AND c.bit <> e.bit AND d.bit <> e.bit),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS own, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS prior
+          FROM (SELECT filter_order, bits, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+r AS (SELECT part, filter_order, step, own,
+             CAST(sum(CASE WHEN mask & (prior | own) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+             CAST(sum(CASE WHEN mask & prior = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+             CAST(sum(CASE WHEN mask & prior <> 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+             CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+             CAST(sum(CASE WHEN mask & prior = 0 AND mask & own <> 0 THEN g ELSE 0 END) AS BIGINT) AS good_lost,
+             CAST(sum(CASE WHEN mask & prior = 0 AND mask & own <> 0 THEN x ELSE 0 END) AS BIGINT) AS toxic_lost
+      FROM c, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r""",
 }
