@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decontamination, filter_audit, fingerprints, jaccard_join, licenses, packing, pii, sharding, suffix_dedup, toxicity
+from . import brown_lm, decontamination, filter_audit, fingerprints, jaccard_join, licenses, packing, pii, rule_ensemble, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def q_op10(spark, sf):
     return sharding.sharding_report(_table(spark, sf, "documents"))
 
 
+def q_op12(spark, sf):
+    return rule_ensemble.quality_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def q_op13(spark, sf):
     return filter_audit.filter_interactions(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_personal_data": q_op8,
     "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
+    "op12_rule_quality": q_op12,
     "op13_filter_audit": q_op13,
 }
 
