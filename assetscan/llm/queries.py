@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decontamination, filter_audit, fingerprints, jaccard_join, licenses, packing, pii, rule_ensemble, sharding, suffix_dedup, toxicity
+from . import brown_lm, decontamination, filter_audit, fingerprints, jaccard_join, licenses, packing, pii, pivot_codes, rule_ensemble, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def q_op10(spark, sf):
     return sharding.sharding_report(_table(spark, sf, "documents"))
 
 
+def q_op11(spark, sf):
+    return pivot_codes.code_report(_table(spark, sf, "embeddings"))
+
+
 def q_op12(spark, sf):
     return rule_ensemble.quality_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_personal_data": q_op8,
     "op9_jaccard_join": q_op9,
     "op10_vector_sharding": q_op10,
+    "op11_pivot_codes": q_op11,
     "op12_rule_quality": q_op12,
     "op13_filter_audit": q_op13,
 }
@@ -83,6 +88,28 @@ def _words(table: str, key: str, pattern: str) -> str:
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACED = r"[^\x20\x09-\x0D]+"
 
+
+def _codes_sql(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
+    """Every distance of every part to every entry, round by round."""
+    ctes = [f"""kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"""part AS (SELECT vec_id, label, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, unnest(range({parts})) AS t(p))""",
+            f"""book0 AS (SELECT p, e, x AS y FROM part JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {entries}) USING (vec_id))"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""near{r} AS (SELECT vec_id, label, p, any_value(x) AS x, min(d * {entries} + e) % {entries} AS e, min(d * {entries} + e) // {entries} AS d
+      FROM (SELECT vec_id, label, p, e, x, CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i]))) AS BIGINT) AS d
+            FROM part JOIN book{r} USING (p)) GROUP BY vec_id, label, p)""")
+        if r < rounds:
+            ctes.append(f"""mean{r} AS (SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS y FROM
+      (SELECT p, e, i, CAST(sum(x[i]) AS DOUBLE) AS s, count(*) AS n FROM near{r}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY p, e, i) GROUP BY p, e),
+book{r + 1} AS (SELECT p, e, coalesce(m.y, b.y) AS y FROM book{r} b LEFT JOIN mean{r} m USING (p, e))""")
+    return f"""WITH {", ".join(ctes)},
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
 WITH d AS ({_words("documents", "doc_id", _ALNUM)}),
@@ -110,6 +137,7 @@ link AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id =
 reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.c)
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
 FROM d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op11_pivot_codes": _codes_sql(),
     "op13_filter_audit": f"""
 WITH l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
