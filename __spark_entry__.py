@@ -188,13 +188,13 @@ O.resolved_cte("dm_without", "dm_refs", "mapping", "no_mounts")
 
 O.cte("docs", [], "SELECT 'document' AS asset_type, 'doc/' || doc_id AS asset_path, text AS source FROM documents")
 O.CTES["doc_chunks"] = (["docs"], O.CTES["chunks"][1].replace("FROM estate", "FROM docs"))
-for _n in ("cell_texts", "cell_lang", "cells", "py_cells", "refs_sql", "refs_py", "refs_other"):
+for _n in ("cell_texts", "cell_lang", "cells", "py_cells", "text_refs_sql", "text_refs_py", "text_refs_other"):
     _deps, _body = O.CTES[_n]
     _map = {"chunks": "doc_chunks", "cell_texts": "doc_cell_texts", "cell_lang": "doc_cell_lang",
             "cells": "doc_cells", "py_cells": "doc_py_cells"}
     for _a, _b in _map.items():
         _body = _body.replace(f"FROM {_a}", f"FROM {_b}")
-    O.CTES["doc_" + _n] = ([_map.get(d, d) for d in _deps], _body)
+    O.CTES["doc_" + _n.removeprefix("text_")] = ([_map.get(d, d) for d in _deps], _body)
 
 ORACLES: dict[str, str] = {
     "refs_negative_documents": O.with_ctes(["doc_cells", "doc_refs_sql", "doc_refs_py", "doc_refs_other"], """
@@ -206,7 +206,7 @@ ORACLES: dict[str, str] = {
                 WHERE contains(original_reference, '/mnt/')) AS n_mount_refs"""),
     "cells_split": O.with_ctes(["cells"], "SELECT asset_path, cell_index, language, code FROM cells"),
     "refs_sql": O.with_ctes(["refs_sql"], "SELECT asset_path, cell_index, reference_kind, original_reference FROM refs_sql"),
-    "refs_py_lexical": O.with_ctes(["refs_py"], "SELECT asset_path, cell_index, reference_kind, original_reference FROM refs_py"),
+    "refs_py_lexical": O.with_ctes(["refs_py_lexical"], "SELECT asset_path, cell_index, reference_kind, original_reference FROM refs_py_lexical"),
     "refs_ast": O.with_ctes(["refs_py"], "SELECT asset_path, cell_index, reference_kind, original_reference FROM refs_py"),
     "refs_dashboard": O.with_ctes(["refs_dash"], "SELECT asset_path, cell_index, reference_kind, original_reference FROM refs_dash"),
     "resolve_tables": O.with_ctes(["resolved"], _RES_SEL + f"reference_kind IN ({_TABLE_KINDS})"),
@@ -327,7 +327,7 @@ APPLIED_AT = "2024-06-03 00:00:00"
 BACKUP_ROOT = "/backups"
 
 
-def _apply_inputs(spark, sf, method="tokens"):
+def _apply_inputs(spark, sf, method="places"):
     reviewed = materialize(_reviewed(spark, sf)[0])
     ws = RW.work_set(reviewed)
     maps, conflicts = RW.edit_maps(ws)
@@ -467,50 +467,18 @@ O.cte("maps", ["ws_keys"], """
   SELECT asset_path, map_from_entries(list((CAST(cell_index AS VARCHAR) || chr(1) || original_reference, f))) AS m,
          list_sort(list({'neg_len': -length(original_reference), 'o': original_reference, 'f': f})) AS edit_list
   FROM ws_keys WHERE n = 1 GROUP BY asset_path""")
-O.cte("rw_src", ["estate", "maps"], f"""
-  SELECT e.asset_path, e.source, m.m, m.edit_list,
-         regexp_extract(e.source, {_L(P.HEADER_RE)}, 0) AS hdr,
-         {O.rr('e.source', P.HEADER_RE, "''")} AS body
-  FROM estate e JOIN maps m ON e.asset_path = m.asset_path""")
-O.cte("rw_chunks", ["rw_src"], f"""
-  SELECT asset_path, hdr, m, pos, chunk, sep,
-         CASE WHEN flag THEN sum(CAST(flag AS INTEGER)) OVER (PARTITION BY asset_path ORDER BY pos) - 1 END AS cell
-  FROM (SELECT asset_path, hdr, m, pos, chunks[pos] AS chunk, seps[pos] AS sep,
-               NOT regexp_matches({O.rr('chunks[pos]', P.EDGE_NEWLINES_RE, "''")}, {_L(P.BLANK_RE)}) AS flag
-        FROM (SELECT asset_path, hdr, m, chunks, seps, unnest(generate_series(1, len(chunks))) AS pos
-              FROM (SELECT asset_path, hdr, m, string_split_regex(body, {_L(P.SEPARATOR_RE)}) AS chunks,
-                           list_append(regexp_extract_all(body, {_L(P.SEPARATOR_RE)}, 0), '') AS seps
-                    FROM rw_src)))""")
-_QP = _L(P.QUOTED_PARTS_RE)
-O.cte("rw_new", ["rw_chunks"], f"""
-  SELECT asset_path, hdr, pos, sep,
-         CASE WHEN cell IS NULL THEN chunk ELSE array_to_string(list_transform(
-           regexp_extract_all(chunk, {_L(P.REWRITE_TOKEN_RE)}, 0), lambda t:
-             CASE WHEN regexp_matches(t, {_L(P.QUOTED_TOKEN_RE)}) THEN
-               coalesce(m[CAST(cell AS VARCHAR) || chr(1) || t],
-                        CASE WHEN m[CAST(cell AS VARCHAR) || chr(1) || regexp_extract(t, {_QP}, 2)] IS NOT NULL
-                             THEN regexp_extract(t, {_QP}, 1) || m[CAST(cell AS VARCHAR) || chr(1) || regexp_extract(t, {_QP}, 2)]
-                                  || regexp_extract(t, {_QP}, 3) END,
-                        array_to_string(list_transform(regexp_extract_all(t, {_L(P.REWRITE_WORD_RE)}, 0),
-                          lambda w: coalesce(m[CAST(cell AS VARCHAR) || chr(1) || w], w)), ''))
-             ELSE coalesce(m[CAST(cell AS VARCHAR) || chr(1) || t], t) END), '') END AS new_chunk
-  FROM rw_chunks""")
-O.cte("rw_tokens", ["rw_new"], """
-  SELECT asset_path, min(hdr) || string_agg(new_chunk || sep, '' ORDER BY pos) AS source
-  FROM rw_new GROUP BY asset_path""")
-O.cte("rw_cand", ["rw_chunks"], f"""
-  SELECT DISTINCT asset_path, cell, cand FROM (
-    SELECT asset_path, cell, unnest(CASE WHEN regexp_matches(t, {_L(P.QUOTED_TOKEN_RE)})
-             THEN list_concat([t, regexp_extract(t, {_QP}, 2)], regexp_extract_all(t, {_L(P.REWRITE_WORD_RE)}, 0))
-             ELSE [t] END) AS cand
-    FROM (SELECT asset_path, cell, unnest(regexp_extract_all(chunk, {_L(P.REWRITE_TOKEN_RE)}, 0)) AS t
-          FROM rw_chunks WHERE cell IS NOT NULL))""")
-O.cte("outcomes", ["ws", "ws_keys", "rw_cand"], """
+# The text after Apply, from the generator's forms: finals in the places of references, all other text as it was.
+def _put(slot: str, value: str) -> str:
+    return f"coalesce(m['1' || chr(1) || {value}], {value})" if slot in ("<a>", "<b>", "<q>", *ES.SLOT_KINDS) else value
+
+
+O.cte("rw_places", ["maps"], f"""
+  SELECT maps.asset_path, {_L(O.HEADER_MD)} || o_orderkey || {_L(S.CELL_SEPARATOR)}
+         || {O.cell_sql('o_orderkey', '(o_custkey % 30)', 'o_custkey', _put)} || chr(10) AS source
+  FROM maps JOIN orders ON maps.asset_path = '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey""")
+O.cte("outcomes", ["ws", "ws_keys"], """
   SELECT w.manifest_id, w.reference_kind, w.asset_path,
-         CASE WHEN k.n > 1 THEN 'conflict'
-              WHEN EXISTS (SELECT 1 FROM rw_cand c WHERE c.asset_path = w.asset_path AND c.cell = w.cell_index
-                                                     AND c.cand = w.original_reference) THEN 'applied'
-              ELSE 'not_found' END AS outcome
+         CASE WHEN k.n > 1 THEN 'conflict' WHEN w.original_reference <> '' THEN 'applied' ELSE 'not_found' END AS outcome
   FROM ws w JOIN ws_keys k ON w.asset_path = k.asset_path AND w.cell_index = k.cell_index
                           AND w.original_reference = k.original_reference""")
 _bk = (f"'{BACKUP_ROOT}/' || md5(asset_path) || '/' || replace(regexp_replace(asset_path, '^/+|/+$', '', 'g'), '/', '__')"
@@ -565,7 +533,7 @@ ORACLES.update({
     "rewrite_literal": O.with_ctes(["estate", "maps"], """
         SELECT e.asset_path, list_reduce(m.edit_list, lambda acc, x: replace(acc, x.o, x.f), e.source) AS source
         FROM estate e JOIN maps m ON e.asset_path = m.asset_path"""),
-    "rewrite_tokens": O.with_ctes(["rw_tokens"], "SELECT asset_path, source FROM rw_tokens"),
+    "rewrite_tokens": O.with_ctes(["rw_places"], "SELECT asset_path, source FROM rw_places"),
     "apply_outcomes": O.with_ctes(["outcomes"], "SELECT manifest_id, reference_kind, asset_path, outcome FROM outcomes"),
     "applied_stamp": O.with_ctes(["reviewed", "outcomes"], f"""
         SELECT r.manifest_id, r.reference_kind,
@@ -748,7 +716,7 @@ ORACLES.update({
         FROM (SELECT {_nb_path} AS asset_path,
                      CASE WHEN o_orderkey % 8 IN (0, 1, 2, 3) THEN 'simple' WHEN o_orderkey % 8 IN (4, 5) THEN 'complex'
                           ELSE 'very_complex' END AS tier,
-                     CAST(CASE WHEN o_orderkey % 8 = 1 THEN 2 WHEN o_orderkey % 8 = 7 THEN 0 ELSE 1 END AS BIGINT) AS declared
+                     CAST({O.by_form('o_orderkey', lambda v, i: str(sum(kind != S.KIND_UNPARSED for kind, _ in ES.form_references(v, i))))} AS BIGINT) AS declared
               FROM orders) i
         LEFT JOIN (SELECT asset_path, CAST(sum(occurrences) AS BIGINT) AS found FROM manifest GROUP BY asset_path) f
           ON i.asset_path = f.asset_path"""),

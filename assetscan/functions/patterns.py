@@ -36,34 +36,15 @@ SQL_MARKER_RE = r"(?im)^[ \t]*%sql\b[ \t]*"
 LANG_MARKER_RE = r"(?m)^[ \t]*%[\w-]+[ \t]*"
 EDGE_SPACE_RE = r"^\s+|\s+\z"
 
-# ---- SQL table names (E1) ------------------------------------------------- #
-# Strings and comments, as one alternation so `--` inside a string is safe.
-SQL_MASK_RE = (r"'(?:[^'\\]|\\.)*+'|\"(?:[^\"\\]|\\.)*+\"|--[^\n]*|/\*[\s\S]*?\*/")
-# Functions whose argument list uses FROM: extract(year from x), trim(x from y), ...
-SQL_FROM_FUNCS_RE = (r"(?i)\b(?:extract|trim|substring|overlay|position)\s*\((?:[^()]|\((?:[^()]|\([^()]*\))*+\))*+\)"
-                     r"|\bis\s+(?:not\s+)?distinct\s+from\b")
+# ---- SQL tokens (E1) ------------------------------------------------------- #
+# They cover every character: magic prefixes and space, comments, strings, names with their dots, single signs.
 _PART = r"(?:`[^`\n]+`|\w+)"
-_NAME = rf"{_PART}(?:\.{_PART})*+"
-_LIST = rf"({_NAME}(?:(?:\s+(?:as\s+)?\w+)?\s*,\s*{_NAME})*+)"
-# A FROM-like keyword, then a name list; an alias is consumed only before a comma so a
-# following JOIN keyword is left for the next match.
-SQL_TABLE_LIST_RE = (
-    r"(?i)\b(?:(?:from|join)\s*\([\s(]*|(?:from|join|into|update|table|view|using|overwrite|describe|desc)\s+)"
-    r"(?:table\s+)?(?:extended\s+|formatted\s+)?(?:if\s+(?:not\s+)?exists\s+)?"
-    + _LIST
-)
-# Names after a comma that follows a subquery, a sample clause or a join condition; LIKE of CREATE TABLE.
-SQL_AFTER_SUBQUERY_RE = rf"(?i)\b(?:from|join|tablesample)\s*\((?:[^()]|\([^()]*\))*+\)\s*(?:as\s+)?(?:\w+\s*)?,\s*{_LIST}"
-_COMPARISON = rf"{_NAME}\s*[=<>!]+\s*{_NAME}"
-SQL_AFTER_ON_RE = rf"(?i)\bon\s+{_COMPARISON}(?:\s+(?:and|or)\s+{_COMPARISON})*+\s*,\s*{_LIST}"
-SQL_CREATE_LIKE_RE = rf"(?i)\bcreate\s+(?:external\s+)?table\s+(?:if\s+not\s+exists\s+)?{_NAME}\s+like\s+({_NAME})"
-SQL_LIST_RES = (SQL_TABLE_LIST_RE, SQL_AFTER_SUBQUERY_RE, SQL_AFTER_ON_RE, SQL_CREATE_LIKE_RE)
-# A table keyword, and words that are no table's name: a text with the first and no name beside the
-# second could not be read.
-SQL_TABLE_KEYWORD_RE = r"(?i)\b(?:from|join|into|update|table|view)\b"
-SQL_RESERVED_RE = r"(?i)^(?:select|from|join|into|update|table|view|where|set|values|on|using)?\z"
-SQL_LIST_SPLIT_RE = r"\s*,\s*"
-SQL_NAME_HEAD_RE = rf"^{_NAME}"
+SQL_TOKEN_RE = (r"(?im:^(?:#|--|//)[ \t]*MAGIC\b[ \t]?(?:[ \t]*%sql\b)?)|(?im:^[ \t]*%sql\b)|\s+|--[^\n]*|/\*[\s\S]*?\*/"
+                r"|'(?:[^'\\]|\\[\s\S])*+'|\"(?:[^\"\\]|\\[\s\S])*+\""
+                rf"|{_PART}(?:\s*\.\s*{_PART})*+|[\s\S]")
+# A mount path as a string, and as the back-ticked part of a name.
+SQL_PATH_RE = r"^['\"]((?:dbfs:)?/mnt/[^'\"]+)['\"]\z"
+SQL_PATH_NAME_RE = r"^\w+\s*\.\s*`((?:dbfs:)?/mnt/[^`]+)`\z"
 
 # ---- Python, lexical form (E3, E4, E6, E7 without a parser) ---------------- #
 # Comments and string literals (with up to two prefix letters), leftmost first.
@@ -94,19 +75,6 @@ ASSIGNED_STRING_RE = r"(?m)^[ \t]*(\w+)[ \t]*=[ \t]*[\"']([^\"'\n]*)[\"']"
 # ---- cheap native prefilter ahead of the Python syntax job ------------------ #
 PY_PREFILTER_RE = r"mnt|\btable\b|\bsql\b"
 
-# ---- rewrite tokens (section 7.4) ------------------------------------------ #
-# Quoted literals (with prefix) are single tokens; otherwise dotted words or runs of
-# other characters. Joining the tokens gives back the exact text.
-REWRITE_TOKEN_RE = (
-    r"[A-Za-z]{0,2}\"\"\"[\s\S]*?\"\"\"|[A-Za-z]{0,2}'''[\s\S]*?'''"
-    r"|[A-Za-z]{0,2}\"(?:[^\"\\\n]|\\.)*+\"|[A-Za-z]{0,2}'(?:[^'\\\n]|\\.)*+'"
-    r"|[`\w.]+|[^`\w.\"']+|[\"']"
-)
-CALL_HEAD_RE = r"(\.(?:table|sql)\(\s*)"
-REWRITE_WORD_RE = r"[`\w.]+|[^`\w.]+"
-QUOTED_TOKEN_RE = r"^[A-Za-z]{0,2}[\"']"
-QUOTED_PARTS_RE = r"^([A-Za-z]{0,2}(?:\"\"\"|'''|\"|'))([\s\S]*?)((?:\"\"\"|'''|\"|'))\z"
-
 # ---- review: candidate names in a cell (V10) ------------------------------ #
 IDENT_RE = r"\w+(?:\.\w+)?"
 DYNAMIC_SUFFIX_RE = r"\.(\w+)[\"']?\s*\)?\s*\z"

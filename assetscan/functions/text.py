@@ -69,32 +69,6 @@ def cell_code(text: Column, language: Column) -> Column:
             .otherwise(text))
 
 
-def sql_table_names(sql: Column) -> Column:
-    """Dotted table names in SQL text, duplicates kept.
-
-    Strings and comments are masked with one alternation, FROM-using functions are masked,
-    then every name list after a table keyword (and those after a subquery, a sample clause or a
-    join condition) is cut at commas and the first word of each item kept. Names with one or
-    two dots survive."""
-    return F.filter(sql_name_heads(sql), lambda n: n.contains(".") & (F.size(F.split(n, r"\.")) <= 3))
-
-
-def sql_name_heads(sql: Column) -> Column:
-    """What stands where SQL text names tables, dotted or not."""
-    masked = F.regexp_replace(sql, rx(P.SQL_MASK_RE), F.lit(" "))
-    masked = F.regexp_replace(masked, rx(P.SQL_FROM_FUNCS_RE), F.lit(" "))
-    lists = F.concat(*[F.regexp_extract_all(masked, rx(p), F.lit(1)) for p in P.SQL_LIST_RES])
-    items = F.flatten(F.transform(lists, lambda l: F.split(l, P.SQL_LIST_SPLIT_RE)))
-    return F.transform(items, lambda i: F.regexp_extract(i, P.SQL_NAME_HEAD_RE, 0))
-
-
-def sql_unreadable(sql: Column) -> Column:
-    """SQL text with a table keyword but nothing that could be a table's name after one."""
-    masked = F.regexp_replace(sql, rx(P.SQL_MASK_RE), F.lit(" "))
-    masked = F.regexp_replace(masked, rx(P.SQL_FROM_FUNCS_RE), F.lit(" "))
-    return masked.rlike(P.SQL_TABLE_KEYWORD_RE) & ~F.exists(sql_name_heads(sql), lambda n: ~n.rlike(P.SQL_RESERVED_RE))
-
-
 def name_parts(name: Column):
     """(namespace, table, keep) of a 2- or 3-part name. Backticks are dropped for lookup.
     `hive_metastore.db.t` looks up as (db, t); any other 3-part name is already

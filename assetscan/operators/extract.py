@@ -1,7 +1,8 @@
 """References found in cells.
 
 SQL cells (and dashboard queries, and the SQL strings of `.sql("...")` calls) are read
-natively by `sql_table_names`. Python cells are read by one `mapInPandas` job with the
+natively by a fold over their tokens (`functions.sqltokens`): table names, mount paths given as locations, and
+an unparsed_cell row beside them when the text could not be read to its end. Python cells are read by one `mapInPandas` job with the
 stdlib `ast` module (`python_refs_syntax`) after a native prefilter; a fully native
 lexical reading (`python_refs_lexical`) exists too, and is what SQL engines can repeat.
 
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import patterns as P
+from ..functions import sqltokens as Q
 from ..functions import text as X
 from ..functions.pysyntax import read_cell
 
@@ -25,22 +27,23 @@ REF_COLS = ["asset_type", "asset_path", "cell_index", "reference_kind", "origina
 NON_CODE_LANGUAGES = ("md", "md-sandbox", "markdown")
 
 
-def _names_to_refs(df: DataFrame, sql_col: str, kind) -> DataFrame:
-    """Explode E1's names from a SQL text column into reference rows."""
-    kind_col = kind if not isinstance(kind, str) else F.lit(kind)
-    rows = df.select("asset_type", "asset_path", "cell_index", kind_col.alias("reference_kind"),
-                     F.explode_outer(X.sql_table_names(F.col(sql_col))).alias("original_reference")) \
-        .filter(F.col("original_reference").isNotNull())
-    _, _, keep = X.name_parts(F.col("original_reference"))
-    return rows.filter(keep).select(*REF_COLS)
+def _sql_pairs(sql: F.Column, kind) -> F.Column:
+    """E1 as (kind, text) pairs of a SQL text: tables of `kind`, mount paths, what could not be read."""
+    def pairs(read: F.Column) -> F.Column:
+        tables = F.filter(Q.table_names(read), lambda n: X.name_parts(n)[2])
+        return F.concat(F.transform(tables, lambda n: _pair(kind, n)),
+                        F.transform(Q.path_names(read), lambda p: _pair("mount_path_literal", p)),
+                        F.when(read["unread"], F.array(_pair(S.KIND_UNPARSED, F.lit("")))).otherwise(F.array().cast(_PAIRS_TYPE)))
+    return Q.bound(Q.read_sql(sql), pairs)
 
 
 def sql_refs(cells: DataFrame) -> DataFrame:
-    """Table names of SQL cells; dashboard queries get kind dashboard_query."""
-    sql_cells = cells.filter(F.col("language") == "sql")
-    kind = F.when(F.col("asset_type") == "dashboard", F.lit("dashboard_query")) \
-        .otherwise(F.lit("sql_table_ref"))
-    return _names_to_refs(sql_cells, "code", kind)
+    """References of SQL cells; tables of dashboard queries get kind dashboard_query."""
+    return _refs_from_pairs(cells.filter(F.col("language") == "sql"), _sql_pairs(F.col("code"), _sql_kind(F.col("asset_type"))))
+
+
+def _sql_kind(asset_type: F.Column) -> F.Column:
+    return F.when(asset_type == "dashboard", F.lit("dashboard_query")).otherwise(F.lit("sql_table_ref"))
 
 
 _SYNTAX_SCHEMA = T.StructType([
@@ -98,16 +101,11 @@ def _pair(kind, text: F.Column) -> F.Column:
     return F.struct(k.alias("kind"), text.alias("text"))
 
 
-def _kept_names(sql: F.Column) -> F.Column:
-    return F.filter(X.sql_table_names(sql), lambda n: X.name_parts(n)[2])
-
-
 def _refs_from_nodes(nodes: DataFrame) -> DataFrame:
     """Syntax-job output -> reference rows: `.sql("...")` strings are read by native E1
     (E4) in the same projection, a `.table("x")` without a 2-part name is dropped."""
     kind, text = F.col("node_kind"), F.col("text")
-    pairs = (F.when((kind == "py_sql") & X.sql_unreadable(text), F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
-             .when(kind == "py_sql", F.transform(_kept_names(text), lambda n: _pair("py_table_ref", n)))
+    pairs = (F.when(kind == "py_sql", _sql_pairs(text, "py_table_ref"))
              .when((kind == "py_table_ref") & ~X.name_parts(text)[2], F.array().cast(_PAIRS_TYPE))
              .otherwise(F.array(_pair(kind, text))))
     return _refs_from_pairs(nodes, pairs)
@@ -134,7 +132,7 @@ def _lexical_pairs(code: F.Column) -> F.Column:
     sql_texts = F.concat(F.regexp_extract_all(code, X.rx(P.PY_SQL_CALL_DQ_RE), F.lit(1)),
                          F.regexp_extract_all(code, X.rx(P.PY_SQL_CALL_SQ_RE), F.lit(1)),
                          F.regexp_extract_all(code, X.rx(P.PY_SQL_CALL_TDQ_RE), F.lit(1)))
-    from_sql = F.flatten(F.transform(sql_texts, _kept_names))
+    from_sql = F.flatten(F.transform(sql_texts, lambda t: _sql_pairs(t, "py_table_ref")))
     dyn = F.transform(F.regexp_extract_all(code, X.rx(P.PY_DYNAMIC_CALL_RE), F.lit(1)),
                       lambda o: F.regexp_replace(o, X.rx(r"\s+\z"), F.lit("")))
     lits = X.python_literals(code)
@@ -143,16 +141,14 @@ def _lexical_pairs(code: F.Column) -> F.Column:
     fmounts = F.filter(lits, lambda l: l.rlike(P.FSTRING_HEAD_RE) & F.regexp_replace(
         X.literal_body(l), X.rx(P.FSTRING_FIELD_RE), F.lit("")).contains("/mnt/"))
     return F.concat(F.transform(tables, lambda o: _pair("py_table_ref", o)),
-                    F.transform(from_sql, lambda o: _pair("py_table_ref", o)),
+                    from_sql,
                     F.transform(dyn, lambda o: _pair("dynamic_table", o)),
                     F.transform(mounts, lambda o: _pair("mount_path_literal", o)),
                     F.transform(fmounts, lambda o: _pair("dynamic_mount", o)))
 
 
 def _native_pairs(cells_lang: F.Column, code: F.Column, asset_type: F.Column) -> F.Column:
-    kind = F.when(asset_type == "dashboard", F.lit("dashboard_query")).otherwise(F.lit("sql_table_ref"))
-    return (F.when((cells_lang == "sql") & X.sql_unreadable(code), F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
-            .when(cells_lang == "sql", F.transform(_kept_names(code), lambda n: _pair(kind, n)))
+    return (F.when(cells_lang == "sql", _sql_pairs(code, _sql_kind(asset_type)))
             .when(~cells_lang.isin("python", *NON_CODE_LANGUAGES) & code.rlike(P.PY_PREFILTER_RE),
                   F.array(_pair(S.KIND_UNPARSED, F.lit(""))))
             .otherwise(F.array().cast(_PAIRS_TYPE)))

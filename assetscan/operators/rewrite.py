@@ -1,28 +1,27 @@
 """Approved edits applied to asset text, backups, stamps, restore.
 
-Edits are grouped per asset into one small map (bounded by the references of that one
-asset, whose text already sits in one row), joined to the assets on `asset_path`, and
-applied inside the row with higher-order functions: no UDF, no explode-and-regroup of
-the text.
+Edits are grouped per asset into one row (bounded by the references of that one asset, whose text already
+sits in one row).
 
 Two rewrites:
   rewrite_literal  the reference's: every original replaced file-wide, longest first,
                    each replace reading the previous one's output.
-  rewrite_tokens   the default (section 7.4): per cell, one pass over tokens, so `db.t`
-                   never hits `db.t_old`, an edit stays in its cell, and a final that
-                   contains its original is not rewritten twice (fixes 17, 18). An edit is
-                   only made where its reference stands: names and paths inside string
-                   literals of Python cells and as words of SQL, with column qualifiers
-                   (`db.t.id`) following their table; an expression built at run time only
-                   as the argument of the `.table(` or `.sql(` call it was found in.
+  rewrite_places   the default (section 7.4, fixes 17 and 18): the cells of the assets with edits are read
+                   again for where references stand (`reference_places`), edits are joined to the places of their cell,
+                   and the disjoint places are spliced. So an edit is only made at a reference: never in a string
+                   that is a value, a comment, a key or a longer name, nor twice in its own output. SQL column
+                   qualifiers (`db.t.id`) follow their table.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..functions import sqltokens as Q
 from ..functions import text as X
+from ..functions.pysyntax import locate_cell
 from .review import is_legal
 
 SEP = "\u0001"
@@ -41,26 +40,17 @@ def edit_key(cell: F.Column, text: F.Column) -> F.Column:
 
 
 def edit_maps(edits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A1: per asset, map `cell<SEP>original -> final`. Returns (maps, conflicts): a key
-    with several distinct finals is a conflict and is left out of the map."""
+    """A1: per asset, the list of (cell, original, final). Returns (maps, conflicts): an original
+    with several distinct finals in its cell is a conflict and is left out."""
     # collect_set runs hash-based (a string min would force a sort-based aggregate)
     per_key = (edits.groupBy("asset_path", "cell_index", "original_reference")
-               .agg(F.collect_set("final_replacement").alias("_s"),
-                    F.max(F.col("reference_kind") == "dynamic_table").alias("_call"))
-               .select("asset_path", "cell_index", "original_reference", F.size("_s").alias("_n"),
-                       F.array_min("_s").alias("_f"), "_call"))
+               .agg(F.collect_set("final_replacement").alias("_s"))
+               .select("asset_path", "cell_index", "original_reference", F.size("_s").alias("_n"), F.array_min("_s").alias("_f")))
     conflicts = per_key.filter(F.col("_n") > 1).select("asset_path", "cell_index", "original_reference")
     maps = (per_key.filter(F.col("_n") == 1)
             .groupBy("asset_path")
-            .agg(F.map_from_entries(F.collect_list(F.when(~F.col("_call"), F.struct(
-                edit_key(F.col("cell_index"), F.col("original_reference")).alias("k"),
-                F.col("_f").alias("v"))))).alias("edit_map"),
-                 F.array_sort(F.collect_list(F.when(F.col("_call"), F.struct(
-                     F.concat(F.col("cell_index").cast("string"), F.lit(SEP)).alias("p"),
-                     F.col("original_reference").alias("o"), F.col("_f").alias("f"))))).alias("call_edits"),
-                 F.collect_list(F.struct(F.length("original_reference").alias("len"),
-                                         F.col("original_reference").alias("o"),
-                                         F.col("_f").alias("f"))).alias("edit_list")))
+            .agg(F.collect_list(F.struct(F.col("cell_index").alias("c"), F.length("original_reference").alias("len"),
+                                         F.col("original_reference").alias("o"), F.col("_f").alias("f"))).alias("edit_list")))
     return maps, conflicts
 
 
@@ -72,115 +62,130 @@ def rewrite_literal_col(source: F.Column, edit_list: F.Column) -> F.Column:
     return F.aggregate(ordered, source, lambda acc, e: F.replace(acc, e["o"], e["f"]))
 
 
-# ---- token rewrite (section 7.4) --------------------------------------------- #
-def _word_key(w: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
-    """The edit a word stands for: its own, or that of the table it qualifies a column with."""
-    own, table = F.concat(prefix, w), F.concat(prefix, F.substring_index(w, ".", 2))
-    return F.when(F.map_contains_key(m, own), own).when(F.map_contains_key(m, table), table)
-
-
-def _word_out(w: F.Column, prefix: F.Column, m: F.Column) -> F.Column:
-    key = _word_key(w, prefix, m)
-    return F.when(key.isNull(), w).otherwise(F.concat(
-        F.try_element_at(m, key), F.substring(w, F.length(key) - F.length(prefix) + 1, F.length(w))))
-
-
-def _token_result(t: F.Column, prefix: F.Column, m: F.Column, python: F.Column) -> F.Column:
-    """struct(out, hits) for one token: its replacement text and the map keys found for
-    it (candidates: a quoted token, its body and its words; a word of SQL)."""
-    k_t = F.concat(prefix, t)
-    v_t = F.try_element_at(m, k_t)
-    quoted = t.rlike(P.QUOTED_TOKEN_RE)
-    body = F.regexp_extract(t, P.QUOTED_PARTS_RE, 2)
-    k_b = F.concat(prefix, body)
-    v_b = F.try_element_at(m, k_b)
-    words = F.regexp_extract_all(t, X.rx(P.REWRITE_WORD_RE), F.lit(0))
-    inner = F.array_join(F.transform(words, lambda w: _word_out(w, prefix, m)), "")
-    q_out = F.coalesce(v_t, F.when(v_b.isNotNull(), F.concat(F.regexp_extract(t, P.QUOTED_PARTS_RE, 1), v_b,
-                                                             F.regexp_extract(t, P.QUOTED_PARTS_RE, 3))),
-                       inner)
-    q_hits = F.filter(F.concat(F.array(k_t, k_b), F.transform(words, lambda w: _word_key(w, prefix, m))),
-                      lambda k: k.isNotNull() & F.map_contains_key(m, k))
-    none = F.array().cast("array<string>")
-    key = _word_key(t, prefix, m)
-    out = F.when(quoted, q_out).when(python, t).otherwise(_word_out(t, prefix, m))
-    hits = F.when(quoted, q_hits).when(python | key.isNull(), none).otherwise(F.array(key))
-    return F.struct(out.alias("out"), hits.alias("hits"))
-
-
-def _cell_numbers(chunks: F.Column) -> F.Column:
-    """Cell index of each chunk (dense over non-blank chunks, as C3 numbers them), NULL
-    for blank chunks. One running `aggregate`; the flags array is evaluated once."""
-    flags = F.transform(chunks, lambda c: (~X.is_blank(X.chunk_text(c))).cast("int"))
-    start = F.struct(F.array().cast("array<int>").alias("idx"), F.lit(0).alias("n"))
-    return F.aggregate(flags, start, lambda acc, f: F.struct(
-        F.concat(acc["idx"], F.array(F.when(f == 1, acc["n"]))).alias("idx"),
-        (acc["n"] + f).alias("n")), lambda acc: acc["idx"])
-
-
-def _mark(number: F.Column) -> F.Column:
-    return F.concat(F.lit("\u0002"), number.cast("string"), F.lit("\u0003"))
-
-
-def _mark_calls(chunk: F.Column, prefix: F.Column, edits: F.Column) -> F.Column:
-    """The chunk with the arguments of `.table(` and `.sql(` that edits of its cell name put aside."""
-    mine = F.filter(edits, lambda e: e["p"] == prefix)
-    return F.aggregate(mine, chunk, lambda text, e: F.regexp_replace(
-        text, F.concat(F.lit(P.CALL_HEAD_RE + r"\Q"), F.replace(e["o"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(\s*[,)])")),
-        F.concat(F.lit("$1"), _mark(F.array_position(edits, e)), F.lit("$2"))))
-
-
-def _fill_marks(text: F.Column, edits: F.Column) -> F.Column:
-    return F.aggregate(edits, text, lambda t, e: F.replace(t, _mark(F.array_position(edits, e)), e["f"]))
-
-
-def rewrite_tokens_df(j: DataFrame) -> DataFrame:
-    """(source, edit_map) rows -> + new_source, hit_keys. Header kept, each non-blank
-    chunk rewritten with its own cell's edits, separators put back, so untouched text is
-    byte-identical.
-
-    Spark shares no sub-expression inside a lambda, so per-row arrays (chunks, their
-    cell prefixes) enter the per-chunk lambda as lambda variables through `zip_with`:
-    a token's work never re-splits its notebook."""
-    if "call_edits" not in j.columns:
-        j = j.withColumn("call_edits", F.array().cast("array<struct<p:string,o:string,f:string>>"))
+# ---- rewrite by place (section 7.4) ------------------------------------------ #
+def cell_chunks(assets: DataFrame) -> DataFrame:
+    """asset_path, pos, chunk, sep, cell_index, language, text: every chunk of every notebook in order, with
+    the separator after it; a blank chunk has no cell. `lead` is the length of what precedes `text` in the chunk."""
     body = X.strip_header(F.col("source"))
-    chunks = X.split_chunks(body)
-    prefixes = F.transform(_cell_numbers(chunks), lambda n: F.concat(n.cast("string"), F.lit(SEP)))
-    m = F.col("edit_map")
-    own = F.lower(F.coalesce(F.col("language"), F.lit("python")))
-    # calls first, as marks that no token holds; the marks become their finals after the tokens
-    marked = F.zip_with(chunks, prefixes, lambda c, p: F.struct(
-        _mark_calls(c, p, F.col("call_edits")).alias("text"), p.alias("p"),
-        (X.cell_language(X.chunk_text(c), own) == "python").alias("python")))
-    j = j.withColumn("_marked", marked)
-    res = F.transform("_marked", lambda c: F.when(c["p"].isNotNull(), F.transform(
-        F.regexp_extract_all(c["text"], X.rx(P.REWRITE_TOKEN_RE), F.lit(0)), lambda t: _token_result(t, c["p"], m, c["python"]))))
-    staged = j.select("*", X.header_of(F.col("source")).alias("_hdr"), chunks.alias("_chunks"),
-                      F.concat(X.separators(body), F.array(F.lit(""))).alias("_seps"), res.alias("_res"))
-    new_chunks = F.zip_with("_chunks", "_res", lambda c, r: F.when(r.isNull(), c).otherwise(
-        _fill_marks(F.array_join(F.transform(r, lambda x: x["out"]), ""), F.col("call_edits"))))
-    text = F.concat(F.col("_hdr"), F.array_join(F.zip_with(new_chunks, F.col("_seps"),
-                                                           lambda c, sp: F.concat(c, sp)), ""))
-    hits = F.array_distinct(F.flatten(F.transform(
-        F.filter("_res", lambda r: r.isNotNull()),
-        lambda r: F.flatten(F.transform(r, lambda x: x["hits"])))))
-    calls = F.transform(F.filter(F.transform("call_edits", lambda e: F.struct(e.alias("e"), F.exists(
-        "_marked", lambda c: (c["p"] == e["p"]) & c["text"].contains(_mark(F.array_position("call_edits", e)))).alias("hit"))),
-        lambda x: x["hit"]), lambda x: F.concat(x["e"]["p"], x["e"]["o"]))
-    return staged.select(*[c for c in j.columns if c != "_marked"], text.alias("new_source"), F.concat(hits, calls).alias("hit_keys"))
-
-
-def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "tokens") -> DataFrame:
+    seps = F.concat(X.separators(body), F.array(F.lit("")))
+    rows = assets.select("asset_path", F.lower(F.coalesce(F.col("language"), F.lit("python"))).alias("own"),
+                         F.posexplode_outer(F.arrays_zip(X.split_chunks(body).alias("chunk"), seps.alias("sep"))).alias("pos", "c"))
+    rows = rows.select("asset_path", "own", "pos", "c.chunk", "c.sep").withColumn("text", X.chunk_text(F.col("chunk")))
+    rows = rows.withColumn("is_cell", ~X.is_blank(F.col("text")))
+    before = Window.partitionBy("asset_path").orderBy("pos")
+    number = (F.sum(F.col("is_cell").cast("int")).over(before) - 1).cast("int")
+    return rows.select("asset_path", "pos", "chunk", "sep", "text", F.when(F.col("is_cell"), number).alias("cell_index"),
+                       F.length(F.regexp_extract("chunk", r"^[\r\n]*", 0)).alias("lead"),
+                       F.when(F.col("is_cell"), X.cell_language(F.col("text"), F.col("own"))).alias("language"))
+
+
+_PLACED = ("asset_path string, cell_index int, kind string, text string, start int, end int, whole boolean, "
+           "pieces array<struct<v:int,s:int,n:int>>")
+
+
+def _locate_batches(batches):
+    names = [c.split()[0] for c in _PLACED.split(", ")]
+    for pdf in batches:
+        rows = [(path, int(cell), kind, text, start, end, whole, [{"v": v, "s": s, "n": n} for v, s, n in pieces])
+                for path, cell, raw in zip(pdf["asset_path"], pdf["cell_index"], pdf["text"])
+                for kind, text, start, end, whole, pieces in locate_cell(raw)]
+        yield pd.DataFrame(rows, columns=names)
+
+
+def _sql_places(found: F.Column, text: F.Column, start: F.Column) -> F.Column:
+    """What an edit may name at one place of SQL text: (key, start, end). A column qualifier gives its first two
+    and three parts; a bare `db.t` counts when `.*` follows."""
+    plain = Q.plain_name(found["text"])
+
+    def place(key: F.Column, wanted: F.Column) -> F.Column:
+        return F.when(wanted, F.struct(key.alias("key"), start.alias("start"), (start + F.length(key)).alias("end")))
+
+    whole = F.struct(plain.alias("key"), start.alias("start"), (start + F.length(found["text"])).alias("end"))
+    path = F.struct(found["text"].alias("key"), start.alias("start"), (start + F.length(found["text"])).alias("end"))
+    two, three = F.substring_index(plain, ".", 2), F.substring_index(plain, ".", 3)
+    tight = plain == found["text"]
+    star = F.substring(text, found["at"] + F.length(found["text"]) + 1, F.lit(2)) == ".*"
+    return (F.when(found["role"] == "T", F.array(whole)).when(found["role"] == "P", F.array(path))
+            .otherwise(F.array_compact(F.array(place(two, tight & ((two != plain) | star)), place(three, tight & (three != two) & ((three != plain) | star))))))
+
+
+def reference_places(chunks: DataFrame) -> DataFrame:
+    """asset_path, cell_index, key, start, end, how of every place in a cell's text that a reference named `key`
+    takes; `how`: inside (of a string, or in SQL), literal (a whole string literal), expression. SQL cells are read natively, magic prefixes included; Python cells by the syntax job, whose `.sql` texts are read
+    natively and carried back to the places their characters have in the cell."""
+    cells = chunks.filter(F.col("cell_index").isNotNull())
+    columns = ["asset_path", "cell_index", "p.key", "p.start", "p.end", "how"]
+    sql = cells.filter(F.col("language") == "sql").select("asset_path", "cell_index", "text", F.explode_outer(Q.read_sql(F.col("text"), True)["found"]).alias("f"))
+    sql = (sql.filter(F.col("f").isNotNull())
+           .select("asset_path", "cell_index", F.explode_outer(_sql_places(F.col("f"), F.col("text"), F.col("f.at"))).alias("p"), F.lit("inside").alias("how"))
+           .filter(F.col("p").isNotNull()).select(*columns))
+    placed = (cells.filter((F.col("language") == "python") & F.col("text").rlike(P.PY_PREFILTER_RE))
+              .select("asset_path", "cell_index", "text").mapInPandas(_locate_batches, schema=_PLACED))
+
+    def carried(f: F.Column) -> F.Column:
+        """What was found in the value, placed in the cell: inside one run of its characters, or not at all."""
+        end = f["at"] + F.length(f["text"])
+        run = F.try_element_at(F.filter("pieces", lambda p: (p["v"] <= f["at"]) & (p["v"] + p["n"] >= end)), F.lit(1))
+        return F.filter(_sql_places(f, F.col("text"), run["s"] + f["at"] - run["v"]), lambda p: p["start"].isNotNull())
+
+    own = F.array(F.struct(F.col("text").alias("key"), "start", "end"))
+    places = F.when(F.col("kind") == "py_sql", F.flatten(F.transform(Q.read_sql(F.col("text"), True)["found"], carried))).otherwise(own)
+    how = (F.when(F.col("kind").isin("dynamic_table", "dynamic_mount"), "expression").when(F.col("whole") & (F.col("kind") != "py_sql"), "literal").otherwise("inside"))
+    python = (placed.select("asset_path", "cell_index", F.explode_outer(places).alias("p"), how.alias("how"))
+              .filter(F.col("p").isNotNull()).select(*columns))
+    return sql.unionByName(python)
+
+
+def splices(places: DataFrame, maps: DataFrame) -> DataFrame:
+    """asset_path, cell_index, key, start, end, put: the edits at their places. Where places lie inside one another the
+    outer one is edited. A literal that is replaced whole gets its final quoted; inside quotes, and in SQL, a final with
+    quotes or line ends would not stay one name and is not put."""
+    edits = (maps.select("asset_path", F.explode("edit_list").alias("e"))
+             .select("asset_path", F.col("e.c").alias("cell_index"), F.col("e.o").alias("key"), F.col("e.f").alias("final")))
+    quoted = F.concat(F.lit('"'), F.regexp_replace("final", r'(["\\])', r"\\$1"), F.lit('"'))
+    met = (places.join(edits, ["asset_path", "cell_index", "key"])
+           .filter((F.col("how") != "inside") | ~F.col("final").rlike(r"[\"'\\\r\n]"))
+           .select("asset_path", "cell_index", "key", "start", "end", F.when(F.col("how") == "literal", quoted).otherwise(F.col("final")).alias("put")))
+    outer = Window.partitionBy("asset_path", "cell_index").orderBy("start", F.desc("end"), "key").rowsBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy("asset_path", "cell_index", "start", "end").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    met = met.distinct().withColumn("reach", F.max("end").over(outer)).withColumn("twin", F.count(F.lit(1)).over(same))
+    return met.filter((F.col("twin") == 0) & (F.col("reach").isNull() | (F.col("reach") <= F.col("start")))).drop("reach", "twin")
+
+
+def rewrite_places(assets: DataFrame, maps: DataFrame) -> DataFrame:
+    """asset_path, language, source -> + new_source, hit_keys. Only cells with splices change; every other
+    character stays, so untouched text is byte-identical."""
+    chunks = cell_chunks(assets)
+    cuts = (splices(reference_places(chunks), maps).groupBy("asset_path", "cell_index")
+            .agg(F.array_sort(F.collect_list(F.struct("start", "end", "put"))).alias("cuts"),
+                 F.collect_set(edit_key(F.col("cell_index"), F.col("key"))).alias("hits")))
+    # a cell's new text: before each cut what stands since the cut before it, then the rest
+    ends = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["end"]))
+    parts = F.transform("cuts", lambda c, i: F.concat(F.substring("text", F.get(ends, i) + 1, c["start"] - F.get(ends, i)), c["put"]))
+    rest = F.substring("text", F.element_at(ends, -1) + 1, F.length("text"))
+    whole = F.concat(F.substring("chunk", F.lit(1), F.col("lead")), F.array_join(parts, ""), rest,
+                     F.substring("chunk", F.col("lead") + F.length("text") + 1, F.length("chunk")))
+    joined = chunks.join(cuts, ["asset_path", "cell_index"], "left").select(
+        "asset_path", "pos", F.concat(F.when(F.col("cuts").isNull(), F.col("chunk")).otherwise(whole), F.col("sep")).alias("text"), "hits")
+    built = joined.groupBy("asset_path").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda c: c["text"]), "").alias("body"),
+        F.flatten(F.collect_list("hits")).alias("hit_keys"))
+    return assets.join(built, "asset_path").select(*assets.columns, F.concat(X.header_of(F.col("source")), F.col("body")).alias("new_source"), "hit_keys")
+
+
+def rewrite_assets(assets: DataFrame, maps: DataFrame, method: str = "places") -> DataFrame:
     """(asset_path, language, source, new_source, hit_keys) for assets with edits."""
-    from ..plans.partitioning import spread
-    j = spread(assets.select("asset_path", "language", "source"), "asset_path").join(maps, "asset_path")
+    from ..plans.partitioning import materialize, spread
     if method == "literal":
+        j = spread(assets.select("asset_path", "language", "source"), "asset_path").join(maps, "asset_path")
         return j.select("asset_path", "language", "source",
                         rewrite_literal_col(F.col("source"), F.col("edit_list")).alias("new_source"),
                         F.filter(F.transform("edit_list", lambda e: e["o"]),
                                  lambda o: F.col("source").contains(o)).alias("hit_originals"))
-    return rewrite_tokens_df(j.select("asset_path", "language", "source", "edit_map", "call_edits")).drop("edit_map", "call_edits")
+    # written once: the maps hold every stage before, and the texts are read by three branches
+    maps = materialize(maps, "edit-maps")
+    texts = materialize(assets.select("asset_path", "language", "source").join(maps.select("asset_path"), "asset_path", "left_semi"), "edited")
+    return rewrite_places(spread(texts, "asset_path"), maps)
 
 
 # ---- backups, stamps, totals, restore (A4-A7) -------------------------------- #
@@ -191,7 +196,7 @@ def backup_path(root: str, asset_path: F.Column, stamp: str) -> F.Column:
                     F.lit(f"__{stamp}.py"))
 
 
-def outcomes(edits: DataFrame, rewritten: DataFrame, conflicts: DataFrame, method: str = "tokens") -> DataFrame:
+def outcomes(edits: DataFrame, rewritten: DataFrame, conflicts: DataFrame, method: str = "places") -> DataFrame:
     """Per manifest row of the work set: applied | not_found | conflict (fix 16: a row
     whose original is not in its cell is not stamped applied)."""
     if method == "literal":

@@ -4,6 +4,7 @@ One notebook per `orders` row, so the estate grows with the data (150,000 notebo
 sf0.1). Everything is built with `concat` over columns, so a SQL engine can repeat it:
   n = o_custkey % 30, ns = db_<n>, t = t_<o_custkey>, v = o_orderkey % 8,
   path = /estate/p<o_orderkey % 10>/nb_<o_orderkey>.
+The code cell is one of the variant's forms (`FORMS`), which also state what it refers to and where.
 Mapping: one row per `part` whose p % 30 is a nation, (db_<p % 30>, t_<p>), so it grows with
 `part` and the names with `customer`; rows with p % 7 = 3 have no target table yet. Mounts: one
 per nation, n % 8 = 7 without a namespace, n % 8 = 6 with one that no mapping row knows. So
@@ -27,23 +28,72 @@ def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
+# The forms of each variant, dealt by (k div 8). In small letters the places of references: <a> and <b> the tables ns.t and
+# ns.t_1, <m> and <g> mount paths, <f> and <d> expressions built at run time, <q> a column's qualifier that follows table a.
+# <A> is the name of table a where it is no reference: a value, a comment, a key, other code. SQL forms are magic cells.
+FORMS: dict[int, list[str]] = {
+    0: ['df = spark.read.table("<a>")',
+        'log("<A>")\ncfg["<A>"] = spark.table("<a>")  # """ of <A>\n<A>.reload()'],
+    1: ["SELECT * FROM <a> a JOIN <b> b ON a.id = b.id",
+        "SELECT * FROM <a> a JOIN <b> b USING (id), <a> c WHERE a.name = '<A>'",
+        "SELECT <q>.id FROM <a> VERSION AS OF 3, <b> AS x (c1, c2) -- FROM <A>",
+        "SELECT * FROM <b> b JOIN <a> a ON b.id = a.id + 1 AND a.d = '2024', <b> z",
+        "MERGE INTO <a> t USING <b> s ON t.id = s.id\nWHEN MATCHED THEN UPDATE SET t.x = s.x, t.y = s.y",
+        "OPTIMIZE <a>;\nSHOW COLUMNS IN <b>",
+        "SELECT * FROM <a> PIVOT (sum(x) FOR y IN (1, 2)), LATERAL (SELECT max(z) FROM <b>) l",
+        "SELECT * FROM IDENTIFIER(:tbl) i, <a> j",
+        "CREATE TABLE <a> USING delta LOCATION '<m>'",
+        "INSERT INTO <a> (c1, c2) SELECT extract(year FROM d), '<A>' FROM <b> WHERE x IS DISTINCT FROM y"],
+    2: ['spark.sql("SELECT id FROM <a>")',
+        'spark.sql("""\nSELECT <q>.id, \'<A>\' AS n\nFROM <a>\n""")',
+        'spark.sql("SELECT <q>.* FROM <a> "\n          "WHERE <q>.k = 1")'],
+    3: ['df = spark.read.parquet("<m>")'],
+    4: ['p = "<g>"\nspark.read.parquet(p)'],
+    5: ['m = "<n>"\nspark.read.parquet(<f>)'],
+    6: ['db = "<s>"\nspark.table(<d>)'],
+    7: ["x = 1 + 1", 'x = (5\n % 3)\nprint("<A>")'],
+}
+UNREAD_FORMS = {(1, 7)}                       # IDENTIFIER(...) names no table that text could tell
+CONCATENATED_FORMS = {(2, 2)}                 # the lexical reading does not join adjacent literals
+SLOT_KINDS = {"<m>": "mount_path_literal", "<g>": "mount_path_literal", "<f>": "dynamic_mount", "<d>": "dynamic_table"}
+
+
+def form_references(v: int, i: int) -> list[tuple[str, str]]:
+    """(kind, slot) of every reference of form i of variant v, by construction."""
+    form, table = FORMS[v][i], "sql_table_ref" if v == 1 else "py_table_ref"
+    found = [(SLOT_KINDS.get(slot, table), slot) for slot in ("<a>", "<b>", *SLOT_KINDS) for _ in range(form.count(slot))]
+    return found + ([(S.KIND_UNPARSED, "")] if (v, i) in UNREAD_FORMS else [])
+
+
+def form_source(v: int, i: int) -> str:
+    form = FORMS[v][i]
+    return "# MAGIC %sql\n# MAGIC " + form.replace("\n", "\n# MAGIC ") if v == 1 else form
+
+
+def by_form(k: F.Column, value) -> F.Column:
+    """`value(v, i)` of the form that notebook k has."""
+    out = None
+    for v, forms in FORMS.items():
+        for i in range(len(forms)):
+            own = (k % 8 == v) & (F.floor(k / 8) % len(forms) == i)
+            out = F.when(own, value(v, i)) if out is None else out.when(own, value(v, i))
+    return out
+
+
+def slot_values(n: F.Column, c: F.Column) -> dict[str, F.Column]:
+    ns, t = F.concat(F.lit("db_"), _s(n)), F.concat(F.lit("t_"), _s(c))
+    a = F.concat(ns, F.lit("."), t)
+    return {"<a>": a, "<q>": a, "<A>": a, "<b>": F.concat(ns, F.lit(".t_1")), "<s>": ns, "<n>": F.concat(F.lit("raw-"), _s(n)),
+            "<m>": F.concat(F.lit("/mnt/raw-"), _s(n), F.lit("/2024/"), t), "<g>": F.concat(F.lit("dbfs:/mnt/raw-"), _s(n), F.lit("/gl")),
+            "<f>": F.lit('f"/mnt/{m}/daily"'), "<d>": F.concat(F.lit('f"{db}.'), t, F.lit('"'))}
+
+
 def notebook_cell(k: F.Column, n: F.Column, c: F.Column) -> F.Column:
-    """The one code cell of notebook k, by variant k % 8."""
-    ns = F.concat(F.lit("db_"), _s(n))
-    t = F.concat(F.lit("t_"), _s(c))
-    nn = _s(n)
-    v = k % 8
-    return (F.when(v == 0, F.concat(F.lit('df = spark.read.table("'), ns, F.lit("."), t, F.lit('")')))
-            .when(v == 1, F.concat(F.lit("# MAGIC %sql\n# MAGIC SELECT * FROM "), ns, F.lit("."), t,
-                                   F.lit(" a JOIN "), ns, F.lit(".t_1 b ON a.id = b.id")))
-            .when(v == 2, F.concat(F.lit('spark.sql("SELECT id FROM '), ns, F.lit("."), t, F.lit('")')))
-            .when(v == 3, F.concat(F.lit('df = spark.read.parquet("/mnt/raw-'), nn, F.lit("/2024/"), t,
-                                   F.lit('")')))
-            .when(v == 4, F.concat(F.lit('p = "dbfs:/mnt/raw-'), nn, F.lit('/gl"\nspark.read.parquet(p)')))
-            .when(v == 5, F.concat(F.lit('m = "raw-'), nn,
-                                   F.lit('"\nspark.read.parquet(f"/mnt/{m}/daily")')))
-            .when(v == 6, F.concat(F.lit('db = "'), ns, F.lit('"\nspark.table(f"{db}.'), t, F.lit('")')))
-            .otherwise(F.lit("x = 1 + 1")))
+    """The one code cell of notebook k, by variant and form."""
+    text = by_form(k, lambda v, i: F.lit(form_source(v, i)))
+    for slot, value in slot_values(n, c).items():
+        text = F.replace(text, F.lit(slot), value)
+    return text
 
 
 def estate_notebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +184,8 @@ def estate_mounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expected_count(k: F.Column) -> F.Column:
-    """References each notebook variant declares (the seed's hms_ref_count)."""
-    v = k % 8
-    return F.when(v == 1, 2).when(v == 7, 0).otherwise(1).cast("int")
+    """References each notebook declares (the seed's hms_ref_count)."""
+    return by_form(k, lambda v, i: F.lit(sum(kind != S.KIND_UNPARSED for kind, _ in form_references(v, i)))).cast("int")
 
 
 def estate_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,10 @@ from assetscan import schemas as S
 from types import SimpleNamespace
 
 from assetscan.functions import patterns as _java
+from assetscan.sources import estate as ES
 from assetscan.sources.estate import AS_OF
 
-P = SimpleNamespace(**{k: _java.re2(v) for k, v in vars(_java).items() if isinstance(v, str)},
-                    SQL_LIST_RES=tuple(map(_java.re2, _java.SQL_LIST_RES)))
+P = SimpleNamespace(**{k: _java.re2(v) for k, v in vars(_java).items() if isinstance(v, str)})
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -25,12 +25,8 @@ def rr(expr: str, pattern: str, repl: str = "' '") -> str:
 
 
 def sql_names(expr: str) -> str:
-    """E1 over a SQL text expression -> list of names."""
-    masked = rr(rr(expr, P.SQL_MASK_RE), P.SQL_FROM_FUNCS_RE)
-    lists = "list_concat(" + ", ".join(f"regexp_extract_all({masked}, {lit(p)}, 1)" for p in P.SQL_LIST_RES) + ")"
-    items = f"flatten(list_transform({lists}, lambda l: string_split_regex(l, {lit(P.SQL_LIST_SPLIT_RE)})))"
-    heads = f"list_transform({items}, lambda i: regexp_extract(i, {lit(P.SQL_NAME_HEAD_RE)}, 0))"
-    return f"list_filter({heads}, lambda x: contains(x, '.') AND len(string_split(x, '.')) <= 3)"
+    """Dotted words after a table keyword; for texts whose names the generator does not state (prose)."""
+    return f"regexp_extract_all({expr}, {lit(r'(?i)\b(?:from|join|into|update|table|view)\s+(\w+(?:\.\w+){1,2})')}, 1)"
 
 
 def keep_name(expr: str) -> str:
@@ -52,18 +48,26 @@ def mount_prefix(expr: str) -> str:
     return f"regexp_extract({expr}, {lit(P.MOUNT_PREFIX_RE)}, 1)"
 
 
-def _cell_sql(k: str, n: str, c: str) -> str:
-    ns = f"('db_' || {n})"
-    t = f"('t_' || {c})"
-    return f"""CASE {k} % 8
-      WHEN 0 THEN 'df = spark.read.table("' || {ns} || '.' || {t} || '")'
-      WHEN 1 THEN {lit(chr(10).join(['# MAGIC %sql', '# MAGIC SELECT * FROM ']))} || {ns} || '.' || {t} || ' a JOIN ' || {ns} || '.t_1 b ON a.id = b.id'
-      WHEN 2 THEN 'spark.sql("SELECT id FROM ' || {ns} || '.' || {t} || '")'
-      WHEN 3 THEN 'df = spark.read.parquet("/mnt/raw-' || {n} || '/2024/' || {t} || '")'
-      WHEN 4 THEN 'p = "dbfs:/mnt/raw-' || {n} || {lit('/gl"' + chr(10) + 'spark.read.parquet(p)')}
-      WHEN 5 THEN 'm = "raw-' || {n} || {lit('"' + chr(10) + 'spark.read.parquet(f"/mnt/{m}/daily")')}
-      WHEN 6 THEN 'db = "' || {ns} || {lit('"' + chr(10) + 'spark.table(f"{db}.')} || {t} || '")'
-      ELSE 'x = 1 + 1' END"""
+def by_form(k: str, value) -> str:
+    """The SQL that `value(v, i)` gives for the form of notebook k."""
+    return "CASE " + " ".join(f"WHEN {k} % 8 = {v} AND ({k} // 8) % {len(forms)} = {i} THEN {value(v, i)}"
+                              for v, forms in ES.FORMS.items() for i in range(len(forms))) + " END"
+
+
+def slots(n: str, c: str) -> dict[str, str]:
+    """What stands in a form's places."""
+    a = f"('db_' || {n} || '.t_' || {c})"
+    return {"<a>": a, "<q>": a, "<A>": a, "<b>": f"('db_' || {n} || '.t_1')", "<s>": f"('db_' || {n})", "<n>": f"('raw-' || {n})",
+            "<m>": f"('/mnt/raw-' || {n} || '/2024/t_' || {c})", "<g>": f"('dbfs:/mnt/raw-' || {n} || '/gl')",
+            "<f>": lit('f"/mnt/{m}/daily"'), "<d>": f"""('f"{{db}}.t_' || {c} || '"')"""}
+
+
+def cell_sql(k: str, n: str, c: str, put=lambda slot, value: value) -> str:
+    """The code cell of notebook k; `put` may replace what stands in a place."""
+    text = by_form(k, lambda v, i: lit(ES.form_source(v, i)))
+    for slot, value in slots(n, c).items():
+        text = f"replace({text}, '{slot}', {put(slot, value)})"
+    return text
 
 
 HEADER_MD = S.NOTEBOOK_HEADER + "\n\n# MAGIC %md\n# MAGIC ## notebook "
@@ -80,7 +84,7 @@ cte("estate", [], f"""
          '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path,
          'nb_' || o_orderkey AS name,
          {lit(HEADER_MD)} || o_orderkey || {lit(S.CELL_SEPARATOR)}
-           || {_cell_sql('o_orderkey', '(o_custkey % 30)', 'o_custkey')} || {lit(chr(10))} AS source
+           || {cell_sql('o_orderkey', '(o_custkey % 30)', 'o_custkey')} || {lit(chr(10))} AS source
   FROM orders""")
 
 cte("dashboards", [], f"""
@@ -140,23 +144,38 @@ cte("dash_cells", ["dashboards"], """
   FROM dashboards""")
 
 # ---- extraction (E1-E10, lexical Python) ----------------------------------- #
-cte("refs_sql", ["cells"], f"""
+# Of the estate: what the generator's forms refer to, by construction; nothing is read from the texts.
+_refs_of = by_form("o_orderkey", lambda v, i: "[" + ", ".join(
+    f"{{'kind': {lit(kind)}, 'slot': {lit(slot)}, 'lexical': {str((v, i) not in ES.CONCATENATED_FORMS).lower()}}}"
+    for kind, slot in ES.form_references(v, i)) + "]" if ES.form_references(v, i) else "[]")
+_slot_value = "CASE r.slot " + " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in slots("(o_custkey % 30)", "o_custkey").items()) + " ELSE '' END"
+cte("refs_stated", [], f"""
+  SELECT 'notebook' AS asset_type, asset_path, CAST(1 AS INTEGER) AS cell_index, o_orderkey % 8 AS v, r.lexical AS lexical,
+         r.kind AS reference_kind, {_slot_value} AS original_reference
+  FROM (SELECT o_orderkey, o_custkey, '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path,
+               unnest({_refs_of}) AS r FROM orders)""")
+_REF = "asset_type, asset_path, cell_index, reference_kind, original_reference"
+cte("refs_sql", ["refs_stated"], f"SELECT {_REF} FROM refs_stated WHERE v = 1")
+cte("refs_py", ["refs_stated"], f"SELECT {_REF} FROM refs_stated WHERE v <> 1")
+cte("refs_py_lexical", ["refs_stated"], f"SELECT {_REF} FROM refs_stated WHERE v <> 1 AND lexical")
+cte("refs_dash", [], """
+  SELECT 'dashboard' AS asset_type, '/estate/dashboards/d_' || s_suppkey AS asset_path, cell_index, 'dashboard_query' AS reference_kind, original_reference
+  FROM (SELECT s_suppkey, 0 AS cell_index, 'db_' || s_nationkey || '.t_' || s_suppkey AS original_reference FROM supplier
+        UNION ALL SELECT s_suppkey, 1, 'db_' || s_nationkey || '.t_' || (s_suppkey % 7) FROM supplier
+        UNION ALL SELECT s_suppkey, 1, 'db_' || s_nationkey || '.calendar' FROM supplier)""")
+
+# Of other texts (prose): patterns, as an approximation of its own.
+cte("text_refs_sql", ["cells"], f"""
   SELECT asset_type, asset_path, cell_index, 'sql_table_ref' AS reference_kind, original_reference
   FROM (SELECT asset_type, asset_path, cell_index, unnest({sql_names('code')}) AS original_reference
         FROM cells WHERE language = 'sql')
   WHERE {keep_name('original_reference')}""")
-cte("refs_dash", ["dash_cells"], f"""
-  SELECT asset_type, asset_path, cell_index, 'dashboard_query' AS reference_kind, original_reference
-  FROM (SELECT asset_type, asset_path, cell_index, unnest({sql_names('code')}) AS original_reference
-        FROM dash_cells)
-  WHERE {keep_name('original_reference')}""")
-
 _py_sql_texts = (f"list_concat(list_concat(regexp_extract_all(code, {lit(P.PY_SQL_CALL_DQ_RE)}, 1), "
                  f"regexp_extract_all(code, {lit(P.PY_SQL_CALL_SQ_RE)}, 1)), "
                  f"regexp_extract_all(code, {lit(P.PY_SQL_CALL_TDQ_RE)}, 1))")
 _lit_body = rr("l", P.QUOTES_RE, "''")
 cte("py_cells", ["cells"], "SELECT * FROM cells WHERE language = 'python'")
-cte("refs_py", ["py_cells"], f"""
+cte("text_refs_py", ["py_cells"], f"""
   SELECT asset_type, asset_path, cell_index, 'py_table_ref' AS reference_kind, o AS original_reference
   FROM (SELECT asset_type, asset_path, cell_index,
                unnest(regexp_extract_all(code, {lit(P.PY_TABLE_CALL_RE)}, 1)) AS o FROM py_cells)
@@ -182,12 +201,11 @@ cte("refs_py", ["py_cells"], f"""
                unnest(regexp_extract_all(code, {lit(P.PY_LITERAL_RE)}, 0)) AS l FROM py_cells)
   WHERE NOT starts_with(l, '#') AND regexp_matches(l, {lit(P.FSTRING_HEAD_RE)})
         AND contains({rr(_lit_body, P.FSTRING_FIELD_RE, "''")}, '/mnt/')""")
-cte("refs_other", ["cells"], f"""
+cte("text_refs_other", ["cells"], f"""
   SELECT asset_type, asset_path, cell_index, '{S.KIND_UNPARSED}' AS reference_kind, '' AS original_reference
   FROM cells WHERE language NOT IN ('python', 'sql', 'md', 'md-sandbox', 'markdown')
     AND regexp_matches(code, {lit(P.PY_PREFILTER_RE)})""")
-cte("refs_all", ["refs_sql", "refs_py", "refs_other"], """
-  SELECT * FROM refs_sql UNION ALL SELECT * FROM refs_py UNION ALL SELECT * FROM refs_other""")
+cte("refs_all", ["refs_stated"], f"SELECT {_REF} FROM refs_stated")
 cte("refs", ["refs_all"], """
   SELECT asset_type, asset_path, cell_index, reference_kind, original_reference,
          CAST(count(*) AS INTEGER) AS occurrences

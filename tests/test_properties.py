@@ -19,19 +19,25 @@ def _frame(spark, sources):
     return spark.createDataFrame(rows, "asset_path string, language string, source string")
 
 
+def _maps(df, original, final):
+    e = F.struct(F.lit(0).alias("c"), F.lit(len(original)).alias("len"), F.lit(original).alias("o"), F.lit(final).alias("f"))
+    return df.select("asset_path", F.array(e).alias("edit_list"))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(NOTEBOOK, min_size=1, max_size=25))
-def test_token_rewrite_with_no_matching_edit_is_identity(spark, sources):
-    df = _frame(spark, sources).withColumn("edit_map", F.create_map(F.lit("0\u0001zz.never"), F.lit("x")))
-    out = RW.rewrite_tokens_df(df).select("source", "new_source").collect()
+def test_rewrite_with_no_matching_edit_is_identity(spark, sources):
+    df = _frame(spark, sources)
+    out = RW.rewrite_places(df, _maps(df, "zz.never", "x")).select("source", "new_source").collect()
+    assert len(out) == len(sources)
     assert all(r.source == r.new_source for r in out)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(NOTEBOOK, min_size=1, max_size=25))
 def test_rewrite_then_restore_is_identity(spark, sources):
-    df = _frame(spark, sources).withColumn("edit_map", F.create_map(F.lit("0\u0001db.t"), F.lit("main.db.t")))
-    rewritten = RW.rewrite_tokens_df(df)
+    df = _frame(spark, sources)
+    rewritten = RW.rewrite_places(df, _maps(df, "db.t", "main.db.t"))
     backups = RW.backups_of(rewritten, "/bk", "S1")
     restored = {r.asset_path: r.source for r in RW.restore_sources(backups).collect()}
     assert restored == {f"/p/{i}": s for i, s in enumerate(sources)}
