@@ -1,13 +1,14 @@
 """Reconcile migrated tables against their sources.
 
 Tables are inputs by name: a `catalog` maps a table name to a DataFrame (by default
-`spark.table`). Statistics are computed once per distinct table the pairs name: one
-`count` aggregate per table, unioned into one plan, plus the schema from metadata.
-A name that cannot be read gives NULL statistics and the pair is `unverifiable`
+`spark.table`). Every distinct table is counted once, however many names lead to it: names become rows
+(name, table number), statistics rows (table number, count, columns), and the two meet in a join. A count without a
+filter reads the files' footers only. A name that cannot be read gives NULL statistics and the pair is `unverifiable`
 (fix 24): a missing table is reported, not silently left out of the totals.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from itertools import islice
 
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 Catalog = Callable[[str], DataFrame]
-STATS_BATCH = 200
+STATS_BATCH = 20_000          # names looked up and written at a time
+TABLES_BATCH = 100            # tables counted in one job
 
 
 # Kinds whose final replacement names a table; a dynamic one may be a quoted literal.
@@ -51,52 +53,94 @@ def pair_by_convention(targets: DataFrame, source_base: str) -> DataFrame:
                           .alias("source"))
 
 
+STATS_SCHEMA = "table_name string, row_count bigint, columns array<string>, column_types array<string>"
+NAMED = "table_name string, table_number bigint"
+COUNTED = "table_number bigint, row_count bigint, columns array<string>, column_types array<string>"
+
+
+class _Tables:
+    """The distinct tables met so far. A DataFrame the catalog returns again, or one with the same plan, is the same table."""
+
+    def __init__(self, read: Catalog):
+        self.read = read
+        self.by_id: dict[int, tuple[DataFrame, int]] = {}
+        self.by_plan: dict[int, list[tuple[DataFrame, int]]] = {}
+        self.size = 0
+
+    def number(self, name: str) -> tuple[int | None, DataFrame | None]:
+        """(table number or None when unreadable, the DataFrame when it is met for the first time)."""
+        try:
+            df = self.read(name)
+            df.schema
+        except (AnalysisException, KeyError):              # no such table -> unverifiable
+            return None, None
+        if id(df) in self.by_id:
+            return self.by_id[id(df)][1], None
+        same = self.by_plan.setdefault(df.semanticHash(), [])
+        known = next((n for other, n in same if other.schema == df.schema and other.sameSemantics(df)), None)
+        if known is None:
+            known, self.size = self.size, self.size + 1
+            same.append((df, known))
+            self.by_id[id(df)] = (df, known)               # kept, so the id stays its own
+            return known, df
+        return known, None
+
+
+def _batch_stats(spark: SparkSession, names: list[str], tables: _Tables) -> tuple[list[tuple], list[tuple[int, DataFrame]]]:
+    """(name, table number) of a batch of names, and the tables that no batch before it had."""
+    rows, new = [], []
+    for name in names:
+        number, df = tables.number(name)
+        rows.append((name, number))
+        if df is not None:
+            new.append((number, df))
+    return rows, new
+
+
+def _counted(spark: SparkSession, batch: list[tuple[int, DataFrame]]) -> DataFrame:
+    """One row per table: its count and its columns by name."""
+    out = None
+    for number, df in batch:
+        fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(number).cast("bigint").alias("table_number"), "row_count",
+            F.array(*[F.lit(n) for n, _ in fields]).cast("array<string>").alias("columns"),
+            F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).cast("array<string>").alias("column_types"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def table_stats(spark: SparkSession, names: Iterable[str] | DataFrame, catalog: Catalog | None = None) -> DataFrame:
     """Q2 + Q3: (table_name, row_count, columns, column_types) for each distinct name; NULL when
     the table does not exist.
 
-    Names are read in batches of STATS_BATCH (from a one-column DataFrame partition by
-    partition), and each batch's statistics are one written union, so neither the names nor the
-    plans grow on the driver. Names for which the catalog returns the very same DataFrame
-    share one aggregate."""
+    Names come in batches of STATS_BATCH (from a one-column DataFrame partition by partition) and are appended to
+    a table of names; new tables are counted STATS_BATCH to a job and appended to a table of statistics. So the driver
+    holds a batch of names and the distinct tables' plans, and the plan returned is one join whatever the number of names."""
+    from ..session import ensure_checkpoint_dir
     if isinstance(names, DataFrame):
         rows = names.distinct().toLocalIterator()
         names = (r[0] for r in rows)
     else:
         names = iter(sorted(set(names)))
-    out = None
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/assetscan-table-stats-{uuid.uuid4().hex}"
+    named, counted = f"{root}/names", f"{root}/tables"
+    tables = _Tables(catalog or spark.table)
+    waiting: list[tuple[int, DataFrame]] = []
+    spark.createDataFrame([], NAMED).write.mode("ignore").parquet(named)
+    spark.createDataFrame([], COUNTED).write.mode("ignore").parquet(counted)
     while batch := list(islice(names, STATS_BATCH)):
-        part = _batch_stats(spark, batch, catalog or spark.table)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], STATS_SCHEMA)
-
-
-STATS_SCHEMA = "table_name string, row_count bigint, columns array<string>, column_types array<string>"
-
-
-def _batch_stats(spark: SparkSession, names: list[str], read: Catalog) -> DataFrame:
-    groups: dict[int, tuple[DataFrame, list[str]]] = {}
-    missing: list[str] = []
-    for name in names:
-        try:
-            df = read(name)
-            df.schema
-        except (AnalysisException, KeyError):              # no such table -> unverifiable
-            missing.append(name)
-            continue
-        groups.setdefault(id(df), (df, []))[1].append(name)
-    # Each row costs a full count, so a batch is written once: the two sides of a pair (and
-    # later steps) read the result instead of counting again.
-    from ..plans.partitioning import materialize
-    batch = spark.createDataFrame([(m, None, None, None) for m in missing], STATS_SCHEMA)
-    for df, group_names in groups.values():
-        fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.explode(F.array(*[F.lit(n) for n in group_names])).alias("table_name"), "row_count",
-            F.array(*[F.lit(n) for n, _ in fields]).alias("columns"),
-            F.array(*[F.lit(f"{n}:{t}") for n, t in fields]).alias("column_types"))
-        batch = batch.unionByName(one)
-    return materialize(batch, "table-stats")
+        found, new = _batch_stats(spark, batch, tables)
+        spark.createDataFrame(found, NAMED).coalesce(1).write.mode("append").parquet(named)
+        waiting += new
+        while len(waiting) >= TABLES_BATCH:
+            _counted(spark, waiting[:TABLES_BATCH]).write.mode("append").parquet(counted)
+            waiting = waiting[TABLES_BATCH:]
+    if waiting:
+        _counted(spark, waiting).write.mode("append").parquet(counted)
+    by_name = spark.read.schema(NAMED).parquet(named)
+    return by_name.join(spark.read.schema(COUNTED).parquet(counted), "table_number", "left").select(
+        "table_name", "row_count", "columns", "column_types")
 
 
 def reconcile(pairs: DataFrame, stats: DataFrame) -> DataFrame:

@@ -43,6 +43,7 @@ def test_table_stats_in_small_batches(spark, monkeypatch):
     cat = {f"t{i}": spark.range(i + 1).toDF("a") for i in range(5)}
     cat["t5"] = spark.range(3).toDF("b")
     monkeypatch.setattr(RC, "STATS_BATCH", 2)
+    monkeypatch.setattr(RC, "TABLES_BATCH", 2)
     rows = {r.table_name: (r.row_count, None if r.columns is None else list(r.columns))
             for r in RC.table_stats(spark, list(cat) + ["missing"], lambda n: cat[n]).collect()}
     assert rows == {**{f"t{i}": (i + 1, ["a"]) for i in range(5)}, "t5": (3, ["b"]), "missing": (None, None)}
@@ -60,10 +61,31 @@ def test_many_names_are_read_in_bounded_batches(spark, monkeypatch):
     plain = RC._batch_stats
     monkeypatch.setattr(RC, "STATS_BATCH", 5000)
     monkeypatch.setattr(RC, "_batch_stats", lambda s, names, r: sizes.append(len(names)) or plain(s, names, r))
+    scans = []
+    count = RC._counted
+    monkeypatch.setattr(RC, "_counted", lambda s, batch: scans.extend(n for n, _ in batch) or count(s, batch))
     names = spark.range(10000).selectExpr("concat('c.s.t_', id) as name")
     stats = RC.table_stats(spark, names, read)
     assert stats.count() == 10000 and stats.filter("row_count = 4").count() == 10000
     assert sizes == [5000, 5000] and len(set(seen)) == 10000
+    assert scans == [0]                                  # one table behind all names: counted once
+    assert len(stats.inputFiles()) <= 8
+
+
+def test_equal_plans_are_counted_once_and_different_columns_apart(spark, monkeypatch):
+    from assetscan.operators import reconcile as RC
+    spark.range(7).toDF("a").createOrReplaceTempView("seven")
+    scans = []
+    count = RC._counted
+    monkeypatch.setattr(RC, "_counted", lambda s, batch: scans.extend(n for n, _ in batch) or count(s, batch))
+    catalog = {"x": "seven", "y": "seven", "z": "seven"}
+
+    def read(name):                                      # a new DataFrame at every call, as spark.table gives
+        df = spark.table(catalog[name])
+        return df.withColumnRenamed("a", "b") if name == "z" else df
+
+    rows = {r.table_name: (r.row_count, list(r.columns or [])) for r in RC.table_stats(spark, ["x", "y", "z", "none"], read).collect()}
+    assert rows == {"x": (7, ["a"]), "y": (7, ["a"]), "z": (7, ["b"]), "none": (None, [])} and len(scans) == 2
 
 
 def test_long_literals_and_lists_pass_through_every_stage(spark):
