@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -23,11 +24,14 @@ from oracle import P  # noqa: E402
 from assetscan import schemas as S  # noqa: E402
 from assetscan.operators import cells as C  # noqa: E402
 from assetscan.operators import extract as E  # noqa: E402
+from assetscan.operators import manifest as M  # noqa: E402
 from assetscan.operators import resolve as R  # noqa: E402
 from assetscan.plans import scan  # noqa: E402
+from assetscan.plans import stages as ST  # noqa: E402
 from assetscan.plans.partitioning import materialize, spread  # noqa: E402
-from assetscan.session import ship_package  # noqa: E402
+from assetscan.session import ensure_checkpoint_dir, ship_package  # noqa: E402
 from assetscan.sources import estate as ES  # noqa: E402
+from assetscan.sources import io as IO  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -323,6 +327,7 @@ def q_cell_context(spark, sf):
 
 # ==== apply (S10, A1-A7) ===================================================== #
 STAMP = "20240603T000000Z"
+SECOND_STAMP = "20240604T000000Z"
 APPLIED_AT = "2024-06-03 00:00:00"
 BACKUP_ROOT = "/backups"
 
@@ -362,9 +367,24 @@ def q_apply_totals(spark, sf):
 
 
 def q_restore(spark, sf):
-    """Restoring from the backups gives back every original text."""
-    _, _, _, rw = _apply_inputs(spark, sf)
-    return RW.restore_sources(RW.backups_of(rw, BACKUP_ROOT, STAMP)).select("asset_path", "source")
+    """A7 over real rounds in a working directory: Apply, approve what was left over, Apply again, take the second round
+    back. Per asset edited in either round: its text, and how many of its rows are applied and waiting."""
+    wd = ST.Workdir(f"{ensure_checkpoint_dir(spark).rstrip('/')}/assetscan-restore-{uuid.uuid4().hex}")
+    assets = ES.estate_assets(spark, sf)
+    M.commit(_reviewed(spark, sf)[0], wd.manifest)
+    ST.apply(spark, wd, assets, STAMP, APPLIED_AT)
+    left = M.read_latest(spark, wd.manifest).filter((F.col("status") == "proposed") & F.col("reference_kind").isin(*S.TABLE_KINDS)
+                                                    & (ES.notebook_key(F.col("asset_path")) % 6 == 5))
+    ST.review(spark, wd, ES.BATCH_REVIEWER, ES.REVIEWED_AT, materialize(left.select(
+        "manifest_id", "reference_kind", F.lit("overridden").alias("decision"), F.lit("main.second.t").alias("final_replacement"),
+        F.lit("second@estate").alias("reviewer"), F.to_timestamp(F.lit(APPLIED_AT)).alias("reviewed_at")), "left-over"))
+    ST.apply(spark, wd, assets, SECOND_STAMP, APPLIED_AT)
+    ST.restore(spark, wd, since=SECOND_STAMP)
+    rows = M.read_latest(spark, wd.manifest).groupBy("asset_path").agg(
+        F.count(F.when(F.col("status") == "applied", 1)).alias("applied"),
+        F.count(F.when(F.col("status").isin("approved", "overridden"), 1)).alias("waiting"))
+    texts = IO.current_assets(assets, IO.read_patched(spark, wd.path("assets_patched"))).select("asset_path", "source")
+    return rows.filter("applied + waiting > 0").join(texts, "asset_path")
 
 
 QUERIES.update({
@@ -549,8 +569,6 @@ ORACLES.update({
                count(*) FILTER (WHERE outcome = 'not_found') AS references_not_found,
                count(*) FILTER (WHERE outcome = 'conflict') AS references_conflicting
         FROM outcomes"""),
-    "restore": O.with_ctes(["estate", "maps"], """
-        SELECT e.asset_path, e.source FROM estate e WHERE e.asset_path IN (SELECT asset_path FROM maps)"""),
 })
 
 
@@ -655,6 +673,14 @@ O.cte("audit", ["failed"], f"""
   FROM failed WHERE status <> 'proposed'""")
 
 ORACLES.update({
+    "restore": O.with_ctes(["estate", "rw_places", "stamped"], f"""
+        SELECT n.asset_path, applied, waiting, coalesce(r.source, e.source) AS source
+        FROM (SELECT asset_path, count(*) FILTER (WHERE status = 'applied') AS applied,
+                     count(*) FILTER (WHERE status IN ('approved', 'overridden')
+                       OR (status = 'proposed' AND reference_kind IN ({_kinds}) AND CAST(regexp_extract(asset_path, 'nb_(\\d+)$', 1) AS BIGINT) % 6 = 5)) AS waiting
+              FROM stamped GROUP BY asset_path) n
+        JOIN estate e ON e.asset_path = n.asset_path LEFT JOIN rw_places r ON r.asset_path = n.asset_path
+        WHERE applied + waiting > 0"""),
     "reconcile": O.with_ctes(["rc"], "SELECT * FROM rc"),
     "reconcile_fail": O.with_ctes(["failed"], "SELECT manifest_id, reference_kind, status, final_replacement FROM failed"),
     "reconcile_totals": O.with_ctes(["rc"], """
@@ -674,7 +700,6 @@ ORACLES.update({
 
 # ==== discovery and inventory (S3-S5, G3) ====================================== #
 from assetscan.sources import demo as DM  # noqa: E402
-from assetscan.sources import io as IO  # noqa: E402
 
 
 def q_inventory_backfill(spark, sf):

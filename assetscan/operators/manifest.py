@@ -1,15 +1,23 @@
-"""S9 and section 7.3: manifest rows, versioned commits, rescan upsert.
+"""S9 and section 7.3: manifest rows, versioned commits of what changed, rescan upsert.
 
 Parquet tables take no UPDATE or MERGE in Spark, so every status change is a pure
-function from one manifest DataFrame to the next, and `commit` writes the next
-`version=N-<id>` directory under the manifest root. Readers list the folders, take the
-highest complete one and read only that. A commit never overwrites a
-directory that is being read, and the written table cuts the lineage of the next stage.
+function from manifest rows to the next, and `update` commits it:
+
+  <root>/version=N-<id>/      rows a commit wrote: all rows of the asset paths it covers
+  <root>/paths=N-<id>/        those paths (a commit of the whole manifest has none)
+  <root>/commits/<N>.json     the layers that make up version N, oldest first
+
+A version is its layers laid over one another: a path's rows are those of the last layer that covers it. So a commit
+writes the rows of the paths it changes, not the manifest; after `MAX_LAYERS` a commit writes everything anew. The
+commit file is created exclusively: of two writers that start from one version one gets the next number, the other
+reads what was committed and computes its change again. A crash leaves folders that no commit file names. Nothing
+that is being read is ever overwritten, and written tables cut the lineage of the next stage.
 """
 from __future__ import annotations
 
-import re
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +25,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 KEY = ["manifest_id", "reference_kind"]
+MAX_LAYERS = 8
+RETRIES = 20
 
 
 def ts(value: str) -> F.Column:
@@ -51,42 +61,142 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.MANIFEST.fields])
 
 
-def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(version, folder) of every complete commit under `root`: those with a _SUCCESS mark. A
-    folder without one is a crashed commit and is passed over. Read errors are raised."""
+class Conflict(RuntimeError):
+    """Another writer committed the version first."""
+
+
+def _fs(spark: SparkSession, location: str):
     jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    return jvm, path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, commit file), oldest first. Read errors are raised."""
+    _, path, fs = _fs(spark, f"{root.rstrip('/')}/commits")
     if not fs.exists(path):
         return []
-    found = []
-    for status in fs.listStatus(path):
-        m = re.fullmatch(r"version=(\d+)(?:-\w+)?", status.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append((int(m[1]), status.getPath().toString()))
-    return sorted(found)
+    names = [(status.getPath().getName(), status.getPath().toString()) for status in fs.listStatus(path)]
+    return sorted((int(n[:-5]), p) for n, p in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _layers(spark: SparkSession, root: str) -> tuple[int, list[str]]:
+    """(version, its layers' names) of the last commit; (0, []) when nothing is committed."""
+    found = _commits(spark, root)
+    if not found:
+        return 0, []
+    version, file = found[-1]
+    jvm, path, fs = _fs(spark, file)
+    stream = fs.open(path)
+    try:
+        text = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return version, json.loads(text)["layers"]
+
+
+def _create_exclusively(spark: SparkSession, location: str, text: str) -> None:
+    """Create the file with its content, or raise Conflict when it exists. On a local file system a finished file is
+    linked to the name, which only one writer can; elsewhere the store's own exclusive create is used."""
+    jvm, path, fs = _fs(spark, location)
+    fs.mkdirs(path.getParent())
+    local = fs.getScheme() == "file"
+    target = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}-{uuid.uuid4().hex}") if local else path
+    try:
+        out = fs.create(target, False)
+    except Exception as e:
+        if fs.exists(path):
+            raise Conflict(location) from e
+        raise
+    out.write(text.encode())
+    out.close()
+    if local:
+        made, wanted = (jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, path))
+        try:
+            jvm.java.nio.file.Files.createLink(wanted, made)
+        except Exception as e:
+            if fs.exists(path):
+                raise Conflict(location) from e
+            raise
+        finally:
+            fs.delete(target, False)
+
+
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, folder of its last layer) of every commit's number; the folder is the newest one's for the last."""
+    version, layers = _layers(spark, root)
+    return [(n, f"{root.rstrip('/')}/version={layers[-1]}" if n == version else "") for n, _ in _commits(spark, root)]
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """Highest committed version under `root`, or None when nothing is committed."""
-    found = _versions(spark, root)
-    return found[-1][0] if found else None
+    return _layers(spark, root)[0] or None
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    found = _versions(spark, root)
-    if not found:
+def _read_layers(spark: SparkSession, root: str, layers: list[str]) -> DataFrame:
+    if not layers:
         return empty_manifest(spark)
-    return spark.read.schema(S.MANIFEST).parquet(found[-1][1])
+    root = root.rstrip("/")
+    rows = None
+    for i, layer in enumerate(layers):
+        part = spark.read.schema(S.MANIFEST).parquet(f"{root}/version={layer}").withColumn("_layer", F.lit(i))
+        rows = part if rows is None else rows.unionByName(part)
+    if len(layers) == 1:
+        return rows.drop("_layer")
+    covered = None
+    for i, layer in enumerate(layers[1:], 1):
+        part = spark.read.schema("asset_path string").parquet(f"{root}/paths={layer}").withColumn("_at", F.lit(i))
+        covered = part if covered is None else covered.unionByName(part)
+    last = covered.groupBy(F.col("asset_path").alias("_path")).agg(F.max("_at").alias("_at"))
+    return (rows.join(last, F.col("asset_path").eqNullSafe(F.col("_path")), "left")
+            .filter(F.coalesce("_at", F.lit(0)) == F.col("_layer")).drop("_layer", "_path", "_at"))
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    return _read_layers(spark, root, _layers(spark, root)[1])
+
+
+def _write(df: DataFrame, root: str, version: int, layers: list[str], paths: DataFrame | None) -> int:
+    """Write a layer and commit it as the version after `version`; Conflict when another writer was first."""
+    root, layer = root.rstrip("/"), f"{version + 1}-{uuid.uuid4().hex[:12]}"
+    conform(df).write.mode("errorifexists").parquet(f"{root}/version={layer}")
+    if paths is None:
+        layers = []
+    else:
+        paths.write.mode("errorifexists").parquet(f"{root}/paths={layer}")
+    _create_exclusively(df.sparkSession, f"{root}/commits/{version + 1:012d}.json", json.dumps({"layers": [*layers, layer]}))
+    return version + 1
+
+
+def update(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame],
+           scope: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """Commit `change(rows)` as the next version; returns its number.
+
+    `scope(current)` gives the asset paths that may change (a column asset_path): `change` then gets the rows of those
+    paths only and returns all their next rows, and only they are written. Without it the manifest is replaced. When
+    another writer commits in between, both are computed again from what it committed."""
+    from ..plans.partitioning import materialize
+    for _ in range(RETRIES):
+        version, layers = _layers(spark, root)
+        current = _read_layers(spark, root, layers)
+        try:
+            if scope is None or not layers:
+                return _write(change(current), root, version, layers, None)
+            paths = materialize(scope(current).select("asset_path").distinct(), "scope")
+            wanted = paths.select(F.col("asset_path").alias("_path"))
+            inside = F.col("asset_path").eqNullSafe(F.col("_path"))
+            nxt = conform(change(current.join(wanted, inside, "left_semi")))
+            if len(layers) < MAX_LAYERS:
+                return _write(nxt, root, version, layers, paths)
+            return _write(nxt.unionByName(conform(current).join(wanted, inside, "left_anti")), root, version, layers, None)
+        except Conflict:
+            continue
+    raise Conflict(f"{root}: no commit in {RETRIES} tries")
 
 
 def commit(df: DataFrame, root: str) -> int:
-    """Write `df` as the next version in a folder of its own; returns the version number. A
-    crashed commit leaves an unmarked folder that no reader takes and no later commit meets."""
-    spark = df.sparkSession
-    v = (latest_version(spark, root) or 0) + 1
-    conform(df).write.mode("errorifexists").parquet(f"{root}/version={v}-{uuid.uuid4().hex[:12]}")
-    return v
+    """Replace the whole manifest by `df`, whatever was committed since; returns the version number."""
+    return update(df.sparkSession, root, lambda current: df)
 
 
 def upsert_rescan(current: DataFrame, rescanned: DataFrame, scope: DataFrame | None = None) -> DataFrame:

@@ -166,10 +166,19 @@ def reconcile(pairs: DataFrame, stats: DataFrame) -> DataFrame:
         .otherwise(F.lit("mismatch")).alias("result"))
 
 
+def _mismatched(results: DataFrame) -> DataFrame:
+    return results.filter(F.col("result") == "mismatch").select(F.col("target").alias("_t")).distinct()
+
+
+def failing_rows(manifest: DataFrame, results: DataFrame) -> DataFrame:
+    """The applied rows whose final target mismatched."""
+    named = manifest.filter((F.col("status") == "applied") & F.col("reference_kind").isin(*NAMING_KINDS))
+    return named.join(_mismatched(results), target_name(F.col("final_replacement")) == F.col("_t"), "left_semi")
+
+
 def mark_failed(manifest: DataFrame, results: DataFrame) -> DataFrame:
     """Q6: applied rows whose final target mismatched become 'failed'."""
-    bad = results.filter(F.col("result") == "mismatch").select(F.col("target").alias("_t")).distinct() \
-        .withColumn("_bad", F.lit(True))
+    bad = _mismatched(results).withColumn("_bad", F.lit(True))
     j = manifest.join(bad, target_name(manifest["final_replacement"]) == bad["_t"], "left")
     hit = (F.col("status") == "applied") & F.col("reference_kind").isin(*NAMING_KINDS) & F.coalesce(F.col("_bad"), F.lit(False))
     return j.select(*[F.when(hit, F.lit("failed")).otherwise(F.col(c)).alias(c) if c == "status"

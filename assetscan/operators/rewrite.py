@@ -255,20 +255,37 @@ def backups_of(rewritten: DataFrame, backup_root: str, stamp: str) -> DataFrame:
                             .alias("backup_path"), F.lit(stamp).alias("stamp"))
 
 
-def restore_sources(backups: DataFrame) -> DataFrame:
-    """Latest backup per asset: the last stamp of each path, then its text (only stamps are
-    aggregated, not texts)."""
-    last = backups.groupBy("asset_path").agg(F.max("stamp").alias("stamp"))
-    return backups.join(last, ["asset_path", "stamp"]).select("asset_path", "source", "stamp")
-
-
-def restore_manifest(manifest: DataFrame, restored_assets: DataFrame) -> DataFrame:
-    """Applied and failed rows of restored assets go back to their stored decision."""
-    r = restored_assets.select("asset_path").distinct().withColumn("_restored", F.lit(True))
-    j = manifest.join(r, "asset_path", "left")
-    back = F.coalesce(F.col("_restored"), F.lit(False)) & F.col("decision").isin("approved", "overridden") \
+def before_cut_off_round(assets: DataFrame, backups: DataFrame, manifest: DataFrame, stamp: str) -> DataFrame:
+    """The assets, with the backed-up text for those that round `stamp` backed up but has no applied row of: the
+    round was cut off before its commit, and its patched text must not be taken for the text before it. Assets with a
+    later round stay as they are."""
+    mine = backups.filter(F.col("stamp") == stamp).join(backups.filter(F.col("stamp") > stamp).select("asset_path"), "asset_path", "left_anti")
+    done = manifest.filter(F.col("status").isin("applied", "failed")).select("backup_path").distinct()
+    open_ = mine.join(done, "backup_path", "left_anti").select("asset_path", F.col("source").alias("_before")).dropDuplicates(["asset_path"])
+    return assets.join(open_, "asset_path", "left").select(
+        *[F.coalesce("_before", "source").alias("source") if c == "source" else F.col(c) for c in assets.columns])
+
+
+def restore_sources(backups: DataFrame, since: str | None = None) -> DataFrame:
+    """A7, as of a round: per asset the text before the first round at or after `since`, or before its last
+    round; `stamp` is that round (only stamps are aggregated, not texts). Assets without such a round are not among them."""
+    if since is None:
+        at = backups.groupBy("asset_path").agg(F.max("stamp").alias("stamp"))
+    else:
+        at = backups.filter(F.col("stamp") >= since).groupBy("asset_path").agg(F.min("stamp").alias("stamp"))
+    return backups.join(at, ["asset_path", "stamp"]).select("asset_path", "source", "stamp")
+
+
+def restore_manifest(manifest: DataFrame, restored: DataFrame, backups: DataFrame) -> DataFrame:
+    """Applied and failed rows of the rounds that `restored` (asset_path, stamp) takes back go to their stored
+    decision. A row's round is that of the backup it names; rows of earlier rounds stay."""
+    rounds = backups.select("backup_path", F.col("stamp").alias("_round")).distinct()
+    r = restored.select("asset_path", F.col("stamp").alias("_since")).distinct()
+    j = manifest.join(rounds, "backup_path", "left").join(r, "asset_path", "left")
+    back = F.coalesce(F.col("_round") >= F.col("_since"), F.lit(False)) & F.col("decision").isin("approved", "overridden") \
         & F.col("status").isin("applied", "failed") & is_legal(F.col("status"), F.col("decision"))
+    nothing = {"applied_at": "timestamp", "backup_path": "string"}
     return j.select(*[
         F.when(back, F.col("decision")).otherwise(F.col(c)).alias(c) if c == "status"
-        else F.when(back, F.lit(None).cast("timestamp")).otherwise(F.col(c)).alias(c) if c == "applied_at"
+        else F.when(back, F.lit(None).cast(nothing[c])).otherwise(F.col(c)).alias(c) if c in nothing
         else F.col(c) for c in manifest.columns])

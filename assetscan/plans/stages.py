@@ -64,31 +64,47 @@ def scan(spark: SparkSession, wd: Workdir, assets: DataFrame, mapping: DataFrame
         assets.filter(F.col("asset_type") == "dashboard"))
     mounts = IO.read_control_table(spark, wd.path("mount_point_registry"), "mount_point_registry")
     fresh = scan_to_manifest(in_scope, mapping, mounts, as_of)
-    return M.commit(M.upsert_rescan(M.read_latest(spark, wd.manifest), fresh), wd.manifest)
+    fresh = materialize(fresh, "scan")
+    return M.update(spark, wd.manifest, lambda current: M.upsert_rescan(current, fresh))
 
 
 def review(spark: SparkSession, wd: Workdir, reviewer: str, as_of: str,
            decisions: DataFrame | None = None) -> tuple[int, DataFrame]:
     """Stage 3: batch approve the high tier, apply reviewer decisions, commit.
     Returns (version, rejected decisions)."""
-    current = M.read_latest(spark, wd.manifest)
-    nxt = RV.batch_approve(current, reviewer, as_of)
     rejects = spark.createDataFrame([], "manifest_id string")
-    if decisions is not None:
-        nxt, rejects = RV.apply_decisions(nxt, decisions)
-        rejects = materialize(rejects, "rejects")
-    return M.commit(nxt, wd.manifest), rejects
+
+    def touched(current: DataFrame) -> DataFrame:
+        hit = RV.batch_approvable(current).select("asset_path")
+        if decisions is None:
+            return hit
+        return hit.unionByName(current.join(decisions.select("manifest_id").distinct(), "manifest_id", "left_semi").select("asset_path"))
+
+    def change(current: DataFrame) -> DataFrame:
+        nonlocal rejects
+        nxt = RV.batch_approve(current, reviewer, as_of)
+        if decisions is None:
+            return nxt
+        nxt, refused = RV.apply_decisions(nxt, decisions)
+        rejects = materialize(refused, "rejects")
+        return nxt
+
+    return M.update(spark, wd.manifest, change, touched), rejects
 
 
 def apply(spark: SparkSession, wd: Workdir, assets: DataFrame, stamp: str, applied_at: str,
           backup_root: str | None = None) -> dict:
     """Stage 4: backups, patched snapshot, then the stamped manifest. `assets` are the base
-    assets; earlier patches are read over them."""
+    assets; earlier patches are read over them. A round that was cut off before its manifest was committed starts
+    again from its backups, so its edits are found and stamped."""
     backup_root = backup_root or wd.path("backups")
     current = M.read_latest(spark, wd.manifest)
-    ws = RW.work_set(current)
+    ws = materialize(RW.work_set(current), "work-set")
     maps, conflicts = RW.edit_maps(ws)
     now = IO.current_assets(assets, IO.read_patched(spark, wd.path("assets_patched")))
+    kept = IO.read_backups(spark, backup_root) if IO.path_exists(spark, backup_root) else None
+    if kept is not None:
+        now = RW.before_cut_off_round(now, kept, current, stamp)
     rewritten = materialize(RW.rewrite_assets(now, maps), "rewritten")
     if rewritten.isEmpty():
         return {"version": M.latest_version(spark, wd.manifest), "references_applied": 0, "assets_applied": 0,
@@ -98,21 +114,25 @@ def apply(spark: SparkSession, wd: Workdir, assets: DataFrame, stamp: str, appli
     IO.write_patched(rewritten.select("asset_path", "language", F.col("new_source").alias("source")),
                      wd.path("assets_patched"), stamp)
     outcome = materialize(RW.outcomes(ws, rewritten, conflicts), "outcomes")
-    version = M.commit(RW.stamp_applied(current, outcome, applied_at, backup_root, stamp), wd.manifest)
+    version = M.update(spark, wd.manifest, lambda rows: RW.stamp_applied(rows, outcome, applied_at, backup_root, stamp),
+                       lambda rows: outcome.filter("outcome = 'applied'").select("asset_path"))
     totals = RW.apply_totals(outcome, rewritten).first().asDict()
     return {"version": version, **totals}
 
 
-def restore(spark: SparkSession, wd: Workdir, backup_root: str | None = None) -> tuple[DataFrame, int]:
-    """Latest backup text per asset, written as the current text; applied and failed rows
-    of those assets go back to their stored decision. Returns (restored assets, version)."""
+def restore(spark: SparkSession, wd: Workdir, backup_root: str | None = None, since: str | None = None) -> tuple[DataFrame, int]:
+    """Assets as they were before Apply round `since` (by default before each asset's last round), written as the
+    current text. Rows applied or failed in the rounds taken back go to their stored decision; rows of earlier rounds,
+    whose edits are still in the text, stay as they are. Returns (restored assets, version)."""
     backup_root = backup_root or wd.path("backups")
-    restored = materialize(RW.restore_sources(IO.read_backups(spark, backup_root)), "restored")
+    backups = IO.read_backups(spark, backup_root)
+    restored = materialize(RW.restore_sources(backups, since), "restored")
     patched = IO.read_patched(spark, wd.path("assets_patched"))
     languages = patched.groupBy("asset_path").agg(F.max("language").alias("language"))
     stamp = patched.agg(F.max("stamp")).first()[0]
     IO.write_patched(restored.join(languages, "asset_path", "left"), wd.path("assets_patched"), stamp)
-    version = M.commit(RW.restore_manifest(M.read_latest(spark, wd.manifest), restored), wd.manifest)
+    version = M.update(spark, wd.manifest, lambda rows: RW.restore_manifest(rows, restored, backups),
+                       lambda rows: restored.select("asset_path"))
     return restored, version
 
 
@@ -123,8 +143,8 @@ def validate(spark: SparkSession, wd: Workdir, catalog, source_base: str,
     pairs = RC.pair_by_convention(RC.reconcile_targets(current, target_schema), source_base)
     names = pairs.select(F.explode(F.array("target", "source")).alias("name"))
     results = materialize(RC.reconcile(pairs, RC.table_stats(spark, names, catalog)), "reconcile")
-    failed = RC.mark_failed(current, results)
-    version = M.commit(failed, wd.manifest)
+    version = M.update(spark, wd.manifest, lambda rows: RC.mark_failed(rows, results),
+                       lambda rows: RC.failing_rows(rows, results).select("asset_path"))
     latest = M.read_latest(spark, wd.manifest)
     entries = AU.decision_rows(latest)
     logged = IO.append_audit(entries, wd.path("audit_decisions"))

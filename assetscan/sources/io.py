@@ -37,6 +37,11 @@ def read_asset_files(spark: SparkSession, root: str) -> DataFrame:
     root = root.rstrip("/")
     raw = (spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
            .select(F.col("value").alias("source"), F.col("_metadata.file_path").alias("_file")))
+    return asset_rows(raw, root)
+
+
+def asset_rows(raw: DataFrame, root: str) -> DataFrame:
+    """Asset rows of files (source, _file) under `root`: path without extension, language by extension."""
     rel = F.regexp_replace(F.col("_file"), r"^.*?" + _escape(root.split(":", 1)[-1]), "")
     ext = F.lower(F.regexp_extract(rel, r"\.([A-Za-z]+)$", 1))
     lang_map = F.create_map(*[x for kv in _EXT_LANGUAGE.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
@@ -141,14 +146,17 @@ def read_control_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def write_backups(backups: DataFrame, root: str) -> None:
     """Backups (asset_path, source, backup_path, stamp), partitioned by stamp and
-    written before any patched text. Only the partition of this stamp is replaced, so a
-    re-run with the same stamp rewrites the same backup and keeps all earlier ones."""
-    (backups.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("stamp").parquet(root))
+    written before any patched text. A round's backup of an asset is written once and stays: a re-run of the round,
+    which may find the text already patched, adds only the assets that have none."""
+    spark = backups.sparkSession
+    if path_exists(spark, root):
+        kept = read_backups(spark, root).select("asset_path", "stamp")
+        backups = backups.join(kept, ["asset_path", "stamp"], "left_anti")
+    backups.write.mode("append").partitionBy("stamp").parquet(root)
 
 
 def read_backups(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root)
+    return spark.read.schema("asset_path string, source string, backup_path string, stamp string").parquet(root)
 
 
 def write_patched(patched: DataFrame, root: str, stamp: str) -> None:

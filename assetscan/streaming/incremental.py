@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import manifest as M
+from ..plans.partitioning import materialize
 from ..plans.scan import scan_to_manifest
+from ..sources.io import asset_rows
 
 
 def asset_stream(spark: SparkSession, root: str) -> DataFrame:
@@ -23,11 +25,7 @@ def asset_stream(spark: SparkSession, root: str) -> DataFrame:
     raw = (spark.readStream.format("text").option("wholetext", "true")
            .option("recursiveFileLookup", "true").load(root)
            .select(F.col("value").alias("source"), F.col("_metadata.file_path").alias("_file")))
-    rel = F.regexp_replace(F.col("_file"), r"^.*?" + root.split(":", 1)[-1].replace(".", r"\."), "")
-    path = F.regexp_replace(rel, r"\.[A-Za-z]+$", "")
-    return raw.select(F.lit("notebook").alias("asset_type"), path.alias("asset_path"),
-                      F.element_at(F.split(path, "/"), -1).alias("name"), F.lit("python").alias("language"),
-                      "source", F.lit(None).cast("array<string>").alias("queries"))
+    return asset_rows(raw, root)
 
 
 def run_incremental_scan(spark: SparkSession, root: str, mapping: DataFrame, mounts: DataFrame,
@@ -38,9 +36,9 @@ def run_incremental_scan(spark: SparkSession, root: str, mapping: DataFrame, mou
     def commit_batch(batch: DataFrame, batch_id: int) -> None:
         if not batch.take(1):
             return
-        fresh = scan_to_manifest(batch, mapping, mounts, as_of)
-        current = M.read_latest(batch.sparkSession, manifest_root)
-        M.commit(M.upsert_rescan(current, fresh, scope=batch.select("asset_path")), manifest_root)
+        fresh = materialize(scan_to_manifest(batch, mapping, mounts, as_of), "scan")
+        paths = materialize(batch.select("asset_path").distinct(), "batch")
+        M.update(batch.sparkSession, manifest_root, lambda current: M.upsert_rescan(current, fresh), lambda current: paths)
 
     q = (asset_stream(spark, root).writeStream.foreachBatch(commit_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
