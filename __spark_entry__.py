@@ -699,6 +699,7 @@ ORACLES.update({
 
 
 # ==== discovery and inventory (S3-S5, G3) ====================================== #
+from assetscan.sources import changes as CH  # noqa: E402
 from assetscan.sources import demo as DM  # noqa: E402
 
 
@@ -713,6 +714,12 @@ def q_registry_refresh(spark, sf):
             .join(mounts.select("mount_path", "provenance"), "mount_path"))
 
 
+def q_asset_changes(spark, sf):
+    """What changed between two states of the estate, by content fingerprints."""
+    before, after = ES.estate_states(spark, sf)
+    return CH.changes(CH.fingerprints(before), materialize(CH.fingerprints(after), "fingerprints"))
+
+
 def q_expected_vs_found(spark, sf):
     return DM.expected_vs_found(ES.estate_inventory(spark, sf), _manifest(spark, sf))
 
@@ -721,6 +728,7 @@ QUERIES.update({
     "inventory_backfill": q_inventory_backfill,
     "registry_refresh": q_registry_refresh,
     "expected_vs_found": q_expected_vs_found,
+    "asset_changes": q_asset_changes,
 })
 
 _nb_path = "'/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey"
@@ -730,11 +738,15 @@ ORACLES.update({
                CAST(NULL AS INTEGER) AS hms_ref_count, '{ES.AS_OF}' AS seeded_at
         FROM (SELECT DISTINCT asset_path AS path FROM estate)
         WHERE path NOT IN (SELECT {_nb_path} FROM orders WHERE o_orderstatus = 'F')"""),
-    "registry_refresh": f"""
-        SELECT '/mnt/raw-' || n_nationkey AS mount_path,
-               'abfss://raw-' || n_nationkey || '@acct.dfs.core.windows.net/' AS adls_target,
-               '' AS hms_namespace, '{ES.AS_OF}' AS discovered_at, 'listing' AS provenance
-        FROM nation""",
+    "registry_refresh": O.with_ctes(["mounts"], f"""
+        SELECT mount_path, adls_target, '' AS hms_namespace, '{ES.AS_OF}' AS discovered_at, 'listing' AS provenance FROM mounts"""),
+    "asset_changes": f"""
+        SELECT CASE WHEN change = 'renamed' THEN '/estate/moved/nb_' || o_orderkey ELSE path END AS asset_path, change,
+               CASE WHEN change = 'renamed' THEN path END AS old_path
+        FROM (SELECT o_orderkey, {_nb_path} AS path,
+                     CASE WHEN o_orderstatus = 'P' THEN 'added' WHEN o_orderstatus = 'F' AND o_orderkey % 10 = 9 THEN 'deleted'
+                          WHEN o_orderstatus = 'F' AND o_orderkey % 10 = 8 THEN 'renamed' WHEN o_orderpriority = '1-URGENT' THEN 'changed' END AS change
+              FROM orders) WHERE change IS NOT NULL""",
     "expected_vs_found": O.with_ctes(["manifest"], f"""
         SELECT i.asset_path, i.tier, i.declared, coalesce(f.found, 0) AS found,
                coalesce(f.found, 0) - i.declared AS difference

@@ -89,6 +89,13 @@ def mount_prefix(path: Column) -> Column:
     return F.regexp_extract(path, P.MOUNT_PREFIX_RE, 1)
 
 
+def mount_prefixes(path: Column) -> Column:
+    """Every folder of a mount path from its first component down, the path itself included; empty when it is none."""
+    parts = F.filter(F.split(F.regexp_replace(path, rx(P.DBFS_SCHEME_RE), F.lit("")), "/"), lambda p: p != "")
+    return F.when(mount_prefix(path) != "", F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda n: F.concat(
+        F.lit("/"), F.array_join(F.slice(parts, 1, n), "/"))))
+
+
 def python_literals(code: Column) -> Column:
     """String literals of Python code (comments come out as tokens and are dropped)."""
     toks = F.regexp_extract_all(code, rx(P.PY_LITERAL_RE), F.lit(0))

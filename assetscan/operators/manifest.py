@@ -218,3 +218,13 @@ def upsert_rescan(current: DataFrame, rescanned: DataFrame, scope: DataFrame | N
     cols = [F.when(reviewed, F.col(f"o.{f.name}")).otherwise(F.col(f"n.{f.name}")).alias(f.name)
             for f in S.MANIFEST.fields]
     return j.filter(keep).select(*cols)
+
+
+def moved(current: DataFrame, renames: DataFrame) -> DataFrame:
+    """The rows with those of renamed assets (_old -> _new) under their new path and the id that goes with it."""
+    from .resolve import manifest_id
+    j = conform(current).join(renames, F.col("asset_path") == F.col("_old"), "left")
+    new = F.col("_new")
+    own = {"asset_path": F.coalesce(new, F.col("asset_path")),
+           "manifest_id": F.when(new.isNotNull(), manifest_id(new, F.col("cell_index"), F.col("original_reference"))).otherwise(F.col("manifest_id"))}
+    return j.select(*[own[f.name].alias(f.name) if f.name in own else F.col(f.name) for f in S.MANIFEST.fields])

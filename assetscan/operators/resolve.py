@@ -52,6 +52,20 @@ def mount_lookup(mounts: DataFrame) -> DataFrame:
                     (F.col("_n") > 1).alias("m_ambiguous")))
 
 
+def nearest_mount(refs: DataFrame, mounts: DataFrame, is_mount: F.Column, other_key: F.Column) -> DataFrame:
+    """refs + _mnt, m_namespace, m_ambiguous: of the registered mounts that a path lies under, the longest (R4 with nested
+    mounts); a path under none keeps its first component. Every folder of a path meets the registry in an equi-join
+    and one row per reference is kept; rows come grouped from the dedupe, so a broadcast registry adds no exchange."""
+    first = X.mount_prefix(F.col("original_reference"))
+    folders = F.array_distinct(F.concat(F.array(first), X.mount_prefixes(F.col("original_reference"))))
+    r = refs.withColumn("_first", F.when(is_mount, first).otherwise(other_key))
+    r = r.select("*", F.explode_outer(F.when(is_mount, folders).otherwise(F.array(F.col("_first")))).alias("_mnt"))
+    r = r.join(mount_lookup(mounts), ["_mnt"], "left")
+    rank = F.when(F.col("m_ambiguous").isNotNull(), F.length("_mnt")).when(F.col("_mnt") == F.col("_first"), 0).otherwise(-1)
+    best = r.groupBy(*refs.columns).agg(F.max_by(F.struct("_mnt", "m_namespace", "m_ambiguous"), rank).alias("_m"))
+    return best.select(*refs.columns, "_m.*")
+
+
 def tier(conf: F.Column) -> F.Column:
     """R8."""
     return (F.when(conf >= S.TIER_SIMPLE_MIN, F.lit(S.TIER_SIMPLE))
@@ -86,10 +100,9 @@ def resolve(refs: DataFrame, mapping: DataFrame, mounts: DataFrame) -> DataFrame
                                                   F.lit(SPREAD_KEYS)).cast("string"))
     r = (refs.withColumn("namespace", F.when(is_table, ns))
          .withColumn("table_name", F.when(is_table, tbl))
-         .withColumn("_mnt", F.when(is_mount, X.mount_prefix(orig)).otherwise(spread_key))
          .withColumn("_ns", F.when(is_table, F.lower(ns)).otherwise(spread_key))
          .withColumn("_tbl", F.when(is_table, F.lower(tbl)).otherwise(F.lit(""))))
-    r = r.join(mount_lookup(mounts), ["_mnt"], "left")
+    r = nearest_mount(r, mounts, is_mount, spread_key)
     r = r.withColumn("_lk_ns", F.when(is_table, F.col("_ns"))
                      .when(is_mount & (F.coalesce(F.col("m_namespace"), F.lit("")) != ""),
                            F.lower(F.col("m_namespace")))

@@ -2,7 +2,8 @@
 
   <root>/mount_point_registry   S4
   <root>/demo_asset_inventory   S5 / S15
-  <root>/migration_manifest     versioned: version=N (S9, section 7.3)
+  <root>/migration_manifest     layered commits (S9, section 7.3)
+  <root>/asset_fingerprints     content hashes at the last rescan (S1, S8)
   <root>/backups                S11, partitioned by stamp
   <root>/assets_patched         S12, one folder per Apply or restore; the last text of a path counts
   <root>/audit_decisions        S14, append-only
@@ -25,6 +26,7 @@ from ..operators import manifest as M
 from ..operators import reconcile as RC
 from ..operators import review as RV
 from ..operators import rewrite as RW
+from ..sources import changes as CH
 from ..sources import io as IO
 from .partitioning import materialize
 from .scan import scan_to_manifest
@@ -68,6 +70,33 @@ def scan(spark: SparkSession, wd: Workdir, assets: DataFrame, mapping: DataFrame
     return M.update(spark, wd.manifest, lambda current: M.upsert_rescan(current, fresh))
 
 
+def rescan(spark: SparkSession, wd: Workdir, assets: DataFrame, mapping: DataFrame, as_of: str,
+           now: DataFrame | None = None) -> tuple[int | None, DataFrame]:
+    """Stage 2 for what is not as it was at the last (re)scan. Only new and changed assets are scanned; of deleted ones
+    the proposed rows go and the reviewed ones stay; rows of a renamed asset move with it. `now` gives the
+    fingerprints of `assets` when they are known from a listing. Returns (version or None, changes)."""
+    root = wd.path("asset_fingerprints")
+    now = materialize(CH.fingerprints(assets) if now is None else now, "fingerprints")
+    changed = materialize(CH.changes(CH.read_fingerprints(spark, root), now), "changes")
+    if changed.isEmpty():
+        return None, changed
+    mounts = IO.read_control_table(spark, wd.path("mount_point_registry"), "mount_point_registry")
+    scanned = assets.join(changed.filter(F.col("change").isin("added", "changed")).select("asset_path"), "asset_path", "left_semi")
+    fresh = materialize(scan_to_manifest(scanned, mapping, mounts, as_of), "rescan")
+    moved = changed.filter("change = 'renamed'").select(F.col("old_path").alias("_old"), F.col("asset_path").alias("_new"))
+
+    def change(current: DataFrame) -> DataFrame:
+        rows = M.moved(current, moved)
+        kept = rows.join(changed.filter("change = 'renamed'").select("asset_path"), "asset_path", "left_semi")
+        rest = rows.join(changed.filter("change = 'renamed'").select("asset_path"), "asset_path", "left_anti")
+        return M.conform(M.upsert_rescan(rest, fresh)).unionByName(M.conform(kept))
+
+    version = M.update(spark, wd.manifest, change, lambda current: changed.select("asset_path").unionByName(
+        changed.filter("old_path is not null").select(F.col("old_path").alias("asset_path"))))
+    CH.write_fingerprints(now, root)
+    return version, changed
+
+
 def review(spark: SparkSession, wd: Workdir, reviewer: str, as_of: str,
            decisions: DataFrame | None = None) -> tuple[int, DataFrame]:
     """Stage 3: batch approve the high tier, apply reviewer decisions, commit.

@@ -171,16 +171,22 @@ def estate_mapping_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def estate_mounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """mount_point_registry rows: /mnt/raw-<n> -> db_<n>, some without a known namespace."""
+    """mount_point_registry rows: /mnt/raw-<n> -> db_<n>, some without a known namespace; inside every third one a
+    mount of its own, /mnt/raw-<n>/2024 -> db_<(n + 1) % 25>."""
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey")
     n = F.col("n_nationkey")
-    return nat.select(
+    outer = nat.select(
         F.concat(F.lit("/mnt/raw-"), _s("n_nationkey")).alias("mount_path"),
         F.concat(F.lit("abfss://raw-"), _s("n_nationkey"), F.lit("@acct.dfs.core.windows.net/"))
         .alias("adls_target"),
         F.when(n % 8 == 7, F.lit("")).when(n % 8 == 6, F.concat(F.lit("db_"), _s(n + 100)))
         .otherwise(F.concat(F.lit("db_"), _s(n))).alias("hms_namespace"),
         F.to_timestamp(F.lit(AS_OF)).alias("discovered_at"))
+    inner = nat.filter(n % 3 == 0).select(
+        F.concat(F.lit("/mnt/raw-"), _s(n), F.lit("/2024")).alias("mount_path"),
+        F.concat(F.lit("abfss://year-"), _s(n), F.lit("@acct.dfs.core.windows.net/")).alias("adls_target"),
+        F.concat(F.lit("db_"), _s((n + 1) % 25)).alias("hms_namespace"), F.to_timestamp(F.lit(AS_OF)).alias("discovered_at"))
+    return outer.unionByName(inner)
 
 
 def expected_count(k: F.Column) -> F.Column:
@@ -289,3 +295,20 @@ def estate_mount_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/Volumes/r_"), _s("r_regionkey")).alias("mount_point"),
         F.concat(F.lit("abfss://vol-"), _s("r_regionkey"), F.lit("@acct.dfs.core.windows.net/")).alias("source"))
     return mnt.unionByName(vol)
+
+
+def estate_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The estate before and after some time, by the order's state: notebooks of 'P' orders are new; of 'F' orders
+    those with remainder 9 of 10 are gone and those with 8 moved to another folder; of the others, urgent ones have one more line."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    nb = estate_notebooks(spark, sf_dir).withColumn("_k", notebook_key(F.col("asset_path")))
+    j = nb.join(o, F.col("_k") == F.col("o_orderkey"))
+    f, rest = F.col("o_orderstatus") == "F", F.col("_k") % 10
+    moved, gone = f & (rest == 8), f & (rest == 9)
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "P") & ~moved
+    before = j.filter(F.col("o_orderstatus") != "P").select(*nb.columns[:-1])
+    after = j.filter(~gone).select(*[
+        F.when(moved, F.concat(F.lit("/estate/moved/nb_"), _s("_k"))).otherwise(F.col(c)).alias(c) if c == "asset_path"
+        else F.when(urgent, F.concat(F.col(c), F.lit("# reviewed\n"))).otherwise(F.col(c)).alias(c) if c == "source" else F.col(c)
+        for c in nb.columns[:-1]])
+    return before, after

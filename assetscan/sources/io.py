@@ -29,23 +29,38 @@ FALLBACK_MOUNTS = [
 _EXT_LANGUAGE = {"py": "python", "sql": "sql", "scala": "scala", "r": "r"}
 
 
-def read_asset_files(spark: SparkSession, root: str) -> DataFrame:
-    """S1 + S2: every file under `root` (recursively) as one asset row, whole text.
+def read_asset_files(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
+    """S1 + S2: every file under `root` (recursively), or the given ones of them, as one asset row, whole text.
 
     asset_path = the path under `root` without extension; language from the extension.
     The listing of S1 is `.select("asset_path")` of this; no driver-side walk."""
     root = root.rstrip("/")
-    raw = (spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
-           .select(F.col("value").alias("source"), F.col("_metadata.file_path").alias("_file")))
-    return asset_rows(raw, root)
+    raw = (spark.read.option("recursiveFileLookup", "true").text(literal_path(root), wholetext=True) if files is None
+           else spark.read.text([literal_path(f) for f in files], wholetext=True))
+    return asset_rows(raw.select(F.col("value").alias("source"), file_of_row().alias("_file")), root)
+
+
+def literal_path(path: str) -> str:
+    """A path for Spark's readers, which take [, {, * and ? as patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def file_of_row() -> F.Column:
+    """The path of the file a row was read from, as it is named (the metadata column has it URL-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def asset_path_of(file: F.Column, root: str) -> F.Column:
+    """The path under `root`, without extension."""
+    rel = F.regexp_replace(file, r"^.*?" + _escape(root.rstrip("/").split(":", 1)[-1]), "")
+    return F.regexp_replace(rel, r"\.[A-Za-z]+$", "")
 
 
 def asset_rows(raw: DataFrame, root: str) -> DataFrame:
     """Asset rows of files (source, _file) under `root`: path without extension, language by extension."""
-    rel = F.regexp_replace(F.col("_file"), r"^.*?" + _escape(root.split(":", 1)[-1]), "")
-    ext = F.lower(F.regexp_extract(rel, r"\.([A-Za-z]+)$", 1))
+    ext = F.lower(F.regexp_extract("_file", r"\.([A-Za-z]+)$", 1))
     lang_map = F.create_map(*[x for kv in _EXT_LANGUAGE.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    path = F.regexp_replace(rel, r"\.[A-Za-z]+$", "")
+    path = asset_path_of(F.col("_file"), root)
     return raw.select(
         F.lit("notebook").alias("asset_type"),
         path.alias("asset_path"),

@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from ..operators import manifest as M
 from ..plans.partitioning import materialize
 from ..plans.scan import scan_to_manifest
-from ..sources.io import asset_rows
+from ..sources.io import asset_rows, file_of_row, literal_path
 
 
 def asset_stream(spark: SparkSession, root: str) -> DataFrame:
     """Streaming assets: one row per new file, whole text, path under `root`."""
     root = root.rstrip("/")
     raw = (spark.readStream.format("text").option("wholetext", "true")
-           .option("recursiveFileLookup", "true").load(root)
-           .select(F.col("value").alias("source"), F.col("_metadata.file_path").alias("_file")))
+           .option("recursiveFileLookup", "true").load(literal_path(root))
+           .select(F.col("value").alias("source"), file_of_row().alias("_file")))
     return asset_rows(raw, root)
 
 

@@ -115,7 +115,10 @@ cte("mounts", [], f"""
          'abfss://raw-' || n_nationkey || '@acct.dfs.core.windows.net/' AS adls_target,
          CASE n_nationkey % 8 WHEN 7 THEN '' WHEN 6 THEN 'db_' || (n_nationkey + 100)
               ELSE 'db_' || n_nationkey END AS hms_namespace, TIMESTAMP '{AS_OF}' AS discovered_at
-  FROM nation""")
+  FROM nation
+  UNION ALL
+  SELECT '/mnt/raw-' || n_nationkey || '/2024', 'abfss://year-' || n_nationkey || '@acct.dfs.core.windows.net/',
+         'db_' || ((n_nationkey + 1) % 25), TIMESTAMP '{AS_OF}' FROM nation WHERE n_nationkey % 3 = 0""")
 
 # ---- cells (C1-C5) --------------------------------------------------------- #
 _texts = (f"list_filter(list_transform(string_split_regex({rr('source', P.HEADER_RE, "''")}, "
@@ -287,7 +290,9 @@ def resolved_cte(name: str, refs: str, mapping: str = "mapping", mounts: str = "
             reference_kind = 'mount_path_literal' AS is_mount,
             CASE WHEN reference_kind IN ({kinds}) THEN {name_ns('original_reference')} END AS namespace,
             CASE WHEN reference_kind IN ({kinds}) THEN {name_tbl('original_reference')} END AS table_name,
-            CASE WHEN reference_kind = 'mount_path_literal' THEN {mount_prefix('original_reference')} END AS _mnt
+            CASE WHEN reference_kind = 'mount_path_literal' THEN coalesce(
+              (SELECT max_by(_mnt, length(_mnt)) FROM {ml} w WHERE starts_with(replace(original_reference, 'dbfs:', '') || '/', w._mnt || '/')),
+              {mount_prefix('original_reference')}) END AS _mnt
           FROM {refs}) x
     LEFT JOIN {ml} m ON x._mnt = m._mnt
     LEFT JOIN {nl} n ON n._lk_ns = CASE WHEN x.is_table THEN lower(x.namespace)

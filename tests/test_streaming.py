@@ -22,7 +22,7 @@ def _write(root, names):
 
 def test_incremental_scan_commits_new_files_only(spark):
     base = tempfile.mkdtemp(prefix="assetscan-stream-")
-    files, man, ckpt = (os.path.join(base, x) for x in ("files", "manifest", "ckpt"))
+    files, man, ckpt = (os.path.join(base, x) for x in ("files (1)+[x]", "manifest", "ckpt"))
     first = [n for n, *_ in DM.DEMO_NOTEBOOKS[:12]]
     _write(files, first)
     run_incremental_scan(spark, files, DM.demo_mapping(spark), DM.demo_mounts(spark), man, ckpt, AS_OF)
