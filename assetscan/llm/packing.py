@@ -1,17 +1,18 @@
 """Hierarchical multi-length packing into sequences of at most `WINDOW` tokens.
 
-Each task packs its documents in blocks of about `BLOCK_TOKENS` tokens, with no shuffle. A
-document's full windows are sequences of their own; what is left is routed to the tier of its
-length (powers of two up to the window). Windows are opened by the longest tier, their gaps are
-filled by the best-fitting remainders of shorter tiers, and a gap that none fits is filled by
-cutting one. What remains at a block's end is cut into sequences of power-of-two lengths, which need
-no padding. The windows of a block are then dealt to step groups by attention cost, in snake
-order, so groups of a block have equal token counts and near-equal cost.
-
-Token ids. A text is split before each single space between two words; byte-pair merges never
-cross such a place, so pieces are encoded once per worker and looked up after that. Pieces of common
-scripts go through the fast encoder of the same vocabulary, all others, and texts in which white
-space adjoins or special strings occur, through `tokenizers`. Tests compare both with `tokenizers`.
+Each task packs its documents in blocks of about `BLOCK_TOKENS` tokens, with no shuffle. A document's full windows are
+sequences of their own; what is left is routed to the shortest of the context sizes `TIERS` (256, 512, 1,024) that it
+fits. Each tier is packed into windows of its own size, the longest first: its longest document opens a window, and the gap is
+filled by the longest documents of the shorter tiers that fit, then by cutting the shortest one there is. The
+shortest tier fills its own gaps, and documents of a tier that can't fill another window go to the tiers below. What is
+left of a block, less than a window of the shortest tier, is cut into sequences of power-of-two lengths. So every
+sequence is full or of such a length, and none is padded.
+
+Step groups: a block's sequences of all tiers, the costliest first, go one by one to the group with the fewest tokens,
+of those to the one with the least attention cost; groups hold about `STEP_WINDOWS` windows of tokens.
+
+Token ids. A text of common scripts without special strings goes through the fast encoder of the same vocabulary, all
+others through `tokenizers`. Tests compare the two.
 
 Defined results. Null or empty text: the end id alone. Repeated rows are packed separately. Null
 doc_id is carried. Empty table: no rows. A task retried makes the same sequences: ids are the
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import heapq
 import re
 import zlib
 
@@ -33,17 +35,14 @@ from pyspark.sql import functions as F
 from .common import release_memory
 
 WINDOW = 1024
+TIERS = (256, 512, 1024)                     # context sizes, powers of two, ascending; the last is the window
 BLOCK_TOKENS = 1 << 20
 STEP_WINDOWS = 64
 END_ID = 0
-MIN_TIER = 64
-CACHE_PIECES = 300_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "tier int, step_group long")
-# a space that adjoins white space or an end of the text: not a place to split at
-_UNSAFE = re.compile(r"\s (?=\S)|\s \s| (?=\s)|^ | $")
 _PLAIN = re.compile(r"[\x00-\u024f\u2010-\u2027]*\Z")
-_ENCODERS: dict[str, tuple] = {}
+_ENCODERS: dict[tuple, object] = {}
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -52,7 +51,7 @@ def tokenizer_paths() -> tuple[str, str]:
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian uint32 bytes, with a bounded piece cache."""
+    """Token ids of whole texts as little-endian uint32 bytes."""
 
     def __init__(self, json_path: str, ranks_path: str):
         import public_tokenizers as P
@@ -63,28 +62,13 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("ranks", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.fast.encode_ordinary(piece) if _PLAIN.match(piece) and len(piece) < 2000 else self.slow.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _UNSAFE.search(text) or any(s in text for s in self.special):
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        head, *rest = text.split(" ")
-        cache = self.cache
-        try:
-            return self._piece(head) + b"".join(map(cache.__getitem__, rest))
-        except KeyError:
-            if len(cache) + len(rest) > CACHE_PIECES:
-                cache.clear()
-            for p in rest:
-                if p not in cache:
-                    cache[p] = self._piece(" " + p)
-            return self._piece(head) + b"".join(map(cache.__getitem__, rest))
+        plain = _PLAIN.match(text) and not any(s in text for s in self.special)
+        ids = self.fast.encode_ordinary(text) if plain else self.slow.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 def encoder(paths: tuple[str, str]) -> Encoder:
@@ -93,92 +77,115 @@ def encoder(paths: tuple[str, str]) -> Encoder:
     return _ENCODERS[paths]
 
 
-class _Block:
-    """Packs the remainders of one block. A remainder is [document number, start, length]."""
-
-    def __init__(self, window: int):
-        self.window = window
-        self.sequences: list[list[tuple[int, int, int]]] = []
-
-    def full_windows(self, doc: int, n: int) -> int:
-        for s in range(0, n - n % self.window, self.window):
-            self.sequences.append([(doc, s, self.window)])
-        return n - n % self.window
-
-    def pack(self, rest: list[tuple[int, int, int]]) -> None:
-        """Best-fit over the sorted remainders; the last open window is cut at powers of two."""
-        lengths = sorted((n, d, s) for d, s, n in rest)
-        left = sum(n for n, _, _ in lengths)
-        while left >= self.window:
-            gap, seq = self.window, []
-            n, d, s = lengths.pop()                       # the longest tier opens the window
-            while True:
-                seq.append((d, s, n))
-                gap -= n
-                if not gap:
-                    break
-                at = bisect.bisect_right(lengths, (gap, 1 << 62, 0)) - 1
-                if at >= 0:
-                    n, d, s = lengths.pop(at)
-                else:                                     # cut the shortest remainder to fill the gap
-                    n, d, s = lengths.pop(0)
-                    bisect.insort(lengths, (n - gap, d, s + gap))
-                    n = gap
-            self.sequences.append(seq)
-            left -= self.window
-        size = self.window
+Piece = tuple[int, int, int]                 # (length, document number, start)
+
+
+class Tiers:
+    """The pieces of a block by the tier they are routed to, each tier sorted by length."""
+
+    def __init__(self, sizes: tuple[int, ...], pieces: list[Piece]):
+        self.sizes = sizes
+        self.held: list[list[Piece]] = [[] for _ in sizes]
+        for p in pieces:
+            self.held[self.route(p[0])].append(p)
+        for tier in self.held:
+            tier.sort()
+
+    def route(self, length: int) -> int:
+        return bisect.bisect_left(self.sizes, length)
+
+    def add(self, piece: Piece) -> None:
+        bisect.insort(self.held[self.route(piece[0])], piece)
+
+    def tokens(self, upto: int) -> int:
+        return sum(p[0] for tier in self.held[:upto + 1] for p in tier)
+
+    def fitting(self, gap: int, upto: int) -> Piece | None:
+        """The longest piece of at most `gap` tokens in the tiers up to `upto`, the longest tier first."""
+        for tier in range(upto, -1, -1):
+            at = bisect.bisect_right(self.held[tier], (gap, 1 << 62, 0)) - 1
+            if at >= 0:
+                return self.held[tier].pop(at)
+        return None
+
+    def cut(self, gap: int, upto: int) -> Piece:
+        """The first `gap` tokens of the shortest piece; the rest is routed anew."""
+        tier = next(t for t in range(upto + 1) if self.held[t])
+        n, doc, start = self.held[tier].pop(0)
+        self.add((n - gap, doc, start + gap))
+        return gap, doc, start
+
+    def pack(self) -> list[tuple[int, list[Piece]]]:
+        """(size, pieces) of every sequence; sizes are the tiers', then the rest's powers of two."""
+        out = []
+        for tier in range(len(self.sizes) - 1, -1, -1):
+            size, below = self.sizes[tier], max(tier - 1, 0)
+            left = self.tokens(tier)
+            while self.held[tier] and left >= size:
+                pieces, gap = [], size
+                piece = self.held[tier].pop()                              # its longest opens the window
+                while True:
+                    pieces.append(piece)
+                    gap -= piece[0]
+                    if not gap:
+                        break
+                    # gaps are filled from the shorter tiers; from this one only when they are empty
+                    upto = below if any(self.held[:below + 1]) else tier
+                    piece = self.fitting(gap, upto) or self.cut(gap, upto)
+                out.append((size, pieces))
+                left -= size
+            if tier and self.held[tier]:                                   # cannot fill another window: to the tier below
+                rest, self.held[tier] = self.held[tier], []
+                for n, doc, start in rest:
+                    for at in range(0, n, self.sizes[tier - 1]):
+                        self.add((min(self.sizes[tier - 1], n - at), doc, start + at))
+        size, left = self.sizes[0], self.tokens(0)
         while left:
             size >>= 1
-            if left < size:
-                continue
-            gap, seq = size, []
-            while gap:
-                n, d, s = lengths.pop()
-                if n > gap:
-                    bisect.insort(lengths, (n - gap, d, s + gap))
-                    n = gap
-                seq.append((d, s, n))
-                gap -= n
-            self.sequences.append(seq)
-            left -= size
-
-
-def step_groups(costs: np.ndarray, per_group: int) -> np.ndarray:
-    """Group of each window: by falling cost, dealt forward and back over the groups."""
-    groups = max(1, -(-len(costs) // per_group))
-    turn = np.arange(len(costs))
-    pos = turn % (2 * groups)
-    out = np.empty(len(costs), dtype=np.int64)
-    out[np.argsort(-costs, kind="stable")] = np.where(pos < groups, pos, 2 * groups - 1 - pos)
+            while left >= size:
+                pieces, gap = [], size
+                while gap:
+                    piece = self.fitting(gap, 0) or self.cut(gap, 0)
+                    pieces.append(piece)
+                    gap -= piece[0]
+                out.append((size, pieces))
+                left -= size
+        return out
+
+
+def step_groups(tokens: list[int], costs: list[int], per_group: int) -> list[int]:
+    """Group of each sequence: the costliest first, to the group with the fewest tokens and then the least cost."""
+    heap = [(0, 0, g) for g in range(max(1, round(sum(tokens) / per_group)))]
+    out = [0] * len(tokens)
+    for q in sorted(range(len(tokens)), key=lambda q: (-tokens[q], -costs[q], q)):
+        held, cost, g = heapq.heappop(heap)
+        out[q] = g
+        heapq.heappush(heap, (held + tokens[q], cost + costs[q], g))
     return out
 
 
-def _pack_block(docs: list[tuple[int | None, bytes]], window: int, first_sequence: int, first_group: int):
-    block, rest = _Block(window), []
+def _pack_block(docs: list[tuple[int | None, bytes]], tiers: tuple[int, ...], first_sequence: int, first_group: int):
+    window, sequences, rest = tiers[-1], [], []
     for i, (_, ids) in enumerate(docs):
         n = len(ids) // 4
-        done = block.full_windows(i, n)
-        if n > done:
-            rest.append((i, done, n - done))
-    block.pack(rest)
-    costs = np.array([sum(n * n for _, _, n in seq) for seq in block.sequences], dtype=float)
-    full = np.array([sum(n for _, _, n in seq) for seq in block.sequences])
-    group = np.zeros(len(full), dtype=np.int64)
-    group[full == window] = step_groups(costs[full == window], STEP_WINDOWS)
-    group[full < window] = group.max(initial=-1) + 1
+        full = n - n % window
+        sequences += [(window, [(window, i, s)]) for s in range(0, full, window)]
+        if n > full:
+            rest.append((n - full, i, full))
+    sequences += Tiers(tiers, rest).pack()
+    groups = step_groups([size for size, _ in sequences], [sum(n * n for n, _, _ in pieces) for _, pieces in sequences], STEP_WINDOWS * window)
     out = []
-    for q, seq in enumerate(block.sequences):
+    for q, (size, pieces) in enumerate(sequences):
         offset = 0
-        for i, s, n in seq:
+        for n, i, s in pieces:
             doc_id, ids = docs[i]
-            tier = max(MIN_TIER, 1 << (n - 1).bit_length()) if n > 1 else MIN_TIER
             out.append((doc_id, s, n, zlib.crc32(memoryview(ids)[4 * s:4 * (s + n)]), len(ids) // 4, first_sequence + q,
-                        offset, min(tier, window), first_group + int(group[q])))
+                        offset, size, first_group + groups[q]))
             offset += n
-    return out, len(block.sequences), int(group.max(initial=-1)) + 1
+    return out, len(sequences), max(groups, default=-1) + 1
 
 
-def _packer(paths: tuple[str, str], window: int, block_tokens: int):
+def _packer(paths: tuple[str, str], tiers: tuple[int, ...], block_tokens: int):
     end = np.array([END_ID], dtype="<u4").tobytes()
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     types = [pa.int32() if c.endswith(" int") else pa.int64() for c in SCHEMA.split(", ")]
@@ -191,7 +198,7 @@ def _packer(paths: tuple[str, str], window: int, block_tokens: int):
 
         def flush():
             nonlocal sequence, group
-            rows, n, g = _pack_block(docs, window, sequence, group)
+            rows, n, g = _pack_block(docs, tiers, sequence, group)
             sequence, group = sequence + n, group + g
             docs.clear()
             cols = list(zip(*rows)) if rows else [()] * len(names)
@@ -207,14 +214,13 @@ def _packer(paths: tuple[str, str], window: int, block_tokens: int):
                     held = 0
         if docs:
             yield flush()
-        enc.cache.clear()                                  # the next task's pieces are mostly its own
         release_memory()
 
     return run
 
 
-def pack_documents(docs: DataFrame, window: int = WINDOW, paths: tuple[str, str] | None = None,
+def pack_documents(docs: DataFrame, tiers: tuple[int, ...] = TIERS, paths: tuple[str, str] | None = None,
                    block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One row per piece. Sequences are full windows or of power-of-two lengths."""
+    """One row per piece; `tier` is the size of its sequence. Sequences are as long as a tier, or a power of two."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_packer(paths or tokenizer_paths(), window, block_tokens), SCHEMA)
+    return d.mapInArrow(_packer(paths or tokenizer_paths(), tiers, block_tokens), SCHEMA)
