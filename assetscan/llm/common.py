@@ -39,6 +39,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that `stage_table` wrote and nothing will read again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_key() -> Column:
     """64-bit key of a row from doc_id and text; rows with the same key and doc_id are equal rows."""
     return F.xxhash64(F.col("doc_id"), F.col("text"))
@@ -207,6 +215,39 @@ def filter_by_bitmap(df: DataFrame, column: str, wanted: DataFrame, wanted_colum
     return df.mapInArrow(run, df.schema)
 
 
+def without_rows(docs: DataFrame, keys: DataFrame, drop: DataFrame) -> DataFrame:
+    """`docs` without the rows that `drop` names by (doc_id, rk); `keys` has (doc_id, rk) of all rows. No text of a row
+    that a bitmap of the dropped keys rules out, or that is dropped, is shuffled: the few rows that are kept though the
+    bitmap has their slot are found among the keys, and only their texts meet that list in a join."""
+    drop = stage_table(drop.select("doc_id", "rk"), "drop")
+    named = slot_bitmap(drop, "rk")
+
+    def doubtful(batches):
+        for b in batches:
+            yield b.filter(pa.array(in_bitmap(named.value, b.column(1).to_numpy(zero_copy_only=False).view(U64))))
+
+    maybe = keys.select("doc_id", "rk").mapInArrow(doubtful, "doc_id long, rk long")
+    spared = stage_table(maybe.join(drop, same_row(maybe, drop), "left_anti").distinct(), "spared")
+    slots = slot_bitmap(spared, "rk")
+    keyed_docs = docs.withColumn("_rk", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+
+    def ruled_out(batches):
+        for b in batches:
+            rk = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).view(U64)
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], schema=pa.schema(list(b.schema)[:-1])).filter(pa.array(~in_bitmap(named.value, rk)))
+
+    def listed(batches):
+        for b in batches:
+            rk = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).view(U64)
+            yield b.filter(pa.array(in_bitmap(named.value, rk) & in_bitmap(slots.value, rk)))
+
+    sure = keyed_docs.mapInArrow(ruled_out, docs.schema)
+    checked = keyed_docs.mapInArrow(listed, keyed_docs.schema)
+    s = spared.select(F.col("doc_id").alias("_spared_id"), F.col("rk").alias("_spared_rk"))
+    checked = checked.join(s, checked["doc_id"].cast("long").eqNullSafe(s["_spared_id"]) & (checked["_rk"] == s["_spared_rk"]), "left_semi")
+    return sure.unionByName(checked.drop("_rk"))
+
+
 def connected_components(links: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """(node, label) for every node of the undirected links (a, b): label is the smallest node reachable.
 

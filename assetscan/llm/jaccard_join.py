@@ -30,6 +30,7 @@ N = 3
 PERCENT = 90
 FREQUENCY_BITS = 18
 SIGNATURE = 512
+SALTS = 16
 SET_SCHEMA = "doc_id long, rk long, n long, s1 long, s2 long, prefix array<long>, sig array<long>"
 
 
@@ -133,15 +134,23 @@ def _could_reach(percent: int) -> str:
             f"least(x.pos, y.pos) + 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {need}")
 
 
+def _near_signatures(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that pass the suffix filter; only the sizes and signatures (64 bytes) of nodes in pairs are joined."""
+    sig = C.filter_by_bitmap(classes.select("node", "n", "sig"), "node", pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+    side = lambda c: sig.select(F.col("node").alias(c), F.struct("n", "sig").alias(f"{c}_"))
+    apart = " + ".join(f"bit_count(a_.sig[{i}] ^ b_.sig[{i}])" for i in range(SIGNATURE // 64))
+    most = f"(a_.n + b_.n) * cast({100 - percent} as double) / (100 + {percent}) + 1e-9"
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(f"{apart} <= {most}").select("a", "b")
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that pass the suffix filter and whose prefixes share enough: of the set whose prefix ends first in
+    """Pairs whose prefixes share enough: of the set whose prefix ends first in
     the order, every shingle that is common lies in both prefixes or after its own, so the intersection is at
     most the prefixes' plus the longer of what follows them."""
-    side = lambda c: classes.select(F.col("node").alias(c), F.struct("n", "prefix", "sig").alias(f"{c}_")).alias(c)
-    apart = " + ".join(f"bit_count(a_.sig[{i}] ^ b_.sig[{i}])" for i in range(SIGNATURE // 64))
+    sets = C.filter_by_bitmap(classes.select("node", "n", "prefix"), "node", pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+    side = lambda c: sets.select(F.col("node").alias(c), F.struct("n", "prefix").alias(f"{c}_"))
     both = f"(a_.n + b_.n) * cast({percent} as double) / (100 + {percent}) - 1e-9"
-    most = f"(a_.n + b_.n) * cast({100 - percent} as double) / (100 + {percent}) + 1e-9"
-    return (pairs.join(side("a"), "a").join(side("b"), "b").where(f"{apart} <= {most}")
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
             .where(f"size(array_intersect(a_.prefix, b_.prefix)) + greatest(a_.n - size(a_.prefix), b_.n - size(b_.prefix)) >= {both}")
             .select("a", "b"))
 
@@ -153,51 +162,73 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFram
     counted = keyed.select("text").mapInArrow(_frequencies(n), "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
     frequency = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
     frequency[counted["slot"].to_numpy()] = counted["c"].to_numpy()
-    sets = C.stage_table(keyed.select("doc_id", "rk", "text").mapInArrow(_sets(n, percent, spark.sparkContext.broadcast(frequency)), SET_SCHEMA), "sets")
-    classes = C.stage_table(sets.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("rk").alias("node"), F.min("doc_id").alias("first_id"), F.any_value("prefix").alias("prefix"),
+    wide = C.stage_table(keyed.select("doc_id", "rk", "text").mapInArrow(_sets(n, percent, spark.sparkContext.broadcast(frequency)), SET_SCHEMA), "sets")
+    sets = C.stage_table(wide.drop("prefix", "sig"), "documents")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rk")
+    classes = C.stage_table(wide.where("n > 0").groupBy("s1", "s2", "n").agg(
+        F.min("rk").alias("node"), F.min("doc_id").alias("first_id"), F.min(row).alias("best"), F.any_value("prefix").alias("prefix"),
         F.any_value("sig").alias("sig")), "classes")
+    C.drop_table(wide)
     grams = classes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    grams = C.stage_table(grams.join(shared, "gram"), "grams")
+    shared = C.stage_table(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram"), "shared")
+    grams = C.stage_table(C.filter_by_bitmap(grams, "gram", shared, "gram").join(shared, "gram"), "grams")
+    C.drop_table(shared)
 
     heads = grams.groupBy("gram").agg(F.min(F.struct("pos", "node", "n")).alias("h")).select("gram", "h.*")
     star = (grams.alias("x").join(heads.alias("y"), F.expr("x.gram = y.gram and x.node <> y.node and " + _could_reach(percent)))
             .select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct())
-    first = C.stage_table(_verified(keyed, _plausible(star, classes, percent), n, percent), "star")
+    star = C.stage_table(star, "star")
+    near = C.stage_table(_near_signatures(star, classes, percent), "near")
+    first = _verified(keyed, _plausible(near, classes, percent), n, percent, "first")
+    C.drop_table(star), C.drop_table(near)
     label = C.stage_table(C.connected_components(first.where("linked"), "near"), "labels")
 
     at = grams.join(label, "node", "left").select("gram", "node", "n", "pos", F.coalesce("label", "node").alias("comp"))
     mixed = at.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
     sig = classes.select("node", *[F.col("sig")[i].alias(f"s{i}") for i in range(SIGNATURE // 64)])
     at = C.stage_table(at.join(mixed, "gram").join(sig, "node"), "mixed")
+    C.drop_table(grams)
     apart = " + ".join(f"bit_count(x.s{i} ^ y.s{i})" for i in range(SIGNATURE // 64))
     most = f"(x.n + y.n) * cast({100 - percent} as double) / (100 + {percent}) + 1e-9"
     rest = (at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.node < y.node and x.comp <> y.comp and {_could_reach(percent)} and {apart} <= {most}"))
             .select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b")).distinct())
-    second = C.stage_table(_verified(keyed, _plausible(rest, classes, percent).join(first.select("a", "b"), ["a", "b"], "left_anti"), n, percent), "rest")
+    rest = C.stage_table(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    C.drop_table(at)
+    second = _verified(keyed, _plausible(rest, classes, percent), n, percent, "second")
+    C.drop_table(rest)
     return sets, classes, first.where("linked").select("a", "b").union(second.where("linked").select("a", "b"))
 
 
-def _verified(keyed: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _verified(keyed: DataFrame, pairs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
+    """The pairs with whether they link, as a table; what led to it is removed."""
     pairs = C.stage_table(pairs, "pairs")
     nodes = C.stage_table(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
     texts = (C.filter_by_bitmap(keyed.select("rk", "text"), "rk", nodes, "node")
              .join(nodes, F.col("rk") == F.col("node")).select("node", "text"))
     texts = C.stage_table(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    return (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-            .select("a", "b", "ta", "tb").mapInArrow(_verify(n, percent), "a long, b long, linked boolean"))
+    out = C.stage_table(pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+                        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+                        .select("a", "b", "ta", "tb").mapInArrow(_verify(n, percent), "a long, b long, linked boolean"), name)
+    for table in (pairs, nodes, texts):
+        C.drop_table(table)
+    return out
+
+
+def _labelled(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes with the node that names their component."""
+    label = C.connected_components(found, "components")
+    return classes.join(label, "node", "left").select("s1", "s2", "n", "node", "first_id", "best", F.coalesce("label", "node").alias("label"))
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, rk, n_shingles, component_id (smallest doc_id reachable by links) and
     group_key (the component's node; null without words)."""
     sets, classes, found = links(docs, n, percent)
-    label = C.connected_components(found, "components")
-    nodes = classes.join(label, "node", "left").select("s1", "s2", "n", "first_id", F.coalesce("label", "node").alias("label"))
-    ids = nodes.groupBy("label").agg(F.min("first_id").alias("component"))
-    nodes = nodes.join(ids, "label").select("s1", "s2", "n", "component", F.col("label").alias("group_key"))
+    nodes = C.stage_table(_labelled(classes, found), "labelled")
+    # the rows of a large component are dealt over SALTS keys
+    ids = nodes.groupBy("label").agg(F.min("first_id").alias("component")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    nodes = (nodes.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(ids, ["label", "salt"])
+             .select("s1", "s2", "n", "component", F.col("label").alias("group_key")))
     return (sets.join(nodes, ["s1", "s2", "n"], "left")
             .select("doc_id", "rk", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), "group_key"))
@@ -205,17 +236,16 @@ def near_duplicate_classes(docs: DataFrame, n: int = N, percent: int = PERCENT)
 
 def keep_one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one with the smallest doc_id (null last), with all columns.
-    Of rows equal in doc_id and text one stays; documents without words all stay."""
-    found = C.stage_table(near_duplicate_classes(docs, n, percent), "groups")
-    found = found.where("group_key is not null").select(F.col("doc_id").alias("_row_id"), F.col("rk").alias("_row_key"), "group_key")
-    row = F.struct(F.col("_row_id").isNull().alias("last"), "_row_id", "_row_key")
-    best = found.groupBy("group_key").agg(F.min(row).alias("best"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    drop = (found.join(best, "group_key").where(~(F.col("_row_id").eqNullSafe(F.col("best._row_id")) & (F.col("_row_key") == F.col("best._row_key"))))
-            .select("_row_id", "_row_key").distinct())
-    key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_row_id")) & (key == F.col("_row_key"))
-    kept = docs.join(drop, same, "left_anti")
-    repeated = C.stage_table(found.groupBy("_row_id", "_row_key").count().where("count > 1").select("_row_id", "_row_key"), "repeated")
+    Of rows equal in doc_id and text one stays; documents without words all stay. Who stays is decided over classes,
+    so no component's rows meet in a join."""
+    sets, classes, found = links(docs, n, percent)
+    best = _labelled(classes, found).groupBy("label").agg(F.min("best").alias("b")).select("b.doc_id", "b.rk")
+    worded = sets.where("n > 0").select("doc_id", "rk")
+    drop = worded.join(best, C.same_row(worded, best), "left_anti").distinct()
+    kept = C.without_rows(docs, sets, drop)
+    repeated = worded.groupBy("doc_id", "rk").count().where("count > 1")
+    repeated = C.stage_table(repeated.join(best, C.same_row(repeated, best), "left_semi")
+                             .select(F.col("doc_id").alias("_row_id"), F.col("rk").alias("_row_key")), "repeated")
     if repeated.isEmpty():
         return kept
     key = F.xxhash64(kept["doc_id"].cast("long"), kept["text"].cast("string"))

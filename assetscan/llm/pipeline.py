@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import common as C
 from . import decontamination, jaccard_join, packing, pii, toxicity
 
 # The stage's shingles and similarity; op9's query has its own.
@@ -25,9 +26,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Remove documents that share a window with the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     _, runs, _ = decontamination.winnow_hits(docs, benchmark)
-    hit = runs.select(F.col("doc_id").alias("_hit_id"), F.col("rk").alias("_hit_rk")).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit_id")) & (key == F.col("_hit_rk")), "left_anti")
+    keys = C.keyed(docs).select("doc_id", "rk")
+    return C.without_rows(docs, keys, runs.select("doc_id", "rk").distinct())
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
