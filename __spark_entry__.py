@@ -307,8 +307,15 @@ def q_status_counts(spark, sf):
     return RV.status_counts(_reviewed(spark, sf)[0])
 
 
+def _cells_of(spark, sf, manifest):
+    """Cells of the assets that the given rows are in; other assets are not split."""
+    return C.split_cells(spread(ES.estate_assets(spark, sf).join(manifest.select("asset_path").distinct(), "asset_path", "left_semi"), "asset_path"))
+
+
 def q_candidates_mount(spark, sf):
-    return RV.candidates_mount(materialize(_manifest(spark, sf), "manifest"), _cells(spark, sf), ES.estate_mounts(spark, sf))
+    manifest = materialize(_manifest(spark, sf), "manifest")
+    cells = _cells_of(spark, sf, manifest.filter(F.col("reference_kind") == "dynamic_mount"))
+    return RV.candidates_mount(manifest, cells, ES.estate_mounts(spark, sf))
 
 
 def q_mount_pattern_matches(spark, sf):
@@ -316,13 +323,13 @@ def q_mount_pattern_matches(spark, sf):
 
 
 def q_candidates_table(spark, sf):
-    cells = C.split_cells(ES.estate_assets(spark, sf))
-    return RV.candidates_table(materialize(_manifest(spark, sf), "manifest"), cells, ES.estate_mapping(spark, sf))
+    manifest = materialize(_manifest(spark, sf), "manifest")
+    cells = _cells_of(spark, sf, manifest.filter(F.col("reference_kind") == "dynamic_table"))
+    return RV.candidates_table(manifest, cells, ES.estate_mapping(spark, sf))
 
 
 def q_cell_context(spark, sf):
-    cells = C.split_cells(ES.estate_assets(spark, sf))
-    return RV.cell_context(_manifest(spark, sf), cells)
+    return RV.cell_context(_manifest(spark, sf), _cells(spark, sf))
 
 
 # ==== apply (S10, A1-A7) ===================================================== #
@@ -473,6 +480,11 @@ O.cte("cand_tok", ["manifest", "cells"], f"""
                regexp_extract(m.original_reference, {_L(P.DYNAMIC_SUFFIX_RE)}, 1) AS suffix,
                unnest(list_distinct(regexp_extract_all(c.code, {_L(P.IDENT_RE)}, 0))) AS token
         FROM manifest m JOIN cells c ON m.asset_path = c.asset_path AND m.cell_index = c.cell_index
+        WHERE m.reference_kind = 'dynamic_table'
+        UNION ALL                                              -- assigned by construction, wherever the cell
+        SELECT m.manifest_id, m.reference_kind, m.asset_path, m.cell_index, m.original_reference,
+               regexp_extract(m.original_reference, {_L(P.DYNAMIC_SUFFIX_RE)}, 1), 'db_' || (o_custkey % 30)
+        FROM manifest m JOIN orders ON m.asset_path = '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey
         WHERE m.reference_kind = 'dynamic_table')""")
 
 # ---- oracles: apply ------------------------------------------------------------- #
@@ -489,7 +501,7 @@ O.cte("maps", ["ws_keys"], """
   FROM ws_keys WHERE n = 1 GROUP BY asset_path""")
 # The text after Apply, from the generator's forms: finals in the places of references, all other text as it was.
 def _put(slot: str, value: str) -> str:
-    return f"coalesce(m['1' || chr(1) || {value}], {value})" if slot in ("<a>", "<b>", "<q>", *ES.SLOT_KINDS) else value
+    return f"coalesce(m['1' || chr(1) || {value}], m['2' || chr(1) || {value}], m['3' || chr(1) || {value}], {value})" if slot in ("<a>", "<b>", "<q>", *ES.SLOT_KINDS) else value
 
 
 O.cte("rw_places", ["maps"], f"""
@@ -523,12 +535,13 @@ ORACLES.update({
                d_final AS final_replacement, d_reviewer AS reviewer, _reject AS reject_reason
         FROM dj WHERE _reject IS NOT NULL"""),
     "status_counts": O.with_ctes(["reviewed"], "SELECT status, count(*) AS n FROM reviewed GROUP BY status"),
-    # the estate's one dynamic mount is f"/mnt/{m}/daily" behind m = "raw-<n>"
+    # the estate's one dynamic mount is f"/mnt/{m}/daily" behind m = "raw-<n>", in its cell or in the one before it
     "candidates_mount": O.with_ctes(["mounts"], """
-        SELECT md5(concat_ws(':', asset_path, '1', 'f"/mnt/{m}/daily"')) AS manifest_id, 'dynamic_mount' AS reference_kind,
-               asset_path, 1 AS cell_index, 'f"/mnt/{m}/daily"' AS original_reference, '/mnt/%' AS mount_pattern, named_mount,
+        SELECT md5(concat_ws(':', asset_path, CAST(cell AS VARCHAR), 'f"/mnt/{m}/daily"')) AS manifest_id, 'dynamic_mount' AS reference_kind,
+               asset_path, cell AS cell_index, 'f"/mnt/{m}/daily"' AS original_reference, '/mnt/%' AS mount_pattern, named_mount,
                r.mount_path AS candidate_mount, r.hms_namespace AS candidate_namespace
-        FROM (SELECT '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path, '/mnt/raw-' || (o_custkey % 30) AS named_mount
+        FROM (SELECT '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path, '/mnt/raw-' || (o_custkey % 30) AS named_mount,
+                     CAST(CASE WHEN (o_orderkey // 8) % 2 = 0 THEN 1 ELSE 3 END AS INTEGER) AS cell
               FROM orders WHERE o_orderkey % 8 = 5) o
         LEFT JOIN mounts r ON r.mount_path = o.named_mount"""),
     "mount_pattern_matches": O.with_ctes(["mounts"], """

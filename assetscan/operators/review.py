@@ -6,7 +6,7 @@ applied at once by a join on the manifest key (no per-row UPDATE).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -190,19 +190,39 @@ def mount_pattern_matches(manifest: DataFrame, mounts: DataFrame) -> DataFrame:
                     F.col("hms_namespace").alias("candidate_namespace")).distinct())
 
 
+def assigned_strings(cells: DataFrame) -> DataFrame:
+    """asset_path, cell_index, name, values: the distinct strings assigned to a name in a Python cell."""
+    python = cells.filter((F.col("language") == "python") & F.col("code").rlike(P.ASSIGNED_STRING_RE)) if "language" in cells.columns else cells
+    pairs = F.arrays_zip(F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(1)).alias("name"),
+                         F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(2)).alias("value"))
+    rows = (python.select("asset_path", "cell_index", F.explode_outer(pairs).alias("p")).filter(F.col("p").isNotNull()))
+    return rows.groupBy("asset_path", "cell_index", F.col("p.name").alias("name")).agg(F.collect_set("p.value").alias("values"))
+
+
+def last_assigned(uses: DataFrame, cells: DataFrame) -> DataFrame:
+    """`uses` (asset_path, cell_index, name, ...) + values: the strings assigned to the name in its cell, else in the
+    last cell before it that assigns it; null when none does. Assignments and uses of a name in a notebook are put in the
+    order of its cells and the last assignment is carried on, so the work is linear in both."""
+    rest = [c for c in uses.columns if c not in ("asset_path", "cell_index", "name")]
+    own = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_"))
+    made = assigned_strings(cells).select("asset_path", "name", "cell_index", F.lit(0).alias("_use"), "values")
+    used = uses.select("asset_path", "name", "cell_index", F.lit(1).alias("_use"), own.alias("_rest"))
+    both = made.unionByName(used, allowMissingColumns=True)
+    order = Window.partitionBy("asset_path", "name").orderBy("cell_index", "_use").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("values", F.last("values", ignorenulls=True).over(order)).filter("_use = 1")
+    return carried.select("asset_path", "cell_index", "name", *[F.col(f"_rest.{c}").alias(c) for c in rest], "values")
+
+
 def candidates_mount(manifest: DataFrame, cells: DataFrame, mounts: DataFrame) -> DataFrame:
     """V9, second half: one row per reference and mount it names. Each distinct string assigned to the field
-    in the mount's name in the same cell names a mount (an equi-join with the registry); the
-    others keep their pattern, whose candidates are `mount_pattern_matches`."""
-    refs = dynamic_mounts(manifest).join(cells.select("asset_path", "cell_index", "code"), ["asset_path", "cell_index"], "left")
+    in the mount's name, in the same cell or else in the last cell before that assigns it, names a mount (an equi-join with the
+    registry); the others keep their pattern, whose candidates are `mount_pattern_matches`."""
     body = X.literal_body(F.col("original_reference"))
-    names = F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(1))
-    values = F.regexp_extract_all("code", X.rx(P.ASSIGNED_STRING_RE), F.lit(2))
-    field = F.regexp_extract(body, P.MOUNT_FIELD_RE, 2)
-    assigned = F.filter(F.arrays_zip(names.alias("name"), values.alias("value")), lambda x: x["name"] == field)
-    named = F.transform(assigned, lambda x: F.regexp_extract(F.concat(
-        F.regexp_extract(body, P.MOUNT_FIELD_RE, 1), x["value"], F.regexp_extract(body, P.MOUNT_FIELD_RE, 3)), P.MOUNT_PREFIX_RE, 1))
-    refs = refs.select("*", F.explode_outer(F.array_distinct(F.when(field != "", named))).alias("named_mount"))
+    refs = dynamic_mounts(manifest).withColumn("name", F.regexp_extract(body, P.MOUNT_FIELD_RE, 2))
+    refs = last_assigned(refs, cells)
+    named = F.transform("values", lambda v: F.regexp_extract(F.concat(
+        F.regexp_extract(body, P.MOUNT_FIELD_RE, 1), v, F.regexp_extract(body, P.MOUNT_FIELD_RE, 3)), P.MOUNT_PREFIX_RE, 1))
+    refs = refs.select("*", F.explode_outer(F.array_distinct(F.when(F.col("name") != "", named))).alias("named_mount"))
     reg = mounts.filter(F.col("mount_path").isNotNull()).select(
         F.col("mount_path").alias("named_mount"), F.col("mount_path").alias("candidate_mount"),
         F.col("hms_namespace").alias("candidate_namespace")).distinct()
@@ -212,18 +232,20 @@ def candidates_mount(manifest: DataFrame, cells: DataFrame, mounts: DataFrame) -
 
 
 def candidates_table(manifest: DataFrame, cells: DataFrame, mapping: DataFrame) -> DataFrame:
-    """For a dynamic table, names in its cell that are mapped namespaces (paired with
-    the constant `.suffix` of the expression when there is one) or mapped tables."""
+    """For a dynamic table, names in its cell, and strings that the expression's variables were last assigned in a cell
+    before, that are mapped namespaces (paired with the constant `.suffix` of the expression when there is one) or
+    mapped tables."""
+    key = ["manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference", "suffix"]
     dyn = manifest.filter(F.col("reference_kind") == "dynamic_table").select(
         "manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference",
         F.regexp_extract("original_reference", P.DYNAMIC_SUFFIX_RE, 1).alias("suffix"))
     code = cells.select("asset_path", "cell_index", "code")
-    toks = (dyn.join(code, ["asset_path", "cell_index"])
-            .select("manifest_id", "reference_kind", "asset_path", "cell_index", "original_reference", "suffix",
-                    F.explode_outer(F.array_distinct(F.regexp_extract_all("code", X.rx(P.IDENT_RE), F.lit(0))))
-                    .alias("token"))
-            .filter(F.col("token").isNotNull())
-            .withColumn("_tok", F.lower("token")))
+    near = (dyn.join(code, ["asset_path", "cell_index"])
+            .select(*key, F.explode_outer(F.array_distinct(F.regexp_extract_all("code", X.rx(P.IDENT_RE), F.lit(0)))).alias("token")))
+    words = F.array_distinct(F.regexp_extract_all("original_reference", X.rx(r"[A-Za-z_]\w*"), F.lit(0)))
+    far = last_assigned(dyn.select("*", F.explode_outer(words).alias("name")).filter(F.col("name").isNotNull()), cells)
+    far = far.select(*key, F.explode_outer("values").alias("token"))
+    toks = near.unionByName(far).filter(F.col("token").isNotNull()).withColumn("_tok", F.lower("token"))
     nsl = namespace_lookup(mapping).filter(F.col("ns_schema").isNotNull())
     tl = table_lookup(mapping).filter(F.col("t_target").isNotNull())
     by_ns = (toks.join(nsl, toks["_tok"] == nsl["_lk_ns"])

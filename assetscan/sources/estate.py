@@ -31,6 +31,7 @@ def _s(c) -> F.Column:
 # The forms of each variant, dealt by (k div 8). In small letters the places of references: <a> and <b> the tables ns.t and
 # ns.t_1, <m> and <g> mount paths, <f> and <d> expressions built at run time, <q> a column's qualifier that follows table a.
 # <A> is the name of table a where it is no reference: a value, a comment, a key, other code. SQL forms are magic cells.
+# Some forms take several cells: a value is assigned in one and used in a later one.
 FORMS: dict[int, list[str]] = {
     0: ['df = spark.read.table("<a>")',
         'log("<A>")\ncfg["<A>"] = spark.table("<a>")  # """ of <A>\n<A>.reload()'],
@@ -49,8 +50,10 @@ FORMS: dict[int, list[str]] = {
         'spark.sql("SELECT <q>.* FROM <a> "\n          "WHERE <q>.k = 1")'],
     3: ['df = spark.read.parquet("<m>")'],
     4: ['p = "<g>"\nspark.read.parquet(p)'],
-    5: ['m = "<n>"\nspark.read.parquet(<f>)'],
-    6: ['db = "<s>"\nspark.table(<d>)'],
+    5: ['m = "<n>"\nspark.read.parquet(<f>)',
+        f'm = "raw-other"{S.CELL_SEPARATOR}m = "<n>"{S.CELL_SEPARATOR}spark.read.parquet(<f>)'],
+    6: ['db = "<s>"\nspark.table(<d>)',
+        f'db = "<s>"{S.CELL_SEPARATOR}spark.table(<d>)'],
     7: ["x = 1 + 1", 'x = (5\n % 3)\nprint("<A>")'],
 }
 UNREAD_FORMS = {(1, 7)}                       # IDENTIFIER(...) names no table that text could tell
@@ -65,6 +68,12 @@ def form_references(v: int, i: int) -> list[tuple[str, str]]:
     return found + ([(S.KIND_UNPARSED, "")] if (v, i) in UNREAD_FORMS else [])
 
 
+def slot_cell(v: int, i: int, slot: str) -> int:
+    """The cell a place is in; the notebook's first one is its title."""
+    form = FORMS[v][i]
+    return 1 + form[:form.index(slot)].count(S.CELL_SEPARATOR) if slot else 1
+
+
 def form_source(v: int, i: int) -> str:
     form = FORMS[v][i]
     return "# MAGIC %sql\n# MAGIC " + form.replace("\n", "\n# MAGIC ") if v == 1 else form

@@ -149,11 +149,11 @@ cte("dash_cells", ["dashboards"], """
 # ---- extraction (E1-E10, lexical Python) ----------------------------------- #
 # Of the estate: what the generator's forms refer to, by construction; nothing is read from the texts.
 _refs_of = by_form("o_orderkey", lambda v, i: "[" + ", ".join(
-    f"{{'kind': {lit(kind)}, 'slot': {lit(slot)}, 'lexical': {str((v, i) not in ES.CONCATENATED_FORMS).lower()}}}"
+    f"{{'kind': {lit(kind)}, 'slot': {lit(slot)}, 'cell': {ES.slot_cell(v, i, slot)}, 'lexical': {str((v, i) not in ES.CONCATENATED_FORMS).lower()}}}"
     for kind, slot in ES.form_references(v, i)) + "]" if ES.form_references(v, i) else "[]")
 _slot_value = "CASE r.slot " + " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in slots("(o_custkey % 30)", "o_custkey").items()) + " ELSE '' END"
 cte("refs_stated", [], f"""
-  SELECT 'notebook' AS asset_type, asset_path, CAST(1 AS INTEGER) AS cell_index, o_orderkey % 8 AS v, r.lexical AS lexical,
+  SELECT 'notebook' AS asset_type, asset_path, CAST(r.cell AS INTEGER) AS cell_index, o_orderkey % 8 AS v, r.lexical AS lexical,
          r.kind AS reference_kind, {_slot_value} AS original_reference
   FROM (SELECT o_orderkey, o_custkey, '/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey AS asset_path,
                unnest({_refs_of}) AS r FROM orders)""")
