@@ -42,7 +42,7 @@ def _ts(c: str) -> F.Column:
 
 
 def _inputs(spark: SparkSession, sf: str):
-    return (ES.estate_assets(spark, sf), ES.estate_mapping(spark, sf), ES.estate_mounts(spark, sf))
+    return (ES.estate_assets(spark, sf, dashboards=True), ES.estate_mapping(spark, sf), ES.estate_mounts(spark, sf))
 
 
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,7 +329,8 @@ def q_candidates_table(spark, sf):
 
 
 def q_cell_context(spark, sf):
-    return RV.cell_context(_manifest(spark, sf), _cells(spark, sf))
+    cells = C.split_cells(spread(ES.estate_assets(spark, sf, dashboards=True), "asset_path"))
+    return RV.cell_context(_manifest(spark, sf), cells)
 
 
 # ==== apply (S10, A1-A7) ===================================================== #
@@ -440,7 +441,7 @@ O.cte("decisions", ["manifest"], f"""
                      ELSE '"main.reviewed.t_' || (k % 40) || '"' END
               WHEN k % 6 = 3 THEN '  ' END AS final_replacement,
          c_name AS reviewer, TIMESTAMP '{ES.REVIEWED_AT}' AS reviewed_at
-  FROM (SELECT manifest_id, reference_kind, CAST(regexp_extract(asset_path, 'nb_(\\d+)$', 1) AS BIGINT) AS k
+  FROM (SELECT manifest_id, reference_kind, TRY_CAST(regexp_extract(asset_path, 'nb_(\\d+)$', 1) AS BIGINT) AS k
         FROM manifest) m
   JOIN orders ON o_orderkey = k JOIN customer ON c_custkey = o_custkey
   WHERE k % 6 <> 5""")
@@ -559,10 +560,12 @@ ORACLES.update({
           SELECT t.manifest_id, t.reference_kind, t.asset_path, t.cell_index, t.original_reference,
                  string_split(t.token, '.')[1], tl.t_target
           FROM cand_tok t JOIN tl ON t._tok = tl._ns || '.' || tl._tbl AND tl.t_target IS NOT NULL)"""),
-    "cell_context": O.with_ctes(["manifest", "cells"], """
+    "cell_context": O.with_ctes(["manifest", "cells", "dash_cells"], """
         SELECT m.asset_path, m.cell_index, m.manifest_id, m.reference_kind, m.original_reference, m.confidence,
                m.reason, c.language, c.code
-        FROM manifest m LEFT JOIN cells c ON m.asset_path = c.asset_path AND m.cell_index = c.cell_index"""),
+        FROM manifest m LEFT JOIN (SELECT asset_path, cell_index, language, code FROM cells
+                                   UNION ALL SELECT asset_path, cell_index, language, code FROM dash_cells) c
+          ON m.asset_path = c.asset_path AND m.cell_index = c.cell_index"""),
     "rewrite_literal": O.with_ctes(["estate", "maps"], """
         SELECT e.asset_path, list_reduce(m.edit_list, lambda acc, x: replace(acc, x.o, x.f), e.source) AS source
         FROM estate e JOIN maps m ON e.asset_path = m.asset_path"""),
@@ -690,7 +693,7 @@ ORACLES.update({
         SELECT n.asset_path, applied, waiting, coalesce(r.source, e.source) AS source
         FROM (SELECT asset_path, count(*) FILTER (WHERE status = 'applied') AS applied,
                      count(*) FILTER (WHERE status IN ('approved', 'overridden')
-                       OR (status = 'proposed' AND reference_kind IN ({_kinds}) AND CAST(regexp_extract(asset_path, 'nb_(\\d+)$', 1) AS BIGINT) % 6 = 5)) AS waiting
+                       OR (status = 'proposed' AND reference_kind IN ({_kinds}) AND TRY_CAST(regexp_extract(asset_path, 'nb_(\\d+)$', 1) AS BIGINT) % 6 = 5)) AS waiting
               FROM stamped GROUP BY asset_path) n
         JOIN estate e ON e.asset_path = n.asset_path LEFT JOIN rw_places r ON r.asset_path = n.asset_path
         WHERE applied + waiting > 0"""),

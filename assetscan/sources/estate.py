@@ -5,8 +5,8 @@ sf0.1). Everything is built with `concat` over columns, so a SQL engine can repe
   n = o_custkey % 30, ns = db_<n>, t = t_<o_custkey>, v = o_orderkey % 8,
   path = /estate/p<o_orderkey % 10>/nb_<o_orderkey>.
 The code cell is one of the variant's forms (`FORMS`), which also state what it refers to and where.
-Mapping: one row per `part` whose p % 30 is a nation, (db_<p % 30>, t_<p>), so it grows with
-`part` and the names with `customer`; rows with p % 7 = 3 have no target table yet. Mounts: one
+Mapping: one row per `part`, (db_<p % 30>, t_<p>), so it grows with `part` and the names with `customer`; rows with
+p % 7 = 3 have no target table yet, rows of a namespace that is no nation have no target at all. Mounts: one
 per nation, n % 8 = 7 without a namespace, n % 8 = 6 with one that no mapping row knows. So
 namespaces and mounts 25-29 are unknown, and tables beyond `part`, or not yet targeted, are unmapped.
 """
@@ -148,14 +148,14 @@ def estate_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hms_to_uc_mapping rows: a (namespace, table) pair per part, most with a target."""
     p = read_table(spark, sf_dir, "part").select("p_partkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    j = p.join(nat, (F.col("p_partkey") % 30) == F.col("n_nationkey"))
+    j = p.join(nat, (F.col("p_partkey") % 30) == F.col("n_nationkey"), "left")
     tbl = F.concat(F.lit("t_"), _s("p_partkey"))
     return j.select(
-        F.concat(F.lit("db_"), _s("n_nationkey")).alias("hms_namespace"),
+        F.concat(F.lit("db_"), _s(F.col("p_partkey") % 30)).alias("hms_namespace"),
         tbl.alias("hms_table"),
         F.concat(F.lit("cat_"), _s("n_regionkey")).alias("uc_catalog"),
         F.concat(F.lit("sch_"), _s("n_nationkey")).alias("uc_schema"),
-        F.when(F.col("p_partkey") % 7 != 3, tbl).alias("uc_table"),
+        F.when(F.col("n_nationkey").isNotNull() & (F.col("p_partkey") % 7 != 3), tbl).alias("uc_table"),
         F.concat(F.lit("/mnt/raw-"), _s("n_nationkey")).alias("mount_path"),
         F.lit(None).cast("string").alias("notes"))
 
@@ -165,15 +165,15 @@ def estate_mapping_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
     else (ambiguous), the others repeat the same target (harmless)."""
     p = read_table(spark, sf_dir, "part").select("p_partkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    j = p.join(nat, (F.col("p_partkey") % 30) == F.col("n_nationkey"))
+    j = p.join(nat, (F.col("p_partkey") % 30) == F.col("n_nationkey"), "left")
     tbl = F.concat(F.lit("t_"), _s("p_partkey"))
     dup = j.select(
-        F.concat(F.lit("db_"), _s("n_nationkey")).alias("hms_namespace"),
+        F.concat(F.lit("db_"), _s(F.col("p_partkey") % 30)).alias("hms_namespace"),
         tbl.alias("hms_table"),
         F.concat(F.lit("cat_"), _s("n_regionkey")).alias("uc_catalog"),
         F.concat(F.lit("sch_"), _s("n_nationkey")).alias("uc_schema"),
-        F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("alt_"), _s("p_partkey")))
-        .otherwise(tbl).alias("uc_table"),
+        F.when(F.col("n_nationkey").isNotNull(), F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("alt_"), _s("p_partkey")))
+               .otherwise(tbl)).alias("uc_table"),
         F.lit(None).cast("string").alias("mount_path"),
         F.lit("duplicate").alias("notes"))
     return estate_mapping(spark, sf_dir).unionByName(dup)
@@ -224,7 +224,7 @@ BATCH_REVIEWER = "batch@estate"
 
 
 def notebook_key(asset_path: F.Column) -> F.Column:
-    return F.regexp_extract(asset_path, r"nb_(\d+)$", 1).cast("long")
+    return F.regexp_extract(asset_path, r"nb_(\d+)$", 1).try_cast("long")
 
 
 def estate_decisions(spark: SparkSession, sf_dir: str, manifest: DataFrame) -> DataFrame:

@@ -96,19 +96,19 @@ cte("dashboards", [], f"""
   FROM supplier""")
 
 cte("mapping", [], f"""
-  SELECT 'db_' || n_nationkey AS hms_namespace, 't_' || p_partkey AS hms_table,
+  SELECT 'db_' || (p_partkey % 30) AS hms_namespace, 't_' || p_partkey AS hms_table,
          'cat_' || n_regionkey AS uc_catalog, 'sch_' || n_nationkey AS uc_schema,
-         CASE WHEN p_partkey % 7 <> 3 THEN 't_' || p_partkey END AS uc_table, '/mnt/raw-' || n_nationkey AS mount_path,
+         CASE WHEN n_nationkey IS NOT NULL AND p_partkey % 7 <> 3 THEN 't_' || p_partkey END AS uc_table, '/mnt/raw-' || n_nationkey AS mount_path,
          CAST(NULL AS VARCHAR) AS notes
-  FROM part JOIN nation ON p_partkey % 30 = n_nationkey""")
+  FROM part LEFT JOIN nation ON p_partkey % 30 = n_nationkey""")
 
 cte("mapping_dups", ["mapping"], f"""
   SELECT * FROM mapping
   UNION ALL
-  SELECT 'db_' || n_nationkey, 't_' || p_partkey, 'cat_' || n_regionkey, 'sch_' || n_nationkey,
-         CASE WHEN p_partkey % 4 = 0 THEN 'alt_' || p_partkey ELSE 't_' || p_partkey END,
+  SELECT 'db_' || (p_partkey % 30), 't_' || p_partkey, 'cat_' || n_regionkey, 'sch_' || n_nationkey,
+         CASE WHEN n_nationkey IS NULL THEN NULL WHEN p_partkey % 4 = 0 THEN 'alt_' || p_partkey ELSE 't_' || p_partkey END,
          CAST(NULL AS VARCHAR), 'duplicate'
-  FROM part JOIN nation ON p_partkey % 30 = n_nationkey""")
+  FROM part LEFT JOIN nation ON p_partkey % 30 = n_nationkey""")
 
 cte("mounts", [], f"""
   SELECT '/mnt/raw-' || n_nationkey AS mount_path,
@@ -163,9 +163,9 @@ cte("refs_py", ["refs_stated"], f"SELECT {_REF} FROM refs_stated WHERE v <> 1")
 cte("refs_py_lexical", ["refs_stated"], f"SELECT {_REF} FROM refs_stated WHERE v <> 1 AND lexical")
 cte("refs_dash", [], """
   SELECT 'dashboard' AS asset_type, '/estate/dashboards/d_' || s_suppkey AS asset_path, cell_index, 'dashboard_query' AS reference_kind, original_reference
-  FROM (SELECT s_suppkey, 0 AS cell_index, 'db_' || s_nationkey || '.t_' || s_suppkey AS original_reference FROM supplier
-        UNION ALL SELECT s_suppkey, 1, 'db_' || s_nationkey || '.t_' || (s_suppkey % 7) FROM supplier
-        UNION ALL SELECT s_suppkey, 1, 'db_' || s_nationkey || '.calendar' FROM supplier)""")
+  FROM (SELECT s_suppkey, CAST(0 AS INTEGER) AS cell_index, 'db_' || s_nationkey || '.t_' || s_suppkey AS original_reference FROM supplier
+        UNION ALL SELECT s_suppkey, CAST(1 AS INTEGER), 'db_' || s_nationkey || '.t_' || (s_suppkey % 7) FROM supplier
+        UNION ALL SELECT s_suppkey, CAST(1 AS INTEGER), 'db_' || s_nationkey || '.calendar' FROM supplier)""")
 
 # Of other texts (prose): patterns, as an approximation of its own.
 cte("text_refs_sql", ["cells"], f"""
@@ -208,7 +208,7 @@ cte("text_refs_other", ["cells"], f"""
   SELECT asset_type, asset_path, cell_index, '{S.KIND_UNPARSED}' AS reference_kind, '' AS original_reference
   FROM cells WHERE language NOT IN ('python', 'sql', 'md', 'md-sandbox', 'markdown')
     AND regexp_matches(code, {lit(P.PY_PREFILTER_RE)})""")
-cte("refs_all", ["refs_stated"], f"SELECT {_REF} FROM refs_stated")
+cte("refs_all", ["refs_stated", "refs_dash"], f"SELECT {_REF} FROM refs_stated UNION ALL SELECT {_REF} FROM refs_dash")
 cte("refs", ["refs_all"], """
   SELECT asset_type, asset_path, cell_index, reference_kind, original_reference,
          CAST(count(*) AS INTEGER) AS occurrences

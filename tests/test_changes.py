@@ -90,3 +90,21 @@ def test_nested_mounts_resolve_to_the_longest(spark):
     assert got == {"/mnt/a/z/f": "/Volumes/main/uc_migration_target/a/z/f", "dbfs:/mnt/a/b/f": "/Volumes/main/uc_migration_target/b/f",
                    "/mnt/a/bb/f": "/Volumes/main/uc_migration_target/a/bb/f", "/mnt/a/b/c/f": "mount has no namespace",
                    "/mnt/q/f": "mount not registered", "/mnt/a": "/Volumes/main/uc_migration_target/a", "/mnt/a/b/": "/Volumes/main/uc_migration_target/b/"}
+
+
+def test_values_are_carried_from_the_last_cell_that_assigns_them(spark):
+    from assetscan.operators import cells as C
+    from assetscan.operators import review as RV
+    cell = lambda *parts: NB + SEP + SEP.join(parts)
+    assets = assets_of(spark, {
+        "/far": cell('m = "raw-1"', 'm = "raw-2"\nn = "x"', 'x = 1', 'spark.read.parquet(f"/mnt/{m}/a")', 'm = "raw-9"'),
+        "/near": cell('m = "raw-1"', 'if a:\n  m = "raw-3"\nelse:\n  m = "raw-4"\nspark.read.parquet(f"/mnt/{m}/a")'),
+        "/none": cell('spark.read.parquet(f"/mnt/{m}/a")', 'm = "raw-5"'),
+        "/table": cell('db = "risk_db"', 'spark.table(f"{db}.exposures")')})
+    cells = C.split_cells(assets)
+    from assetscan.plans import scan as SC
+    man = M.proposed_rows(SC.scan_resolved(assets, DM.demo_mapping(spark), DM.demo_mounts(spark)), AS_OF)
+    got = sorted((r.asset_path, r.named_mount) for r in RV.candidates_mount(man, cells, DM.demo_mounts(spark)).collect())
+    assert got == [("/far", "/mnt/raw-2"), ("/near", "/mnt/raw-3"), ("/near", "/mnt/raw-4"), ("/none", None)]
+    tables = [(r.candidate_namespace, r.candidate_target) for r in RV.candidates_table(man, cells, DM.demo_mapping(spark)).collect()]
+    assert tables == [("risk_db", "main.uc_migration_target.exposures")]
