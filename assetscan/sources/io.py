@@ -219,21 +219,7 @@ def append_audit(entries: DataFrame, path: str) -> int:
 
 
 def write_asset_files(assets: DataFrame, root: str, extension: str = "py") -> None:
-    """Each asset's text to `<root><asset_path>.<extension>`, written by the executors
-    in parallel (one task per partition, no text through the driver). `root` must be a
-    filesystem every executor mounts (a shared volume); other schemes are refused, since
-    Python's `open` would make a local folder of them. `read_asset_files` reads it back."""
-    import os
-
-    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root) and not root.startswith("file:"):
-        raise ValueError(f"not a mounted folder: {root}")
-    base = root.split(":", 1)[-1] if root.startswith("file:") else root
-
-    def write_partition(rows):
-        for r in rows:
-            path = os.path.join(base, r["asset_path"].lstrip("/") + "." + extension)
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            with open(path, "w", encoding="utf-8", newline="") as f:
-                f.write(r["source"])
-
-    assets.filter(F.col("source").isNotNull()).select("asset_path", "source").foreachPartition(write_partition)
+    """Each asset's text to `<root><asset_path>.<extension>`, written by the executors and committed as a whole
+    (`sources.export`). `read_asset_files` reads it back."""
+    from .export import export_assets
+    export_assets(assets, root, extension)

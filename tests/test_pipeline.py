@@ -77,13 +77,32 @@ def test_files_to_manifest_to_patched_and_back(spark):
 
 
 def test_write_then_read_asset_files_round_trip(spark):
-    base = tempfile.mkdtemp(prefix="assetscan-files-")
+    base = os.path.join(tempfile.mkdtemp(prefix="assetscan-files-"), "out")
     nbs = DM.demo_notebooks(spark).select("asset_path", "source")
     IO.write_asset_files(nbs, base)
     back = {r.asset_path: r.source for r in IO.read_asset_files(spark, base).collect()}
     assert back == {r.asset_path: r.source for r in nbs.collect()}
 
 
+def test_export_is_whole_or_not_there(spark):
+    import pytest
+    base = tempfile.mkdtemp(prefix="assetscan-export-")
+    rows = [(f"/d{i % 3}/n {i}", ("python", "sql", "scala", None)[i % 4], f"text {i}\r\né") for i in range(40)] + [("/d0/none", "python", None)]
+    assets = spark.createDataFrame(rows, "asset_path string, language string, source string").repartition(4)
+    from assetscan.sources.export import export_assets
+    export_assets(assets, os.path.join(base, "ok"))
+    back = {r.asset_path: (r.language, r.source) for r in IO.read_asset_files(spark, os.path.join(base, "ok")).collect()}
+    assert back == {p: (l or "python", t) for p, l, t in rows if t is not None}
+    bad = assets.unionByName(spark.createDataFrame([("/d0/../../out", "python", "x")], assets.schema))
+    with pytest.raises(Exception, match="inside the export"):
+        export_assets(bad, os.path.join(base, "bad"))
+    with pytest.raises(Exception, match="ok"):
+        export_assets(assets, os.path.join(base, "ok"))                  # never mixed with an older export
+    export_assets(assets.limit(0), "file://" + os.path.join(base, "empty"))
+    assert sorted(os.listdir(base)) == ["empty", "ok"]                   # no staging folder, nothing of the failed ones
+    assert len(back) == sum(len(files) for _, _, files in os.walk(os.path.join(base, "ok")))
+
+
 def test_two_rounds_of_apply_keep_both_edits(spark):
     base = tempfile.mkdtemp(prefix="assetscan-two-")
     wd = ST.Workdir(os.path.join(base, "work"))
