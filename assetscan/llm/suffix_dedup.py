@@ -183,8 +183,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     for size in BLOCKS:
         by_text = C.stage_table(border.groupBy("rk").agg(F.collect_list(F.struct("key", "s", "m", "d", "single")).alias("runs")), "border")
         if texts is None:                                  # later borders lie in the texts of the first ones
+            # one text for all rows that are equal in doc_id and text: their windows are the same
             texts = C.stage_table(C.filter_by_bitmap(keyed.select("rk", "text"), "rk", by_text, "rk")
-                                  .join(by_text.select("rk"), "rk"), "border-texts")
+                                  .join(by_text.select("rk"), "rk").dropDuplicates(["rk"]), "border-texts")
         parts = C.stage_table(texts.join(by_text, "rk").select("rk", "text", "runs").mapInArrow(_parts(size), PARTS), f"parts{size}")
         whole, border = _refine(parts, f"parts{size}")
         found = found.union(whole)
@@ -214,7 +215,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256. The texts of documents without
     repeats are not shuffled."""
     keyed = C.keyed(docs)
-    hits = C.stage_table(repeated_windows(docs).groupBy("rk").agg(F.collect_list(F.struct("s", "m")).alias("runs")), "repeats")
+    # distinct first: copies of a row find the same windows, and a text's list is as long as its own windows
+    hits = C.stage_table(repeated_windows(docs).distinct().groupBy("rk").agg(F.collect_list(F.struct("s", "m")).alias("runs")), "repeats")
     cut = (C.filter_by_bitmap(keyed, "rk", hits, "rk").join(hits, "rk").select("doc_id", "text", "runs")
            .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
     text = F.coalesce("text", F.lit(""))

@@ -23,12 +23,26 @@ def brute(docs, length=S.LENGTH):
 
 
 def test_matches_brute_force(spark):
-    docs = [(d, t) for d, t in K.rows(seed=2, n=30) if len(t or "") < 30000]
+    docs = K.rows(seed=2, n=30)
     docs += [(700, "x" * 199), (701, "y" * 200), (702, "z" * 201), (703, "0123456789" * 60), (704, "é" * 150 + "q" + "é" * 100)]
     got = S.remove_repeats(K.frame(spark, docs)).collect()
     assert K.by_row(got) == brute(docs)
 
 
+def test_repeated_rows_cost_their_number_not_its_square(spark):
+    import random
+    import time
+    text = K.sentence(random.Random(1), 550)
+    seconds = {}
+    for n in (20, 200, 1600):                             # the first one warms up
+        docs = [(None, text)] * n + [(i, K.sentence(random.Random(i), 120)) for i in range(20)]
+        start = time.time()
+        got = S.remove_repeats(K.frame(spark, docs)).collect()
+        seconds[n] = time.time() - start
+        assert sorted(r.n_removed for r in got) == [0] * 20 + [len(text.encode())] * n
+    assert seconds[1600] < 2 * 8 * seconds[200]
+
+
 def test_texts_cut_into_parts_agree_with_whole_ones(spark, monkeypatch):
     rng = np.random.default_rng(0)
     long = bytes(rng.integers(97, 123, 9000, dtype=np.uint8)).decode()
