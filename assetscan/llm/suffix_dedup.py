@@ -215,8 +215,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256. The texts of documents without
     repeats are not shuffled."""
     keyed = C.keyed(docs)
-    # distinct first: copies of a row find the same windows, and a text's list is as long as its own windows
-    hits = C.stage_table(repeated_windows(docs).distinct().groupBy("rk").agg(F.collect_list(F.struct("s", "m")).alias("runs")), "repeats")
+    # a set: copies of a row find the same windows, and a text's list is as long as its own windows
+    hits = C.stage_table(repeated_windows(docs).groupBy("rk").agg(F.collect_set(F.struct("s", "m")).alias("runs")), "repeats")
     cut = (C.filter_by_bitmap(keyed, "rk", hits, "rk").join(hits, "rk").select("doc_id", "text", "runs")
            .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
     text = F.coalesce("text", F.lit(""))
