@@ -1,5 +1,6 @@
 """Complete standard texts of licences, word for word, without the copyright lines that name an owner."""
 
+# FIXED VALUES: public licence texts, as their publishers word them.
 TEXTS: dict[str, str] = {
     "BSD-2-Clause": """\
 Redistribution and use in source and binary forms, with or without

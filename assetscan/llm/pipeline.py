@@ -1,4 +1,16 @@
-"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+Defined results, stage by stage; all but the last return the columns of documents, extra ones unchanged, whatever their names.
+  toxicity: a null or empty text has the labels' base rate and stays; without labels of both values nothing is
+    rejected; repeated rows share their fate.
+  near duplicates: null and empty texts, and texts without words, all stay; of rows equal in doc_id and text one stays;
+    of a group the smallest doc_id, a null one only when all are null (then the row of the smallest key).
+  decontamination: a null or empty text shares nothing and stays; an empty benchmark, or items without words, remove
+    nothing; repeated rows share their fate.
+  personal data: a null text stays null and keeps its n_chars; an empty one stays empty.
+  packing: a null or empty text is the end id alone; repeated rows are packed separately.
+Very long texts are read whole by every stage. An empty table gives an empty table.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession

@@ -49,3 +49,43 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
     kept = pipeline.drop_near_duplicates(spark, K.frame(spark, docs), "").collect()
     assert sorted(r.doc_id for r in kept) == sorted({docs[i][0] for i in label})
     assert {1, 3} <= {r.doc_id for r in kept} and 2 not in {r.doc_id for r in kept}
+
+
+def write(spark, folder, docs, labels, items):
+    """A table directory; extra columns have the names that stages use inside."""
+    K.frame(spark, docs).write.parquet(str(folder / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+
+
+def through(spark, folder, upto):
+    state = spark.read.parquet(str(folder / "documents.parquet"))
+    columns = state.columns
+    for _, stage in pipeline.STAGES[:upto]:
+        state = stage(spark, state, str(folder))
+        assert state.columns == columns
+        state = spark.createDataFrame(state.collect(), state.schema)
+    return state.collect()
+
+
+def test_nulls_empty_long_and_repeated_rows_through_all_stages(spark, tmp_path):
+    rng = random.Random(9)
+    long = K.sentence(rng, 9000)
+    fine = [(i, K.sentence(rng, 40)) for i in range(1, 8)]
+    docs = fine + [(20, None), (21, ""), (22, " \n "), (None, None), (None, K.sentence(rng, 30)), (30, long), (31, long), fine[0], fine[0], (40, "x" * 200000)]
+    write(spark, tmp_path, docs, [(1, 1, 0), (2, None, 1), (None, 0, 1), (99, 0, 1)], [(1, None), (2, ""), (3, "some words that no document has")])
+    rows = through(spark, tmp_path, 4)
+    assert sorted((r.doc_id for r in rows), key=repr) == sorted([d for d, _ in fine] + [20, 21, 22, None, None, 30, 40], key=repr)
+    assert {r.doc_id: r.text for r in rows if r.doc_id in (20, 21, 30)} == {20: None, 21: "", 30: long}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sum(r.length for r in packed if r.doc_id == 30) == next(r.doc_tokens for r in packed if r.doc_id == 30)
+    assert {r.doc_tokens for r in packed if r.doc_id in (20, 21)} == {1}
+
+
+def test_empty_tables(spark, tmp_path):
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    write(spark, tmp_path / "a", [], [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path / "a")).count() == 0
+    docs = [(i, K.sentence(random.Random(i), 30)) for i in range(5)]
+    write(spark, tmp_path / "b", docs, [], [])
+    assert sorted(r.doc_id for r in through(spark, tmp_path / "b", 4)) == list(range(5))

@@ -51,3 +51,35 @@ def test_without_labels_or_documents(spark):
     one_sided = spark.createDataFrame([(0, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     assert not any(r.rejected for r in T.toxicity_scores(K.frame(spark, K.rows(n=4)), one_sided).collect())
     assert T.toxicity_scores(K.frame(spark, []), none).count() == 0
+
+
+def test_prediction_equals_the_chain_worked_out_text_by_text(spark):
+    """Brute force: presence of every selected feature looked up one by one, each category's log-odds summed in order."""
+    import numpy as np
+    docs, labels = corpus(200)
+    frame, marks = K.frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    chain = T.fit(frame, marks)
+    got = {r.doc_id: r for r in T.toxicity_scores(frame, marks).collect()}
+    for doc_id, text in docs:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        present = set(T.features(raw, np.array([0, len(raw)]))[1].tolist())
+        odds = []
+        for c in range(2):
+            z = chain.bias[c] + sum(w for slot, w in zip(chain.slots.tolist(), chain.weights[c]) if slot in present)
+            z += sum(chain.chained[c, earlier] * odds[earlier] for earlier in range(c))
+            odds.append(min(15.0, max(-15.0, z)))
+        p = [1 / (1 + np.exp(-z)) for z in odds]
+        r = got[doc_id]
+        assert abs(r.p_low_quality - p[0]) < 1e-9 and abs(r.p_toxic - p[1]) < 1e-9 and r.rejected == (p[1] >= T.REJECT)
+
+
+def test_features_by_hand():
+    import numpy as np
+    from assetscan.llm import common as C
+    text = "Ab!! abcde"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    mask = (1 << T.FEATURE_BITS) - 1
+    h = lambda s: int(C.word_hashes(np.frombuffer(s.encode(), np.uint8), np.array([0]), np.array([len(s)]))[0])
+    want = {(h("ab") ^ int(C.ODD[0])) & mask, (h("abcde") ^ int(C.ODD[0])) & mask, (h("abcd") ^ int(C.ODD[4])) & mask,
+            (h("!!") ^ int(C.ODD[9])) & mask, (h("de") ^ int(C.ODD[9])) & mask}
+    assert set(T.features(raw, np.array([0, len(raw)]))[1].tolist()) == want
