@@ -736,6 +736,29 @@ def q_asset_changes(spark, sf):
     return CH.changes(CH.fingerprints(before), materialize(CH.fingerprints(after), "fingerprints"))
 
 
+def q_export_decode(spark, sf):
+    """Every notebook through the base64 form of an export and back."""
+    exported = IO.encode_for_import(ES.estate_notebooks(spark, sf).select("asset_path", "source")).drop("source")
+    return IO.decode_exports(exported).select("asset_path", "source")
+
+
+def q_inventory_seed(spark, sf):
+    """Inventory rows of all notebooks and dashboards of the estate."""
+    inventory = ES.estate_inventory(spark, sf).withColumnRenamed("path", "asset_path")
+    dashboards = ES.estate_dashboards(spark, sf).withColumn("tier", F.lit(S.TIER_SIMPLE))
+    return IO.seed_inventory(inventory, dashboards, ES.AS_OF).withColumn("seeded_at", _ts("seeded_at"))
+
+
+def q_audit_log(spark, sf):
+    """The decision log after its entries were appended twice."""
+    stamped, results = _reconciled(spark, sf)
+    entries = materialize(AU.decision_rows(RC.mark_failed(stamped, results)), "entries")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/assetscan-audit-log-{uuid.uuid4().hex}"
+    IO.append_audit(entries, path)
+    IO.append_audit(entries, path)
+    return spark.read.schema(entries.schema).parquet(path).withColumn("reviewed_at", _ts("reviewed_at"))
+
+
 def q_expected_vs_found(spark, sf):
     return DM.expected_vs_found(ES.estate_inventory(spark, sf), _manifest(spark, sf))
 
@@ -745,6 +768,9 @@ QUERIES.update({
     "registry_refresh": q_registry_refresh,
     "expected_vs_found": q_expected_vs_found,
     "asset_changes": q_asset_changes,
+    "export_decode": q_export_decode,
+    "inventory_seed": q_inventory_seed,
+    "audit_log": q_audit_log,
 })
 
 _nb_path = "'/estate/p' || (o_orderkey % 10) || '/nb_' || o_orderkey"
@@ -756,6 +782,16 @@ ORACLES.update({
         WHERE path NOT IN (SELECT {_nb_path} FROM orders WHERE o_orderstatus = 'F')"""),
     "registry_refresh": O.with_ctes(["mounts"], f"""
         SELECT mount_path, adls_target, '' AS hms_namespace, '{ES.AS_OF}' AS discovered_at, 'listing' AS provenance FROM mounts"""),
+    "export_decode": O.with_ctes(["estate"], "SELECT asset_path, source FROM estate"),
+    "audit_log": O.with_ctes(["audit"], "SELECT * FROM audit"),
+    "inventory_seed": f"""
+        SELECT 'notebook' AS asset_type, {_nb_path} AS path, 'nb_' || o_orderkey AS name,
+               CASE WHEN o_orderkey % 8 IN (0, 1, 2, 3) THEN 'simple' WHEN o_orderkey % 8 IN (4, 5) THEN 'complex' ELSE 'very_complex' END AS tier,
+               CAST({O.by_form('o_orderkey', lambda v, i: str(sum(kind != S.KIND_UNPARSED for kind, _ in ES.form_references(v, i))))} AS INTEGER) AS hms_ref_count,
+               '{ES.AS_OF}' AS seeded_at
+        FROM orders
+        UNION ALL
+        SELECT 'dashboard', '/estate/dashboards/d_' || s_suppkey, 'd_' || s_suppkey, 'simple', CAST(2 AS INTEGER), '{ES.AS_OF}' FROM supplier""",
     "asset_changes": f"""
         SELECT CASE WHEN change = 'renamed' THEN '/estate/moved/nb_' || o_orderkey ELSE path END AS asset_path, change,
                CASE WHEN change = 'renamed' THEN path END AS old_path
