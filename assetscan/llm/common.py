@@ -107,6 +107,15 @@ def text_chunks(batches, column: str = "text", max_bytes: int = CHUNK_BYTES) ->
     release_memory()
 
 
+def small_batches(batches, rows: int = 1024):
+    """The batches in slices of at most `rows` rows, for tasks that make Python objects of what a batch holds: so those are
+    bounded whatever the session's batch size. Freed memory is given back at the task's end."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    release_memory()
+
+
 def release_memory() -> None:
     """Give freed memory back to the system at a task's end: workers live on and serve other operators."""
     pa.default_memory_pool().release_unused()

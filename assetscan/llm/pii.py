@@ -267,6 +267,10 @@ def vote(text: str, a: int, b: int, base: list[tuple[str, int, int]], form: str
     return [strict, loose, gazetteer, 1 if cue else 0, plain, count], kind, "|".join(features)
 
 
+def _scan_task(batches):
+    return _scan(C.small_batches(batches))
+
+
 def _scan(batches):
     for rows in batches:
         base_rows, cand_rows = [], []
@@ -379,9 +383,10 @@ def _spans(weights):
 def find_personal_data(docs: DataFrame, rk: bool = False) -> DataFrame:
     """Per document: doc_id, counts of base spans, checksum of the base spans, all spans."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = C.stage_table(d.mapInArrow(_scan, SCANNED), "spans")
+    scanned = C.stage_table(d.mapInArrow(_scan_task, SCANNED), "spans")
     weights = fit(scanned)
-    return scanned.mapInArrow(_spans(weights), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    spans = _spans(weights)
+    return scanned.mapInArrow(lambda batches: spans(C.small_batches(batches)), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def fit(scanned: DataFrame):
@@ -400,12 +405,12 @@ def fit(scanned: DataFrame):
 def mask_personal_data(docs: DataFrame) -> DataFrame:
     """Documents with each span replaced by `<kind>`: all columns stay; overlapping spans become one mask."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    weights = fit(C.stage_table(d.mapInArrow(_scan, SCANNED), "spans"))
+    weights = fit(C.stage_table(d.mapInArrow(_scan_task, SCANNED), "spans"))
     names = docs.columns
 
     def run(batches):
         apply = _spans(weights)
-        for b in batches:
+        for b in C.small_batches(batches):
             at = b.schema.get_field_index("text")
             texts = b.column(at).to_pylist()
             hit = [i for i, t in enumerate(texts) if t]
